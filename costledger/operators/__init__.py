@@ -1,4 +1,4 @@
-from .convert import process_ad_rows, stamp_lineage, to_usd  # noqa: F401
+from .convert import attach_rate, finish_usd, process_ad_rows, stamp_lineage, to_usd  # noqa: F401
 from .dedup import keep_highest_cost, top_by_cost  # noqa: F401
 from .files import (content_owner, files_missing, files_new, files_unchanged,  # noqa: F401
                     first_per_content, last_version_per_name, listing_names, live_versions,

@@ -6,26 +6,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_missing_number
+from ..functions import is_missing_number, nan_to_null
 from ..schemas import KEYS
 from .dedup import keep_highest_cost
 from .sizing import bounded_broadcast
 
 
-def to_usd(df: DataFrame, lookup: DataFrame, policy: str = "drop",
-           convention: str = "multiply", keep_rate: bool = False) -> DataFrame:
-    """Add ``cost_usd`` from a one-row-per-currency ``lookup``
-    (``currency_code``, ``rate``).
-
-    ``drop`` (default): rows without a rate, or whose result is NULL/NaN, are
-    dropped; a rate of 0 is valid.  ``legacy``: every row is kept and
-    ``cost_usd`` is NULL when the rate is missing or 0.  Currency match is
-    exact.  The lookup has one row per currency, so it is broadcast after a
-    size check and the big side is never shuffled for it."""
-    rates = bounded_broadcast(lookup.select(
+def _rate_side(lookup: DataFrame) -> DataFrame:
+    return bounded_broadcast(lookup.select(
         F.col("currency_code").alias("_fx_currency"), F.col("rate").alias("_fx_rate")))
-    cost = F.col("cost").cast("double")
-    rate = F.col("_fx_rate")
+
+
+def attach_rate(df: DataFrame, lookup: DataFrame, how: str = "inner") -> DataFrame:
+    """Join the one-row-per-currency ``lookup`` (``currency_code``, ``rate``)
+    as ``_fx_rate``.  The lookup is broadcast after a size check, so the big
+    side is never shuffled for it.  Currency match is exact."""
+    return (df.join(_rate_side(lookup), F.col("currency") == F.col("_fx_currency"), how)
+              .drop("_fx_currency"))
+
+
+def finish_usd(df: DataFrame, policy: str = "drop", convention: str = "multiply",
+               keep_rate: bool = False) -> DataFrame:
+    """Compute ``cost_usd`` from ``_fx_rate`` (see ``to_usd``)."""
+    cost, rate = F.col("cost").cast("double"), F.col("_fx_rate")
     if convention == "multiply":
         usd = cost * rate
     elif convention == "divide":
@@ -33,25 +36,40 @@ def to_usd(df: DataFrame, lookup: DataFrame, policy: str = "drop",
     else:
         raise ValueError(f"unknown convention {convention!r}")
     if policy == "drop":
-        out = (df.join(rates, F.col("currency") == F.col("_fx_currency"), "inner")
-                 .withColumn("cost_usd", usd)
-                 .filter(~is_missing_number("cost_usd")))
+        out = df.withColumn("cost_usd", usd).filter(~is_missing_number("cost_usd"))
     elif policy == "legacy":
-        out = (df.join(rates, F.col("currency") == F.col("_fx_currency"), "left")
-                 .withColumn("cost_usd", F.when(rate != 0, usd)))
+        out = df.withColumn("cost_usd", F.when(rate != 0, nan_to_null(usd)))
     else:
         raise ValueError(f"unknown policy {policy!r}")
-    if keep_rate:
-        out = out.withColumnRenamed("_fx_rate", "rate")
-    return out.drop("_fx_currency", "_fx_rate")
+    return out.withColumnRenamed("_fx_rate", "rate") if keep_rate else out.drop("_fx_rate")
+
+
+def to_usd(df: DataFrame, lookup: DataFrame, policy: str = "drop",
+           convention: str = "multiply", keep_rate: bool = False) -> DataFrame:
+    """Add ``cost_usd``.
+
+    ``drop`` (default): rows without a rate, or whose result is NULL/NaN, are
+    dropped; a rate of 0 is valid.  ``legacy``: every row is kept and
+    ``cost_usd`` is NULL when the rate is missing or 0.  ``convention``
+    ``divide`` reads rates as units per dollar."""
+    how = "inner" if policy == "drop" else "left"
+    return finish_usd(attach_rate(df, lookup, how), policy, convention, keep_rate)
 
 
 def process_ad_rows(ads: DataFrame, lookup: DataFrame, policy: str = "drop",
                     tie_breakers: Sequence[str] = ("file_name",),
-                    keys: Sequence[str] = KEYS) -> DataFrame:
+                    keys: Sequence[str] = KEYS, convention: str = "multiply") -> DataFrame:
     """I4 over any number of files at once: keep the highest-cost row per key,
-    then convert.  Dedup comes first, as in the per-file job."""
-    return to_usd(keep_highest_cost(ads, keys, "cost", tie_breakers), lookup, policy)
+    then convert.
+
+    The currency is part of the key, so a key group has a rate for all its
+    rows or for none: under ``drop`` the rate join runs before the dedup and
+    rows that would be dropped never reach the shuffle.  The NULL/NaN check of
+    the result still runs after the dedup, as in the per-file job."""
+    how = "inner" if policy == "drop" else "left"
+    with_rate = attach_rate(ads, lookup, how)
+    deduped = keep_highest_cost(with_rate, keys, "cost", tie_breakers)
+    return finish_usd(deduped, policy, convention)
 
 
 def stamp_lineage(df: DataFrame, file_version_id, run_ts) -> DataFrame:

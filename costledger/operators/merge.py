@@ -53,7 +53,7 @@ def delete_versions(target: DataFrame, dead: DataFrame,
     """Drop target rows of the given file versions (anti join; the
     version list is broadcast only when it is proven small)."""
     dead = bounded_broadcast(dead.select(version_col).distinct())
-    return target.join(dead, version_col, "left_anti")
+    return target.join(dead, version_col, "left_anti").select(*target.columns)
 
 
 def tombstone(registry: DataFrame, dead: DataFrame, run_ts) -> DataFrame:

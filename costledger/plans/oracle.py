@@ -174,7 +174,7 @@ SELECT a.event_id, a.currency, a.cost, l.rate, a.cost * l.rate AS cost_usd
 FROM ad_rows a JOIN latest l ON a.currency = l.currency_code {_USD_DROP}""",
     "cost_usd_legacy": _with("ad_rows", "latest") + """
 SELECT a.event_id, a.currency, a.cost, l.rate,
-       CASE WHEN l.rate <> 0 THEN a.cost * l.rate END AS cost_usd
+       CASE WHEN l.rate <> 0 AND NOT isnan(a.cost * l.rate) THEN a.cost * l.rate END AS cost_usd
 FROM ad_rows a LEFT JOIN latest l ON a.currency = l.currency_code""",
     "distinct_currencies": _with("ad_rows") +
         "SELECT DISTINCT currency FROM ad_rows WHERE currency IS NOT NULL",
