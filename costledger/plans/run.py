@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import operators as ops
@@ -36,24 +36,36 @@ class EmptyListing(RuntimeError):
 
 
 def classify(listing: DataFrame, registry: DataFrame) -> DataFrame:
-    """Per distinct (file_name, file_hash) of the listed Parquet objects:
-    the first object key (list order), whether the pair has a live version,
-    the owner of its content (the name listed last) and how many names carry
-    that content.  Aggregates per hash, no pairwise join."""
-    files = (listing.filter(is_parquet("file_name"))
-             .groupBy("file_name", "file_hash")
-             .agg(F.min("object_key").alias("object_key"), F.min("folder").alias("folder")))
-    owners = (files.groupBy("file_hash")
-              .agg(F.max_by("file_name", "object_key").alias("_owner"),
-                   F.count("*").alias("_n_names")))
+    """Every listed Parquet object (a visit, in list order = key order) with
+    whether the sequential job would ingest it.
+
+    A visit is ingested when its (name, hash) is not live at that moment.
+    With one name per content that is only the first visit, when the pair
+    has no live version.  With copies (a content under several names) the
+    holder changes at every visit whose name differs from the previous visit
+    of the same content; those visits are found with ``lag`` over the
+    copies only.  The last ingested visit of a content owns it (``final``);
+    earlier ones are relayed: ingested, then removed in the same run."""
+    pq = listing.filter(is_parquet("file_name")).select("object_key", "folder", "file_name", "file_hash")
+    per_hash = pq.groupBy("file_hash").agg(F.countDistinct("file_name").alias("_n_names"))
+    first_of_pair = pq.groupBy("file_name", "file_hash").agg(F.min("object_key").alias("_first_key"))
     live = ops.live_versions(registry).select("file_name", "file_hash").distinct() \
         .withColumn("_live", F.lit(True))
-    return (files.join(owners, "file_hash")
-            .join(live, ["file_name", "file_hash"], "left")
-            .select("object_key", "folder", "file_name", "file_hash",
-                    (F.col("file_name") == F.col("_owner")).alias("is_owner"),
-                    (F.col("_n_names") > 1).alias("is_copy"),
-                    F.col("_live").isNotNull().alias("is_live")))
+    occ = (pq.join(per_hash, "file_hash").join(first_of_pair, ["file_name", "file_hash"])
+             .join(live, ["file_name", "file_hash"], "left")
+             .withColumn("is_live", F.col("_live").isNotNull()))
+    single = occ.filter(F.col("_n_names") == 1).withColumn(
+        "ingest", (F.col("object_key") == F.col("_first_key")) & ~F.col("is_live"))
+    prev = F.lag("file_name").over(Window.partitionBy("file_hash").orderBy("object_key"))
+    copies = occ.filter(F.col("_n_names") > 1).withColumn(
+        "ingest", F.when(prev.isNull(), ~F.col("is_live")).otherwise(prev != F.col("file_name")))
+    visits = single.unionByName(copies)
+    last_ingest = (visits.filter("ingest").groupBy("file_hash")
+                   .agg(F.max("object_key").alias("_final_key")))
+    return (visits.join(last_ingest, "file_hash", "left")
+            .select("object_key", "folder", "file_name", "file_hash", "is_live", "ingest",
+                    (F.col("object_key") == F.col("_final_key")).alias("final"),
+                    (F.col("_n_names") > 1).alias("is_copy")))
 
 
 def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates: DataFrame,
@@ -81,8 +93,8 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
 
     missing = ops.files_missing(registry, listing).select("file_version_id")
     files = classify(listing, registry).checkpoint()
-    owners = files.filter(F.col("is_owner") & (~F.col("is_live") | F.col("is_copy")))
-    relay = files.filter(~F.col("is_owner") & ~F.col("is_live"))
+    owners = files.filter(F.col("ingest") & F.col("final"))
+    relay = files.filter(F.col("ingest") & ~F.col("final"))
 
     handed_over = (ops.live_versions(registry)
                    .join(owners.select("file_hash"), "file_hash", "left_semi")
@@ -92,7 +104,7 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
     rows, rejected = load(owners.select("object_key", "file_name", "file_hash"))
     rejected_keys = rejected.select("object_key").distinct()
     accepted = (owners.join(rejected_keys, "object_key", "left_anti")
-                .withColumn("file_version_id", version_id(run_id, "file_name", "file_hash")))
+                .withColumn("file_version_id", version_id(run_id, "object_key", "file_hash")))
 
     source_rows = rows.join(
         accepted.select("object_key", "file_name", "file_version_id"), "object_key")
@@ -109,7 +121,7 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
     records = accepted.select("file_name", "file_hash", "file_version_id",
                               F.lit(STATUS_PROCESSED).alias("status")).unionByName(
         relay_ok.select("file_name", F.lit(None).cast("string").alias("file_hash"),
-                        version_id(run_id, "file_name", "file_hash").alias("file_version_id"),
+                        version_id(run_id, "object_key", "file_hash").alias("file_version_id"),
                         F.lit(STATUS_DELETED).alias("status")))
     registry1 = ops.tombstone(registry, dead, run_ts)
     registry2 = ops.upsert_registry(registry1, records, run_ts)
@@ -125,23 +137,19 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
                      registry2.select(*REGISTRY.fieldNames()), report, summary)
 
 
-ACTIONS = ("skipped", "repeat", "unchanged", "ingested", "relayed", "rejected")
+ACTIONS = ("skipped", "unchanged", "ingested", "relayed", "rejected")
 
 
 def _report(listing, files, owners, relay, rejected_keys) -> DataFrame:
     """What happened to each listed object."""
-    tag = lambda df, a: df.select("object_key", F.lit(a).alias("_a"))
-    decided = (tag(owners, "ingested").unionByName(tag(relay, "relayed"))
-               .unionByName(tag(files.filter(F.col("is_live") & ~(F.col("is_owner") & F.col("is_copy"))),
-                                "unchanged")))
     rej = rejected_keys.withColumn("_rej", F.lit(True))
-    firsts = files.select("object_key", F.lit(True).alias("_first"))
-    return (listing.join(decided, "object_key", "left").join(rej, "object_key", "left")
-            .join(firsts, "object_key", "left")
+    return (listing.join(files.select("object_key", "ingest", "final"), "object_key", "left")
+            .join(rej, "object_key", "left")
             .select(*listing.columns, F.when(~is_parquet("file_name"), "skipped")
-                    .when(F.col("_first").isNull(), "repeat")
+                    .when(~F.col("ingest"), "unchanged")
                     .when(F.col("_rej").isNotNull(), "rejected")
-                    .otherwise(F.col("_a")).alias("action")))
+                    .when(F.col("final"), "ingested")
+                    .otherwise("relayed").alias("action")))
 
 
 def rebuild(listing: DataFrame, rates: DataFrame, load: Loader,

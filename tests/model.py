@@ -52,7 +52,7 @@ def model_run(registry, target, listing, contents, rates, run_id):
         for k, cost in rows:
             if k not in best or cost > best[k]:
                 best[k] = cost
-        version = vid(run_id, name, h)
+        version = vid(run_id, key, h)
         registry.append({"file_name": name, "file_hash": h, "file_version_id": version,
                          "status": "processed"})
         for k, cost in best.items():

@@ -28,17 +28,32 @@ def _contents(rng, n, costs):
                 c = round(rng.uniform(1, 100), 6)
             costs.add(c)
             rows.append((key, c))
-        out[f"h{i:02d}"] = None if rng.random() < 0.08 else rows
+        out[f"h{i:02d}"] = None if rng.random() < 0.15 else rows
     return out
 
 
-def _listing(rng, contents, run):
+def _listing(rng, contents, current):
+    """Next listing from the current name -> hash map: names vanish, change
+    content, appear, get copies of another file's content, or show up in
+    two date folders with the same content."""
     hashes = sorted(contents)
-    names = rng.sample(NAMES, rng.randint(1, len(NAMES)))
-    out = []
-    for name in names:
-        folder = f"2024-01-{rng.choice([29, 30])}"
-        out.append((f"s3a://b/in/{folder}/{name}", name, rng.choice(hashes[: 4 + run])))
+    nxt = {}
+    for name in NAMES:
+        if name in current and rng.random() < 0.6:
+            nxt[name] = current[name]
+        elif rng.random() < 0.5:
+            nxt[name] = rng.choice(hashes)
+    if len(nxt) >= 2 and rng.random() < 0.5:
+        a, b = rng.sample(sorted(nxt), 2)
+        nxt[b] = nxt[a]
+    if not nxt:
+        nxt[NAMES[0]] = hashes[0]
+    out = [(f"s3a://b/in/2024-01-{rng.choice([29, 30])}/{n}", n, h) for n, h in nxt.items()]
+    if rng.random() < 0.3:
+        k, n, h = out[0]
+        out.append((k.replace("/in/", "/re/"), n, h))
+    current.clear()
+    current.update(nxt)
     return out
 
 
@@ -84,14 +99,14 @@ def _reg_set(rows):
 
 def test_apply_run_matches_file_by_file_model(spark):
     checked = 0
-    for seed in range(4):
+    for seed in range(5):
         rng = random.Random(seed)
         contents = _contents(rng, 9, set())
-        m_reg, m_tgt = [], {}
+        m_reg, m_tgt, current = [], {}, {}
         s_reg = spark.createDataFrame([], REGISTRY)
         s_tgt = spark.createDataFrame([], TARGET)
         for run in range(4):
-            listing = _listing(rng, contents, run)
+            listing = _listing(rng, contents, current)
             run_id, run_ts = f"r{seed}-{run}", f"2024-02-0{run + 1} 00:00:00"
             m_reg, m_tgt = model_run(m_reg, m_tgt, listing, contents, RATES, run_id)
             ldf, rows, rejected, rates_df = _frames(spark, listing, contents, RATES)
@@ -105,4 +120,4 @@ def test_apply_run_matches_file_by_file_model(spark):
             s_reg = spark.createDataFrame(r_rows, REGISTRY)
             m_reg = copy.deepcopy(m_reg)
             checked += 1
-    assert checked == 16
+    assert checked == 20
