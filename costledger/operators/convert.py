@@ -14,7 +14,8 @@ from .sizing import bounded_broadcast
 
 def _rate_side(lookup: DataFrame) -> DataFrame:
     return bounded_broadcast(lookup.select(
-        F.col("currency_code").alias("_fx_currency"), F.col("rate").alias("_fx_rate")))
+        F.col("currency_code").alias("_fx_currency"), F.col("rate").alias("_fx_rate")),
+        materialize=True)
 
 
 def attach_rate(df: DataFrame, lookup: DataFrame, how: str = "inner") -> DataFrame:

@@ -49,18 +49,18 @@ def merge_max_cost(target: DataFrame, source: DataFrame, keys: Sequence[str] = K
 
 
 def delete_versions(target: DataFrame, dead: DataFrame,
-                    version_col: str = "file_version_id") -> DataFrame:
+                    version_col: str = "file_version_id", materialize: bool = True) -> DataFrame:
     """Drop target rows of the given file versions (anti join; the
     version list is broadcast only when it is proven small)."""
-    dead = bounded_broadcast(dead.select(version_col).distinct())
+    dead = bounded_broadcast(dead.select(version_col).distinct(), materialize=materialize)
     return target.join(dead, version_col, "left_anti").select(*target.columns)
 
 
-def tombstone(registry: DataFrame, dead: DataFrame, run_ts) -> DataFrame:
+def tombstone(registry: DataFrame, dead: DataFrame, run_ts, materialize: bool = True) -> DataFrame:
     """D3: the given versions, if still processed, become ``deleted`` with a
     NULL hash and a new processed date."""
     marks = bounded_broadcast(dead.select("file_version_id").distinct()
-                              .withColumn("_dead", F.lit(True)))
+                              .withColumn("_dead", F.lit(True)), materialize=materialize)
     hit = F.col("_dead").isNotNull() & (F.col("status") == STATUS_PROCESSED)
     ts = F.lit(run_ts).cast("timestamp_ntz")
     return (registry.join(marks, "file_version_id", "left")

@@ -47,7 +47,10 @@ def rates_on_latest_date(rates: DataFrame) -> DataFrame:
 
 def rate_lookup(rates: DataFrame, policy: str = "latest") -> DataFrame:
     """``latest``: newest rate per currency.  ``snapshot``: only currencies
-    quoted on the newest date of the table."""
+    quoted on the newest date of the table.  ``lookup``: ``rates`` already
+    holds one row per currency."""
+    if policy == "lookup":
+        return rates
     if policy == "latest":
         return latest_rate_per_currency(rates)
     if policy == "snapshot":

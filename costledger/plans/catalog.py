@@ -12,6 +12,7 @@ from .. import operators as ops
 from ..functions import base_name, folder_name, is_parquet, md5_base64, version_id
 from ..functions.columns import try_cast_columns
 from ..schemas import KEYS
+from ..session import materialize
 from . import fixtures as fx
 
 AD_COLS = [*KEYS, "cost", "file_name", "event_id"]
@@ -239,6 +240,33 @@ def union_files(spark, d):
     return full.unionByName(no_platform, allowMissingColumns=True)
 
 
+def _ingest(spark, d):
+    """One run of the ingest job over the ad files derived from ``events``."""
+    from .run import apply_run, frame_loader
+    ads = fx.ad_rows(spark, d)
+    latest = materialize(_latest(spark, d))
+    target0 = ops.stamp_lineage(
+        ops.process_ad_rows(ads.filter(F.col("file_no") <= fx.COPIED_FILE).select(*AD_COLS),
+                            latest, tie_breakers=TIES),
+        F.concat(F.lit("v_"), F.col("file_name")), F.lit(fx.REGISTRY_TS).cast("timestamp"))
+    listing = fx.ingest_listing(spark, d).select("object_key", "folder", "file_name", "file_hash")
+    return apply_run(listing, fx.ingest_registry0(spark, d), target0, latest,
+                     frame_loader(fx.ingest_rows(spark, d)), fx.RUN_ID, fx.RUN_TS, fx.RUN_DATE,
+                     rate_policy="lookup")
+
+
+def ingest_end_state(spark, d):
+    return _ingest(spark, d).target
+
+
+def ingest_registry(spark, d):
+    return _ingest(spark, d).registry
+
+
+def ingest_report(spark, d):
+    return _ingest(spark, d).report
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_ad_spend": flagship_ad_spend,
     "ad_rows_scan": ad_rows_scan,
@@ -273,4 +301,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "outer_consolidate": outer_consolidate,
     "consolidate_max": consolidate_max,
     "union_files": union_files,
+    "ingest_end_state": ingest_end_state,
+    "ingest_registry": ingest_registry,
+    "ingest_report": ingest_report,
 }

@@ -28,7 +28,9 @@ def ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad-spend rows of seven files: one row per event, currency from the
     nation of ``user_id % 10``."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    n = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    # nation is a fixed-size dimension: Spark's planner broadcasts it from its
+    # file-size statistics (and would shuffle-join it if it were large).
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     file_no = F.col("event_id") % N_AD_FILES
     return (e.join(n, F.col("n_nationkey") == F.col("user_id") % 10)
              .select(F.col("ts").cast("date").alias("dt"),
@@ -47,8 +49,10 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name") \
         .filter(~F.col("n_nationkey").isin(*NATIONS_WITHOUT_RATE))
-    sn = s.join(bounded_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
-    return (li.join(bounded_broadcast(sn), F.col("l_suppkey") == F.col("s_suppkey"))
+    # Dimension joins are left to the planner: supplier grows with the scale
+    # factor, so it is broadcast only while its statistics stay small.
+    sn = s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    return (li.join(sn, F.col("l_suppkey") == F.col("s_suppkey"))
               .select(F.col("l_shipdate").cast("date").alias("date"),
                       F.col("n_name").alias("currency_code"),
                       (F.lit(1.0) + F.col("l_tax")).alias("rate")))
@@ -82,3 +86,66 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.concat(F.lit("old_"), pk, F.lit(".parquet")).alias("file_name"),
                     F.md5(F.concat(F.col("p_name"), pk)).alias("file_hash")))
     return current.unionByName(old).withColumn("object_key", F.col("file_name"))
+
+
+# Fixed values of the ingest fixture: which ad file vanishes, which one is
+# re-uploaded with a changed content (its costs times the factor), which one
+# gets a copy under a second name, and the folders of the listing.
+VANISHED_FILE = 0
+REUPLOADED_FILE, REUPLOAD_FACTOR = 2, 2.0
+COPIED_FILE = 3
+OLD_FOLDER, NEW_FOLDER = "2024-01-29", "2024-01-30"
+
+
+def _ad_name(no):
+    return F.concat(F.lit("ads_"), no.cast("string"), F.lit(".parquet"))
+
+
+def ingest_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing of the run with, per object, the ad file whose rows it
+    holds (``src_no``) and a cost factor (the changed re-upload)."""
+    files = fx_files(spark, sf_dir)
+    no = F.col("file_no")
+    name = _ad_name(no)
+    listed = files.filter(no != VANISHED_FILE).select(
+        F.concat(F.lit("in/"), F.when(no.isin(1, COPIED_FILE), OLD_FOLDER).otherwise(NEW_FOLDER),
+                 F.lit("/"), name).alias("object_key"),
+        name.alias("file_name"),
+        F.md5(F.concat(F.when(no == REUPLOADED_FILE, "v2").otherwise(""), name)).alias("file_hash"),
+        no.alias("src_no"),
+        F.when(no == REUPLOADED_FILE, REUPLOAD_FACTOR).otherwise(1.0).alias("factor"))
+    copy = files.filter(no == COPIED_FILE).select(
+        F.lit(f"in/{NEW_FOLDER}/ads_{COPIED_FILE}_copy.parquet").alias("object_key"),
+        F.lit(f"ads_{COPIED_FILE}_copy.parquet").alias("file_name"),
+        F.md5(name).alias("file_hash"), no.alias("src_no"), F.lit(1.0).alias("factor"))
+    manifest = files.filter(no == VANISHED_FILE).select(
+        F.lit(f"in/{NEW_FOLDER}/manifest.csv").alias("object_key"),
+        F.lit("manifest.csv").alias("file_name"), F.md5(F.lit("manifest")).alias("file_hash"),
+        F.lit(None).cast("bigint").alias("src_no"), F.lit(None).cast("double").alias("factor"))
+    out = listed.unionByName(copy).unionByName(manifest)
+    return out.withColumn("folder", F.element_at(F.split("object_key", "/"), -2))
+
+
+def fx_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad_rows(spark, sf_dir).select("file_no").distinct()
+
+
+def ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every listed ad object (``object_key`` + the ad columns)."""
+    lst = ingest_listing(spark, sf_dir).filter(F.col("src_no").isNotNull())
+    ads = ad_rows(spark, sf_dir)
+    # At most one listed object per ad file plus one copy: a proven-small side.
+    return (ads.join(F.broadcast(lst.select("object_key", "src_no", "factor")),
+                     F.col("file_no") == F.col("src_no"))
+               .select("object_key", "dt", "network", "currency", "platform",
+                       (F.col("cost") * F.col("factor")).alias("cost")))
+
+
+def ingest_registry0(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry before the run: files 0-3 processed."""
+    no = F.col("file_no")
+    ts = F.lit(REGISTRY_TS).cast("timestamp_ntz")
+    return fx_files(spark, sf_dir).filter(no <= COPIED_FILE).select(
+        _ad_name(no).alias("file_name"), F.md5(_ad_name(no)).alias("file_hash"),
+        F.concat(F.lit("v_"), _ad_name(no)).alias("file_version_id"),
+        ts.alias("upload_date"), ts.alias("processed_date"), F.lit("processed").alias("status"))

@@ -106,6 +106,137 @@ SELECT file_name, file_version_id FROM (
   FROM registry WHERE status = 'processed') r
 WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM listing l WHERE l.file_name = r.file_name)""",
     "docs_md5": "SELECT doc_id, text, md5(text) AS content_md5 FROM documents",
+    # ---- one ingest run (same rules as plans/run.py, written as SQL) ----
+    "files": "SELECT DISTINCT file_no FROM ad_rows",
+    "lst": """
+SELECT 'in/' || CASE WHEN file_no IN (1, 3) THEN '2024-01-29' ELSE '2024-01-30' END
+       || '/ads_' || CAST(file_no AS VARCHAR) || '.parquet' AS object_key,
+       'ads_' || CAST(file_no AS VARCHAR) || '.parquet' AS file_name,
+       md5(CASE WHEN file_no = 2 THEN 'v2' ELSE '' END || 'ads_' || CAST(file_no AS VARCHAR) || '.parquet') AS file_hash,
+       file_no AS src_no, CASE WHEN file_no = 2 THEN 2.0 ELSE 1.0 END AS factor
+FROM files WHERE file_no <> 0
+UNION ALL
+SELECT 'in/2024-01-30/ads_3_copy.parquet', 'ads_3_copy.parquet', md5('ads_3.parquet'), file_no, 1.0
+FROM files WHERE file_no = 3
+UNION ALL
+SELECT 'in/2024-01-30/manifest.csv', 'manifest.csv', md5('manifest'), NULL, NULL
+FROM files WHERE file_no = 0""",
+    "reg0": f"""
+SELECT 'ads_' || CAST(file_no AS VARCHAR) || '.parquet' AS file_name,
+       md5('ads_' || CAST(file_no AS VARCHAR) || '.parquet') AS file_hash,
+       'v_ads_' || CAST(file_no AS VARCHAR) || '.parquet' AS file_version_id,
+       TIMESTAMP '{REGISTRY_TS}' AS upload_date, TIMESTAMP '{REGISTRY_TS}' AS processed_date,
+       'processed' AS status
+FROM files WHERE file_no <= 3""",
+    "tgt0": f"""
+SELECT a.dt, a.network, a.currency, a.platform, a.cost, a.cost * l.rate AS cost_usd, a.file_name,
+       'v_' || a.file_name AS file_version_id, TIMESTAMP '{REGISTRY_TS}' AS last_processed_timestamp
+FROM (SELECT * FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY dt, network, currency, platform
+          ORDER BY CASE WHEN isnan(cost) THEN NULL ELSE cost END DESC NULLS LAST, file_name, event_id) AS rn
+        FROM ad_rows WHERE file_no <= 3) WHERE rn = 1) a
+JOIN latest l ON a.currency = l.currency_code
+WHERE a.cost * l.rate IS NOT NULL AND NOT isnan(a.cost * l.rate)""",
+    "run_missing": """
+SELECT file_version_id FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY file_name
+                               ORDER BY processed_date DESC NULLS LAST, file_version_id DESC NULLS LAST) AS rn
+  FROM reg0 WHERE status = 'processed') r
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM lst l WHERE l.file_name = r.file_name)""",
+    "visits": """
+SELECT object_key, file_name, file_hash,
+       CASE WHEN n_names = 1 THEN object_key = first_key AND NOT is_live
+            WHEN prev_name IS NULL THEN NOT is_live
+            ELSE prev_name <> file_name END AS ingest
+FROM (
+  SELECT p.*,
+         COUNT(DISTINCT file_name) OVER (PARTITION BY file_hash) AS n_names,
+         MIN(object_key) OVER (PARTITION BY file_name, file_hash) AS first_key,
+         LAG(file_name) OVER (PARTITION BY file_hash ORDER BY object_key) AS prev_name,
+         EXISTS (SELECT 1 FROM reg0 r WHERE r.status = 'processed'
+                 AND r.file_name = p.file_name AND r.file_hash = p.file_hash) AS is_live
+  FROM lst p WHERE suffix(p.file_name, '.parquet')) q""",
+    "owners": """
+SELECT v.* FROM visits v
+WHERE v.ingest AND v.object_key = (SELECT MAX(w.object_key) FROM visits w
+                                   WHERE w.ingest AND w.file_hash = v.file_hash)""",
+    "relays": """
+SELECT v.* FROM visits v
+WHERE v.ingest AND v.object_key < (SELECT MAX(w.object_key) FROM visits w
+                                   WHERE w.ingest AND w.file_hash = v.file_hash)""",
+    "dead": """
+SELECT file_version_id FROM run_missing
+UNION
+SELECT file_version_id FROM reg0
+WHERE status = 'processed' AND file_hash IN (SELECT file_hash FROM owners)""",
+    "src": f"""
+SELECT dt, network, currency, platform, cost, cost_usd, file_name, file_version_id,
+       CAST(TIMESTAMP '{RUN_TS}' AS TIMESTAMP) AS last_processed_timestamp
+FROM (
+  SELECT s.*, s.cost * l.rate AS cost_usd FROM (
+    SELECT * FROM (
+      SELECT r.*, ROW_NUMBER() OVER (PARTITION BY dt, network, currency, platform
+        ORDER BY CASE WHEN isnan(cost) THEN NULL ELSE cost END DESC NULLS LAST, object_key) AS rn
+      FROM (SELECT o.object_key, o.file_name,
+                   sha256(concat_ws('~', '{RUN_ID}', o.object_key, o.file_hash)) AS file_version_id,
+                   a.dt, a.network, a.currency, a.platform, a.cost * l.factor AS cost
+            FROM owners o JOIN lst l ON l.object_key = o.object_key
+            JOIN ad_rows a ON a.file_no = l.src_no) r
+      WHERE r.currency IN (SELECT currency_code FROM latest)) WHERE rn = 1) s
+  JOIN latest l ON s.currency = l.currency_code)
+WHERE cost_usd IS NOT NULL AND NOT isnan(cost_usd)""",
+    "tgt1": "SELECT * FROM tgt0 WHERE file_version_id NOT IN (SELECT file_version_id FROM dead)",
+    "tgt2": """
+SELECT CASE WHEN take_s THEN s_dt ELSE t_dt END AS dt,
+       CASE WHEN take_s THEN s_network ELSE t_network END AS network,
+       CASE WHEN take_s THEN s_currency ELSE t_currency END AS currency,
+       CASE WHEN take_s THEN s_platform ELSE t_platform END AS platform,
+       CASE WHEN take_s THEN s_cost ELSE t_cost END AS cost,
+       CASE WHEN take_s THEN s_cost_usd ELSE t_cost_usd END AS cost_usd,
+       CASE WHEN take_s THEN s_file_name ELSE t_file_name END AS file_name,
+       CASE WHEN take_s THEN s_version ELSE t_version END AS file_version_id,
+       CASE WHEN take_s THEN s_ts ELSE t_ts END AS last_processed_timestamp
+FROM (
+  SELECT *, (in_t IS NULL OR COALESCE(in_s AND t_cost < s_cost AND NOT isnan(s_cost)
+                                      AND NOT isnan(t_cost), FALSE)) AS take_s
+  FROM (SELECT t.dt AS t_dt, t.network AS t_network, t.currency AS t_currency, t.platform AS t_platform,
+               t.cost AS t_cost, t.cost_usd AS t_cost_usd, t.file_name AS t_file_name,
+               t.file_version_id AS t_version, t.last_processed_timestamp AS t_ts, t.in_t,
+               s.dt AS s_dt, s.network AS s_network, s.currency AS s_currency, s.platform AS s_platform,
+               s.cost AS s_cost, s.cost_usd AS s_cost_usd, s.file_name AS s_file_name,
+               s.file_version_id AS s_version, s.last_processed_timestamp AS s_ts, s.in_s
+        FROM (SELECT *, TRUE AS in_t FROM tgt1 WHERE dt IS NOT NULL AND network IS NOT NULL
+                AND currency IS NOT NULL AND platform IS NOT NULL) t
+        FULL OUTER JOIN
+             (SELECT *, TRUE AS in_s FROM src WHERE dt IS NOT NULL AND network IS NOT NULL
+                AND currency IS NOT NULL AND platform IS NOT NULL) s
+        ON t.dt = s.dt AND t.network = s.network AND t.currency = s.currency AND t.platform = s.platform))
+UNION ALL
+SELECT * FROM tgt1 WHERE dt IS NULL OR network IS NULL OR currency IS NULL OR platform IS NULL
+UNION ALL
+SELECT * FROM src WHERE dt IS NULL OR network IS NULL OR currency IS NULL OR platform IS NULL""",
+    "reg2": f"""
+SELECT r.file_name,
+       CASE WHEN hit THEN NULL ELSE r.file_hash END AS file_hash,
+       r.file_version_id, r.upload_date,
+       CASE WHEN hit THEN TIMESTAMP '{RUN_TS}' ELSE r.processed_date END AS processed_date,
+       CASE WHEN hit THEN 'deleted' ELSE r.status END AS status
+FROM (SELECT r.*, (r.status = 'processed' AND r.file_version_id IN (SELECT file_version_id FROM dead)) AS hit
+      FROM reg0 r) r
+UNION ALL
+SELECT file_name, file_hash, sha256(concat_ws('~', '{RUN_ID}', object_key, file_hash)),
+       TIMESTAMP '{RUN_TS}', TIMESTAMP '{RUN_TS}', 'processed' FROM owners
+UNION ALL
+SELECT file_name, NULL, sha256(concat_ws('~', '{RUN_ID}', object_key, file_hash)),
+       TIMESTAMP '{RUN_TS}', TIMESTAMP '{RUN_TS}', 'deleted' FROM relays""",
+    "report": """
+SELECT l.object_key, l.folder, l.file_name, l.file_hash,
+       CASE WHEN NOT suffix(l.file_name, '.parquet') THEN 'skipped'
+            WHEN NOT v.ingest THEN 'unchanged'
+            WHEN o.object_key IS NOT NULL THEN 'ingested' ELSE 'relayed' END AS action
+FROM (SELECT object_key, string_split(object_key, '/')[-2] AS folder, file_name, file_hash FROM lst) l
+LEFT JOIN visits v ON v.object_key = l.object_key
+LEFT JOIN owners o ON o.object_key = l.object_key""",
 }
 
 # Which views each query needs (dependencies first).
@@ -117,6 +248,12 @@ _NEEDS = {
     "object_keys": ["ad_rows"], "paths": ["object_keys"],
     "renamed": ["listing", "registry"], "missing": ["listing", "registry"],
     "docs_md5": [],
+    "files": ["ad_rows"], "lst": ["files"], "reg0": ["files"], "tgt0": ["ad_rows", "latest"],
+    "run_missing": ["reg0", "lst"], "visits": ["lst", "reg0"], "owners": ["visits"],
+    "relays": ["visits"], "dead": ["run_missing", "owners"],
+    "src": ["owners", "lst", "ad_rows", "latest"], "tgt1": ["tgt0", "dead"],
+    "tgt2": ["tgt1", "src"], "reg2": ["reg0", "dead", "owners", "relays"],
+    "report": ["lst", "visits", "owners"],
 }
 
 
@@ -284,6 +421,9 @@ SELECT dt, network, currency, platform,
        MAX(CASE WHEN isnan(cost) THEN NULL ELSE cost END) AS cost,
        arg_max(cost_usd, CASE WHEN isnan(cost) THEN NULL ELSE cost END) AS cost_usd
 FROM conv GROUP BY dt, network, currency, platform""",
+    "ingest_end_state": _with("tgt2") + "SELECT * FROM tgt2",
+    "ingest_registry": _with("reg2") + "SELECT * FROM reg2",
+    "ingest_report": _with("report") + "SELECT * FROM report",
     "union_files": _with("ad_rows") + """
 SELECT dt, network, currency, platform, cost, file_name, event_id FROM ad_rows WHERE file_no % 2 = 0
 UNION ALL

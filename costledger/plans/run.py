@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..functions import is_parquet, version_id
 from ..schemas import KEYS, REGISTRY, STATUS_DELETED, STATUS_PROCESSED, TARGET
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 # A loader gets the files to read (object_key, file_name, file_hash) and returns
 # (rows with object_key + the ad columns, object keys of rejected files).
@@ -87,19 +87,21 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
     Rejected files (missing columns) are not recorded and retried next run,
     but the versions they replace are still removed, as in the reference.
     """
+    ensure_checkpoint_dir(listing.sparkSession)
+    # The listing (content hashes included) is used four times: compute it once.
+    listing = materialize(listing)
     if not allow_empty and listing.isEmpty():
         raise EmptyListing("the listing is empty; refusing to delete every processed file")
-    ensure_checkpoint_dir(listing.sparkSession)
 
     missing = ops.files_missing(registry, listing).select("file_version_id")
-    files = classify(listing, registry).checkpoint()
+    files = materialize(classify(listing, registry))
     owners = files.filter(F.col("ingest") & F.col("final"))
     relay = files.filter(F.col("ingest") & ~F.col("final"))
 
     handed_over = (ops.live_versions(registry)
                    .join(owners.select("file_hash"), "file_hash", "left_semi")
                    .select("file_version_id"))
-    dead = missing.unionByName(handed_over).distinct()
+    dead = materialize(missing.unionByName(handed_over).distinct())
 
     rows, rejected = load(owners.select("object_key", "file_name", "file_hash"))
     rejected_keys = rejected.select("object_key").distinct()
@@ -113,7 +115,7 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
     source = ops.stamp_lineage(source, F.col("file_version_id"), F.lit(run_ts).cast("timestamp")) \
         .select(*TARGET.fieldNames())
 
-    target1 = ops.delete_versions(target.select(*TARGET.fieldNames()), dead)
+    target1 = ops.delete_versions(target.select(*TARGET.fieldNames()), dead, materialize=False)
     target2 = ops.merge_max_cost(target1, source, KEYS, "cost")
 
     rejected_hashes = owners.join(rejected_keys, "object_key", "left_semi").select("file_hash")
@@ -123,7 +125,7 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
         relay_ok.select("file_name", F.lit(None).cast("string").alias("file_hash"),
                         version_id(run_id, "object_key", "file_hash").alias("file_version_id"),
                         F.lit(STATUS_DELETED).alias("status")))
-    registry1 = ops.tombstone(registry, dead, run_ts)
+    registry1 = ops.tombstone(registry, dead, run_ts, materialize=False)
     registry2 = ops.upsert_registry(registry1, records, run_ts)
 
     report = _report(listing, files, owners, relay, rejected_keys)

@@ -52,3 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="costledger-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Write ``df`` as Parquet into a new folder of the shared checkpoint
+    folder and read it back: one computation, lineage cut, and it survives
+    executor loss (unlike a cache).  ``Dataset.checkpoint`` would compute the
+    input twice (once for the job, once more to write it)."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/materialized/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
