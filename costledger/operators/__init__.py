@@ -7,4 +7,4 @@ from .merge import (consolidate_outer, delete_versions, fold_max_cost,  # noqa:
                     merge_max_cost, tombstone, upsert_registry)
 from .rates import (explode_rates, latest_rate_per_currency, parse_rates_payload,  # noqa: F401
                     rate_lookup, rates_on_latest_date)
-from .sizing import bounded_broadcast  # noqa: F401
+from .sizing import bounded_broadcast, materialize_df  # noqa: F401

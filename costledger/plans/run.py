@@ -115,8 +115,9 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
     source = ops.stamp_lineage(source, F.col("file_version_id"), F.lit(run_ts).cast("timestamp")) \
         .select(*TARGET.fieldNames())
 
-    target1 = ops.delete_versions(target.select(*TARGET.fieldNames()), dead, materialize=False)
-    target2 = ops.merge_max_cost(target1, source, KEYS, "cost")
+    # The new rows are written once: the date scan and the merge both read them.
+    source = materialize(source)
+    target2 = merge_touched_dates(target.select(*TARGET.fieldNames()), source, dead)
 
     rejected_hashes = owners.join(rejected_keys, "object_key", "left_semi").select("file_hash")
     relay_ok = relay.join(rejected_hashes, "file_hash", "left_anti")
@@ -139,6 +140,23 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
                      registry2.select(*REGISTRY.fieldNames()), report, summary)
 
 
+def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame) -> DataFrame:
+    """Delete the dead versions and upsert the source, shuffling only the
+    target rows of the dates this run touches (dates of the source and of the
+    rows of dead versions).  The date set is one row per day, broadcast after
+    a size check; on a ``dt``-partitioned target the semi join prunes the
+    scan to those partitions, and the rows of every other date pass through
+    without a shuffle."""
+    dead_b = ops.bounded_broadcast(dead.select("file_version_id").distinct())
+    dead_dates = target.join(dead_b, "file_version_id", "left_semi").select("dt")
+    dates = ops.bounded_broadcast(source.select("dt").unionByName(dead_dates).distinct())
+    null_dt = F.col("dt").isNull()
+    hot = target.join(dates, "dt", "left_semi").unionByName(target.filter(null_dt))
+    cold = target.join(dates, "dt", "left_anti").filter(~null_dt)
+    merged = ops.merge_max_cost(ops.delete_versions(hot, dead, materialize=False), source, KEYS, "cost")
+    return merged.unionByName(cold)
+
+
 ACTIONS = ("skipped", "unchanged", "ingested", "relayed", "rejected")
 
 

@@ -52,6 +52,7 @@ LISTING = T.StructType([
     T.StructField("file_name", T.StringType()),
     T.StructField("file_hash", T.StringType()),
     T.StructField("length", T.LongType()),
+    T.StructField("modification_time", T.TimestampType()),
 ])
 
 RATES_PAYLOAD_MAP = "map<string,double>"

@@ -5,25 +5,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import base_name, folder_name
+from ..session import materialize
 
+_SAME_FILE = ["object_key", "length", "modification_time"]
 
-def list_objects(spark: SparkSession, root: str, with_hash: bool = True,
-                 glob: str | None = None) -> DataFrame:
-    """Every file below ``root`` (recursive) as (object_key, folder,
-    file_name, file_hash, length).  ``object_key`` is the full path, so key
-    order is list order.  The MD5 is computed on the executors from the
-    ``binaryFile`` source; without ``with_hash`` the content is never read.
-    Hidden files (``_`` / ``.`` prefix) are not listed, as in any Spark read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root)
-    hash_col = F.md5("content") if with_hash else F.lit(None).cast("string")
+
+def _reader(spark: SparkSession, glob: str | None):
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return r.option("pathGlobFilter", glob) if glob else r
+
+
+def _shape(df: DataFrame, hash_col) -> DataFrame:
     return df.select(F.col("path").alias("object_key"),
                      folder_name("path").alias("folder"),
                      base_name("path").alias("file_name"),
                      hash_col.alias("file_hash"),
-                     F.col("length"))
+                     F.col("length"),
+                     F.col("modificationTime").alias("modification_time"))
+
+
+def list_objects(spark: SparkSession, root: str, with_hash: bool = True,
+                 glob: str | None = None, known: DataFrame | None = None) -> DataFrame:
+    """Every file below ``root`` (recursive) as (object_key, folder,
+    file_name, file_hash, length, modification_time).  ``object_key`` is the
+    full path, so key order is list order.  Hidden files (``_`` / ``.``
+    prefix) are not listed, as in any Spark read.
+
+    The MD5 is computed on the executors from the ``binaryFile`` source.
+    Without ``with_hash`` no content is read.  With ``known`` (the listing of
+    the previous run) only objects whose path, length or modification time
+    changed are read and hashed; the others keep their known hash."""
+    if not with_hash:
+        return _shape(_reader(spark, glob).load(root), F.lit(None).cast("string"))
+    if known is None:
+        return _shape(_reader(spark, glob).load(root), F.md5("content"))
+    meta = materialize(_shape(_reader(spark, glob).load(root), F.lit(None).cast("string")))
+    prev = known.select(*_SAME_FILE, F.col("file_hash").alias("_known_hash")) \
+        .filter(F.col("_known_hash").isNotNull())
+    reused = (meta.join(prev, _SAME_FILE, "inner")
+              .withColumn("file_hash", F.col("_known_hash")).drop("_known_hash"))
+    changed = [r["object_key"] for r in
+               meta.join(prev, _SAME_FILE, "left_anti").select("object_key").collect()]
+    if not changed:
+        return reused.select(*meta.columns)
+    fresh = _shape(spark.read.format("binaryFile").load(changed), F.md5("content"))
+    return reused.select(*meta.columns).unionByName(fresh)
 
 
 def listing_from_keys(df: DataFrame, key_col: str = "object_key",

@@ -109,6 +109,20 @@ def test_runs_over_files_rename_vanish_copy(spark, scratch):
     assert run_log(spark, state).count() == 2
 
 
+def test_incremental_listing_rehashes_only_changed(spark, scratch):
+    put(scratch, "2024-01-29", "a.parquet", ad([(D1, "n", "EUR", "ios", 1.0)]))
+    put(scratch, "2024-01-29", "b.parquet", ad([(D1, "n", "EUR", "ios", 2.0)]))
+    first = list_objects(spark, scratch).collect()
+    # a known hash that differs from the content proves it was reused, not recomputed
+    known = spark.createDataFrame(first).withColumn(
+        "file_hash", F.when(F.col("file_name") == "a.parquet", F.lit("cached")).otherwise(F.col("file_hash")))
+    put(scratch, "2024-01-30", "c.parquet", ad([(D2, "n", "EUR", "ios", 3.0)]))
+    again = {r["file_name"]: r["file_hash"] for r in list_objects(spark, scratch, known=known).collect()}
+    full = {r["file_name"]: r["file_hash"] for r in list_objects(spark, scratch).collect()}
+    assert again["a.parquet"] == "cached"
+    assert again["b.parquet"] == full["b.parquet"] and again["c.parquet"] == full["c.parquet"]
+
+
 def test_rejected_file_is_retried(spark, scratch):
     rates = rates_df(spark, [(D1, "EUR", 2.0)])
     state = f"{scratch}/state"
