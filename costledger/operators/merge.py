@@ -25,27 +25,27 @@ def merge_max_cost(target: DataFrame, source: DataFrame, keys: Sequence[str] = K
     when the source cost is strictly higher (NaN never wins, a NULL target
     cost is never replaced).  Keys compare with ``=``: a row with a NULL key
     part never matches, so NULL-key source rows are always inserted and
-    NULL-key target rows always kept.  Those rows skip the join entirely, so a
-    flood of them cannot pile into one join partition.  ``source`` must hold
-    one row per key (see ``keep_highest_cost``)."""
+    NULL-key target rows always kept.  Such rows get a salt (a hash of the
+    row) as an extra join key, so a flood of them spreads over the join
+    partitions instead of piling into one; all other rows have salt 0.
+    ``source`` must hold one row per key (see ``keep_highest_cost``)."""
     cols = target.columns
     source = source.select(*cols)
-    ok = _all_keys_set(keys)
-    t = target.filter(ok).withColumn("_in_t", F.lit(True)).alias("t")
-    s = source.filter(ok).withColumn("_in_s", F.lit(True)).alias("s")
-    joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
+    salt = F.when(_all_keys_set(keys), F.lit(0)).otherwise(F.xxhash64(*cols) % 4096)
+    t = target.withColumns({"_in_t": F.lit(True), "_salt": salt}).alias("t")
+    s = source.withColumns({"_in_s": F.lit(True), "_salt": salt}).alias("s")
+    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in [*keys, "_salt"]]
+    joined = t.join(s, on, "full_outer")
     in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
     update = in_t & in_s & F.coalesce(
         strictly_greater(F.col(f"s.{cost}"), F.col(f"t.{cost}")), F.lit(False))
     take_s = ~in_t | update
     out = [F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols]
+    if not with_action:
+        return joined.select(*out)
     action = (F.when(~in_t, "insert").when(~in_s, "target_only")
                .when(update, "update").otherwise("keep"))
-    merged = joined.select(*out, action.alias("merge_action"))
-    rest_t = target.filter(~ok).withColumn("merge_action", F.lit("target_only"))
-    rest_s = source.filter(~ok).withColumn("merge_action", F.lit("insert"))
-    result = merged.unionByName(rest_t).unionByName(rest_s)
-    return result if with_action else result.drop("merge_action")
+    return joined.select(*out, action.alias("merge_action"))
 
 
 def delete_versions(target: DataFrame, dead: DataFrame,

@@ -245,10 +245,11 @@ def _ingest(spark, d):
     from .run import apply_run, frame_loader
     ads = fx.ad_rows(spark, d)
     latest = materialize(_latest(spark, d))
-    target0 = ops.stamp_lineage(
+    # The state before the run is a stored table in production: write it once.
+    target0 = materialize(ops.stamp_lineage(
         ops.process_ad_rows(ads.filter(F.col("file_no") <= fx.COPIED_FILE).select(*AD_COLS),
                             latest, tie_breakers=TIES),
-        F.concat(F.lit("v_"), F.col("file_name")), F.lit(fx.REGISTRY_TS).cast("timestamp"))
+        F.concat(F.lit("v_"), F.col("file_name")), F.lit(fx.REGISTRY_TS).cast("timestamp")))
     listing = fx.ingest_listing(spark, d).select("object_key", "folder", "file_name", "file_hash")
     return apply_run(listing, fx.ingest_registry0(spark, d), target0, latest,
                      frame_loader(fx.ingest_rows(spark, d)), fx.RUN_ID, fx.RUN_TS, fx.RUN_DATE,
