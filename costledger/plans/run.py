@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +36,14 @@ class EmptyListing(RuntimeError):
     pass
 
 
+def run_clock(now: datetime | None = None) -> tuple[str, str, str]:
+    """(run_id, run_ts, run_date) of a run started now, in UTC.
+    One timestamp stamps every row and registry entry of the run."""
+    now = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
+    ts = now.strftime("%Y-%m-%d %H:%M:%S")
+    return f"run-{now.strftime('%Y%m%dT%H%M%S')}", ts, now.strftime("%Y-%m-%d")
+
+
 def classify(listing: DataFrame, registry: DataFrame) -> DataFrame:
     """Every listed Parquet object (a visit, in list order = key order) with
     whether the sequential job would ingest it.

@@ -20,7 +20,7 @@ SCALE_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "costledger") -> SparkSession:
+                  app_name: str = "costledger", extra_conf: dict | None = None) -> SparkSession:
     """Session for tests and the bench.  On a cluster, use the cluster's own
     session and only apply ``SCALE_CONF``."""
     master = master or os.environ.get("COSTLEDGER_MASTER", "local[8]")
@@ -28,7 +28,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.driver.memory", "8g")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for k, v in SCALE_CONF.items():
+    for k, v in {**SCALE_CONF, **(extra_conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

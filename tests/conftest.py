@@ -13,7 +13,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from costledger.session import build_session
-    s = build_session("local[4]", shuffle_partitions=4, app_name="costledger-tests")
+    s = build_session("local[4]", shuffle_partitions=4, app_name="costledger-tests",
+                      extra_conf={"spark.sql.warehouse.dir":
+                                  tempfile.mkdtemp(prefix="costledger-warehouse-")})
     yield s
     s.stop()
 

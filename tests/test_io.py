@@ -171,3 +171,32 @@ def test_stream_available_now(spark, scratch):
     target, _ = read_state(spark, state)
     assert sorted((r["dt"], r["cost"], r["file_name"]) for r in target.collect()) == \
         [(D1, 6.0, "b.parquet"), (D2, 1.0, "b.parquet")]
+
+
+def test_load_rates_job_and_empty_payload(spark, scratch):
+    from costledger.plans.rates_job import NoRates, load_rates
+    os.makedirs(f"{scratch}/p")
+    with open(f"{scratch}/p/a.json", "w") as f:
+        json.dump({"rates": {"EUR": 0.9}}, f)
+    assert load_rates(spark, f"{scratch}/p", f"{scratch}/rates", "2024-01-30") == 1
+    assert read_rates_table(spark, f"{scratch}/rates").count() == 1
+    os.makedirs(f"{scratch}/empty")
+    with open(f"{scratch}/empty/a.json", "w") as f:
+        json.dump({"error": "quota"}, f)
+    with pytest.raises(NoRates):
+        load_rates(spark, f"{scratch}/empty", f"{scratch}/rates2", "2024-01-30")
+
+
+def test_truncate_table(spark):
+    from costledger.sinks import truncate_table
+    spark.sql("DROP TABLE IF EXISTS costledger_truncate_probe")
+    spark.range(3).write.format("parquet").saveAsTable("costledger_truncate_probe")
+    truncate_table(spark, "costledger_truncate_probe")
+    assert spark.table("costledger_truncate_probe").count() == 0
+    spark.sql("DROP TABLE costledger_truncate_probe")
+
+
+def test_run_clock():
+    from costledger.plans.run import run_clock
+    run_id, ts, day = run_clock(dt.datetime(2024, 1, 30, 12, 0, 5, tzinfo=dt.timezone.utc))
+    assert (run_id, ts, day) == ("run-20240130T120005", "2024-01-30 12:00:05", "2024-01-30")
