@@ -56,17 +56,20 @@ def classify(listing: DataFrame, registry: DataFrame) -> DataFrame:
     copies only.  The last ingested visit of a content owns it (``final``);
     earlier ones are relayed: ingested, then removed in the same run."""
     pq = listing.filter(is_parquet("file_name")).select("object_key", "folder", "file_name", "file_hash")
-    per_hash = pq.groupBy("file_hash").agg(F.countDistinct("file_name").alias("_n_names"))
-    first_of_pair = pq.groupBy("file_name", "file_hash").agg(F.min("object_key").alias("_first_key"))
+    # One partial aggregate per hash: several names <=> min(name) < max(name);
+    # with a single name the first visit of the pair is the first of the hash.
+    per_hash = pq.groupBy("file_hash").agg(
+        (F.min("file_name") < F.max("file_name")).alias("_copied"),
+        F.min("object_key").alias("_first_key"))
     live = ops.live_versions(registry).select("file_name", "file_hash").distinct() \
         .withColumn("_live", F.lit(True))
-    occ = (pq.join(per_hash, "file_hash").join(first_of_pair, ["file_name", "file_hash"])
+    occ = (pq.join(per_hash, "file_hash")
              .join(live, ["file_name", "file_hash"], "left")
              .withColumn("is_live", F.col("_live").isNotNull()))
-    single = occ.filter(F.col("_n_names") == 1).withColumn(
+    single = occ.filter(~F.col("_copied")).withColumn(
         "ingest", (F.col("object_key") == F.col("_first_key")) & ~F.col("is_live"))
     prev = F.lag("file_name").over(Window.partitionBy("file_hash").orderBy("object_key"))
-    copies = occ.filter(F.col("_n_names") > 1).withColumn(
+    copies = occ.filter(F.col("_copied")).withColumn(
         "ingest", F.when(prev.isNull(), ~F.col("is_live")).otherwise(prev != F.col("file_name")))
     visits = single.unionByName(copies)
     last_ingest = (visits.filter("ingest").groupBy("file_hash")
@@ -74,7 +77,7 @@ def classify(listing: DataFrame, registry: DataFrame) -> DataFrame:
     return (visits.join(last_ingest, "file_hash", "left")
             .select("object_key", "folder", "file_name", "file_hash", "is_live", "ingest",
                     (F.col("object_key") == F.col("_final_key")).alias("final"),
-                    (F.col("_n_names") > 1).alias("is_copy")))
+                    F.col("_copied").alias("is_copy")))
 
 
 def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates: DataFrame,
