@@ -30,6 +30,7 @@ class RunResult:
     registry: DataFrame
     report: DataFrame      # one row per listed object with what the run did
     summary: DataFrame     # one row: counts and the late-file flag
+    listing: DataFrame | None = None   # the listing as read (hashes included), written once
 
 
 class EmptyListing(RuntimeError):
@@ -149,7 +150,7 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
         dead.select(F.count("*")).scalar().alias("n_dead_versions"),
     )
     return RunResult(target2.select(*TARGET.fieldNames()),
-                     registry2.select(*REGISTRY.fieldNames()), report, summary)
+                     registry2.select(*REGISTRY.fieldNames()), report, summary, listing)
 
 
 def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame) -> DataFrame:

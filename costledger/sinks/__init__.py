@@ -1,2 +1,2 @@
-from .tables import (append_rates, latest_run, preview, publish, read_state,  # noqa: F401
+from .tables import (append_rates, latest_run, preview, publish, read_listing, read_state,  # noqa: F401
                      run_log, truncate_table, write_ndjson)

@@ -22,6 +22,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("target_path", T.StringType()),
     T.StructField("registry_path", T.StringType()),
     T.StructField("committed_at", T.StringType()),
+    T.StructField("listing_path", T.StringType()),
 ])
 
 
@@ -71,8 +72,17 @@ def read_state(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
             spark.read.schema(REGISTRY).parquet(last["registry_path"]))
 
 
+def read_listing(spark: SparkSession, root: str) -> DataFrame | None:
+    """The listing stored by the last committed run, if any (its hashes let
+    the next listing skip unchanged objects)."""
+    last = latest_run(spark, root)
+    if last is None or not last["listing_path"]:
+        return None
+    return spark.read.parquet(last["listing_path"])
+
+
 def publish(spark: SparkSession, root: str, run_id: str, target: DataFrame,
-            registry: DataFrame) -> dict:
+            registry: DataFrame, listing: DataFrame | None = None) -> dict:
     """Write both tables of a run, then commit it with one log line.  The
     target is partitioned by ``dt``; the rebalance hint lets AQE split a hot
     date over several writers instead of one."""
@@ -83,9 +93,14 @@ def publish(spark: SparkSession, root: str, run_id: str, target: DataFrame,
     (target.select(*TARGET.fieldNames()).hint("rebalance", "dt")
            .write.mode("overwrite").partitionBy("dt").parquet(t_path))
     registry.select(*REGISTRY.fieldNames()).write.mode("overwrite").parquet(r_path)
+    l_path = None
+    if listing is not None:
+        l_path = f"{root}/listing/run={run_id}"
+        listing.write.mode("overwrite").parquet(l_path)
     last = latest_run(spark, root)
     entry = {"seq": (last["seq"] + 1) if last else 1, "run_id": run_id,
              "target_path": t_path, "registry_path": r_path,
-             "committed_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
+             "committed_at": _dt.datetime.now(_dt.timezone.utc).isoformat(),
+             "listing_path": l_path}
     spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("append").json(_log_path(root))
     return entry

@@ -200,3 +200,22 @@ def test_run_clock():
     from costledger.plans.run import run_clock
     run_id, ts, day = run_clock(dt.datetime(2024, 1, 30, 12, 0, 5, tzinfo=dt.timezone.utc))
     assert (run_id, ts, day) == ("run-20240130T120005", "2024-01-30 12:00:05", "2024-01-30")
+
+
+def test_jobs_ingest_twice_reuses_listing_and_reset(spark, scratch):
+    from costledger.plans.jobs import reset_state, run_ingest
+    from costledger.sinks import read_listing
+    src, state, rt = f"{scratch}/src", f"{scratch}/state", f"{scratch}/rates"
+    append_rates(rates_df(spark, [(D1, "EUR", 2.0)]), rt)
+    put(src, "2024-01-30", "a.parquet", ad([(D1, "n", "EUR", "ios", 3.0)]))
+    res = run_ingest(spark, src, state, rt, now=dt.datetime(2024, 1, 30, 6, tzinfo=dt.timezone.utc))
+    assert res.summary.first()["n_ingested"] == 1
+    assert read_listing(spark, state).count() == 1
+    res = run_ingest(spark, src, state, rt, now=dt.datetime(2024, 1, 31, 6, tzinfo=dt.timezone.utc))
+    s = res.summary.first()
+    assert s["n_ingested"] == 0 and s["n_unchanged"] == 1 and s["found_today_file"] is False
+    target, _ = read_state(spark, state)
+    assert [(r["cost"], r["cost_usd"]) for r in target.collect()] == [(3.0, 6.0)]
+    reset_state(spark, state, now=dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc))
+    target, registry = read_state(spark, state)
+    assert target.count() == 0 and registry.count() == 0
