@@ -125,7 +125,7 @@ def _docs_md5(spark, d):
 def content_md5(spark, d):
     return _docs_md5(spark, d).select(
         "doc_id", "content_md5", md5_base64("content_md5").alias("content_md5_b64"),
-        F.octet_length("text").alias("n_bytes"))
+        F.octet_length("text").cast("bigint").alias("n_bytes"))
 
 
 def unique_content(spark, d):
