@@ -118,3 +118,21 @@ def fold_max_cost(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     c = nan_to_null("cost")
     return (df.groupBy(*keys)
               .agg(F.max(c).alias("cost"), F.max_by("cost_usd", c).alias("cost_usd")))
+
+
+def fold_files(rows_with_rate: DataFrame, file_col: str, keys: Sequence[str] = KEYS) -> DataFrame:
+    """A4 over raw rows of many files (the consolidation of the dry run):
+    per (key, file) the highest cost and its ``cost_usd``; a file whose top
+    row converts to NULL/NaN drops out for that key, as its per-file result
+    would be dropped; then the highest cost per key across files.
+
+    Two hash aggregates with map-side partial steps instead of a sort-based
+    window, so a hot key or a hot file is pre-aggregated before each shuffle.
+    ``rows_with_rate`` carries ``_fx_rate`` (``attach_rate``)."""
+    c = nan_to_null("cost")
+    per_file = (rows_with_rate
+                .groupBy(*keys, file_col)
+                .agg(F.max(c).alias("cost"),
+                     F.max_by(F.col("cost").cast("double") * F.col("_fx_rate"), c).alias("cost_usd")))
+    ok = per_file.filter(F.col("cost_usd").isNotNull() & ~F.isnan("cost_usd"))
+    return fold_max_cost(ok, keys)

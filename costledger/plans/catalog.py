@@ -228,8 +228,7 @@ def outer_consolidate(spark, d):
 
 def consolidate_max(spark, d):
     ads = fx.ad_rows(spark, d).select(*AD_COLS)
-    per_file = ops.keep_highest_cost(ads, [*KEYS, "file_name"], "cost", ("event_id",))
-    return ops.fold_max_cost(ops.to_usd(per_file, _snapshot(spark, d)), KEYS)
+    return ops.fold_files(ops.attach_rate(ads, _snapshot(spark, d)), "file_name", KEYS)
 
 
 def union_files(spark, d):

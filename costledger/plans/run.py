@@ -194,8 +194,7 @@ def rebuild(listing: DataFrame, rates: DataFrame, load: Loader,
     rows, rejected = load(files.select("object_key", "file_name", "file_hash"))
     rows = rows.join(rejected.select("object_key"), "object_key", "left_anti")
     lookup = ops.rate_lookup(rates, rate_policy)
-    per_file = ops.keep_highest_cost(ops.attach_rate(rows, lookup), [*KEYS, "object_key"], "cost")
-    return ops.fold_max_cost(ops.finish_usd(per_file), KEYS)
+    return ops.fold_files(ops.attach_rate(rows, lookup), "object_key", KEYS)
 
 
 def frame_loader(rows: DataFrame, rejected: DataFrame | None = None) -> Loader:

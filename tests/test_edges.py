@@ -149,3 +149,13 @@ def test_md5_base64(spark):
     out = spark.range(1).select(md5_base64(F.md5(F.lit("abc")))).first()[0]
     assert out == "kAFQmDzST7DWlj99KOF/cg=="
     assert not math.isnan(0.0)
+
+
+def test_fold_files_drops_a_file_whose_top_row_is_nan(spark):
+    # infinite cost at rate 0 gives NaN: that file's result for the key is dropped
+    # (its lower finite row does not come back), the other file still counts
+    df = ads(spark, [(D, "n", "EUR", "ios", float("inf"), "a"), (D, "n", "EUR", "ios", 1.0, "a"),
+                     (D, "n", "EUR", "ios", 0.5, "b")])
+    lk = ops.latest_rate_per_currency(rates(spark, [(D, "EUR", 0.0)]))
+    out = ops.fold_files(ops.attach_rate(df, lk), "file_name").collect()
+    assert [(r["cost"], r["cost_usd"]) for r in out] == [(0.5, 0.0)]
