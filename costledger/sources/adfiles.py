@@ -18,28 +18,46 @@ from ..schemas import AD_INPUT, REQUIRED_COLUMNS
 FOOTER_SCHEMA = "object_key string, signature string, missing string"
 
 
-def _local_path(uri: str) -> str:
-    return uri[len("file:"):] if uri.startswith("file:") else uri
+# Hadoop file-system schemes and the pyarrow name of the same store.
+_PYARROW_SCHEME = {"s3a://": "s3://", "s3n://": "s3://"}
+UNREADABLE = "?"
 
 
-def _footers(batches, required=tuple(REQUIRED_COLUMNS)):
+def _arrow_schema(uri: str):
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
+    if uri.startswith("file:"):
+        return pq.read_schema(uri[len("file:"):])
+    for hadoop, arrow in _PYARROW_SCHEME.items():
+        if uri.startswith(hadoop):
+            uri = arrow + uri[len(hadoop):]
+    fs, path = pafs.FileSystem.from_uri(uri)
+    return pq.read_schema(path, filesystem=fs)
+
+
+def _footers(batches, required=tuple(REQUIRED_COLUMNS)):
     for pdf in batches:
         sigs, missing = [], []
         for key in pdf["object_key"]:
-            path = _local_path(key)
-            if "://" in path:
-                fs, path = pafs.FileSystem.from_uri(path)
-                schema = pq.read_schema(path, filesystem=fs)
-            else:
-                schema = pq.read_schema(path)
+            try:
+                schema = _arrow_schema(key)
+            except Exception:   # a store pyarrow cannot open: Spark reads it below
+                sigs.append(UNREADABLE)
+                missing.append("")
+                continue
             names = set(schema.names)
             sigs.append(",".join(f"{c}:{schema.field(c).type}" for c in required if c in names))
             missing.append(",".join(c for c in required if c not in names))
         yield pd.DataFrame({"object_key": pdf["object_key"], "signature": sigs, "missing": missing})
 
 
+def _spark_signature(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Fallback for a file pyarrow cannot open: its schema through Spark."""
+    fields = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema.fields}
+    return (",".join(f"{c}:{fields[c]}" for c in REQUIRED_COLUMNS if c in fields),
+            ",".join(c for c in REQUIRED_COLUMNS if c not in fields))
+
+
 def footer_schemas(files: DataFrame) -> DataFrame:
     """Per file: the required columns it has with their Parquet types, and
     the ones it lacks.  Only footers are read, in parallel."""
@@ -66,6 +84,11 @@ def read_ad_files(spark: SparkSession, files: DataFrame, pad_missing: bool = Fal
     required column is rejected, or with ``pad_missing`` read with NULLs
     (the legacy rule).  Extra columns are ignored."""
     foot = footer_schemas(files).cache()
+    odd = [r["object_key"] for r in foot.filter(F.col("signature") == UNREADABLE)
+           .select("object_key").collect()]
+    if odd:
+        fixed = spark.createDataFrame([(p, *_spark_signature(spark, p)) for p in odd], FOOTER_SCHEMA)
+        foot = foot.filter(F.col("signature") != UNREADABLE).unionByName(fixed).cache()
     groups = foot.select("signature", "missing").distinct().collect()
     rows: DataFrame | None = None
     for g in groups:

@@ -219,3 +219,11 @@ def test_jobs_ingest_twice_reuses_listing_and_reset(spark, scratch):
     reset_state(spark, state, now=dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc))
     target, registry = read_state(spark, state)
     assert target.count() == 0 and registry.count() == 0
+
+
+def test_footer_fallback_through_spark(spark, scratch):
+    from costledger.sources.adfiles import _spark_signature
+    path = put(scratch, "2024-01-30", "a.parquet",
+               pd.DataFrame({"dt": [D2], "network": ["n"], "currency": ["EUR"], "cost": [1.0]}))
+    sig, missing = _spark_signature(spark, path)
+    assert missing == "platform" and sig.startswith("dt:date,network:string")
