@@ -68,3 +68,9 @@ def try_cast_columns(df, types: dict):
                     for c in types), F.lit(0))
     return df.select(*[casts.get(c, col(c)).alias(c) for c in df.columns],
                      failures.cast("int").alias("cast_failures"))
+
+
+def utc_instant(wall_clock: str):
+    """A ``YYYY-MM-DD HH:MM:SS`` UTC wall-clock string as a timestamp, the
+    same instant whatever the session time zone is."""
+    return F.lit(f"{wall_clock}Z").cast("timestamp")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_missing_number, nan_to_null
+from ..functions import is_missing_number, nan_to_null, utc_instant
 from ..schemas import KEYS
 from .dedup import keep_highest_cost
 from .sizing import bounded_broadcast
@@ -75,7 +75,7 @@ def process_ad_rows(ads: DataFrame, lookup: DataFrame, policy: str = "drop",
 
 def stamp_lineage(df: DataFrame, file_version_id, run_ts) -> DataFrame:
     """Add ``file_version_id`` and one processing timestamp for the whole run."""
-    ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
+    ts = run_ts if isinstance(run_ts, Column) else utc_instant(run_ts)
     return df.withColumns({
         "file_version_id": file_version_id,
         "last_processed_timestamp": ts.cast("timestamp"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as ops
-from ..functions import base_name, folder_name, is_parquet, md5_base64, version_id
+from ..functions import base_name, folder_name, is_parquet, md5_base64, utc_instant, version_id
 from ..functions.columns import try_cast_columns
 from ..schemas import KEYS
 from ..session import materialize
@@ -92,7 +92,7 @@ def distinct_currencies(spark, d):
 def stamp_lineage(spark, d):
     return ops.stamp_lineage(flagship_ad_spend(spark, d),
                              version_id(fx.RUN_ID, "file_name"),
-                             F.lit(fx.RUN_TS).cast("timestamp"))
+                             utc_instant(fx.RUN_TS))
 
 
 def _object_keys(spark, d):
@@ -248,7 +248,7 @@ def _ingest(spark, d):
     target0 = materialize(ops.stamp_lineage(
         ops.process_ad_rows(ads.filter(F.col("file_no") <= fx.COPIED_FILE).select(*AD_COLS),
                             latest, tie_breakers=TIES),
-        F.concat(F.lit("v_"), F.col("file_name")), F.lit(fx.REGISTRY_TS).cast("timestamp")))
+        F.concat(F.lit("v_"), F.col("file_name")), utc_instant(fx.REGISTRY_TS)))
     listing = fx.ingest_listing(spark, d).select("object_key", "folder", "file_name", "file_hash")
     return apply_run(listing, fx.ingest_registry0(spark, d), target0, latest,
                      frame_loader(fx.ingest_rows(spark, d)), fx.RUN_ID, fx.RUN_TS, fx.RUN_DATE,

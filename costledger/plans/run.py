@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import operators as ops
-from ..functions import is_parquet, version_id
+from ..functions import is_parquet, utc_instant, version_id
 from ..schemas import KEYS, REGISTRY, STATUS_DELETED, STATUS_PROCESSED, TARGET
 from ..session import ensure_checkpoint_dir, materialize
 
@@ -125,7 +125,7 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
         accepted.select("object_key", "file_name", "file_version_id"), "object_key")
     source = ops.process_ad_rows(source_rows, ops.rate_lookup(rates, rate_policy), policy,
                                  tie_breakers=("object_key",))
-    source = ops.stamp_lineage(source, F.col("file_version_id"), F.lit(run_ts).cast("timestamp")) \
+    source = ops.stamp_lineage(source, F.col("file_version_id"), utc_instant(run_ts)) \
         .select(*TARGET.fieldNames())
 
     # The new rows are written once: the date scan and the merge both read them.

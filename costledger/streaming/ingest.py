@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as ops
-from ..functions import base_name, version_id
+from ..functions import base_name, utc_instant, version_id
 from ..schemas import AD_INPUT, KEYS, TARGET
 from ..session import ensure_checkpoint_dir
 from ..sinks.tables import publish, read_state
@@ -36,7 +36,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_root
     source = ops.process_ad_rows(rows, ops.rate_lookup(rates, rate_policy), "drop",
                                  tie_breakers=("object_key",))
     source = ops.stamp_lineage(source, version_id(run_id, "object_key"),
-                               F.lit(run_ts).cast("timestamp")).select(*TARGET.fieldNames())
+                               utc_instant(run_ts)).select(*TARGET.fieldNames())
     target, registry = read_state(spark, state_root)
     publish(spark, state_root, run_id, ops.merge_max_cost(target, source, KEYS), registry)
 
