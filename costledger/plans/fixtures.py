@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizing import bounded_broadcast
 
 # Fixed values of the fixtures: the number of ad files the events are spread
 # over, the nations without a rate, the literal dates of the registry and of
