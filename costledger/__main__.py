@@ -1,6 +1,7 @@
 """Command line: ``python -m costledger <job> ...``.
 
     ingest  --source ROOT --state ROOT --rates TABLE [--policy drop|legacy] [--rate-policy latest|snapshot]
+            [--target-table T --registry-table R]
     rates   --payloads PATH --rates TABLE [--date YYYY-MM-DD]
     rebuild --source ROOT --rates TABLE --out PATH
     reset   --state ROOT
@@ -25,6 +26,8 @@ def main(argv=None) -> None:
     a.add_argument("--policy", default="drop")
     a.add_argument("--rate-policy", default="latest")
     a.add_argument("--allow-empty", action="store_true")
+    a.add_argument("--target-table", help="catalog table partitioned by dt (rewrites touched dates only)")
+    a.add_argument("--registry-table")
     r = sub.add_parser("rates")
     r.add_argument("--payloads", required=True)
     r.add_argument("--rates", required=True)
@@ -44,8 +47,9 @@ def main(argv=None) -> None:
     ensure_checkpoint_dir(spark)
     from .plans import jobs
     if args.job == "ingest":
+        tables = (args.target_table, args.registry_table) if args.target_table else None
         res = jobs.run_ingest(spark, args.source, args.state, args.rates, rate_policy=args.rate_policy,
-                              policy=args.policy, allow_empty=args.allow_empty)
+                              policy=args.policy, allow_empty=args.allow_empty, tables=tables)
         print(json.dumps(res.summary.first().asDict()))
     elif args.job == "rates":
         print(json.dumps({"rows": jobs.load_rates(spark, args.payloads, args.rates, args.date)}))

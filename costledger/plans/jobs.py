@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import REGISTRY, TARGET, empty
-from ..sinks.tables import publish, read_listing, read_state
+from ..sinks.tables import publish, publish_tables, read_listing, read_state, read_tables
 from ..sources.adfiles import parquet_loader
 from ..sources.listing import list_objects
 from ..sources.rates import read_rates_table
@@ -17,16 +17,30 @@ from .run import RunResult, apply_run, rebuild, run_clock
 
 def run_ingest(spark: SparkSession, source_root: str, state_root: str, rates_table: str,
                now: datetime | None = None, rate_policy: str = "latest", policy: str = "drop",
-               allow_empty: bool = False, pad_missing: bool = False) -> RunResult:
+               allow_empty: bool = False, pad_missing: bool = False,
+               tables: tuple[str, str] | None = None) -> RunResult:
     """List the source, reconcile against the last committed state,
-    ingest what is new and commit the new target, registry and listing."""
+    ingest what is new and commit the new target, registry and listing.
+
+    By default the state is a snapshot per run under ``state_root``
+    (atomic, rewrites the target).  With ``tables=(target, registry)`` the
+    state lives in catalog tables and only the touched ``dt`` partitions are
+    rewritten (the mode for a large target); ``state_root`` then keeps only
+    the listing with its hashes."""
     run_id, run_ts, run_date = run_clock(now)
-    target, registry = read_state(spark, state_root)
+    if tables:
+        target, registry = read_tables(spark, *tables)
+    else:
+        target, registry = read_state(spark, state_root)
     listing = list_objects(spark, source_root, known=read_listing(spark, state_root))
     res = apply_run(listing, registry, target, read_rates_table(spark, rates_table),
                     parquet_loader(spark, pad_missing), run_id, run_ts, run_date,
                     rate_policy=rate_policy, policy=policy, allow_empty=allow_empty)
-    publish(spark, state_root, run_id, res.target, res.registry, res.listing)
+    if tables:
+        publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry)
+        publish(spark, state_root, run_id, empty(spark, TARGET), empty(spark, REGISTRY), res.listing)
+    else:
+        publish(spark, state_root, run_id, res.target, res.registry, res.listing)
     return res
 
 

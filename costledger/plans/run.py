@@ -31,6 +31,8 @@ class RunResult:
     report: DataFrame      # one row per listed object with what the run did
     summary: DataFrame     # one row: counts and the late-file flag
     listing: DataFrame | None = None   # the listing as read (hashes included), written once
+    touched_dates: DataFrame | None = None   # dt values whose rows may have changed
+    target_touched: DataFrame | None = None  # the new target rows of those dates only
 
 
 class EmptyListing(RuntimeError):
@@ -130,7 +132,8 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
 
     # The new rows are written once: the date scan and the merge both read them.
     source = materialize(source)
-    target2 = merge_touched_dates(target.select(*TARGET.fieldNames()), source, dead)
+    touched, hot, cold = merge_touched_dates(target.select(*TARGET.fieldNames()), source, dead)
+    target2 = hot.unionByName(cold)
 
     rejected_hashes = owners.join(rejected_keys, "object_key", "left_semi").select("file_hash")
     relay_ok = relay.join(rejected_hashes, "file_hash", "left_anti")
@@ -150,24 +153,28 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
         dead.select(F.count("*")).scalar().alias("n_dead_versions"),
     )
     return RunResult(target2.select(*TARGET.fieldNames()),
-                     registry2.select(*REGISTRY.fieldNames()), report, summary, listing)
+                     registry2.select(*REGISTRY.fieldNames()), report, summary, listing,
+                     touched, hot.select(*TARGET.fieldNames()))
 
 
-def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame) -> DataFrame:
+def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame
+                        ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Delete the dead versions and upsert the source, shuffling only the
     target rows of the dates this run touches (dates of the source and of the
-    rows of dead versions).  The date set is one row per day, broadcast after
-    a size check; on a ``dt``-partitioned target the semi join prunes the
-    scan to those partitions, and the rows of every other date pass through
-    without a shuffle."""
+    rows of dead versions).  Returns (touched dates, new rows of those dates,
+    untouched rows).  The date set is one row per day, broadcast after a
+    size check; on a ``dt``-partitioned target the semi join prunes the scan
+    to those partitions, and the rows of every other date pass through
+    without a shuffle (or are not rewritten at all, see ``publish_tables``)."""
     dead_b = ops.bounded_broadcast(dead.select("file_version_id").distinct())
     dead_dates = target.join(dead_b, "file_version_id", "left_semi").select("dt")
-    dates = ops.bounded_broadcast(source.select("dt").unionByName(dead_dates).distinct())
+    touched = materialize(source.select("dt").unionByName(dead_dates).distinct())
+    dates = ops.bounded_broadcast(touched)
     null_dt = F.col("dt").isNull()
     hot = target.join(dates, "dt", "left_semi").unionByName(target.filter(null_dt))
     cold = target.join(dates, "dt", "left_anti").filter(~null_dt)
     merged = ops.merge_max_cost(ops.delete_versions(hot, dead, materialize=False), source, KEYS, "cost")
-    return merged.unionByName(cold)
+    return touched, merged, cold
 
 
 ACTIONS = ("skipped", "unchanged", "ingested", "relayed", "rejected")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import REGISTRY, TARGET, empty
+from ..session import materialize
 
 LOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
@@ -104,3 +105,41 @@ def publish(spark: SparkSession, root: str, run_id: str, target: DataFrame,
              "listing_path": l_path}
     spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("append").json(_log_path(root))
     return entry
+
+
+def publish_tables(spark: SparkSession, target_table: str, registry_table: str,
+                   touched_dates: DataFrame, target_touched: DataFrame,
+                   registry: DataFrame) -> None:
+    """Publish a run into catalog tables without rewriting untouched data:
+    the target is a table partitioned by ``dt``; only the partitions of the
+    touched dates are replaced (dynamic partition overwrite), and a touched
+    date left without rows has its partition dropped.  The registry (one row
+    per file version) is then replaced.
+
+    Not atomic across the two tables, but a run is idempotent: its version
+    ids are deterministic, so redoing a run that died between the two writes
+    recomputes the same rows (equal cost keeps the row) and the same
+    registry."""
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    cols = [c for c in TARGET.fieldNames() if c != "dt"] + ["dt"]
+    rows = materialize(target_touched.select(*cols))   # the table is read upstream
+    if not spark.catalog.tableExists(target_table):
+        rows.limit(0).write.partitionBy("dt").format("parquet").saveAsTable(target_table)
+    rows.write.insertInto(target_table, overwrite=True)
+    present = rows.select("dt").distinct()
+    emptied = [r["dt"] for r in touched_dates.join(present, "dt", "left_anti")
+               .filter(F.col("dt").isNotNull()).collect()]
+    for d in emptied:       # one metadata operation per emptied date
+        spark.sql(f"ALTER TABLE {target_table} DROP IF EXISTS PARTITION (dt = DATE'{d.isoformat()}')")
+    reg = materialize(registry.select(*REGISTRY.fieldNames()))
+    reg.write.mode("overwrite").format("parquet").saveAsTable(registry_table)
+
+
+def read_tables(spark: SparkSession, target_table: str, registry_table: str
+                ) -> tuple[DataFrame, DataFrame]:
+    """(target, registry) from catalog tables, empty before the first run."""
+    t = (spark.table(target_table).select(*TARGET.fieldNames())
+         if spark.catalog.tableExists(target_table) else empty(spark, TARGET))
+    r = (spark.table(registry_table).select(*REGISTRY.fieldNames())
+         if spark.catalog.tableExists(registry_table) else empty(spark, REGISTRY))
+    return t, r

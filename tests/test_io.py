@@ -227,3 +227,62 @@ def test_footer_fallback_through_spark(spark, scratch):
                pd.DataFrame({"dt": [D2], "network": ["n"], "currency": ["EUR"], "cost": [1.0]}))
     sig, missing = _spark_signature(spark, path)
     assert missing == "platform" and sig.startswith("dt:date,network:string")
+
+
+def test_publish_tables_rewrites_only_touched_dates(spark, scratch):
+    from costledger.sinks import publish_tables, read_tables
+    rates = rates_df(spark, [(D1, "EUR", 2.0)])
+    D0 = dt.date(2024, 1, 28)
+    tt, rt = "t_target_probe", "t_registry_probe"
+    for t in (tt, rt):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+    def run(root, run_id, day):
+        target, registry = read_tables(spark, tt, rt)
+        res = apply_run(list_objects(spark, root), registry, target, rates, parquet_loader(spark),
+                        run_id, f"{day} 01:00:00", day)
+        publish_tables(spark, tt, rt, res.touched_dates, res.target_touched, res.registry)
+        return res
+
+    r1 = f"{scratch}/r1"
+    a = ad([(D0, "n", "EUR", "ios", 1.0)])
+    put(r1, "2024-01-28", "A.parquet", a)
+    put(r1, "2024-01-29", "B.parquet", ad([(D1, "n", "EUR", "ios", 2.0)]))
+    run(r1, "run1", "2024-01-29")
+    files_a = {r[0] for r in spark.table(tt).filter(F.col("dt") == D0)
+               .select(F.input_file_name()).collect()}
+    r2 = f"{scratch}/r2"
+    put(r2, "2024-01-28", "A.parquet", a)        # B vanished: its date becomes empty
+    put(r2, "2024-01-30", "C.parquet", ad([(D2, "n", "EUR", "ios", 3.0)]))
+    run(r2, "run2", "2024-01-30")
+    got = sorted((r["dt"], r["cost"], r["file_name"]) for r in spark.table(tt).collect())
+    assert got == [(D0, 1.0, "A.parquet"), (D2, 3.0, "C.parquet")]
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {tt}").collect()}
+    assert parts == {"dt=2024-01-28", "dt=2024-01-30"}
+    files_a2 = {r[0] for r in spark.table(tt).filter(F.col("dt") == D0)
+                .select(F.input_file_name()).collect()}
+    assert files_a == files_a2                    # the untouched date was not rewritten
+    live = {r["file_name"] for r in spark.table(rt).collect() if r["status"] == "processed"}
+    assert live == {"A.parquet", "C.parquet"}
+    for t in (tt, rt):
+        spark.sql(f"DROP TABLE {t}")
+
+
+def test_jobs_ingest_into_tables(spark, scratch):
+    from costledger.plans.jobs import run_ingest
+    from costledger.sinks import read_tables
+    src, state, rt = f"{scratch}/src", f"{scratch}/state", f"{scratch}/rates"
+    tables = ("t_job_target", "t_job_registry")
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    append_rates(rates_df(spark, [(D1, "EUR", 2.0)]), rt)
+    put(src, "2024-01-30", "a.parquet", ad([(D1, "n", "EUR", "ios", 3.0)]))
+    run_ingest(spark, src, state, rt, now=dt.datetime(2024, 1, 30, 6, tzinfo=dt.timezone.utc), tables=tables)
+    res = run_ingest(spark, src, state, rt, now=dt.datetime(2024, 1, 31, 6, tzinfo=dt.timezone.utc),
+                     tables=tables)
+    assert res.summary.first()["n_unchanged"] == 1
+    target, registry = read_tables(spark, *tables)
+    assert [(r["cost"], r["cost_usd"]) for r in target.collect()] == [(3.0, 6.0)]
+    assert registry.count() == 1
+    for t in tables:
+        spark.sql(f"DROP TABLE {t}")
