@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sizing import bounded_broadcast
+
 
 # Fixed values of the fixtures: the number of ad files the events are spread
 # over, the nations without a rate, the literal dates of the registry and of
@@ -48,9 +50,9 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name") \
         .filter(~F.col("n_nationkey").isin(*NATIONS_WITHOUT_RATE))
-    # Dimension joins are left to the planner: supplier grows with the scale
-    # factor, so it is broadcast only while its statistics stay small.
-    sn = s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    # supplier grows with the scale factor: broadcast it only after a row
+    # count (the planner's own estimate would pick the pruned lineitem side).
+    sn = bounded_broadcast(s.join(n, F.col("s_nationkey") == F.col("n_nationkey")))
     return (li.join(sn, F.col("l_suppkey") == F.col("s_suppkey"))
               .select(F.col("l_shipdate").cast("date").alias("date"),
                       F.col("n_name").alias("currency_code"),

@@ -43,3 +43,30 @@ def test_owner_per_hash_has_no_pair_join(spark):
     p = plan(queries()["files_renamed"](spark, SF_SMALL))
     assert "SortMergeJoin" not in p or "Inner" in p
     assert "Window" not in p
+
+
+FACT_TABLES = ("lineitem.parquet", "events.parquet", "documents.parquet", "orders.parquet")
+
+
+def broadcast_subtrees(plan_text):
+    """The text of every subtree under a BroadcastExchange."""
+    lines = plan_text.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            indent = len(line) - len(line.lstrip(" :+-"))
+            sub = []
+            for nxt in lines[i + 1:]:
+                if len(nxt) - len(nxt.lstrip(" :+-")) <= indent:
+                    break
+                sub.append(nxt)
+            out.append("\n".join(sub))
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_fact_tables_are_never_broadcast(spark, name):
+    p = plan(queries()[name](spark, SF_SMALL))
+    for sub in broadcast_subtrees(p):
+        for fact in FACT_TABLES:
+            assert fact not in sub, (name, fact)
