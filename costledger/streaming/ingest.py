@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..functions import base_name, utc_instant, version_id
 from ..schemas import AD_INPUT, KEYS, TARGET
-from ..session import ensure_checkpoint_dir
-from ..sinks.tables import publish, read_state
+from ..session import ensure_checkpoint_dir, materialize
+from ..sinks.tables import publish, publish_tables, read_state, read_tables
 
 
 def ad_file_stream(spark: SparkSession, source_root: str, schema=AD_INPUT) -> DataFrame:
@@ -27,29 +27,40 @@ def ad_file_stream(spark: SparkSession, source_root: str, schema=AD_INPUT) -> Da
             .withColumn("object_key", F.col("_metadata.file_path")))
 
 
-def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_root: str,
-                rates: DataFrame, run_ts: str, rate_policy: str = "latest") -> None:
-    """Upsert one micro-batch.  Idempotent: a batch id already in the run log
-    is not applied twice when the stream restarts."""
+def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_root: str | None,
+                rates: DataFrame, run_ts: str, rate_policy: str = "latest",
+                tables: tuple[str, str] | None = None) -> None:
+    """Upsert one micro-batch.  Idempotent: in snapshot mode a batch id
+    already in the run log is not applied twice when the stream restarts; in
+    table mode redoing a batch gives the same rows (deterministic version
+    ids, equal cost keeps the row)."""
     run_id = f"stream-{batch_id}"
     rows = batch.withColumn("file_name", base_name("object_key"))
     source = ops.process_ad_rows(rows, ops.rate_lookup(rates, rate_policy), "drop",
                                  tie_breakers=("object_key",))
-    source = ops.stamp_lineage(source, version_id(run_id, "object_key"),
-                               utc_instant(run_ts)).select(*TARGET.fieldNames())
-    target, registry = read_state(spark, state_root)
-    publish(spark, state_root, run_id, ops.merge_max_cost(target, source, KEYS), registry)
+    source = materialize(ops.stamp_lineage(source, version_id(run_id, "object_key"),
+                                           utc_instant(run_ts)).select(*TARGET.fieldNames()))
+    if tables:
+        target, registry = read_tables(spark, *tables)
+        touched = materialize(source.select("dt").distinct())
+        hot = target.join(ops.bounded_broadcast(touched), "dt", "left_semi")
+        publish_tables(spark, *tables, touched, ops.merge_max_cost(hot, source, KEYS), registry)
+    else:
+        target, registry = read_state(spark, state_root)
+        publish(spark, state_root, run_id, ops.merge_max_cost(target, source, KEYS), registry)
 
 
-def start_ingest_stream(spark: SparkSession, source_root: str, state_root: str,
+def start_ingest_stream(spark: SparkSession, source_root: str, state_root: str | None,
                         rates: DataFrame, run_ts: str, checkpoint: str | None = None,
-                        available_now: bool = True):
+                        available_now: bool = True, tables: tuple[str, str] | None = None):
     """Start the stream; with ``available_now`` it processes what is there and
     stops (a scheduled daily run).  The stream checkpoint lives in the shared
-    checkpoint folder unless given."""
+    checkpoint folder unless given.  ``tables`` publishes into catalog tables
+    (only the dates of each micro-batch are rewritten)."""
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/ingest-stream"
     writer = (ad_file_stream(spark, source_root).writeStream
-              .foreachBatch(lambda df, bid: merge_batch(spark, df, bid, state_root, rates, run_ts))
+              .foreachBatch(lambda df, bid: merge_batch(spark, df, bid, state_root, rates, run_ts,
+                                                        tables=tables))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="1 minute")

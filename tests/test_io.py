@@ -286,3 +286,25 @@ def test_jobs_ingest_into_tables(spark, scratch):
     assert registry.count() == 1
     for t in tables:
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_stream_into_tables(spark, scratch):
+    from costledger.sinks import read_tables
+    src = f"{scratch}/src"
+    tables = ("t_stream_target", "t_stream_registry")
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    put(src, "2024-01-29", "a.parquet", ad([(D1, "n", "EUR", "ios", 4.0), (D2, "m", "EUR", "ios", 1.0)]))
+    rates = rates_df(spark, [(D1, "EUR", 2.0)])
+    q = start_ingest_stream(spark, src, None, rates, "2024-01-30 00:00:00",
+                            checkpoint=f"{scratch}/ckpt", tables=tables)
+    q.awaitTermination(120)
+    put(src, "2024-01-30", "b.parquet", ad([(D1, "n", "EUR", "ios", 6.0)]))   # a later file
+    q = start_ingest_stream(spark, src, None, rates, "2024-01-31 00:00:00",
+                            checkpoint=f"{scratch}/ckpt", tables=tables)
+    q.awaitTermination(120)
+    target, _ = read_tables(spark, *tables)
+    assert sorted((r["dt"], r["cost"], r["file_name"]) for r in target.collect()) == \
+        [(D1, 6.0, "b.parquet"), (D2, 1.0, "a.parquet")]
+    for t in tables:
+        spark.sql(f"DROP TABLE {t}")
