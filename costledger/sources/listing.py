@@ -9,6 +9,55 @@ from ..session import materialize
 
 _SAME_FILE = ["object_key", "length", "modification_time"]
 
+# Files up to this size are hashed from the binaryFile content column (one row
+# holds the whole file); larger ones are streamed in chunks by a small Python
+# helper, so no file is ever held whole in memory.
+INLINE_HASH_MAX_BYTES = 64 << 20
+_CHUNK = 8 << 20
+
+
+def _open(uri: str):
+    if uri.startswith("file:"):
+        return open(uri[len("file:"):], "rb")
+    import pyarrow.fs as pafs
+    from .adfiles import _PYARROW_SCHEME
+    for hadoop, arrow in _PYARROW_SCHEME.items():
+        if uri.startswith(hadoop):
+            uri = arrow + uri[len(hadoop):]
+    fs, path = pafs.FileSystem.from_uri(uri)
+    return fs.open_input_stream(path)
+
+
+def _md5_streamed(batches):
+    import hashlib
+
+    import pandas as pd
+    for pdf in batches:
+        out = []
+        for key in pdf["object_key"]:
+            h = hashlib.md5()
+            with _open(key) as f:
+                for chunk in iter(lambda: f.read(_CHUNK), b""):
+                    h.update(chunk)
+            out.append(h.hexdigest())
+        yield pd.DataFrame({"object_key": pdf["object_key"], "file_hash": out})
+
+
+def _hashed(spark: SparkSession, root_or_paths, glob: str | None, inline_max: int) -> DataFrame:
+    """Listing with MD5: small files from the binaryFile content (the length
+    filter is pushed into the source, so larger files' content is not read),
+    large files streamed in chunks, one task per file spread by key."""
+    small = (_reader(spark, glob).load(root_or_paths)
+             .filter(F.col("length") <= inline_max))
+    small = _shape(small, F.md5("content"))
+    meta = _shape(_reader(spark, glob).load(root_or_paths), F.lit(None).cast("string"))
+    big = meta.filter(F.col("length") > inline_max)
+    hashes = (big.select("object_key")
+              .repartition(spark.sparkContext.defaultParallelism, "object_key")
+              .mapInPandas(_md5_streamed, "object_key string, file_hash string"))
+    big = big.drop("file_hash").join(hashes, "object_key").select(*small.columns)
+    return small.unionByName(big)
+
 
 def _reader(spark: SparkSession, glob: str | None):
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -25,20 +74,22 @@ def _shape(df: DataFrame, hash_col) -> DataFrame:
 
 
 def list_objects(spark: SparkSession, root: str, with_hash: bool = True,
-                 glob: str | None = None, known: DataFrame | None = None) -> DataFrame:
+                 glob: str | None = None, known: DataFrame | None = None,
+                 inline_max: int = INLINE_HASH_MAX_BYTES) -> DataFrame:
     """Every file below ``root`` (recursive) as (object_key, folder,
     file_name, file_hash, length, modification_time).  ``object_key`` is the
     full path, so key order is list order.  Hidden files (``_`` / ``.``
     prefix) are not listed, as in any Spark read.
 
-    The MD5 is computed on the executors from the ``binaryFile`` source.
+    The MD5 is computed on the executors: from the ``binaryFile`` content
+    for files up to ``inline_max`` bytes, by streaming in chunks above.
     Without ``with_hash`` no content is read.  With ``known`` (the listing of
     the previous run) only objects whose path, length or modification time
     changed are read and hashed; the others keep their known hash."""
     if not with_hash:
         return _shape(_reader(spark, glob).load(root), F.lit(None).cast("string"))
     if known is None:
-        return _shape(_reader(spark, glob).load(root), F.md5("content"))
+        return _hashed(spark, root, glob, inline_max)
     meta = materialize(_shape(_reader(spark, glob).load(root), F.lit(None).cast("string")))
     prev = known.select(*_SAME_FILE, F.col("file_hash").alias("_known_hash")) \
         .filter(F.col("_known_hash").isNotNull())
@@ -48,7 +99,7 @@ def list_objects(spark: SparkSession, root: str, with_hash: bool = True,
                meta.join(prev, _SAME_FILE, "left_anti").select("object_key").collect()]
     if not changed:
         return reused.select(*meta.columns)
-    fresh = _shape(spark.read.format("binaryFile").load(changed), F.md5("content"))
+    fresh = _hashed(spark, changed, None, inline_max)
     return reused.select(*meta.columns).unionByName(fresh)
 
 

@@ -308,3 +308,15 @@ def test_stream_into_tables(spark, scratch):
         [(D1, 6.0, "b.parquet"), (D2, 1.0, "a.parquet")]
     for t in tables:
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_streamed_md5_equals_inline_md5(spark, scratch):
+    import hashlib
+    put(scratch, "2024-01-29", "a.parquet", ad([(D1, "n", "EUR", "ios", 1.0)] * 50))
+    with open(f"{scratch}/in/2024-01-29/big.bin", "wb") as f:
+        f.write(os.urandom(20 << 20))                     # 20 MB: more than two chunks
+    inline = {r["file_name"]: r["file_hash"] for r in list_objects(spark, scratch).collect()}
+    streamed = {r["file_name"]: r["file_hash"] for r in list_objects(spark, scratch, inline_max=0).collect()}
+    assert inline == streamed
+    with open(f"{scratch}/in/2024-01-29/big.bin", "rb") as f:
+        assert streamed["big.bin"] == hashlib.md5(f.read()).hexdigest()
