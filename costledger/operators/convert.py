@@ -12,17 +12,19 @@ from .dedup import keep_highest_cost
 from .sizing import bounded_broadcast
 
 
-def _rate_side(lookup: DataFrame) -> DataFrame:
+def _rate_side(lookup: DataFrame, materialize: bool = True) -> DataFrame:
     return bounded_broadcast(lookup.select(
         F.col("currency_code").alias("_fx_currency"), F.col("rate").alias("_fx_rate")),
-        materialize=True)
+        materialize=materialize)
 
 
-def attach_rate(df: DataFrame, lookup: DataFrame, how: str = "inner") -> DataFrame:
+def attach_rate(df: DataFrame, lookup: DataFrame, how: str = "inner",
+                materialize: bool = True) -> DataFrame:
     """Join the one-row-per-currency ``lookup`` (``currency_code``, ``rate``)
     as ``_fx_rate``.  The lookup is broadcast after a size check, so the big
-    side is never shuffled for it.  Currency match is exact."""
-    return (df.join(_rate_side(lookup), F.col("currency") == F.col("_fx_currency"), how)
+    side is never shuffled for it.  Currency match is exact.  ``materialize``
+    writes the lookup once first (off when it is already a written table)."""
+    return (df.join(_rate_side(lookup, materialize), F.col("currency") == F.col("_fx_currency"), how)
               .drop("_fx_currency"))
 
 
@@ -59,7 +61,8 @@ def to_usd(df: DataFrame, lookup: DataFrame, policy: str = "drop",
 
 def process_ad_rows(ads: DataFrame, lookup: DataFrame, policy: str = "drop",
                     tie_breakers: Sequence[str] = ("file_name",),
-                    keys: Sequence[str] = KEYS, convention: str = "multiply") -> DataFrame:
+                    keys: Sequence[str] = KEYS, convention: str = "multiply",
+                    materialize_rates: bool = True) -> DataFrame:
     """I4 over any number of files at once: keep the highest-cost row per key,
     then convert.
 
@@ -68,7 +71,7 @@ def process_ad_rows(ads: DataFrame, lookup: DataFrame, policy: str = "drop",
     rows that would be dropped never reach the shuffle.  The NULL/NaN check of
     the result still runs after the dedup, as in the per-file job."""
     how = "inner" if policy == "drop" else "left"
-    with_rate = attach_rate(ads, lookup, how)
+    with_rate = attach_rate(ads, lookup, how, materialize_rates)
     deduped = keep_highest_cost(with_rate, keys, "cost", tie_breakers)
     return finish_usd(deduped, policy, convention)
 

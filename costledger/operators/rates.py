@@ -48,7 +48,8 @@ def rates_on_latest_date(rates: DataFrame) -> DataFrame:
 def rate_lookup(rates: DataFrame, policy: str = "latest") -> DataFrame:
     """``latest``: newest rate per currency.  ``snapshot``: only currencies
     quoted on the newest date of the table.  ``lookup``: ``rates`` already
-    holds one row per currency."""
+    holds one row per currency (and is a written table: it is not written
+    again)."""
     if policy == "lookup":
         return rates
     if policy == "latest":

@@ -126,13 +126,17 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
     source_rows = rows.join(
         accepted.select("object_key", "file_name", "file_version_id"), "object_key")
     source = ops.process_ad_rows(source_rows, ops.rate_lookup(rates, rate_policy), policy,
-                                 tie_breakers=("object_key",))
+                                 tie_breakers=("object_key",),
+                                 materialize_rates=rate_policy != "lookup")
     source = ops.stamp_lineage(source, F.col("file_version_id"), utc_instant(run_ts)) \
         .select(*TARGET.fieldNames())
 
-    # The new rows are written once: the date scan and the merge both read them.
-    source = materialize(source)
-    touched, hot, cold = merge_touched_dates(target.select(*TARGET.fieldNames()), source, dead)
+    # Dates of the new rows from a scan of the ``dt`` column of the accepted
+    # files (a superset of the source dates: rows without a rate only add a
+    # date); the source itself is computed once, inside the merge.
+    new_dates = source_rows.select("dt")
+    touched, hot, cold = merge_touched_dates(target.select(*TARGET.fieldNames()), source, dead,
+                                             new_dates)
     target2 = hot.unionByName(cold)
 
     rejected_hashes = owners.join(rejected_keys, "object_key", "left_semi").select("file_hash")
@@ -157,18 +161,21 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
                      touched, hot.select(*TARGET.fieldNames()))
 
 
-def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame
+def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame,
+                        new_dates: DataFrame | None = None
                         ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Delete the dead versions and upsert the source, shuffling only the
     target rows of the dates this run touches (dates of the source and of the
     rows of dead versions).  Returns (touched dates, new rows of those dates,
-    untouched rows).  The date set is one row per day, broadcast after a
+    untouched rows).  ``new_dates`` (default: the source's) may be any
+    superset of the source dates.  The date set is one row per day, broadcast after a
     size check; on a ``dt``-partitioned target the semi join prunes the scan
     to those partitions, and the rows of every other date pass through
     without a shuffle (or are not rewritten at all, see ``publish_tables``)."""
     dead_b = ops.bounded_broadcast(dead.select("file_version_id").distinct())
     dead_dates = target.join(dead_b, "file_version_id", "left_semi").select("dt")
-    touched = materialize(source.select("dt").unionByName(dead_dates).distinct())
+    new_dates = source.select("dt") if new_dates is None else new_dates
+    touched = materialize(new_dates.unionByName(dead_dates).distinct())
     dates = ops.bounded_broadcast(touched)
     null_dt = F.col("dt").isNull()
     hot = target.join(dates, "dt", "left_semi").unionByName(target.filter(null_dt))
