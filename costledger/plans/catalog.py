@@ -267,6 +267,10 @@ def ingest_report(spark, d):
     return _ingest(spark, d).report
 
 
+def ingest_summary(spark, d):
+    return _ingest(spark, d).summary
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_ad_spend": flagship_ad_spend,
     "ad_rows_scan": ad_rows_scan,
@@ -304,4 +308,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_end_state": ingest_end_state,
     "ingest_registry": ingest_registry,
     "ingest_report": ingest_report,
+    "ingest_summary": ingest_summary,
 }

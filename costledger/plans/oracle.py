@@ -424,6 +424,15 @@ FROM conv GROUP BY dt, network, currency, platform""",
     "ingest_end_state": _with("tgt2") + "SELECT * FROM tgt2",
     "ingest_registry": _with("reg2") + "SELECT * FROM reg2",
     "ingest_report": _with("report") + "SELECT * FROM report",
+    "ingest_summary": _with("report", "dead") + f"""
+SELECT bool_or(folder = '{RUN_DATE}' AND suffix(file_name, '.parquet')) AS found_today_file,
+       COUNT(*) FILTER (WHERE action = 'skipped') AS n_skipped,
+       COUNT(*) FILTER (WHERE action = 'unchanged') AS n_unchanged,
+       COUNT(*) FILTER (WHERE action = 'ingested') AS n_ingested,
+       COUNT(*) FILTER (WHERE action = 'relayed') AS n_relayed,
+       COUNT(*) FILTER (WHERE action = 'rejected') AS n_rejected,
+       (SELECT COUNT(*) FROM dead) AS n_dead_versions
+FROM report""",
     "union_files": _with("ad_rows") + """
 SELECT dt, network, currency, platform, cost, file_name, event_id FROM ad_rows WHERE file_no % 2 = 0
 UNION ALL

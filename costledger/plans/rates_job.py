@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from ..session import materialize
 from ..sinks.tables import append_rates
 from ..sources.rates import read_rates_payloads, require_not_null
 
@@ -22,8 +23,6 @@ def load_rates(spark: SparkSession, payload_path: str, rates_table: str,
     rows = require_not_null(read_rates_payloads(spark, payload_path, fetch_date))
     if rows.isEmpty():
         raise NoRates(f"no exchange rate in {payload_path}")
-    rows = rows.cache()
-    n = rows.count()
+    rows = materialize(rows)      # parsed once; counted and appended from the written copy
     append_rates(rows, rates_table)
-    rows.unpersist()
-    return n
+    return rows.count()

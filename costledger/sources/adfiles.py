@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import AD_INPUT, REQUIRED_COLUMNS
+from ..session import materialize
 
 FOOTER_SCHEMA = "object_key string, signature string, missing string"
 
@@ -82,17 +83,20 @@ def read_ad_files(spark: SparkSession, files: DataFrame, pad_missing: bool = Fal
     cast to the input types (``dt`` to date before any dedup, ``cost`` to
     double; values that do not fit become NULL).  A file that lacks a
     required column is rejected, or with ``pad_missing`` read with NULLs
-    (the legacy rule).  Extra columns are ignored."""
-    foot = footer_schemas(files).cache()
+    (the legacy rule; a file without ``cost`` is still rejected, as the
+    legacy conversion fails on it).  Extra columns are ignored."""
+    # Written once (not cached: a cached plan can be matched by a later call
+    # over the same root and would serve footers of files listed before).
+    foot = materialize(footer_schemas(files))
     odd = [r["object_key"] for r in foot.filter(F.col("signature") == UNREADABLE)
            .select("object_key").collect()]
     if odd:
         fixed = spark.createDataFrame([(p, *_spark_signature(spark, p)) for p in odd], FOOTER_SCHEMA)
-        foot = foot.filter(F.col("signature") != UNREADABLE).unionByName(fixed).cache()
+        foot = materialize(foot.filter(F.col("signature") != UNREADABLE).unionByName(fixed))
     groups = foot.select("signature", "missing").distinct().collect()
     rows: DataFrame | None = None
     for g in groups:
-        if g["missing"] and not pad_missing:
+        if g["missing"] and (not pad_missing or "cost" in g["missing"].split(",")):
             continue
         paths = [r["object_key"] for r in foot.filter(
             (F.col("signature") == g["signature"]) & (F.col("missing") == g["missing"]))
@@ -103,8 +107,10 @@ def read_ad_files(spark: SparkSession, files: DataFrame, pad_missing: bool = Fal
     if rows is None:
         rows = spark.createDataFrame(
             [], T.StructType([T.StructField("object_key", T.StringType()), *AD_INPUT.fields]))
-    rejected = (foot.filter(F.col("missing") != "") if not pad_missing
-                else foot.limit(0)).select("object_key", "missing")
+    lacks = F.col("missing") != ""
+    if pad_missing:     # the legacy job pads columns, but fails on a file without cost
+        lacks = F.array_contains(F.split("missing", ","), "cost")
+    rejected = foot.filter(lacks).select("object_key", "missing")
     return rows, rejected
 
 

@@ -62,6 +62,11 @@ def test_listing_and_reader_groups_schemas(spark, scratch):
     assert [r["missing"] for r in rejected.collect()] == ["platform"]
     padded, none = read_ad_files(spark, files, pad_missing=True)
     assert padded.count() == 3 and none.count() == 0
+    put(scratch, "2024-01-30", "d.parquet", pd.DataFrame({"dt": [D2], "network": ["n"],
+                                                         "currency": ["EUR"], "platform": ["ios"]}))
+    files = list_objects(spark, scratch).filter(F.col("file_name").endswith(".parquet"))
+    padded, rej = read_ad_files(spark, files, pad_missing=True)
+    assert padded.count() == 3 and [r["missing"] for r in rej.collect()] == ["cost"]
 
 
 def _run(spark, root, state, rates, run_id, run_date="2024-01-30", allow_empty=False):
