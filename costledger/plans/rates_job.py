@@ -20,9 +20,10 @@ def load_rates(spark: SparkSession, payload_path: str, rates_table: str,
                fetch_date: str | None = None) -> int:
     """Append the rates of the payloads under ``payload_path``; stops without
     writing when they hold no rate at all (F11).  Returns the rows appended."""
-    rows = require_not_null(read_rates_payloads(spark, payload_path, fetch_date))
-    if rows.isEmpty():
+    # Parsed once; checked, appended and counted from the written copy.
+    rows = materialize(require_not_null(read_rates_payloads(spark, payload_path, fetch_date)))
+    n = rows.count()
+    if n == 0:
         raise NoRates(f"no exchange rate in {payload_path}")
-    rows = materialize(rows)      # parsed once; counted and appended from the written copy
     append_rates(rows, rates_table)
-    return rows.count()
+    return n
