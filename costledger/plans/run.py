@@ -11,12 +11,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import operators as ops
 from ..functions import is_parquet, utc_instant, version_id
 from ..schemas import KEYS, REGISTRY, STATUS_DELETED, STATUS_PROCESSED, TARGET
+from ..operators.sequence import lag_in_order
 from ..session import ensure_checkpoint_dir, materialize
 
 # A loader gets the files to read (object_key, file_name, file_hash) and returns
@@ -55,8 +56,10 @@ def classify(listing: DataFrame, registry: DataFrame) -> DataFrame:
     With one name per content that is only the first visit, when the pair
     has no live version.  With copies (a content under several names) the
     holder changes at every visit whose name differs from the previous visit
-    of the same content; those visits are found with ``lag`` over the
-    copies only.  The last ingested visit of a content owns it (``final``);
+    of the same content; those visits are found by ``lag_in_order`` over the
+    copies only, which range-partitions them, so a content copied under
+    millions of names is split over many tasks.  The last ingested visit of
+    a content owns it (``final``);
     earlier ones are relayed: ingested, then removed in the same run."""
     pq = listing.filter(is_parquet("file_name")).select("object_key", "folder", "file_name", "file_hash")
     # One partial aggregate per hash: several names <=> min(name) < max(name);
@@ -71,9 +74,12 @@ def classify(listing: DataFrame, registry: DataFrame) -> DataFrame:
              .withColumn("is_live", F.col("_live").isNotNull()))
     single = occ.filter(~F.col("_copied")).withColumn(
         "ingest", (F.col("object_key") == F.col("_first_key")) & ~F.col("is_live"))
-    prev = F.lag("file_name").over(Window.partitionBy("file_hash").orderBy("object_key"))
-    copies = occ.filter(F.col("_copied")).withColumn(
-        "ingest", F.when(prev.isNull(), ~F.col("is_live")).otherwise(prev != F.col("file_name")))
+    copies = lag_in_order(occ.filter(F.col("_copied")), "file_hash", "object_key",
+                          "file_name", "_prev_name")
+    prev = F.col("_prev_name")
+    copies = copies.withColumn(
+        "ingest", F.when(prev.isNull(), ~F.col("is_live")).otherwise(prev != F.col("file_name"))
+    ).drop("_prev_name")
     visits = single.unionByName(copies)
     last_ingest = (visits.filter("ingest").groupBy("file_hash")
                    .agg(F.max("object_key").alias("_final_key")))
