@@ -249,10 +249,12 @@ def _ingest(spark, d):
         ops.process_ad_rows(ads.filter(F.col("file_no") <= fx.COPIED_FILE).select(*AD_COLS),
                             latest, tie_breakers=TIES),
         F.concat(F.lit("v_"), F.col("file_name")), utc_instant(fx.REGISTRY_TS)))
-    listing = fx.ingest_listing(spark, d).select("object_key", "folder", "file_name", "file_hash")
+    # The listing is metadata a run reads from the store: written once too.
+    full_listing = materialize(fx.ingest_listing(spark, d))
+    listing = full_listing.select("object_key", "folder", "file_name", "file_hash")
     return apply_run(listing, fx.ingest_registry0(spark, d), target0, latest,
-                     frame_loader(fx.ingest_rows(spark, d)), fx.RUN_ID, fx.RUN_TS, fx.RUN_DATE,
-                     rate_policy="lookup")
+                     frame_loader(fx.ingest_rows(spark, d, full_listing)),
+                     fx.RUN_ID, fx.RUN_TS, fx.RUN_DATE, rate_policy="lookup")
 
 
 def ingest_end_state(spark, d):

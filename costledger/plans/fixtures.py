@@ -131,12 +131,14 @@ def fx_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad_rows(spark, sf_dir).select("file_no").distinct()
 
 
-def ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every listed ad object (``object_key`` + the ad columns)."""
-    lst = ingest_listing(spark, sf_dir).filter(F.col("src_no").isNotNull())
+def ingest_rows(spark: SparkSession, sf_dir: str, listing: DataFrame | None = None) -> DataFrame:
+    """Rows of every listed ad object (``object_key`` + the ad columns).
+    ``listing`` is the (written) run listing; derived here when absent."""
+    lst = (listing if listing is not None else ingest_listing(spark, sf_dir)) \
+        .filter(F.col("src_no").isNotNull())
     ads = ad_rows(spark, sf_dir)
-    # At most one listed object per ad file plus one copy: a proven-small side.
-    return (ads.join(F.broadcast(lst.select("object_key", "src_no", "factor")),
+    # At most one listed object per ad file plus one copy; counted anyway.
+    return (ads.join(bounded_broadcast(lst.select("object_key", "src_no", "factor")),
                      F.col("file_no") == F.col("src_no"))
                .select("object_key", "dt", "network", "currency", "platform",
                        (F.col("cost") * F.col("factor")).alias("cost")))
