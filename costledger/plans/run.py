@@ -96,12 +96,13 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
     """One run of the ingest job.
 
     1. Versions of names that are no longer listed die (last version per name).
-    2. Each content hash is owned by the name listed last.  An owner is
-       (re)ingested when its (name, hash) has no live version, or when its
-       content is listed under several names (copies are re-ingested each
-       run, the last one ends as owner).
-    3. Live versions carrying the content of an ingested owner die, so a
-       renamed or copied file hands its rows over.
+    2. Listed Parquet objects are visited in key order (``classify``): a visit
+       is ingested when its (name, hash) has no live version at that moment;
+       with copies, every change of name between visits of one content
+       re-ingests it, and the last ingested visit owns the content (earlier
+       ones are recorded and tombstoned in the same run).
+    3. Live versions carrying an ingested content die, so a renamed or copied
+       file hands its rows over.
     4. Dead versions lose their target rows and are tombstoned; the rows of
        the accepted owners are deduped together (highest cost, ties in list
        order), converted, and upserted where the cost is strictly higher.
