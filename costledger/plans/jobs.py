@@ -36,11 +36,16 @@ def run_ingest(spark: SparkSession, source_root: str, state_root: str, rates_tab
     res = apply_run(listing, registry, target, read_rates_table(spark, rates_table),
                     parquet_loader(spark, pad_missing), run_id, run_ts, run_date,
                     rate_policy=rate_policy, policy=policy, allow_empty=allow_empty)
+    s = res.summary.first()
+    changed = (s["n_ingested"] + s["n_relayed"] + s["n_dead_versions"]) > 0
     if tables:
-        publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry)
+        if changed:
+            publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry)
         publish(spark, state_root, run_id, empty(spark, TARGET), empty(spark, REGISTRY), res.listing)
-    else:
+    elif changed:
         publish(spark, state_root, run_id, res.target, res.registry, res.listing)
+    else:                     # nothing changed: log the run and its listing only
+        publish(spark, state_root, run_id, None, None, res.listing)
     return res
 
 

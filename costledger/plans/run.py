@@ -13,10 +13,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import operators as ops
 from ..functions import is_parquet, utc_instant, version_id
-from ..schemas import KEYS, REGISTRY, STATUS_DELETED, STATUS_PROCESSED, TARGET
+from ..schemas import AD_INPUT, KEYS, REGISTRY, STATUS_DELETED, STATUS_PROCESSED, TARGET, empty
 from ..operators.sequence import lag_in_order
 from ..session import ensure_checkpoint_dir, materialize
 
@@ -125,18 +126,27 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
                    .select("file_version_id"))
     dead = materialize(missing.unionByName(handed_over).distinct())
 
-    rows, rejected = load(owners.select("object_key", "file_name", "file_hash"))
+    spark = listing.sparkSession
+    if owners.isEmpty():      # nothing to read: no loader job, no rate lookup
+        rows = spark.createDataFrame([], T.StructType(
+            [T.StructField("object_key", T.StringType()), *AD_INPUT.fields]))
+        rejected = spark.createDataFrame([], "object_key string")
+    else:
+        rows, rejected = load(owners.select("object_key", "file_name", "file_hash"))
     rejected_keys = rejected.select("object_key").distinct()
     accepted = (owners.join(rejected_keys, "object_key", "left_anti")
                 .withColumn("file_version_id", version_id(run_id, "object_key", "file_hash")))
 
     source_rows = rows.join(
         accepted.select("object_key", "file_name", "file_version_id"), "object_key")
-    source = ops.process_ad_rows(source_rows, ops.rate_lookup(rates, rate_policy), policy,
-                                 tie_breakers=("object_key",),
-                                 materialize_rates=rate_policy != "lookup")
-    source = ops.stamp_lineage(source, F.col("file_version_id"), utc_instant(run_ts)) \
-        .select(*TARGET.fieldNames())
+    if owners.isEmpty():
+        source = empty(spark, TARGET)
+    else:
+        source = ops.process_ad_rows(source_rows, ops.rate_lookup(rates, rate_policy), policy,
+                                     tie_breakers=("object_key",),
+                                     materialize_rates=rate_policy != "lookup")
+        source = ops.stamp_lineage(source, F.col("file_version_id"), utc_instant(run_ts)) \
+            .select(*TARGET.fieldNames())
 
     # Dates of the new rows from a scan of the ``dt`` column of the accepted
     # files (a superset of the source dates: rows without a rate only add a

@@ -82,23 +82,31 @@ def read_listing(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(last["listing_path"])
 
 
-def publish(spark: SparkSession, root: str, run_id: str, target: DataFrame,
-            registry: DataFrame, listing: DataFrame | None = None) -> dict:
+def publish(spark: SparkSession, root: str, run_id: str, target: DataFrame | None,
+            registry: DataFrame | None, listing: DataFrame | None = None) -> dict:
     """Write both tables of a run, then commit it with one log line.  The
     target is partitioned by ``dt``; the rebalance hint lets AQE split a hot
-    date over several writers instead of one."""
+    date over several writers instead of one.  ``None`` for both tables keeps
+    the previous run's (a run that changed nothing rewrites nothing)."""
     done = run_log(spark, root).filter(F.col("run_id") == run_id).limit(1).collect()
     if done:
         return done[0].asDict()
-    t_path, r_path = f"{root}/target/run={run_id}", f"{root}/registry/run={run_id}"
-    (target.select(*TARGET.fieldNames()).hint("rebalance", "dt")
-           .write.mode("overwrite").partitionBy("dt").parquet(t_path))
-    registry.select(*REGISTRY.fieldNames()).write.mode("overwrite").parquet(r_path)
+    last = latest_run(spark, root)
+    if target is None or registry is None:     # a run without changes: keep both tables
+        if last is None:
+            target = target if target is not None else empty(spark, TARGET)
+            registry = registry if registry is not None else empty(spark, REGISTRY)
+    t_path = last["target_path"] if target is None else f"{root}/target/run={run_id}"
+    r_path = last["registry_path"] if registry is None else f"{root}/registry/run={run_id}"
+    if target is not None:
+        (target.select(*TARGET.fieldNames()).hint("rebalance", "dt")
+               .write.mode("overwrite").partitionBy("dt").parquet(t_path))
+    if registry is not None:
+        registry.select(*REGISTRY.fieldNames()).write.mode("overwrite").parquet(r_path)
     l_path = None
     if listing is not None:
         l_path = f"{root}/listing/run={run_id}"
         listing.write.mode("overwrite").parquet(l_path)
-    last = latest_run(spark, root)
     entry = {"seq": (last["seq"] + 1) if last else 1, "run_id": run_id,
              "target_path": t_path, "registry_path": r_path,
              "committed_at": _dt.datetime.now(_dt.timezone.utc).isoformat(),
@@ -122,7 +130,9 @@ def publish_tables(spark: SparkSession, target_table: str, registry_table: str,
     registry."""
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     cols = [c for c in TARGET.fieldNames() if c != "dt"] + ["dt"]
-    rows = materialize(target_touched.select(*cols))   # the table is read upstream
+    # Written once first (the table is read upstream); the rebalance hint lets
+    # AQE split a hot date over several writers.
+    rows = materialize(target_touched.select(*cols).hint("rebalance", "dt"))
     if not spark.catalog.tableExists(target_table):
         rows.limit(0).write.partitionBy("dt").format("parquet").saveAsTable(target_table)
     rows.write.insertInto(target_table, overwrite=True)
