@@ -4,57 +4,41 @@ group into one task.
 A window ``lag`` partitioned by the group sends a whole group to one task; a
 group holding a third of all rows would then be one task.  Here the rows are
 range-partitioned by (group, order), which splits a hot group over many
-tasks; each sorted partition is scanned once in order, and the first rows of
-a partition take their predecessor from the last row of the previous
-non-empty partition (a table with one row per partition)."""
+range partitions; the lag runs per (range partition, group), so each piece
+is bounded by one range partition; and the first row of a group inside a
+partition takes its predecessor from the last row of the previous non-empty
+partition (a table with one row per partition).  All of it runs in the JVM."""
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_OUT = "_pid int, _g string, _o string, _v string, _prev string, _first boolean"
-
-
-def _scan(batches):
-    from pyspark import TaskContext
-    pid = TaskContext.get().partitionId()
-    last_g = last_v = None
-    started = False
-    for pdf in batches:
-        g, v = pdf["_g"].tolist(), pdf["_v"].tolist()
-        prev, first = [], []
-        for gi, vi in zip(g, v):
-            if started and gi == last_g:
-                prev.append(last_v)
-                first.append(False)
-            else:                        # first row of the partition or of a group
-                prev.append(None)
-                first.append(not started)
-            started, last_g, last_v = True, gi, vi
-        yield pd.DataFrame({"_pid": pid, "_g": g, "_o": pdf["_o"], "_v": v,
-                            "_prev": prev, "_first": first})
-
 
 def lag_in_order(df: DataFrame, group: str, order: str, value: str, out: str,
                  partitions: int | None = None) -> DataFrame:
     """``df`` plus ``out`` = ``value`` of the previous row of the same
-    ``group`` by ``order`` (NULL for the first).  ``group``, ``order`` and
-    ``value`` are strings; ``order`` must be unique within a group."""
+    ``group`` by ``order`` (NULL for the first).  ``order`` must be unique
+    within a group."""
+    from ..session import materialize
     spark = df.sparkSession
     n = partitions or max(spark.sparkContext.defaultParallelism, 1)
-    seq = (df.select(F.col(group).alias("_g"), F.col(order).alias("_o"), F.col(value).alias("_v"))
-             .repartitionByRange(n, "_g", "_o").sortWithinPartitions("_g", "_o")
-             .mapInPandas(_scan, _OUT))
-    from ..session import materialize
-    seq = materialize(seq)
-    # last row of every non-empty partition, and for each partition the last
-    # row of the previous non-empty one (one row per partition: tiny)
-    ends = seq.groupBy("_pid").agg(F.max(F.struct("_g", "_o", "_v")).alias("_end"))
+    # Range partitions are fixed once (written), so the partition id of a row
+    # is the same for the lag and for the boundary table, and under retries.
+    ranged = materialize(
+        df.select(F.col(group).alias("_g"), F.col(order).alias("_o"), F.col(value).alias("_v"))
+          .repartitionByRange(n, "_g", "_o")
+          .withColumn("_pid", F.spark_partition_id()))
+    local = ranged.withColumn(
+        "_prev", F.lag("_v").over(Window.partitionBy("_pid", "_g").orderBy("_o")))
+    # Last row of each non-empty partition and, per partition, the last row of
+    # the previous non-empty one.  One row per partition: a tiny table.
+    ends = ranged.groupBy("_pid").agg(F.max(F.struct("_g", "_o", "_v")).alias("_end"))
     ends = ends.withColumn("_before", F.lag("_end").over(Window.orderBy("_pid")))
     carry = F.broadcast(ends.select("_pid", "_before"))
-    fixed = (seq.join(carry, "_pid", "left")
-             .withColumn(out, F.when(F.col("_first") & (F.col("_before._g") == F.col("_g")),
+    # A group that continues from the previous partition starts this one, so a
+    # row without a local predecessor whose group matches that last row gets it.
+    fixed = (local.join(carry, "_pid", "left")
+             .withColumn(out, F.when(F.col("_prev").isNull() & (F.col("_before._g") == F.col("_g")),
                                      F.col("_before._v")).otherwise(F.col("_prev")))
              .select(F.col("_g").alias(group), F.col("_o").alias(order), out))
     return df.join(fixed, [group, order], "left")

@@ -61,10 +61,12 @@ def broadcast_subtrees(plan_text):
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_plan_scales(spark, name):
-    """No cartesian product, nested-loop join or row-at-a-time Python UDF,
-    and no broadcast of a subtree that scans a fact table."""
+    """No cartesian product, nested-loop join or Python worker (every
+    registered query stays in the JVM), and no broadcast of a subtree that
+    scans a fact table."""
     p = plan(queries()[name](spark, SF_SMALL))
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                "ArrowEvalPython", "MapInPandas", "PythonMapInArrow"):
         assert bad not in p, (name, bad)
     for sub in broadcast_subtrees(p):
         for fact in FACT_TABLES:
