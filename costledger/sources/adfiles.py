@@ -24,32 +24,41 @@ _PYARROW_SCHEME = {"s3a://": "s3://", "s3n://": "s3://"}
 UNREADABLE = "?"
 
 
-def _arrow_schema(uri: str):
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-    if uri.startswith("file:"):
-        return pq.read_schema(uri[len("file:"):])
-    for hadoop, arrow in _PYARROW_SCHEME.items():
-        if uri.startswith(hadoop):
-            uri = arrow + uri[len(hadoop):]
-    fs, path = pafs.FileSystem.from_uri(uri)
-    return pq.read_schema(path, filesystem=fs)
-
-
-def _footers(batches, required=tuple(REQUIRED_COLUMNS)):
-    for pdf in batches:
-        sigs, missing = [], []
-        for key in pdf["object_key"]:
-            try:
-                schema = _arrow_schema(key)
-            except Exception:   # a store pyarrow cannot open: Spark reads it below
-                sigs.append(UNREADABLE)
-                missing.append("")
-                continue
-            names = set(schema.names)
-            sigs.append(",".join(f"{c}:{schema.field(c).type}" for c in required if c in names))
-            missing.append(",".join(c for c in required if c not in names))
-        yield pd.DataFrame({"object_key": pdf["object_key"], "signature": sigs, "missing": missing})
+def _footer_reader(required=tuple(REQUIRED_COLUMNS), schemes=None):
+    """The per-partition footer reader for ``mapInPandas``.  Self-contained
+    (it captures plain values and imports inside), so it is shipped to the
+    executors by value and needs nothing of this package there."""
+    schemes = dict(schemes or _PYARROW_SCHEME)
+
+    def read(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        def schema_of(uri):
+            if uri.startswith("file:"):
+                return pq.read_schema(uri[len("file:"):])
+            for hadoop, arrow in schemes.items():
+                if uri.startswith(hadoop):
+                    uri = arrow + uri[len(hadoop):]
+            fs, path = pafs.FileSystem.from_uri(uri)
+            return pq.read_schema(path, filesystem=fs)
+
+        for pdf in batches:
+            sigs, missing = [], []
+            for key in pdf["object_key"]:
+                try:
+                    schema = schema_of(key)
+                except Exception:   # a store pyarrow cannot open: Spark reads it below
+                    sigs.append("?")
+                    missing.append("")
+                    continue
+                names = set(schema.names)
+                sigs.append(",".join(f"{c}:{schema.field(c).type}" for c in required if c in names))
+                missing.append(",".join(c for c in required if c not in names))
+            yield pd.DataFrame({"object_key": pdf["object_key"], "signature": sigs,
+                                "missing": missing})
+    return read
 
 
 def _spark_signature(spark: SparkSession, path: str) -> tuple[str, str]:
@@ -62,7 +71,7 @@ def _spark_signature(spark: SparkSession, path: str) -> tuple[str, str]:
 def footer_schemas(files: DataFrame) -> DataFrame:
     """Per file: the required columns it has with their Parquet types, and
     the ones it lacks.  Only footers are read, in parallel."""
-    return files.select("object_key").mapInPandas(_footers, FOOTER_SCHEMA)
+    return files.select("object_key").mapInPandas(_footer_reader(), FOOTER_SCHEMA)
 
 
 def _cast_to_input(df: DataFrame, present: Sequence[str]) -> DataFrame:

@@ -16,31 +16,38 @@ INLINE_HASH_MAX_BYTES = 64 << 20
 _CHUNK = 8 << 20
 
 
-def _open(uri: str):
-    if uri.startswith("file:"):
-        return open(uri[len("file:"):], "rb")
-    import pyarrow.fs as pafs
+def _md5_streamer(chunk: int = _CHUNK, schemes=None):
+    """The per-partition MD5 streamer for ``mapInPandas``.  Self-contained
+    (plain captured values, imports inside), so it is shipped to the
+    executors by value."""
     from .adfiles import _PYARROW_SCHEME
-    for hadoop, arrow in _PYARROW_SCHEME.items():
-        if uri.startswith(hadoop):
-            uri = arrow + uri[len(hadoop):]
-    fs, path = pafs.FileSystem.from_uri(uri)
-    return fs.open_input_stream(path)
-
-
-def _md5_streamed(batches):
-    import hashlib
-
-    import pandas as pd
-    for pdf in batches:
-        out = []
-        for key in pdf["object_key"]:
-            h = hashlib.md5()
-            with _open(key) as f:
-                for chunk in iter(lambda: f.read(_CHUNK), b""):
-                    h.update(chunk)
-            out.append(h.hexdigest())
-        yield pd.DataFrame({"object_key": pdf["object_key"], "file_hash": out})
+    schemes = dict(schemes or _PYARROW_SCHEME)
+
+    def stream(batches):
+        import hashlib
+
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        def open_input(uri):
+            if uri.startswith("file:"):
+                return open(uri[len("file:"):], "rb")
+            for hadoop, arrow in schemes.items():
+                if uri.startswith(hadoop):
+                    uri = arrow + uri[len(hadoop):]
+            fs, path = pafs.FileSystem.from_uri(uri)
+            return fs.open_input_stream(path)
+
+        for pdf in batches:
+            out = []
+            for key in pdf["object_key"]:
+                h = hashlib.md5()
+                with open_input(key) as f:
+                    for block in iter(lambda: f.read(chunk), b""):
+                        h.update(block)
+                out.append(h.hexdigest())
+            yield pd.DataFrame({"object_key": pdf["object_key"], "file_hash": out})
+    return stream
 
 
 def _hashed(spark: SparkSession, root_or_paths, glob: str | None, inline_max: int) -> DataFrame:
@@ -54,7 +61,7 @@ def _hashed(spark: SparkSession, root_or_paths, glob: str | None, inline_max: in
     big = meta.filter(F.col("length") > inline_max)
     hashes = (big.select("object_key")
               .repartition(spark.sparkContext.defaultParallelism, "object_key")
-              .mapInPandas(_md5_streamed, "object_key string, file_hash string"))
+              .mapInPandas(_md5_streamer(), "object_key string, file_hash string"))
     big = big.drop("file_hash").join(hashes, "object_key").select(*small.columns)
     return small.unionByName(big)
 
