@@ -41,7 +41,7 @@ def run_ingest(spark: SparkSession, source_root: str, state_root: str, rates_tab
     if tables:
         if changed:
             publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry)
-        publish(spark, state_root, run_id, empty(spark, TARGET), empty(spark, REGISTRY), res.listing)
+        publish(spark, state_root, run_id, None, None, res.listing)   # the listing only
     elif changed:
         publish(spark, state_root, run_id, res.target, res.registry, res.listing)
     else:                     # nothing changed: log the run and its listing only
