@@ -30,3 +30,12 @@ def top_by_cost(df: DataFrame, n: int, cost: str = "cost",
                 tie_breakers: Sequence[str] = ()) -> DataFrame:
     """The ``n`` highest-cost rows (a distributed top-k, not a global sort)."""
     return df.orderBy(*cost_order(cost, tie_breakers)).limit(n)
+
+
+def rank_by_cost(df: DataFrame, out: str = "cost_rank", cost: str = "cost",
+                 tie_breakers: Sequence[str] = ()) -> DataFrame:
+    """L1 over the whole frame: every row with its position in the order cost
+    descending (NaN and NULL last), then the tie-breakers.  A distributed
+    global rank (``sequence.rank_in_order``), not a single-task sort."""
+    from .sequence import rank_in_order
+    return rank_in_order(df, cost_order(cost, tie_breakers), out)

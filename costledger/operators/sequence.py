@@ -42,3 +42,26 @@ def lag_in_order(df: DataFrame, group: str, order: str, value: str, out: str,
                                      F.col("_before._v")).otherwise(F.col("_prev")))
              .select(F.col("_g").alias(group), F.col("_o").alias(order), out))
     return df.join(fixed, [group, order], "left")
+
+
+def rank_in_order(df: DataFrame, order: list, out: str, partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``out`` = 1-based position of each row in the global
+    ``order`` (sort Columns; end with a unique tie-breaker).
+
+    A ``row_number()`` over an unpartitioned window puts every row in one
+    task.  Here rows are range-partitioned by the order, numbered inside
+    their partition, and shifted by the row count of all earlier partitions
+    (a table with one row per partition)."""
+    from ..session import materialize
+    spark = df.sparkSession
+    n = partitions or max(spark.sparkContext.defaultParallelism, 1)
+    # Partition ids fixed once (written) for the numbering and the counts.
+    ranged = materialize(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
+    local = ranged.withColumn("_local", F.row_number().over(
+        Window.partitionBy("_pid").orderBy(*order)))
+    counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = F.broadcast(counts.select("_pid", F.coalesce(before, F.lit(0)).alias("_offset")))
+    return (local.join(offsets, "_pid")
+            .withColumn(out, F.col("_offset") + F.col("_local"))
+            .drop("_pid", "_local", "_offset"))

@@ -59,6 +59,12 @@ def sort_cost(spark, d):
                            100, "cost", ("event_id",))
 
 
+def sort_cost_rank(spark, d):
+    """L1 over every row: the position of each ad row in the cost order."""
+    return ops.rank_by_cost(fx.ad_rows(spark, d).select("event_id", "cost", "file_name"),
+                            "cost_rank", "cost", ("event_id",))
+
+
 def latest_rate(spark, d):
     return _latest(spark, d)
 
@@ -279,6 +285,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cast_ad_rows": cast_ad_rows,
     "dedup_max_cost": dedup_max_cost,
     "sort_cost": sort_cost,
+    "sort_cost_rank": sort_cost_rank,
     "latest_rate": latest_rate,
     "rates_snapshot": rates_snapshot,
     "rates_explode": rates_explode,

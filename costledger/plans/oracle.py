@@ -300,6 +300,11 @@ FROM orders""",
     "sort_cost": _with("ad_rows") + """
 SELECT event_id, cost, file_name FROM ad_rows
 ORDER BY CASE WHEN isnan(cost) THEN NULL ELSE cost END DESC NULLS LAST, event_id LIMIT 100""",
+    "sort_cost_rank": _with("ad_rows") + """
+SELECT event_id, cost, file_name,
+       ROW_NUMBER() OVER (ORDER BY CASE WHEN isnan(cost) THEN NULL ELSE cost END DESC NULLS LAST,
+                                   event_id) AS cost_rank
+FROM ad_rows""",
     "latest_rate": _with("latest") + "SELECT * FROM latest",
     "rates_snapshot": _with("snapshot") + "SELECT * FROM snapshot",
     "rates_explode": """
