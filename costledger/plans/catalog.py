@@ -172,6 +172,13 @@ def files_renamed(spark, d):
         fx.listing(spark, d).select("file_name", "file_hash"), fx.registry(spark, d))
 
 
+def files_renamed_after_reconcile(spark, d):
+    """The rename check on the registry after vanished files are tombstoned
+    (the order of a run: reconcile first)."""
+    return ops.previous_version_other_name(
+        fx.listing(spark, d).select("file_name", "file_hash"), reconcile(spark, d))
+
+
 def content_owner(spark, d):
     return ops.content_owner(fx.listing(spark, d))
 
@@ -304,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listing_names": listing_names,
     "names_except": names_except,
     "files_renamed": files_renamed,
+    "files_renamed_after_reconcile": files_renamed_after_reconcile,
     "content_owner": content_owner,
     "registry_last_version": registry_last_version,
     "registry_upsert": registry_upsert,

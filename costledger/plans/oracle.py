@@ -106,6 +106,18 @@ SELECT file_name, file_version_id FROM (
   FROM registry WHERE status = 'processed') r
 WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM listing l WHERE l.file_name = r.file_name)""",
     "docs_md5": "SELECT doc_id, text, md5(text) AS content_md5 FROM documents",
+    "registry_reconciled": f"""
+SELECT r.file_name, CASE WHEN hit THEN NULL ELSE r.file_hash END AS file_hash, r.file_version_id,
+       r.upload_date, CASE WHEN hit THEN TIMESTAMP '{RUN_TS}' ELSE r.processed_date END AS processed_date,
+       CASE WHEN hit THEN 'deleted' ELSE r.status END AS status
+FROM (SELECT r.*, (r.status = 'processed' AND r.file_version_id IN (SELECT file_version_id FROM missing)) AS hit
+      FROM registry r) r""",
+    "renamed_after": """
+SELECT file_name, file_hash, prev_file_name, prev_version_id FROM (
+  SELECT l.file_name, l.file_hash, r.file_name AS prev_file_name, r.file_version_id AS prev_version_id,
+         ROW_NUMBER() OVER (PARTITION BY l.file_name, l.file_hash ORDER BY r.file_name, r.file_version_id) AS rn
+  FROM listing l JOIN registry_reconciled r
+    ON r.file_hash = l.file_hash AND r.file_name <> l.file_name AND r.status = 'processed') WHERE rn = 1""",
     # ---- one ingest run (same rules as plans/run.py, written as SQL) ----
     "files": "SELECT DISTINCT file_no FROM ad_rows",
     "lst": """
@@ -248,6 +260,7 @@ _NEEDS = {
     "object_keys": ["ad_rows"], "paths": ["object_keys"],
     "renamed": ["listing", "registry"], "missing": ["listing", "registry"],
     "docs_md5": [],
+    "registry_reconciled": ["registry", "missing"], "renamed_after": ["listing", "registry_reconciled"],
     "files": ["ad_rows"], "lst": ["files"], "reg0": ["files"], "tgt0": ["ad_rows", "latest"],
     "run_missing": ["reg0", "lst"], "visits": ["lst", "reg0"], "owners": ["visits"],
     "relays": ["visits"], "dead": ["run_missing", "owners"],
@@ -357,6 +370,7 @@ SELECT l.file_name, l.file_hash FROM listing l WHERE NOT EXISTS (
 SELECT file_name FROM registry WHERE status = 'processed'
 EXCEPT SELECT file_name FROM listing""",
     "files_renamed": _with("renamed") + "SELECT * FROM renamed",
+    "files_renamed_after_reconcile": _with("renamed_after") + "SELECT * FROM renamed_after",
     "content_owner": _with("listing") + """
 SELECT file_hash, arg_max(file_name, object_key) AS owner_file_name, MAX(object_key) AS owner_key,
        COUNT(DISTINCT file_name) AS n_names
