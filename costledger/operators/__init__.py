@@ -1,7 +1,8 @@
 from .convert import attach_rate, finish_usd, process_ad_rows, stamp_lineage, to_usd  # noqa: F401
 from .dedup import keep_highest_cost, rank_by_cost, top_by_cost  # noqa: F401
 from .sequence import lag_in_order, rank_in_order  # noqa: F401
-from .files import (content_owner, files_missing, files_new, files_unchanged,  # noqa: F401
+from .files import (content_owner, files_missing, files_new, files_reuploaded,  # noqa: F401
+                    files_unchanged,
                     first_per_content, last_version_per_name, listing_names, live_versions,
                     names_not_listed, previous_version_other_name)
 from .merge import (consolidate_outer, delete_versions, fold_files, fold_max_cost,  # noqa: F401

@@ -37,6 +37,14 @@ def files_new(listing: DataFrame, registry: DataFrame) -> DataFrame:
     return listing.join(live, ["file_name", "file_hash"], "left_anti")
 
 
+def files_reuploaded(listing: DataFrame, registry: DataFrame) -> DataFrame:
+    """Listed files with new content under a name that has a live version
+    (a re-upload: ingested, while the old version stays live)."""
+    live = live_versions(registry)
+    return (files_new(listing, registry)
+            .join(live.select("file_name").distinct(), "file_name", "left_semi"))
+
+
 def listing_names(listing: DataFrame) -> DataFrame:
     """Distinct base names in the listing."""
     return listing.select("file_name").distinct()

@@ -155,6 +155,11 @@ def files_new(spark, d):
         .select("file_name", "file_hash")
 
 
+def files_reuploaded(spark, d):
+    return ops.files_reuploaded(fx.listing(spark, d), fx.registry(spark, d)) \
+        .select("file_name", "file_hash")
+
+
 def files_missing(spark, d):
     return ops.files_missing(fx.registry(spark, d), fx.listing(spark, d))
 
@@ -307,6 +312,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_version_id": file_version_id,
     "files_unchanged": files_unchanged,
     "files_new": files_new,
+    "files_reuploaded": files_reuploaded,
     "files_missing": files_missing,
     "listing_names": listing_names,
     "names_except": names_except,

@@ -364,6 +364,11 @@ SELECT l.file_name, l.file_hash FROM listing l WHERE EXISTS (
 SELECT l.file_name, l.file_hash FROM listing l WHERE NOT EXISTS (
   SELECT 1 FROM registry r WHERE r.status = 'processed'
    AND r.file_name = l.file_name AND r.file_hash = l.file_hash)""",
+    "files_reuploaded": _with("listing", "registry") + """
+SELECT l.file_name, l.file_hash FROM listing l
+WHERE NOT EXISTS (SELECT 1 FROM registry r WHERE r.status = 'processed'
+                  AND r.file_name = l.file_name AND r.file_hash = l.file_hash)
+  AND EXISTS (SELECT 1 FROM registry r WHERE r.status = 'processed' AND r.file_name = l.file_name)""",
     "files_missing": _with("missing") + "SELECT * FROM missing",
     "listing_names": _with("listing") + "SELECT DISTINCT file_name FROM listing",
     "names_except": _with("listing", "registry") + """
