@@ -178,6 +178,11 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
                      touched, hot.select(*TARGET.fieldNames()))
 
 
+# Up to this many touched days become a literal partition filter; more go
+# through a (size-checked) broadcast semi join.
+STATIC_PRUNE_MAX_DATES = 10_000
+
+
 def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame,
                         new_dates: DataFrame | None = None
                         ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -185,18 +190,30 @@ def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame,
     target rows of the dates this run touches (dates of the source and of the
     rows of dead versions).  Returns (touched dates, new rows of those dates,
     untouched rows).  ``new_dates`` (default: the source's) may be any
-    superset of the source dates.  The date set is one row per day, broadcast after a
-    size check; on a ``dt``-partitioned target the semi join prunes the scan
-    to those partitions, and the rows of every other date pass through
-    without a shuffle (or are not rewritten at all, see ``publish_tables``)."""
+    superset of the source dates.  The date set is one row per day, written
+    and counted; up to ``STATIC_PRUNE_MAX_DATES`` days it becomes a literal
+    ``dt IN (...)`` filter, which on a ``dt``-partitioned target reads only
+    those partitions (a semi join against a plain table would not trigger
+    dynamic pruning); beyond that a size-checked broadcast semi join.  The
+    rows of every other date pass through without a shuffle (or are not
+    rewritten at all, see ``publish_tables``)."""
     dead_b = ops.bounded_broadcast(dead.select("file_version_id").distinct())
     dead_dates = target.join(dead_b, "file_version_id", "left_semi").select("dt")
     new_dates = source.select("dt") if new_dates is None else new_dates
     touched = materialize(new_dates.unionByName(dead_dates).distinct())
-    dates = ops.bounded_broadcast(touched)
     null_dt = F.col("dt").isNull()
-    hot = target.join(dates, "dt", "left_semi").unionByName(target.filter(null_dt))
-    cold = target.join(dates, "dt", "left_anti").filter(~null_dt)
+    n_dates = touched.count()
+    if n_dates <= STATIC_PRUNE_MAX_DATES:
+        # A short, counted list of days: a literal IN filter is a static
+        # partition filter, so only the touched dt partitions are read.
+        days = [r["dt"] for r in touched.filter(~null_dt).collect()]
+        hot_dt = F.col("dt").isin(days) if days else F.lit(False)
+        hot = target.filter(hot_dt | null_dt)
+        cold = target.filter(~hot_dt & ~null_dt)
+    else:
+        dates = ops.bounded_broadcast(touched)
+        hot = target.join(dates, "dt", "left_semi").unionByName(target.filter(null_dt))
+        cold = target.join(dates, "dt", "left_anti").filter(~null_dt)
     merged = ops.merge_max_cost(ops.delete_versions(hot, dead, materialize=False), source, KEYS, "cost")
     return touched, merged, cold
 
