@@ -71,3 +71,21 @@ def test_plan_scales(spark, name):
     for sub in broadcast_subtrees(p):
         for fact in FACT_TABLES:
             assert fact not in sub, (name, fact)
+
+
+def test_touched_dates_prune_target_partitions(spark, scratch):
+    import datetime as dt
+    import re
+
+    from costledger.plans.run import merge_touched_dates
+    from costledger.schemas import TARGET
+    rows = [(dt.date(2024, 1, 1 + i % 20), "n", "EUR", "ios", float(i), float(i), "f", f"v{i % 3}",
+             dt.datetime(2024, 1, 1)) for i in range(200)]
+    spark.createDataFrame(rows, TARGET).write.partitionBy("dt").parquet(f"{scratch}/t")
+    target = spark.read.schema(TARGET).parquet(f"{scratch}/t")
+    source = spark.createDataFrame([rows[0]], TARGET)
+    dead = spark.createDataFrame([("none",)], "file_version_id string")
+    _, hot, cold = merge_touched_dates(target, source, dead)
+    filters = re.findall(r"PartitionFilters: \[[^\]]*\]", plan(hot))
+    assert any("2024-01-01" in f for f in filters), filters
+    assert hot.count() == 10 and cold.count() == 190
