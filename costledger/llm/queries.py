@@ -1,8 +1,10 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 from __future__ import annotations
 
+from .packing import op5_packing
 from .simhash import op1_simhash
+from .tokenfile import op7_token_file
 
-QUERIES = {"op1_simhash": op1_simhash}
+QUERIES = {"op1_simhash": op1_simhash, "op5_packing": op5_packing, "op7_token_file": op7_token_file}
 
 SQL: dict[str, str] = {}
