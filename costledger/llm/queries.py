@@ -3,11 +3,12 @@ from __future__ import annotations
 
 from .decontam import OP9_SQL, op9_decontamination
 from .exactdup import OP10_SQL, op10_exact_dedup
+from .langid import op3_language_id
 from .packing import op5_packing
 from .simhash import op1_simhash
 from .tokenfile import op7_token_file
 
-QUERIES = {"op1_simhash": op1_simhash, "op5_packing": op5_packing, "op7_token_file": op7_token_file,
-           "op9_decontamination": op9_decontamination, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op1_simhash": op1_simhash, "op3_language_id": op3_language_id, "op5_packing": op5_packing,
+           "op7_token_file": op7_token_file, "op9_decontamination": op9_decontamination, "op10_exact_dedup": op10_exact_dedup}
 
 SQL: dict[str, str] = {"op9_decontamination": OP9_SQL, "op10_exact_dedup": OP10_SQL}
