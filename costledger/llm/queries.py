@@ -1,14 +1,17 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 from __future__ import annotations
 
+from .chat import OP8_SQL, op8_chat
 from .decontam import OP9_SQL, op9_decontamination
 from .exactdup import OP10_SQL, op10_exact_dedup
 from .langid import op3_language_id
 from .packing import op5_packing
+from .sharding import op6_sharding
 from .simhash import op1_simhash
 from .tokenfile import op7_token_file
 
 QUERIES = {"op1_simhash": op1_simhash, "op3_language_id": op3_language_id, "op5_packing": op5_packing,
-           "op7_token_file": op7_token_file, "op9_decontamination": op9_decontamination, "op10_exact_dedup": op10_exact_dedup}
+           "op6_sharding": op6_sharding, "op7_token_file": op7_token_file, "op8_chat": op8_chat,
+           "op9_decontamination": op9_decontamination, "op10_exact_dedup": op10_exact_dedup}
 
-SQL: dict[str, str] = {"op9_decontamination": OP9_SQL, "op10_exact_dedup": OP10_SQL}
+SQL: dict[str, str] = {"op8_chat": OP8_SQL, "op9_decontamination": OP9_SQL, "op10_exact_dedup": OP10_SQL}
