@@ -8,9 +8,11 @@ from .langid import op3_language_id
 from .packing import op5_packing
 from .sharding import op6_sharding
 from .simhash import op1_simhash
+from .tokencount import op2_token_counts
 from .tokenfile import op7_token_file
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_language_id": op3_language_id, "op5_packing": op5_packing,
+QUERIES = {"op1_simhash": op1_simhash, "op2_token_counts": op2_token_counts,
+           "op3_language_id": op3_language_id, "op5_packing": op5_packing,
            "op6_sharding": op6_sharding, "op7_token_file": op7_token_file, "op8_chat": op8_chat,
            "op9_decontamination": op9_decontamination, "op10_exact_dedup": op10_exact_dedup}
 
