@@ -200,14 +200,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4,
     comp = written(components(links(distinct.select("fp"), radius)))
     rooted = distinct.join(comp, distinct["fp"] == comp["node"], "left").select(
         "fp", "n", "low", F.coalesce("root", "fp").alias("root"))
-    linked = rooted.where(F.col("root") != F.col("fp"))
-    # Only groups of several fingerprints need a shared minimum.
-    members = rooted.join(linked.select("root").distinct().withColumn("_g", F.lit(True)), "root", "left")
-    lows = members.where("_g").groupBy("root").agg(F.min("low").alias("component"), F.count(F.lit(1)).alias("n_root"))
-    n_members = distinct.count()
-    grouped = lookup(members.where("_g").drop("_g"), lows, ["root"], "n_root", n_members, "inner")
-    classes = grouped.select("fp", "n", "component").unionByName(
-        members.where(F.col("_g").isNull()).select("fp", "n", F.col("low").alias("component")))
+    roots = rooted.groupBy("root").agg(F.min("low").alias("component"), F.count(F.lit(1)).alias("n_root"))
+    classes = lookup(rooted.drop("low"), roots, ["root"], "n_root", distinct.count(), "inner").drop("root")
     return lookup(fps, written(classes), ["fp"], "n", total, "inner")
 
 
