@@ -6,13 +6,15 @@ from .decontam import OP9_SQL, op9_decontamination
 from .exactdup import OP10_SQL, op10_exact_dedup
 from .langid import op3_language_id
 from .packing import op5_packing
+from .pii import op4_personal_data
 from .sharding import op6_sharding
 from .simhash import op1_simhash
 from .tokencount import op2_token_counts
 from .tokenfile import op7_token_file
 
 QUERIES = {"op1_simhash": op1_simhash, "op2_token_counts": op2_token_counts,
-           "op3_language_id": op3_language_id, "op5_packing": op5_packing,
+           "op3_language_id": op3_language_id, "op4_personal_data": op4_personal_data,
+           "op5_packing": op5_packing,
            "op6_sharding": op6_sharding, "op7_token_file": op7_token_file, "op8_chat": op8_chat,
            "op9_decontamination": op9_decontamination, "op10_exact_dedup": op10_exact_dedup}
 

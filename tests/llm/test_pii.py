@@ -1,0 +1,110 @@
+"""Personal data: base spans against plain patterns, added spans, edges."""
+import hashlib
+import random
+import re
+
+import pytest
+
+from costledger.llm.pii import KINDS, boost, find, redacted, summary, value_of
+from costledger.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    return sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(d))) % 10 == 0
+
+
+def plain(text):
+    out = []
+    for rank, kind in enumerate(KINDS):
+        for m in re.finditer(BASE[kind], text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            if {"email": lambda: True, "ip": lambda: all(int(o) <= 255 for o in m[0].split(".")),  # noqa: B023
+                    "card": lambda: 12 <= len(d) <= 19 and luhn(d), "phone": lambda: 9 <= len(d) <= 15}[kind]():  # noqa: B023
+                out.append((m.start(), rank, f"{kind}:{m.start()}:{m.end()}"))
+    return [s for *_, s in sorted(out)]
+
+
+def check(got, text):
+    base = plain(text)
+    assert [got[f"n_{k}"] for k in KINDS] == [sum(s.startswith(k + ":") for s in base) for k in KINDS]
+    assert got["digest"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+    spans = got["spans"].split(",") if got["spans"] else []
+    assert set(base) <= set(spans) and len(set(spans)) == len(spans)
+    order = [(int(s.split(":")[1]), KINDS.index(s.split(":")[0])) for s in spans]
+    assert order == sorted(order)
+    for s in spans:
+        assert 0 <= int(s.split(":")[1]) < int(s.split(":")[2]) <= len(text)
+    return set(spans) - set(base)
+
+
+@pytest.fixture(scope="module")
+def result(spark):
+    return {r.doc_id: r.asDict() for r in QUERIES["op4_personal_data"](spark, SF).collect()}
+
+
+def test_query_base_spans(spark, result):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert set(result) == set(docs)
+    for i, t in docs.items():
+        check({**result[i], "digest": result[i]["base_sha256"]}, t)
+
+
+def test_edges(spark):
+    """Joined numbers, runs that only a naive pattern would scan again, nulls."""
+    rnd = random.Random(3)
+    alphabet = ["a", "1", "42", ".", "@", "+", "-", " ", "(", ")", "é", "_", "255", "4111111111111111", "a@b.co", "+1 234 567 8901", "1.2.3.4", "\n"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(300)]
+    texts += [None, "", "a@b.c_d@e.f", "1.2.3.4.5.6.7.8", "256.1.1.1 001.002.003.004", "1" * 30000, "a" * 60000 + "@",
+              "1.2" * 9000, "x@" + "a." * 9000 + "b", "+1 (269) 555-3296 4524132264652876", "😀 a@b.co 1.2.3.4"]
+    df = spark.createDataFrame([(k if k != 7 else None, t, "x") for k, t in enumerate(texts)],
+                               "doc_id long, text string, kind string").repartition(3)
+    twice = df.unionByName(df.where("doc_id = 5"))
+    got = summary(find(twice))
+    rows = got.collect()
+    assert len(rows) == len(texts) + 1
+    for r in rows:
+        r = r.asDict()
+        r["digest"] = hashlib.sha256(r["base_spans"].encode()).hexdigest()
+        check(r, texts[7 if r["id"] is None else r["id"]] or "")
+    assert summary(find(df.limit(0))).count() == 0
+
+
+def test_added_spans_and_redaction(spark, scratch):
+    """A number that the next one runs into fails the plain pattern; the
+    trees bring it back.  Clean numbers are left alone."""
+    rnd = random.Random(11)
+
+    def card():
+        d = "4" + "".join(rnd.choice("0123456789") for _ in range(14))
+        return next(d + c for c in "0123456789" if luhn(d + c))
+
+    def phone():
+        return f"+1 ({rnd.randint(200, 999)}) {rnd.randint(200, 999)}-{rnd.randint(1000, 9999)}"
+
+    rows = [(k, f"the {phone()} and {card()} or so 1.2.{k % 200}.4 in {k} of {k + 1900} and 12345 6789") for k in range(300)]
+    rows += [(1000 + k, f"word {phone()} {card()} word") for k in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{scratch}/d")
+    docs = spark.read.parquet(f"{scratch}/d")
+    got = {r.id: r.spans for r in summary(find(docs)).collect()}
+    texts = dict(rows)
+    for k in range(1000, 1030):
+        words = texts[k].split()
+        at = texts[k].index(words[-2])
+        assert got[k] == f"phone:5:{at - 1},card:{at}:{at + 16}", (texts[k], got[k])
+    for k in range(300):
+        assert len(got[k].split(",")) == 3, (texts[k], got[k])
+    clean = {r.doc_id: r.text for r in redacted(docs).collect()}
+    assert clean[1003] == "word [PHONE] [CARD] word"
+    assert clean[5] == "the [PHONE] and [CARD] or so [IP] in 5 of 1905 and 12345 6789"
+
+
+def test_boost_separates():
+    rows = [((a, b, 0, 0, 0, 0, 0, 0, 0, 0), 50 * (a ^ b) + 1, 50 * (1 - (a ^ b)) + 1) for a in (0, 1) for b in (0, 1)]
+    trees = boost([(f, 3 * p + (f[0] * 7), n) for f, p, n in rows])
+    for f, p, n in rows:
+        assert (sum(value_of(t, f) for t in trees) > 0) == (p > n)
+    assert boost([]) == []
