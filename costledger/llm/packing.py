@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import gapless, map_arrow, narrowed, slices, written
-from .encode import word_encoder
+from .encode import ENCODE_BYTES, word_encoder
 
 #: Rounds of multiplicative weights, batches of lengths priced in a round, and
 #: how often the rounded rest is priced again.
@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id: i
         import pyarrow as pa
 
         encode = word_encoder(tokenizer_file)
-        for b in slices(batches, text_col):
+        for b in slices(batches, text_col, ENCODE_BYTES):
             ids, n = encode(b.column(1))
             per = n + 1
             ends = np.cumsum(per)

@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 
 from ..session import ensure_checkpoint_dir
 from .common import map_arrow, narrowed, slices
-from .encode import word_encoder
+from .encode import ENCODE_BYTES, word_encoder
 
 #: Longest code in bits; ids between checkpoints, of a block and of a file.
 LIMIT, CHECKPOINT, BLOCK_IDS, FILE_IDS = 16, 256, 1 << 15, 1 << 23
@@ -43,7 +43,7 @@ def token_counts(docs: DataFrame, tokenizer_file: str, end_id: int = 1, text_col
 
         encode = word_encoder(tokenizer_file)
         counts = np.zeros(0, np.int64)
-        for b in slices(batches, text_col):
+        for b in slices(batches, text_col, ENCODE_BYTES):
             ids, n = encode(b.column(0))
             got = np.bincount(ids, minlength=max(end_id + 1, len(counts)))
             got[end_id] += len(n)
@@ -132,7 +132,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
             words += np.bincount(word + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), len(words))
             return words.astype(">u4").tobytes()[:int(ends[-1] + 7) >> 3], at
 
-        for b in slices(batches, text_col):
+        for b in slices(batches, text_col, ENCODE_BYTES):
             found, n = encode(b.column(1))
             per = n + 1
             ends = np.cumsum(per)
