@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from ..session import materialize
@@ -40,8 +40,40 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def identified(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column ``name`` that tells rows apart and is the same in
+    every pass, whatever the ids are and however the files are split: hash of
+    the file and row number in it.  ``docs`` is a table read from files, with
+    columns selected at most; anything else is written first."""
+    def marked(df):
+        meta = df.metadataColumn("_metadata")
+        out = df.withColumn(name, F.concat_ws("-", F.hex(F.xxhash64(meta["file_path"])), F.hex(meta["row_index"])))
+        out.schema  # analysed here
+        return out
+
+    try:
+        return marked(docs)
+    except AnalysisException:  # no files
+        return marked(written(docs))
+
+
+def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(rid, id, text) of ``docs``, null texts as empty ones."""
+    mark = free_name(docs, "_rid")
+    return identified(docs, mark).select(F.col(mark).alias("rid"), F.col(f"`{id_col}`").alias("id"),
+                                         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+
+
+def without(docs: DataFrame, rids: DataFrame) -> DataFrame:
+    """``docs`` less the rows in ``rids`` (rid).  The rids are written first:
+    Spark then knows their size and broadcasts them only if they are small."""
+    mark = free_name(docs, "_rid")
+    gone = written(rids.select(F.col("rid").alias(mark)))
+    return identified(docs, mark).join(gone, mark, "left_anti").drop(mark)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
-           limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+           limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``limit`` bytes in
     each (at least one row), which bounds a worker's memory whatever the row
     lengths are."""
@@ -85,15 +117,18 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], n_col: str,
 
 
 def gapless(df: DataFrame, group: str, order: list[Column], out: str, rows: int,
-            salt: list[Column], per_bucket: int = 50_000) -> DataFrame:
+            salt: list[Column], counted: DataFrame | None = None, per_bucket: int = 10_000) -> DataFrame:
     """Number the rows of each ``group`` from 0 without gaps, in any order
     across buckets.  Rows are dealt by (group, bucket), where the bucket is a
     hash of ``salt``, so a hot group is spread over as many tasks as it needs;
-    the counts of the buckets give each its first number."""
+    the counts of the buckets give each its first number.  ``counted`` may hold
+    the same groups and salts as ``df`` in a table that is cheaper to count."""
     n = max(1, rows // per_bucket)
     bucket, first = free_name(df, "_bucket"), free_name(df, "_first")
-    keyed = df.withColumn(bucket, F.pmod(F.xxhash64(*salt), F.lit(n)).cast("int"))
-    counts = keyed.groupBy(group, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    number = F.pmod(F.xxhash64(*salt), F.lit(n)).cast("int")
+    keyed = df.withColumn(bucket, number)
+    counts = ((keyed if counted is None else counted.withColumn(bucket, number))
+              .groupBy(group, bucket).agg(F.count(F.lit(1)).alias("_n")))
     before = W.partitionBy(group).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
     firsts = counts.select(group, bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(first))
     ranked = keyed.withColumn(out, F.row_number().over(W.partitionBy(group, bucket).orderBy(*order)) - 1)
@@ -132,7 +167,3 @@ def components(edges: DataFrame) -> DataFrame:
         edges = written(small.distinct())
     node = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return node.unionByName(node.select(F.col("root").alias("node"), "root").distinct())
-
-
-__all__ = ["T", "components", "free_name", "gapless", "lookup", "map_arrow", "narrowed",
-           "slices", "table", "written"]

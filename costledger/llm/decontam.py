@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, slices
+from .common import map_arrow, rows_of, slices, without
 
 #: Bytes of benchmark text compared at once.
 BLOCK_BYTES = 16 << 20
@@ -209,14 +209,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, id_col: s
     """(rid, id, n_words, spans, items, longest) of every row of ``docs``:
     ``spans`` are the disjoint runs (first word, end) hit by a window,
     ``items`` the ids of the items with a window in the text, ``longest`` the
-    most words that agree in a row.  ``rid`` numbers the rows."""
+    most words that agree in a row.  ``rid`` tells rows apart."""
     wanted = items.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text}`").alias("text"))
     size = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = size // block_bytes + 1
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"),
-                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    src = rows_of(docs, id_col, text_col)
     kind = dict(src.dtypes)["id"]
-    schema = f"rid long, id {kind}, n_words long, spans array<struct<first:int,end:int>>, items array<string>, longest int"
+    schema = f"rid string, id {kind}, n_words long, spans array<struct<first:int,end:int>>, items array<string>, longest int"
     out = None
     for k in range(n_blocks):
         rows = wanted.where(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == k).collect()  # one block of the query set
@@ -267,12 +266,8 @@ def is_contaminated():
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, window: int = 13, **names) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated.  ``docs`` must be a
-    table, so that both passes number its rows alike."""
-    found = contamination(docs, items, window, **names).where(is_contaminated()).select("rid")
-    mark = "_rid"
-    return (docs.withColumn(mark, F.monotonically_increasing_id())
-            .join(found.withColumnRenamed("rid", mark), mark, "left_anti").drop(mark))
+    """The rows of ``docs`` that are not contaminated."""
+    return without(docs, contamination(docs, items, window, **names).where(is_contaminated()))
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HEAVY_KEYS, lookup, map_arrow, slices, written
+from .common import HEAVY_KEYS, lookup, map_arrow, rows_of, slices, written
 
 #: Fixed parameters of the fingerprint: primes and bases.
 PRIMES, BASES = (2_147_483_647, 2_147_483_629), (1_103_515_245, 1_812_433_253)
@@ -58,13 +58,6 @@ def fingerprinter(primes=PRIMES, chunk: int = CHUNK):
     return whole, part, combine
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(rid, id, text): rid tells rows apart whatever their ids are; it
-    follows from the files, so each pass over the same table gives the same."""
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"),
-                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-
-
 def digests(rows: DataFrame, primes=PRIMES) -> DataFrame:
     """(rid, id, n_chars, size, fp, sha256) of the normalised texts."""
     def run(batches):
@@ -83,7 +76,7 @@ def digests(rows: DataFrame, primes=PRIMES) -> DataFrame:
 
     kind = dict(rows.dtypes)["id"]
     src = rows.select("rid", "id", F.length("text").cast("long").alias("n_chars"), F.col("text").cast("binary"))
-    return map_arrow(src, run, f"rid long, id {kind}, n_chars long, size long, fp long, sha256 string")
+    return map_arrow(src, run, f"rid string, id {kind}, n_chars long, size long, fp long, sha256 string")
 
 
 def _repeated(groups: DataFrame, n_groups: int):
@@ -114,6 +107,8 @@ def _compared(rows: DataFrame, groups: DataFrame, rows_total: int, n_groups: int
     seen = spark.sparkContext.broadcast(_repeated(groups, n_groups))
 
     def cut_up(batches):
+        import zlib
+
         import pyarrow as pa
 
         whole, _, _ = fingerprinter(primes)
@@ -127,13 +122,13 @@ def _compared(rows: DataFrame, groups: DataFrame, rows_total: int, n_groups: int
                 if not marks[at >> 3] >> (at & 7) & 1:
                     continue
                 first, parts = heavy.get((len(text), fp), (None, 1))
-                for salt in range(parts) if rid == first else [rid % parts]:
+                for salt in range(parts) if rid == first else [zlib.crc32(rid.encode()) % parts]:
                     out += [(rid, len(text), fp, salt, k, text[k * chunk:(k + 1) * chunk])
                             for k in range(max(1, -(-len(text) // chunk)))]
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[k] for r in out], t) for k, t in enumerate(
-                        (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
+                        (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
                     ["rid", "size", "fp", "salt", "chunk", "data"])
 
     def compare(batches):
@@ -149,14 +144,14 @@ def _compared(rows: DataFrame, groups: DataFrame, rows_total: int, n_groups: int
                     rids.append(rid)
                     reps.append(first)
                     sames.append(mine == data)
-            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(reps, pa.int64()),
+            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.string()), pa.array(reps, pa.string()),
                                               pa.array(sames, pa.bool_())], ["rid", "rep", "same"])
 
     src = rows.select("rid", F.col("text").cast("binary"))
-    chunks = map_arrow(src, cut_up, "rid long, size long, fp long, salt int, chunk int, data binary")
+    chunks = map_arrow(src, cut_up, "rid string, size long, fp long, salt int, chunk int, data binary")
     keys = ["size", "fp", "salt", "chunk"]
     dealt = chunks.repartition(*keys).sortWithinPartitions(*keys, "rid")
-    verdicts = map_arrow(dealt.select("rid", *keys, "data"), compare, "rid long, rep long, same boolean")
+    verdicts = map_arrow(dealt.select("rid", *keys, "data"), compare, "rid string, rep string, same boolean")
     return verdicts.groupBy("rid").agg(F.min("rep").alias("rep"), F.bool_and("same").alias("same"))
 
 
@@ -165,7 +160,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(rid, id, keep_rid, keep_id, group_size, kept, sha256), a row per row
     of ``docs``: of equal texts, the row with the most code points, then the
     smallest id, is kept."""
-    rows = numbered(docs, id_col, text_col)
+    rows = rows_of(docs, id_col, text_col)
     facts = written(digests(rows, primes))
     total = facts.count()
     settled, todo, todo_rows = [], facts.select("rid", "size", "fp"), rows

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, slices, written
+from .common import map_arrow, rows_of, slices, without, written
 
 #: Labelled rows of each language that the classifier is fitted on, about.
 SAMPLE = 1500
@@ -192,10 +192,9 @@ def held_out(id_col: str, folds: int = FOLDS):
 
 
 def identify(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, id, lang_pred, score, rejected) of every row; ``rid`` numbers
-    the rows."""
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"),
-                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    """(rid, id, lang_pred, score, rejected) of every row; ``rid`` tells rows
+    apart."""
+    src = rows_of(docs, id_col, text_col)
     kind = dict(src.dtypes)["id"]
     known = docs.sparkSession.sparkContext.broadcast(model)  # languages x CENTROIDS rows of BUCKETS
 
@@ -227,14 +226,12 @@ def identify(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_c
                 [b.column(0), b.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
                  pa.array(reject, pa.bool_())], ["rid", "id", "lang_pred", "score", "rejected"])
 
-    return map_arrow(src, run, f"rid long, id {kind}, lang_pred string, score double, rejected boolean")
+    return map_arrow(src, run, f"rid string, id {kind}, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, **names) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised.  ``docs`` must be a
-    table, so that both passes number its rows alike."""
-    found = identify(docs, fit(docs, **names)).where("rejected").select(F.col("rid").alias("_rid"))
-    return (docs.withColumn("_rid", F.monotonically_increasing_id()).join(found, "_rid", "left_anti").drop("_rid"))
+    """The rows of ``docs`` whose language is recognised."""
+    return without(docs, identify(docs, fit(docs, **names)).where("rejected"))
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import written
+from .common import free_name, identified, rows_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed patterns: generator -> (kind, pattern).  The first four are the base
@@ -56,9 +56,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(rid, id, generator, span_start, span_end, match, before, after): all
     proposals, in code points; a row without any has one with nulls.
     ``before`` and ``after`` reach to the neighbouring match."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"), text.alias("text"))
-    digits = src.withColumn("_digit", F.col("text").rlike("[0-9]"))
+    digits = rows_of(docs, id_col, text_col).withColumn("_digit", F.col("text").rlike("[0-9]"))
     found = []
     for name, (_, pattern) in GENERATORS.items():
         ready = F.col("text").contains(NEEDS[name]) if name in NEEDS else F.lit(True)
@@ -296,19 +294,20 @@ def summary(found: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (a table) with every span replaced by its kind in brackets;
+    """``docs`` with every span replaced by its kind in brackets;
     overlapping spans become one, named after the first."""
-    found = find(docs, id_col, text_col).where(F.col("kind").isNotNull()).groupBy(F.col("rid").alias("_rid")).agg(
-        F.array_sort(F.collect_list(F.struct("span_start", "span_end", "kind"))).alias("_spans"))
+    mark, list_of = free_name(docs, "_rid"), free_name(docs, "_spans")
+    found = find(docs, id_col, text_col).where(F.col("kind").isNotNull()).groupBy(F.col("rid").alias(mark)).agg(
+        F.array_sort(F.collect_list(F.struct("span_start", "span_end", "kind"))).alias(list_of))
     text = F.col(f"`{text_col}`")
     done = F.aggregate(
-        "_spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
+        list_of, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda a, s: F.when(s["span_start"] < a["at"], F.struct(a["out"].alias("out"), F.greatest(a["at"], s["span_end"]).alias("at")))
         .otherwise(F.struct(F.concat(a["out"], F.substring(text, a["at"] + 1, s["span_start"] - a["at"]),
                                      F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out"), s["span_end"].alias("at"))),
         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    marked = docs.withColumn("_rid", F.monotonically_increasing_id()).join(found, "_rid", "left")
-    return marked.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(done)).select(*docs.columns)
+    marked = identified(docs, mark).join(found, mark, "left")
+    return marked.withColumn(text_col, F.when(F.col(list_of).isNull(), text).otherwise(done)).select(*docs.columns)
 
 
 def op4_personal_data(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import gapless, map_arrow, written
+from .common import gapless, identified, map_arrow, written
 
 #: Probes per open splitter and round; shares of a shard by which a splitter
 #: may miss, and up to which a group of equal texts stays whole.
@@ -121,11 +121,11 @@ def splitters(keys: DataFrame, shards: int, total: int, largest: int) -> list[tu
 
 def sharded(docs: DataFrame, shards: int = 24, text_col: str = "text") -> DataFrame:
     """``docs`` with (shard, slot): slots count from 0 in each shard.  The
-    rows move once; ``docs`` must be a table, as it is read twice."""
+    rows move once."""
     spare = {c: f"{c}_" for c in docs.columns if c.lower() in ("shard", "slot", "_rid", "_h", "_t")}
     docs = docs.withColumnsRenamed(spare)
     text_col = spare.get(text_col, text_col)
-    keyed = (docs.withColumn("_rid", F.monotonically_increasing_id())
+    keyed = (identified(docs, "_rid")
              .withColumn("_h", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
              .withColumn("_t", F.xxhash64("_rid")))
     size = (F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)) + ROW_BYTES).cast("long")
