@@ -11,7 +11,7 @@ batch are gathered with numpy."""
 from __future__ import annotations
 
 #: Pieces that a worker remembers; a full cache starts anew.
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 1_000_000
 #: Bytes of text encoded at once: distinct pieces are looked up once in them.
 ENCODE_BYTES = 4 << 20
 
