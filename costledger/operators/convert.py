@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from ..functions import is_missing_number, nan_to_null, utc_instant
 from ..schemas import KEYS
 from .dedup import keep_highest_cost
-from .sizing import bounded_broadcast
+from .sizing import known_size
 
 
 def _rate_side(lookup: DataFrame, materialize: bool = True) -> DataFrame:
-    return bounded_broadcast(lookup.select(
+    return known_size(lookup.select(
         F.col("currency_code").alias("_fx_currency"), F.col("rate").alias("_fx_rate")),
         materialize=materialize)
 
@@ -21,8 +21,8 @@ def _rate_side(lookup: DataFrame, materialize: bool = True) -> DataFrame:
 def attach_rate(df: DataFrame, lookup: DataFrame, how: str = "inner",
                 materialize: bool = True) -> DataFrame:
     """Join the one-row-per-currency ``lookup`` (``currency_code``, ``rate``)
-    as ``_fx_rate``.  The lookup is broadcast after a size check, so the big
-    side is never shuffled for it.  Currency match is exact.  ``materialize``
+    as ``_fx_rate``.  The lookup is written, so Spark knows it is small and
+    never shuffles the big side for it.  Currency match is exact.  ``materialize``
     writes the lookup once first (off when it is already a written table)."""
     return (df.join(_rate_side(lookup, materialize), F.col("currency") == F.col("_fx_currency"), how)
               .drop("_fx_currency"))
@@ -62,9 +62,13 @@ def to_usd(df: DataFrame, lookup: DataFrame, policy: str = "drop",
 def process_ad_rows(ads: DataFrame, lookup: DataFrame, policy: str = "drop",
                     tie_breakers: Sequence[str] = ("file_name",),
                     keys: Sequence[str] = KEYS, convention: str = "multiply",
-                    materialize_rates: bool = True) -> DataFrame:
+                    materialize_rates: bool = True, per_file: str | None = None) -> DataFrame:
     """I4 over any number of files at once: keep the highest-cost row per key,
-    then convert.
+    then convert.  With ``per_file`` (a column that tells files apart) a
+    file whose top row converts to nothing drops out of the key, as it would
+    alone, and the best row of the other files stays; without it the top row
+    of all files decides, which is the same unless an infinite cost meets a
+    rate of 0.
 
     The currency is part of the key, so a key group has a rate for all its
     rows or for none: under ``drop`` the rate join runs before the dedup and
@@ -72,6 +76,10 @@ def process_ad_rows(ads: DataFrame, lookup: DataFrame, policy: str = "drop",
     the result still runs after the dedup, as in the per-file job."""
     how = "inner" if policy == "drop" else "left"
     with_rate = attach_rate(ads, lookup, how, materialize_rates)
+    if per_file and policy == "drop":
+        with_rate = finish_usd(keep_highest_cost(with_rate, [*keys, per_file], "cost", tie_breakers),
+                               policy, convention, keep_rate=True) \
+            .withColumnRenamed("rate", "_fx_rate").drop("cost_usd")
     deduped = keep_highest_cost(with_rate, keys, "cost", tie_breakers)
     return finish_usd(deduped, policy, convention)
 

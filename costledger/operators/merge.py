@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nan_to_null, strictly_greater
 from ..schemas import KEYS, STATUS_DELETED, STATUS_PROCESSED
-from .sizing import bounded_broadcast
+from .sizing import known_size
 
 
 def _all_keys_set(keys: Sequence[str]) -> Column:
@@ -25,42 +25,41 @@ def merge_max_cost(target: DataFrame, source: DataFrame, keys: Sequence[str] = K
     when the source cost is strictly higher (NaN never wins, a NULL target
     cost is never replaced).  Keys compare with ``=``: a row with a NULL key
     part never matches, so NULL-key source rows are always inserted and
-    NULL-key target rows always kept.  Such rows get a salt (a hash of the
-    row) as an extra join key, so a flood of them spreads over the join
-    partitions instead of piling into one; all other rows have salt 0.
-    ``source`` must hold one row per key (see ``keep_highest_cost``)."""
+    NULL-key target rows always kept; they pass beside the join, without a
+    shuffle.  ``source`` must hold one row per key (see ``keep_highest_cost``)."""
     cols = target.columns
     source = source.select(*cols)
-    salt = F.when(_all_keys_set(keys), F.lit(0)).otherwise(F.xxhash64(*cols) % 4096)
-    t = target.withColumns({"_in_t": F.lit(True), "_salt": salt}).alias("t")
-    s = source.withColumns({"_in_s": F.lit(True), "_salt": salt}).alias("s")
-    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in [*keys, "_salt"]]
+    keyed = _all_keys_set(keys)
+    t = target.filter(keyed).withColumn("_in_t", F.lit(True)).alias("t")
+    s = source.filter(keyed).withColumn("_in_s", F.lit(True)).alias("s")
+    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     joined = t.join(s, on, "full_outer")
     in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
     update = in_t & in_s & F.coalesce(
         strictly_greater(F.col(f"s.{cost}"), F.col(f"t.{cost}")), F.lit(False))
     take_s = ~in_t | update
     out = [F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols]
+    loose_t, loose_s = target.filter(~keyed), source.filter(~keyed)
     if not with_action:
-        return joined.select(*out)
+        return joined.select(*out).unionByName(loose_t).unionByName(loose_s)
     action = (F.when(~in_t, "insert").when(~in_s, "target_only")
                .when(update, "update").otherwise("keep"))
-    return joined.select(*out, action.alias("merge_action"))
+    return (joined.select(*out, action.alias("merge_action"))
+            .unionByName(loose_t.withColumn("merge_action", F.lit("target_only")))
+            .unionByName(loose_s.withColumn("merge_action", F.lit("insert"))))
 
 
 def delete_versions(target: DataFrame, dead: DataFrame,
                     version_col: str = "file_version_id", materialize: bool = True) -> DataFrame:
-    """Drop target rows of the given file versions (anti join; the
-    version list is broadcast only when it is proven small)."""
-    dead = bounded_broadcast(dead.select(version_col).distinct(), materialize=materialize)
+    """Drop target rows of the given file versions (anti join)."""
+    dead = known_size(dead.select(version_col).distinct(), materialize)
     return target.join(dead, version_col, "left_anti").select(*target.columns)
 
 
 def tombstone(registry: DataFrame, dead: DataFrame, run_ts, materialize: bool = True) -> DataFrame:
     """D3: the given versions, if still processed, become ``deleted`` with a
     NULL hash and a new processed date."""
-    marks = bounded_broadcast(dead.select("file_version_id").distinct()
-                              .withColumn("_dead", F.lit(True)), materialize=materialize)
+    marks = known_size(dead.select("file_version_id").distinct().withColumn("_dead", F.lit(True)), materialize)
     hit = F.col("_dead").isNotNull() & (F.col("status") == STATUS_PROCESSED)
     ts = F.lit(run_ts).cast("timestamp_ntz")
     return (registry.join(marks, "file_version_id", "left")

@@ -13,6 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rows of a range partition, about.
+ROWS_PER_PARTITION = 500_000
+
+
+def _partitions(df: DataFrame, given: int | None) -> int:
+    return given or df.count() // ROWS_PER_PARTITION + 1
+
 
 def lag_in_order(df: DataFrame, group: str, order: str, value: str, out: str,
                  partitions: int | None = None) -> DataFrame:
@@ -20,8 +27,7 @@ def lag_in_order(df: DataFrame, group: str, order: str, value: str, out: str,
     ``group`` by ``order`` (NULL for the first).  ``order`` must be unique
     within a group."""
     from ..session import materialize
-    spark = df.sparkSession
-    n = partitions or max(spark.sparkContext.defaultParallelism, 1)
+    n = _partitions(df, partitions)
     # Range partitions are fixed once (written), so the partition id of a row
     # is the same for the lag and for the boundary table, and under retries.
     ranged = materialize(
@@ -49,19 +55,20 @@ def rank_in_order(df: DataFrame, order: list, out: str, partitions: int | None =
     ``order`` (sort Columns; end with a unique tie-breaker).
 
     A ``row_number()`` over an unpartitioned window puts every row in one
-    task.  Here rows are range-partitioned by the order, numbered inside
-    their partition, and shifted by the row count of all earlier partitions
+    task.  Here rows are range-partitioned and sorted by the order in one
+    shuffle; ``monotonically_increasing_id`` then holds the partition and the
+    place in it, and each partition is shifted by the rows of all earlier ones
     (a table with one row per partition)."""
     from ..session import materialize
-    spark = df.sparkSession
-    n = partitions or max(spark.sparkContext.defaultParallelism, 1)
-    # Partition ids fixed once (written) for the numbering and the counts.
-    ranged = materialize(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
-    local = ranged.withColumn("_local", F.row_number().over(
-        Window.partitionBy("_pid").orderBy(*order)))
+    n = _partitions(df, partitions)
+    # Written once: the ids are the same for the numbering and the counts.
+    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn("_id", F.monotonically_increasing_id()))
+    pid, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = ranged.withColumns({"_pid": pid, "_place": place}).drop("_id")
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
     offsets = F.broadcast(counts.select("_pid", F.coalesce(before, F.lit(0)).alias("_offset")))
-    return (local.join(offsets, "_pid")
-            .withColumn(out, F.col("_offset") + F.col("_local"))
-            .drop("_pid", "_local", "_offset"))
+    return (ranged.join(offsets, "_pid")
+            .withColumn(out, F.col("_offset") + F.col("_place") + 1)
+            .drop("_pid", "_place", "_offset"))

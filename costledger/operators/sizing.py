@@ -1,30 +1,13 @@
-"""Broadcast only what is proven small."""
+"""Joins against small sides: written, so that Spark knows their size."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..session import materialize as materialize_df
 
-# A broadcast side is copied to every executor.  200k narrow rows is a few MB;
-# anything that may be larger is joined by shuffle instead.
-BROADCAST_MAX_ROWS = 200_000
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      materialize: bool = False) -> DataFrame:
-    """Mark ``df`` for broadcast after counting that it holds at most
-    ``max_rows`` rows; otherwise return it unmarked so the join shuffles
-    (AQE may still pick a broadcast from the runtime size).
-
-    ``materialize`` first writes ``df`` into the shared checkpoint folder
-    (``session.materialize``), so an expensive side (an aggregate over a large history) is
-    computed once for both the count and the join, and survives executor
-    loss.  Without it the count stops at ``max_rows + 1`` rows and the side
-    is computed again inside the join, which suits plain small scans."""
-    if materialize:
-        df = materialize_df(df)
-        n = df.count()
-    else:
-        n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def known_size(df: DataFrame, materialize: bool = True) -> DataFrame:
+    """``df``, written once unless it is a written table already.  The planner
+    then has its exact size in bytes and broadcasts it, or shuffles, by that;
+    an expensive side is computed once and survives executor loss."""
+    return materialize_df(df) if materialize else df

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizing import bounded_broadcast
+from ..operators.sizing import known_size
 
 
 # Fixed values of the fixtures: the number of ad files the events are spread
@@ -50,9 +50,9 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name") \
         .filter(~F.col("n_nationkey").isin(*NATIONS_WITHOUT_RATE))
-    # supplier grows with the scale factor: broadcast it only after a row
-    # count (the planner's own estimate would pick the pruned lineitem side).
-    sn = bounded_broadcast(s.join(n, F.col("s_nationkey") == F.col("n_nationkey")))
+    # Written: its size is known then (the estimate for a join would make the
+    # planner take the pruned lineitem side for the small one).
+    sn = known_size(s.join(n, F.col("s_nationkey") == F.col("n_nationkey")))
     return (li.join(sn, F.col("l_suppkey") == F.col("s_suppkey"))
               .select(F.col("l_shipdate").cast("date").alias("date"),
                       F.col("n_name").alias("currency_code"),
@@ -137,8 +137,7 @@ def ingest_rows(spark: SparkSession, sf_dir: str, listing: DataFrame | None = No
     lst = (listing if listing is not None else ingest_listing(spark, sf_dir)) \
         .filter(F.col("src_no").isNotNull())
     ads = ad_rows(spark, sf_dir)
-    # At most one listed object per ad file plus one copy; counted anyway.
-    return (ads.join(bounded_broadcast(lst.select("object_key", "src_no", "factor")),
+    return (ads.join(lst.select("object_key", "src_no", "factor"),
                      F.col("file_no") == F.col("src_no"))
                .select("object_key", "dt", "network", "currency", "platform",
                        (F.col("cost") * F.col("factor")).alias("cost")))

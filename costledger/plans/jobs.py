@@ -7,7 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import REGISTRY, TARGET, empty
-from ..sinks.tables import publish, publish_tables, read_listing, read_state, read_tables
+from ..session import own_copies
+from ..sinks.tables import (begin_run, publish, publish_tables, read_listing, read_state, read_tables,
+                            swap_registry, truncate_table)
 from ..sources.adfiles import parquet_loader
 from ..sources.listing import list_objects
 from ..sources.rates import read_rates_table
@@ -17,36 +19,51 @@ from .run import RunResult, apply_run, rebuild, run_clock
 
 def run_ingest(spark: SparkSession, source_root: str, state_root: str, rates_table: str,
                now: datetime | None = None, rate_policy: str = "latest", policy: str = "drop",
-               allow_empty: bool = False, pad_missing: bool = False,
+               convention: str = "multiply", allow_empty: bool = False, pad_missing: bool = False,
                tables: tuple[str, str] | None = None) -> RunResult:
     """List the source, reconcile against the last committed state,
     ingest what is new and commit the new target, registry and listing.
 
-    By default the state is a snapshot per run under ``state_root``
-    (atomic, rewrites the target).  With ``tables=(target, registry)`` the
-    state lives in catalog tables and only the touched ``dt`` partitions are
-    rewritten (the mode for a large target); ``state_root`` then keeps only
-    the listing with its hashes."""
+    By default the state is a snapshot per run under ``state_root`` (atomic;
+    untouched dates are copied, not shuffled).  With ``tables=(target,
+    registry)`` the state lives in the catalog and only the touched ``dt``
+    partitions are rewritten (the mode for a large target); ``state_root``
+    then keeps the listing with its hashes, the report and which run is under
+    way, so a run that died is redone under its own id.
+
+    The frames of the result are those committed; the copies a run makes on
+    its way are removed at its end."""
     run_id, run_ts, run_date = run_clock(now)
+    redo = False
     if tables:
+        run_id, run_ts, run_date, redo = begin_run(spark, state_root, run_id, run_ts, run_date)
         target, registry = read_tables(spark, *tables)
     else:
         target, registry = read_state(spark, state_root)
-    listing = list_objects(spark, source_root, known=read_listing(spark, state_root))
-    res = apply_run(listing, registry, target, read_rates_table(spark, rates_table),
-                    parquet_loader(spark, pad_missing), run_id, run_ts, run_date,
-                    rate_policy=rate_policy, policy=policy, allow_empty=allow_empty)
-    s = res.summary.first()
-    changed = (s["n_ingested"] + s["n_relayed"] + s["n_dead_versions"]) > 0
-    if tables:
-        if changed:
-            publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry)
-        publish(spark, state_root, run_id, None, None, res.listing)   # the listing only
-    elif changed:
-        publish(spark, state_root, run_id, res.target, res.registry, res.listing)
-    else:                     # nothing changed: log the run and its listing only
-        publish(spark, state_root, run_id, None, None, res.listing)
-    return res
+    with own_copies(spark):
+        listing = list_objects(spark, source_root, known=read_listing(spark, state_root))
+        res = apply_run(listing, registry, target, lambda: read_rates_table(spark, rates_table),
+                        parquet_loader(spark, pad_missing), run_id, run_ts, run_date,
+                        rate_policy=rate_policy, policy=policy, convention=convention,
+                        allow_empty=allow_empty, redo=redo)
+        report_path = f"{state_root}/report/run={run_id}"
+        res.report.write.mode("overwrite").parquet(report_path)
+        summary = spark.createDataFrame(res.summary.collect(), res.summary.schema)      # one row
+        s = summary.first()
+        changed = (s["n_ingested"] + s["n_relayed"] + s["n_dead_versions"]) > 0
+        if tables:
+            if changed:
+                publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry)
+            entry = publish(spark, state_root, run_id, None, None, res.listing)   # the listing only
+        elif changed:
+            entry = publish(spark, state_root, run_id, res.target_touched, res.registry, res.listing,
+                            untouched=res.target_untouched)
+        else:                 # nothing changed: log the run and its listing only
+            entry = publish(spark, state_root, run_id, None, None, res.listing)
+    target, registry = read_tables(spark, *tables) if tables else read_state(spark, state_root)
+    return RunResult(registry, spark.read.parquet(report_path), summary,
+                     spark.read.parquet(entry["listing_path"]),
+                     lambda: (target.select("dt").distinct(), target, target.limit(0)))
 
 
 def run_rebuild(spark: SparkSession, source_root: str, rates_table: str,
@@ -56,7 +73,13 @@ def run_rebuild(spark: SparkSession, source_root: str, rates_table: str,
                    parquet_loader(spark), rate_policy)
 
 
-def reset_state(spark: SparkSession, state_root: str, now: datetime | None = None) -> dict:
-    """Commit an empty target and registry (the next run starts over)."""
+def reset_state(spark: SparkSession, state_root: str, now: datetime | None = None,
+                tables: tuple[str, str] | None = None) -> dict:
+    """An empty target and registry, in the catalog too with
+    ``tables`` (the next run starts over)."""
     run_id, _, _ = run_clock(now)
+    if tables:
+        swap_registry(spark, tables[1], empty(spark, REGISTRY))
+        if spark.catalog.tableExists(tables[0]):
+            truncate_table(spark, tables[0])
     return publish(spark, state_root, f"reset-{run_id}", empty(spark, TARGET), empty(spark, REGISTRY))

@@ -312,7 +312,7 @@ FROM orders""",
     "dedup_max_cost": _with("dedup") + "SELECT * FROM dedup",
     "sort_cost": _with("ad_rows") + """
 SELECT event_id, cost, file_name FROM ad_rows
-ORDER BY CASE WHEN isnan(cost) THEN NULL ELSE cost END DESC NULLS LAST, event_id LIMIT 100""",
+ORDER BY CASE WHEN isnan(cost) THEN NULL ELSE cost END DESC NULLS LAST, event_id""",
     "sort_cost_rank": _with("ad_rows") + """
 SELECT event_id, cost, file_name,
        ROW_NUMBER() OVER (ORDER BY CASE WHEN isnan(cost) THEN NULL ELSE cost END DESC NULLS LAST,

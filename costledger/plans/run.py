@@ -7,9 +7,10 @@ upsert.  ``apply_run`` is pure: it returns the new target, the new registry
 and a report; ``publish`` (in ``sinks``) writes them."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,24 +18,50 @@ from pyspark.sql import types as T
 
 from .. import operators as ops
 from ..functions import is_parquet, utc_instant, version_id
-from ..schemas import AD_INPUT, KEYS, REGISTRY, STATUS_DELETED, STATUS_PROCESSED, TARGET, empty
 from ..operators.sequence import lag_in_order
+from ..operators.skew import lookup_per_key
+from ..schemas import AD_INPUT, KEYS, REGISTRY, STATUS_DELETED, STATUS_PROCESSED, TARGET, empty
 from ..session import ensure_checkpoint_dir, materialize
 
 # A loader gets the files to read (object_key, file_name, file_hash) and returns
-# (rows with object_key + the ad columns, object keys of rejected files).
-Loader = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+# (rows with object_key + the ad columns, rejected files by object_key and,
+# if it knows, the reason) and may add what it read of each file.
+Loader = Callable[[DataFrame], tuple[DataFrame, ...]]
 
 
-@dataclass
 class RunResult:
-    target: DataFrame
-    registry: DataFrame
-    report: DataFrame      # one row per listed object with what the run did
-    summary: DataFrame     # one row: counts and the late-file flag
-    listing: DataFrame | None = None   # the listing as read (hashes included), written once
-    touched_dates: DataFrame | None = None   # dt values whose rows may have changed
-    target_touched: DataFrame | None = None  # the new target rows of those dates only
+    """What a run makes of the state.  The report and the registry need no ad
+    row; the target is worked out when it is first asked for."""
+
+    def __init__(self, registry: DataFrame, report: DataFrame, summary: DataFrame,
+                 listing: DataFrame | None, merged: Callable[[], tuple[DataFrame, DataFrame, DataFrame]]):
+        self.registry = registry
+        self.report = report      # one row per listed object with what the run did
+        self.summary = summary    # one row: counts and the late-file flag
+        self.listing = listing    # the listing as read (hashes included), written once
+        self._merged = merged
+
+    @cached_property
+    def _parts(self):
+        return self._merged()
+
+    @property
+    def touched_dates(self) -> DataFrame:
+        """dt values whose rows may have changed."""
+        return self._parts[0]
+
+    @property
+    def target_touched(self) -> DataFrame:
+        """The new target rows of those dates only."""
+        return self._parts[1]
+
+    @property
+    def target_untouched(self) -> DataFrame:
+        return self._parts[2]
+
+    @property
+    def target(self) -> DataFrame:
+        return self.target_touched.unionByName(self.target_untouched)
 
 
 class EmptyListing(RuntimeError):
@@ -43,10 +70,11 @@ class EmptyListing(RuntimeError):
 
 def run_clock(now: datetime | None = None) -> tuple[str, str, str]:
     """(run_id, run_ts, run_date) of a run started now, in UTC.
-    One timestamp stamps every row and registry entry of the run."""
+    One timestamp stamps every row and registry entry of the run; runs started
+    in the same second still differ in their id."""
     now = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
     ts = now.strftime("%Y-%m-%d %H:%M:%S")
-    return f"run-{now.strftime('%Y%m%dT%H%M%S')}", ts, now.strftime("%Y-%m-%d")
+    return f"run-{now.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}", ts, now.strftime("%Y-%m-%d")
 
 
 def classify(listing: DataFrame, registry: DataFrame) -> DataFrame:
@@ -60,19 +88,22 @@ def classify(listing: DataFrame, registry: DataFrame) -> DataFrame:
     of the same content; those visits are found by ``lag_in_order`` over the
     copies only, which range-partitions them, so a content copied under
     millions of names is split over many tasks.  The last ingested visit of
-    a content owns it (``final``);
-    earlier ones are relayed: ingested, then removed in the same run."""
+    a content owns it (``final``); earlier ones are relayed: ingested, then
+    removed in the same run.  An object without a content hash is never
+    known to be live, so it is ingested by every run."""
     pq = listing.filter(is_parquet("file_name")).select("object_key", "folder", "file_name", "file_hash")
+    hashed = pq.filter(F.col("file_hash").isNotNull())
+    total = hashed.count()
     # One partial aggregate per hash: several names <=> min(name) < max(name);
     # with a single name the first visit of the pair is the first of the hash.
-    per_hash = pq.groupBy("file_hash").agg(
+    per_hash = hashed.groupBy("file_hash").agg(
         (F.min("file_name") < F.max("file_name")).alias("_copied"),
-        F.min("object_key").alias("_first_key"))
+        F.min("object_key").alias("_first_key"), F.count(F.lit(1)).alias("_n"))
     live = ops.live_versions(registry).select("file_name", "file_hash").distinct() \
         .withColumn("_live", F.lit(True))
-    occ = (pq.join(per_hash, "file_hash")
-             .join(live, ["file_name", "file_hash"], "left")
-             .withColumn("is_live", F.col("_live").isNotNull()))
+    occ = (lookup_per_key(hashed, per_hash, "file_hash", "_n", total, "inner")
+           .join(live, ["file_name", "file_hash"], "left")
+           .withColumn("is_live", F.col("_live").isNotNull()))
     single = occ.filter(~F.col("_copied")).withColumn(
         "ingest", (F.col("object_key") == F.col("_first_key")) & ~F.col("is_live"))
     copies = lag_in_order(occ.filter(F.col("_copied")), "file_hash", "object_key",
@@ -81,22 +112,28 @@ def classify(listing: DataFrame, registry: DataFrame) -> DataFrame:
     copies = copies.withColumn(
         "ingest", F.when(prev.isNull(), ~F.col("is_live")).otherwise(prev != F.col("file_name"))
     ).drop("_prev_name")
-    visits = single.unionByName(copies)
-    last_ingest = (visits.filter("ingest").groupBy("file_hash")
-                   .agg(F.max("object_key").alias("_final_key")))
-    return (visits.join(last_ingest, "file_hash", "left")
-            .select("object_key", "folder", "file_name", "file_hash", "is_live", "ingest",
-                    (F.col("object_key") == F.col("_final_key")).alias("final"),
-                    F.col("_copied").alias("is_copy")))
-
-
-def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates: DataFrame,
+    visits = materialize(single.unionByName(copies))
+    last_ingest = visits.groupBy("file_hash").agg(
+        F.max(F.when(F.col("ingest"), F.col("object_key"))).alias("_final_key"), F.count(F.lit(1)).alias("_n"))
+    known = (lookup_per_key(visits, last_ingest, "file_hash", "_n", total, "inner")
+             .select("object_key", "folder", "file_name", "file_hash", "is_live", "ingest",
+                     F.coalesce(F.col("object_key") == F.col("_final_key"), F.lit(False)).alias("final"),
+                     F.col("_copied").alias("is_copy")))
+    bare = pq.filter(F.col("file_hash").isNull()).select(
+        "*", F.lit(False).alias("is_live"), F.lit(True).alias("ingest"), F.lit(True).alias("final"),
+        F.lit(False).alias("is_copy"))
+    return known.unionByName(bare)
+
+
+def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame,
+              rates: DataFrame | Callable[[], DataFrame],
               load: Loader, run_id: str, run_ts: str, run_date: str,
-              rate_policy: str = "latest", policy: str = "drop",
-              allow_empty: bool = False) -> RunResult:
+              rate_policy: str = "latest", policy: str = "drop", convention: str = "multiply",
+              allow_empty: bool = False, reconcile: bool = True, redo: bool = False) -> RunResult:
     """One run of the ingest job.
 
-    1. Versions of names that are no longer listed die (last version per name).
+    1. Versions of names that are no longer listed die (last version per
+       name); not with ``reconcile=False``, for a listing of new files only.
     2. Listed Parquet objects are visited in key order (``classify``): a visit
        is ingested when its (name, hash) has no live version at that moment;
        with copies, every change of name between visits of one content
@@ -107,8 +144,11 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
     4. Dead versions lose their target rows and are tombstoned; the rows of
        the accepted owners are deduped together (highest cost, ties in list
        order), converted, and upserted where the cost is strictly higher.
-    Rejected files (missing columns) are not recorded and retried next run,
-    but the versions they replace are still removed, as in the reference.
+    Rejected files (damaged, missing columns) are not recorded and retried
+    next run, but the versions they replace are still removed, as in the
+    reference.  ``rates`` may be a function; it is called only if a file is
+    new.  ``redo``: an earlier attempt died after it began to write, so target
+    rows of versions the registry does not know are removed first.
     """
     ensure_checkpoint_dir(listing.sparkSession)
     # The listing (content hashes included) is used four times: compute it once.
@@ -116,45 +156,52 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
     if not allow_empty and listing.isEmpty():
         raise EmptyListing("the listing is empty; refusing to delete every processed file")
 
-    missing = ops.files_missing(registry, listing).select("file_version_id")
     files = materialize(classify(listing, registry))
     owners = files.filter(F.col("ingest") & F.col("final"))
     relay = files.filter(F.col("ingest") & ~F.col("final"))
 
-    handed_over = (ops.live_versions(registry)
-                   .join(owners.select("file_hash"), "file_hash", "left_semi")
-                   .select("file_version_id"))
-    dead = materialize(missing.unionByName(handed_over).distinct())
+    dead = (ops.live_versions(registry)
+            .join(owners.select("file_hash"), "file_hash", "left_semi")
+            .select("file_version_id"))
+    if reconcile:
+        dead = dead.unionByName(ops.files_missing(registry, listing).select("file_version_id"))
+    if redo:
+        known = ops.live_versions(registry).select("file_version_id")
+        dead = dead.unionByName(target.select("file_version_id").distinct()
+                                .join(known, "file_version_id", "left_anti"))
+    dead = materialize(dead.distinct())
 
     spark = listing.sparkSession
-    if owners.isEmpty():      # nothing to read: no loader job, no rate lookup
+    nothing_new = owners.isEmpty()
+    if nothing_new:           # nothing to read: no loader job, no rate lookup
         rows = spark.createDataFrame([], T.StructType(
             [T.StructField("object_key", T.StringType()), *AD_INPUT.fields]))
-        rejected = spark.createDataFrame([], "object_key string")
+        rejected, read = spark.createDataFrame([], "object_key string"), []
     else:
-        rows, rejected = load(owners.select("object_key", "file_name", "file_hash"))
+        rows, rejected, *read = load(owners.select("object_key", "file_name", "file_hash"))
     rejected_keys = rejected.select("object_key").distinct()
     accepted = (owners.join(rejected_keys, "object_key", "left_anti")
                 .withColumn("file_version_id", version_id(run_id, "object_key", "file_hash")))
 
-    source_rows = rows.join(
-        accepted.select("object_key", "file_name", "file_version_id"), "object_key")
-    if owners.isEmpty():
-        source = empty(spark, TARGET)
-    else:
-        source = ops.process_ad_rows(source_rows, ops.rate_lookup(rates, rate_policy), policy,
-                                     tie_breakers=("object_key",),
-                                     materialize_rates=rate_policy != "lookup")
-        source = ops.stamp_lineage(source, F.col("file_version_id"), utc_instant(run_ts)) \
-            .select(*TARGET.fieldNames())
-
-    # Dates of the new rows from a scan of the ``dt`` column of the accepted
-    # files (a superset of the source dates: rows without a rate only add a
-    # date); the source itself is computed once, inside the merge.
-    new_dates = source_rows.select("dt")
-    touched, hot, cold = merge_touched_dates(target.select(*TARGET.fieldNames()), source, dead,
-                                             new_dates)
-    target2 = hot.unionByName(cold)
+    def source() -> DataFrame:
+        if nothing_new:
+            return empty(spark, TARGET)
+        lookup = ops.rate_lookup(rates() if callable(rates) else rates, rate_policy)
+        if rate_policy != "lookup":
+            lookup = materialize(lookup)
+        # Only a rate of 0 can make a file's top row vanish (infinite cost)
+        # while another file still has a row for the key.
+        zero = not lookup.filter(F.col("rate") == 0).isEmpty()
+        best = ops.process_ad_rows(rows, lookup, policy, tie_breakers=("object_key",), convention=convention,
+                                   materialize_rates=False, per_file="object_key" if zero else None)
+        # The file's name and version join the surviving rows only.
+        best = best.join(accepted.select("object_key", "file_name", "file_version_id"), "object_key")
+        return materialize(ops.stamp_lineage(best, F.col("file_version_id"), utc_instant(run_ts))
+                           .select(*TARGET.fieldNames()))
+
+    def merged():
+        touched, hot, cold = merge_touched_dates(target.select(*TARGET.fieldNames()), source(), dead)
+        return touched, hot.select(*TARGET.fieldNames()), cold.select(*TARGET.fieldNames())
 
     rejected_hashes = owners.join(rejected_keys, "object_key", "left_semi").select("file_hash")
     relay_ok = relay.join(rejected_hashes, "file_hash", "left_anti")
@@ -166,54 +213,34 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame, rates:
     registry1 = ops.tombstone(registry, dead, run_ts, materialize=False)
     registry2 = ops.upsert_registry(registry1, records, run_ts)
 
-    report = _report(listing, files, owners, relay, rejected_keys)
+    report = _report(listing, files, rejected, read[0] if read else None)
     summary = report.agg(
         F.bool_or((F.col("folder") == F.lit(run_date)) & is_parquet("file_name"))
          .alias("found_today_file"),
         *[F.count_if(F.col("action") == a).alias(f"n_{a}") for a in ACTIONS],
         dead.select(F.count("*")).scalar().alias("n_dead_versions"),
     )
-    return RunResult(target2.select(*TARGET.fieldNames()),
-                     registry2.select(*REGISTRY.fieldNames()), report, summary, listing,
-                     touched, hot.select(*TARGET.fieldNames()))
+    return RunResult(registry2.select(*REGISTRY.fieldNames()), report, summary, listing, merged)
 
 
-# Up to this many touched days become a literal partition filter; more go
-# through a (size-checked) broadcast semi join.
-STATIC_PRUNE_MAX_DATES = 10_000
-
-
-def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame,
-                        new_dates: DataFrame | None = None
+def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame
                         ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Delete the dead versions and upsert the source, shuffling only the
-    target rows of the dates this run touches (dates of the source and of the
-    rows of dead versions).  Returns (touched dates, new rows of those dates,
-    untouched rows).  ``new_dates`` (default: the source's) may be any
-    superset of the source dates.  The date set is one row per day, written
-    and counted; up to ``STATIC_PRUNE_MAX_DATES`` days it becomes a literal
-    ``dt IN (...)`` filter, which on a ``dt``-partitioned target reads only
-    those partitions (a semi join against a plain table would not trigger
-    dynamic pruning); beyond that a size-checked broadcast semi join.  The
-    rows of every other date pass through without a shuffle (or are not
-    rewritten at all, see ``publish_tables``)."""
-    dead_b = ops.bounded_broadcast(dead.select("file_version_id").distinct())
-    dead_dates = target.join(dead_b, "file_version_id", "left_semi").select("dt")
-    new_dates = source.select("dt") if new_dates is None else new_dates
-    touched = materialize(new_dates.unionByName(dead_dates).distinct())
+    """Delete the dead versions and upsert the source (a written table),
+    shuffling only the target rows of the dates this run touches: dates of the
+    source and of the rows of dead versions.  Returns (touched dates, new rows
+    of those dates, untouched rows).
+
+    The touched dates are one row per day, written, so their size is known:
+    the semi join with a ``dt``-partitioned target broadcasts them and prunes
+    its partitions while it runs (the comparison makes the date side a filter
+    for Spark).  Rows without a date are always among the touched ones."""
+    gone = dead.select("file_version_id").distinct()
+    dead_dates = target.join(gone, "file_version_id", "left_semi").select("dt")
+    touched = materialize(source.select("dt").unionByName(dead_dates).distinct())
     null_dt = F.col("dt").isNull()
-    n_dates = touched.count()
-    if n_dates <= STATIC_PRUNE_MAX_DATES:
-        # A short, counted list of days: a literal IN filter is a static
-        # partition filter, so only the touched dt partitions are read.
-        days = [r["dt"] for r in touched.filter(~null_dt).collect()]
-        hot_dt = F.col("dt").isin(days) if days else F.lit(False)
-        hot = target.filter(hot_dt | null_dt)
-        cold = target.filter(~hot_dt & ~null_dt)
-    else:
-        dates = ops.bounded_broadcast(touched)
-        hot = target.join(dates, "dt", "left_semi").unionByName(target.filter(null_dt))
-        cold = target.join(dates, "dt", "left_anti").filter(~null_dt)
+    dates = touched.filter(F.col("dt") >= F.lit("0001-01-01").cast("date"))
+    hot = target.join(dates, "dt", "left_semi").select(*target.columns).unionByName(target.filter(null_dt))
+    cold = target.join(dates, "dt", "left_anti").select(*target.columns).filter(~null_dt)
     merged = ops.merge_max_cost(ops.delete_versions(hot, dead, materialize=False), source, KEYS, "cost")
     return touched, merged, cold
 
@@ -221,16 +248,21 @@ def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame,
 ACTIONS = ("skipped", "unchanged", "ingested", "relayed", "rejected")
 
 
-def _report(listing, files, owners, relay, rejected_keys) -> DataFrame:
-    """What happened to each listed object."""
-    rej = rejected_keys.withColumn("_rej", F.lit(True))
-    return (listing.join(files.select("object_key", "ingest", "final"), "object_key", "left")
-            .join(rej, "object_key", "left")
-            .select(*listing.columns, F.when(~is_parquet("file_name"), "skipped")
-                    .when(~F.col("ingest"), "unchanged")
-                    .when(F.col("_rej").isNotNull(), "rejected")
-                    .when(F.col("final"), "ingested")
-                    .otherwise("relayed").alias("action")))
+def _report(listing, files, rejected, read) -> DataFrame:
+    """What happened to each listed object; why it was rejected and how many
+    values did not fit their column, if the loader tells."""
+    reason = F.col("reason") if "reason" in rejected.columns else F.lit(None).cast("string")
+    rej = rejected.groupBy("object_key").agg(F.min(reason).alias("reason")).withColumn("_rej", F.lit(True))
+    out = (listing.join(files.select("object_key", "ingest", "final"), "object_key", "left")
+           .join(rej, "object_key", "left"))
+    action = (F.when(~is_parquet("file_name"), "skipped").when(~F.col("ingest"), "unchanged")
+              .when(F.col("_rej"), "rejected").when(F.col("final"), "ingested").when(F.col("ingest"), "relayed")
+              .otherwise(F.raise_error(F.concat(F.lit("no verdict on "), F.col("object_key")))))
+    if read is None:
+        return out.select(*listing.columns, action.alias("action"))
+    return out.join(read, "object_key", "left").select(
+        *listing.columns, action.alias("action"), "reason", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.coalesce("cast_failures", F.lit(0)).alias("cast_failures"))
 
 
 def rebuild(listing: DataFrame, rates: DataFrame, load: Loader,
@@ -238,8 +270,10 @@ def rebuild(listing: DataFrame, rates: DataFrame, load: Loader,
     """Consolidate every listed Parquet file from scratch (the local dry
     run): first file per content in list order, dedup per file, convert,
     fold to the highest cost per key."""
-    files = ops.first_per_content(listing.filter(is_parquet("file_name")), "file_hash", "object_key")
-    rows, rejected = load(files.select("object_key", "file_name", "file_hash"))
+    pq = materialize(listing.filter(is_parquet("file_name")))
+    files = ops.first_per_content(pq.filter(F.col("file_hash").isNotNull()), "file_hash", "object_key") \
+        .unionByName(pq.filter(F.col("file_hash").isNull()))
+    rows, rejected, *_ = load(files.select("object_key", "file_name", "file_hash"))
     rows = rows.join(rejected.select("object_key"), "object_key", "left_anti")
     lookup = ops.rate_lookup(rates, rate_policy)
     return ops.fold_files(ops.attach_rate(rows, lookup), "object_key", KEYS)
@@ -253,5 +287,5 @@ def frame_loader(rows: DataFrame, rejected: DataFrame | None = None) -> Loader:
         got = rows.join(keys, "object_key", "left_semi")
         rej = (rejected.join(keys, "object_key", "left_semi") if rejected is not None
                else keys.limit(0))
-        return got, rej.select("object_key")
+        return got.join(rej.select("object_key"), "object_key", "left_anti"), rej
     return load

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -15,7 +16,6 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -62,5 +62,25 @@ def materialize(df):
     import uuid
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/materialized/{uuid.uuid4().hex}"
+    if _kept:
+        _kept[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_kept: list[list[str]] = []
+
+
+@contextmanager
+def own_copies(spark: SparkSession):
+    """Remove what ``materialize`` writes inside, when it ends: for a job
+    that has committed its results elsewhere."""
+    _kept.append([])
+    try:
+        yield
+    finally:
+        paths = _kept.pop()
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for p in paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)

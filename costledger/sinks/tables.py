@@ -9,7 +9,12 @@ deterministic, so the redo writes the same data)."""
 from __future__ import annotations
 
 import datetime as _dt
+import re
+import time
+import uuid
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,9 +33,9 @@ LOG_SCHEMA = T.StructType([
 
 
 def append_rates(rates: DataFrame, path: str) -> None:
-    """K1: append rate rows, partitioned by date."""
-    rates.select("date", "currency_code", "rate").write.mode("append") \
-        .partitionBy("date").parquet(path)
+    """K1: append rate rows: one file per load in one folder, so reading the
+    history lists one folder however many days it holds."""
+    rates.select("date", "currency_code", "rate").coalesce(1).write.mode("append").parquet(path)
 
 
 def write_ndjson(df: DataFrame, path: str) -> None:
@@ -52,11 +57,38 @@ def _log_path(root: str) -> str:
     return f"{root}/_runs"
 
 
-def run_log(spark: SparkSession, root: str) -> DataFrame:
+def _json_or_none(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """A JSON folder, None where it does not exist yet.  Any other failure to
+    read the state stops the run: it must not look like a first one."""
     try:
-        return spark.read.schema(LOG_SCHEMA).json(_log_path(root))
-    except Exception:  # no run yet
-        return empty(spark, LOG_SCHEMA)
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def run_log(spark: SparkSession, root: str) -> DataFrame:
+    log = _json_or_none(spark, _log_path(root), LOG_SCHEMA)
+    return empty(spark, LOG_SCHEMA) if log is None else log
+
+
+INTENT_SCHEMA = "seq long, run_id string, run_ts string, run_date string"
+
+
+def begin_run(spark: SparkSession, root: str, run_id: str, run_ts: str, run_date: str
+              ) -> tuple[str, str, str, bool]:
+    """Write down that a run is about to change tables.  If the last run that
+    did so never reached the run log, this run goes on under its id and clock,
+    so it makes the same version ids: (run_id, run_ts, run_date, whether it
+    is such a redo)."""
+    intents = _json_or_none(spark, f"{root}/_intents", INTENT_SCHEMA)
+    last = intents.orderBy(F.col("seq").desc()).first() if intents is not None else None
+    if last and run_log(spark, root).filter(F.col("run_id") == last["run_id"]).isEmpty():
+        return last["run_id"], last["run_ts"], last["run_date"], True
+    row = ((last["seq"] if last else 0) + 1, run_id, run_ts, run_date)
+    spark.createDataFrame([row], INTENT_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/_intents")
+    return run_id, run_ts, run_date, False
 
 
 def latest_run(spark: SparkSession, root: str):
@@ -83,11 +115,14 @@ def read_listing(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def publish(spark: SparkSession, root: str, run_id: str, target: DataFrame | None,
-            registry: DataFrame | None, listing: DataFrame | None = None) -> dict:
+            registry: DataFrame | None, listing: DataFrame | None = None,
+            untouched: DataFrame | None = None) -> dict:
     """Write both tables of a run, then commit it with one log line.  The
     target is partitioned by ``dt``; the rebalance hint lets AQE split a hot
-    date over several writers instead of one.  ``None`` for both tables keeps
-    the previous run's (a run that changed nothing rewrites nothing)."""
+    date over several writers instead of one.  With ``untouched``, ``target``
+    holds only the rows of the dates that the run touched.  ``None`` for both
+    tables keeps the previous run's (a run that changed nothing rewrites
+    nothing)."""
     done = run_log(spark, root).filter(F.col("run_id") == run_id).limit(1).collect()
     if done:
         return done[0].asDict()
@@ -99,8 +134,14 @@ def publish(spark: SparkSession, root: str, run_id: str, target: DataFrame | Non
     t_path = last["target_path"] if target is None else f"{root}/target/run={run_id}"
     r_path = last["registry_path"] if registry is None else f"{root}/registry/run={run_id}"
     if target is not None:
-        (target.select(*TARGET.fieldNames()).hint("rebalance", "dt")
-               .write.mode("overwrite").partitionBy("dt").parquet(t_path))
+        whole = target.select(*TARGET.fieldNames())
+        if untouched is None:
+            whole = whole.hint("rebalance", "dt")
+        else:           # rows of other dates are copied without a shuffle
+            whole = whole.hint("rebalance", "dt").unionByName(untouched.select(*TARGET.fieldNames()))
+        # Static: the whole folder is replaced if a dead attempt left files.
+        (whole.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("dt").parquet(t_path))
     if registry is not None:
         registry.select(*REGISTRY.fieldNames()).write.mode("overwrite").parquet(r_path)
     l_path = None
@@ -115,39 +156,68 @@ def publish(spark: SparkSession, root: str, run_id: str, target: DataFrame | Non
     return entry
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Dynamic partition overwrite for the writes inside only."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def publish_tables(spark: SparkSession, target_table: str, registry_table: str,
                    touched_dates: DataFrame, target_touched: DataFrame,
                    registry: DataFrame) -> None:
-    """Publish a run into catalog tables without rewriting untouched data:
-    the target is a table partitioned by ``dt``; only the partitions of the
-    touched dates are replaced (dynamic partition overwrite), and a touched
-    date left without rows has its partition dropped.  The registry (one row
-    per file version) is then replaced.
-
-    Not atomic across the two tables, but a run is idempotent: its version
-    ids are deterministic, so redoing a run that died between the two writes
-    recomputes the same rows (equal cost keeps the row) and the same
-    registry."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    """Publish a run into the catalog without rewriting untouched data: the
+    target is a table partitioned by ``dt``; only the partitions of the
+    touched dates are replaced, and a touched date left without rows has its
+    partition dropped.  The registry (one row per file version) is written as
+    a new table and then swapped in: ``registry_table`` is a view of the
+    newest one, so readers see the old or the new registry, never none.
+
+    Both frames are written before anything changes.  A run that dies between
+    the target and the registry is redone under the same run id
+    (``begin_run``), which removes rows whose version the registry does not
+    know and makes the same ones again."""
     cols = [c for c in TARGET.fieldNames() if c != "dt"] + ["dt"]
     # Written once first (the table is read upstream); the rebalance hint lets
     # AQE split a hot date over several writers.
     rows = materialize(target_touched.select(*cols).hint("rebalance", "dt"))
+    reg = materialize(registry.select(*REGISTRY.fieldNames()))
     if not spark.catalog.tableExists(target_table):
         rows.limit(0).write.partitionBy("dt").format("parquet").saveAsTable(target_table)
-    rows.write.insertInto(target_table, overwrite=True)
+    with _dynamic_overwrite(spark):
+        rows.write.insertInto(target_table, overwrite=True)
     present = rows.select("dt").distinct()
     emptied = [r["dt"] for r in touched_dates.join(present, "dt", "left_anti")
-               .filter(F.col("dt").isNotNull()).collect()]
-    for d in emptied:       # one metadata operation per emptied date
-        spark.sql(f"ALTER TABLE {target_table} DROP IF EXISTS PARTITION (dt = DATE'{d.isoformat()}')")
-    reg = materialize(registry.select(*REGISTRY.fieldNames()))
-    reg.write.mode("overwrite").format("parquet").saveAsTable(registry_table)
+               .filter(F.col("dt").isNotNull()).collect()]     # days: at most as many as a calendar has
+    if emptied:
+        parts = ", ".join(f"PARTITION (dt = DATE'{d.isoformat()}')" for d in emptied)
+        spark.sql(f"ALTER TABLE {target_table} DROP IF EXISTS {parts}")
+    swap_registry(spark, registry_table, reg)
+
+
+def swap_registry(spark: SparkSession, registry_table: str, registry: DataFrame) -> None:
+    """Write the registry as a new table and point the view at it.  Of the
+    superseded tables the newest stays, for readers that have it open."""
+    db, _, name = registry_table.rpartition(".")
+    found = spark.catalog.listTables(db or None, f"{name.lower()}_v*")
+    old = sorted(t.name for t in found if t.tableType != "VIEW" and re.fullmatch(r".*_v\d{13}_\w{8}", t.name))
+    stamp = f"v{time.time_ns() // 1_000_000:013d}_{uuid.uuid4().hex[:8]}"     # names sort by age
+    registry.write.format("parquet").saveAsTable(f"{registry_table}_{stamp}")
+    if spark.catalog.tableExists(registry_table) and spark.catalog.getTable(registry_table).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {registry_table} RENAME TO {registry_table}_v{0:013d}_{uuid.uuid4().hex[:8]}")
+    spark.sql(f"CREATE OR REPLACE VIEW {registry_table} AS SELECT * FROM {registry_table}_{stamp}")
+    for table in old[:-1]:
+        spark.sql(f"DROP TABLE IF EXISTS {db + '.' if db else ''}{table}")
 
 
 def read_tables(spark: SparkSession, target_table: str, registry_table: str
                 ) -> tuple[DataFrame, DataFrame]:
-    """(target, registry) from catalog tables, empty before the first run."""
+    """(target, registry) from the catalog, empty before the first run."""
     t = (spark.table(target_table).select(*TARGET.fieldNames())
          if spark.catalog.tableExists(target_table) else empty(spark, TARGET))
     r = (spark.table(registry_table).select(*REGISTRY.fieldNames())

@@ -1,126 +1,150 @@
 """Read the ad-spend Parquet files of a run.
 
 Files may differ in physical types (``cost`` as decimal, ``dt`` as string or
-timestamp) or lack columns.  The footers are read on the executors, files are
-grouped by the schema of their required columns, every group is one
-multi-path Parquet scan, and the groups are stacked by name."""
+timestamp), lack columns or be damaged.  The footers are read on the
+executors; the row groups of the good files are dealt over tasks by size and
+read there into one staged table, with the object key as listed, so a row's
+file is never looked up by a path spelled another way."""
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import AD_INPUT, REQUIRED_COLUMNS
 from ..session import materialize
+from .listing import spread
+from .store import store_opener
 
-FOOTER_SCHEMA = "object_key string, signature string, missing string"
-
+_FOOTER = "object_key string, row_group int, n_rows long, n_bytes long, missing string, error string"
+_RAW = ("object_key string, dt string, network string, currency string, platform string, cost double, "
+        "cost_text string, error string")
 
-# Hadoop file-system schemes and the pyarrow name of the same store.
-_PYARROW_SCHEME = {"s3a://": "s3://", "s3n://": "s3://"}
-UNREADABLE = "?"
 
-
-def _footer_reader(required=tuple(REQUIRED_COLUMNS), schemes=None):
-    """The per-partition footer reader for ``mapInPandas``.  Self-contained
-    (it captures plain values and imports inside), so it is shipped to the
-    executors by value and needs nothing of this package there."""
-    schemes = dict(schemes or _PYARROW_SCHEME)
+def _footer_reader(required=tuple(REQUIRED_COLUMNS)):
+    """The per-partition footer reader for ``mapInPandas``: a row per row
+    group, or a single one numbered -1."""
+    open_store = store_opener()
 
     def read(batches):
         import pandas as pd
-        import pyarrow.fs as pafs
         import pyarrow.parquet as pq
 
-        def schema_of(uri):
-            if uri.startswith("file:"):
-                return pq.read_schema(uri[len("file:"):])
-            for hadoop, arrow in schemes.items():
-                if uri.startswith(hadoop):
-                    uri = arrow + uri[len(hadoop):]
-            fs, path = pafs.FileSystem.from_uri(uri)
-            return pq.read_schema(path, filesystem=fs)
-
         for pdf in batches:
-            sigs, missing = [], []
+            out = []
             for key in pdf["object_key"]:
                 try:
-                    schema = schema_of(key)
-                except Exception:   # a store pyarrow cannot open: Spark reads it below
-                    sigs.append("?")
-                    missing.append("")
+                    fs, path, _ = open_store(key)
+                    with fs.open_input_file(path) as f:
+                        meta = pq.ParquetFile(f)
+                        names = set(meta.schema_arrow.names)
+                        groups = [meta.metadata.row_group(k) for k in range(meta.metadata.num_row_groups)]
+                        groups = [(k, g.num_rows, g.total_byte_size) for k, g in enumerate(groups)]
+                except Exception as e:      # a damaged file is rejected with its reason
+                    out.append((key, -1, 0, 0, "", f"{type(e).__name__}: {e}"[:500]))
                     continue
-                names = set(schema.names)
-                sigs.append(",".join(f"{c}:{schema.field(c).type}" for c in required if c in names))
-                missing.append(",".join(c for c in required if c not in names))
-            yield pd.DataFrame({"object_key": pdf["object_key"], "signature": sigs,
-                                "missing": missing})
+                missing = ",".join(c for c in required if c not in names)
+                out += [(key, *g, missing, None) for g in groups or [(-1, 0, 0)]]
+            yield pd.DataFrame(out, columns=["object_key", "row_group", "n_rows", "n_bytes", "missing", "error"])
     return read
 
 
-def _spark_signature(spark: SparkSession, path: str) -> tuple[str, str]:
-    """Fallback for a file pyarrow cannot open: its schema through Spark."""
-    fields = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema.fields}
-    return (",".join(f"{c}:{fields[c]}" for c in REQUIRED_COLUMNS if c in fields),
-            ",".join(c for c in REQUIRED_COLUMNS if c not in fields))
+def _row_reader(required=tuple(REQUIRED_COLUMNS)):
+    """The per-partition reader of row groups for ``mapInArrow``.  A row group
+    that can't be read gives one row with the reason."""
+    open_store = store_opener()
 
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
 
-def footer_schemas(files: DataFrame) -> DataFrame:
-    """Per file: the required columns it has with their Parquet types, and
-    the ones it lacks.  Only footers are read, in parallel."""
-    return files.select("object_key").mapInPandas(_footer_reader(), FOOTER_SCHEMA)
+        names = ["object_key", *required, "cost_text", "error"]
+        kinds = {"cost": pa.float64()}
+
+        def column(table, name):
+            if name not in table.schema.names:
+                return pa.nulls(table.num_rows, kinds.get(name, pa.string()))
+            c = table.column(name)
+            if pa.types.is_dictionary(c.type):
+                c = c.cast(c.type.value_type)
+            if name == "dt" and pa.types.is_timestamp(c.type):
+                c = c.cast(pa.date32(), safe=False)
+            return c
+
+        def rows(key, table):
+            values = {n: column(table, n) for n in required}
+            cost = values["cost"]
+            numeric = pa.types.is_floating(cost.type) or pa.types.is_integer(cost.type) or pa.types.is_decimal(cost.type)
+            text = pa.nulls(table.num_rows, pa.string()) if numeric else cost.cast(pa.string())
+            values["cost"] = cost.cast(pa.float64(), safe=False) if numeric else pa.nulls(table.num_rows, pa.float64())
+            arrays = [pa.array([key] * table.num_rows, pa.string()),
+                      *(values[n].cast(kinds.get(n, pa.string())) for n in required),
+                      text, pa.nulls(table.num_rows, pa.string())]
+            arrays = [a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays]
+            return pa.RecordBatch.from_arrays(arrays, names)
+
+        for b in batches:
+            for key, group, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                got = 0
+                try:
+                    fs, path, _ = open_store(key)
+                    with fs.open_input_file(path) as f:
+                        file = pq.ParquetFile(f)
+                        has = [c for c in required if c in file.schema_arrow.names]
+                        for part in file.iter_batches(row_groups=[group], columns=has):
+                            got += part.num_rows
+                            yield rows(key, pa.Table.from_batches([part]))
+                    if got != n:
+                        raise ValueError(f"row group {group} gave {got} of {n} rows")
+                except (OSError, ValueError, pa.ArrowException) as e:
+                    nulls = [pa.nulls(1, kinds.get(c, pa.string())) for c in [*required, "cost_text"]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([key]), *nulls, pa.array([f"{type(e).__name__}: {e}"[:500]])], names)
+    return read
 
 
-def _cast_to_input(df: DataFrame, present: Sequence[str]) -> DataFrame:
-    cols = []
-    for f in AD_INPUT.fields:
-        if f.name in present:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(F.col("_metadata.file_path").alias("object_key"), *cols)
+def footers(files: DataFrame) -> DataFrame:
+    """The row groups of the files, what required columns each lacks, or why
+    it can't be read.  Only footers are read, in parallel."""
+    n = max(1, min(files.count(), files.sparkSession.sparkContext.defaultParallelism))
+    return materialize(files.select("object_key").repartition(n, "object_key")
+                       .mapInPandas(_footer_reader(), _FOOTER))
 
 
 def read_ad_files(spark: SparkSession, files: DataFrame, pad_missing: bool = False
-                  ) -> tuple[DataFrame, DataFrame]:
+                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Read the files of ``files`` (``object_key`` = path).
 
-    Returns (rows, rejected): rows carry ``object_key`` and the ad columns
-    cast to the input types (``dt`` to date before any dedup, ``cost`` to
-    double; values that do not fit become NULL).  A file that lacks a
-    required column is rejected, or with ``pad_missing`` read with NULLs
-    (the legacy rule; a file without ``cost`` is still rejected, as the
-    legacy conversion fails on it).  Extra columns are ignored."""
-    # Written once (not cached: a cached plan can be matched by a later call
-    # over the same root and would serve footers of files listed before).
-    foot = materialize(footer_schemas(files))
-    odd = [r["object_key"] for r in foot.filter(F.col("signature") == UNREADABLE)
-           .select("object_key").collect()]
-    if odd:
-        fixed = spark.createDataFrame([(p, *_spark_signature(spark, p)) for p in odd], FOOTER_SCHEMA)
-        foot = materialize(foot.filter(F.col("signature") != UNREADABLE).unionByName(fixed))
-    groups = foot.select("signature", "missing").distinct().collect()
-    rows: DataFrame | None = None
-    for g in groups:
-        if g["missing"] and (not pad_missing or "cost" in g["missing"].split(",")):
-            continue
-        paths = [r["object_key"] for r in foot.filter(
-            (F.col("signature") == g["signature"]) & (F.col("missing") == g["missing"]))
-            .select("object_key").collect()]
-        present = [p.split(":", 1)[0] for p in g["signature"].split(",") if p]
-        part = _cast_to_input(spark.read.parquet(*paths), present)
-        rows = part if rows is None else rows.unionByName(part)
-    if rows is None:
-        rows = spark.createDataFrame(
-            [], T.StructType([T.StructField("object_key", T.StringType()), *AD_INPUT.fields]))
+    Returns (rows, rejected, read): rows carry ``object_key`` and the ad
+    columns cast to the input types (``dt`` to date before any dedup, ``cost``
+    to double; values that do not fit become NULL and are counted); read has
+    (object_key, n_rows, cast_failures) per file.  A file that can't be read
+    or lacks a required column is rejected (object_key, missing, reason), or
+    with ``pad_missing`` read with NULLs for columns it lacks (the legacy
+    rule; a file without ``cost`` is still rejected, as the legacy conversion
+    fails on it).  Extra columns are ignored."""
+    foot = footers(files)
     lacks = F.col("missing") != ""
-    if pad_missing:     # the legacy job pads columns, but fails on a file without cost
+    if pad_missing:
         lacks = F.array_contains(F.split("missing", ","), "cost")
-    rejected = foot.filter(lacks).select("object_key", "missing")
-    return rows, rejected
+    bad = F.col("error").isNotNull() | lacks
+    good = materialize(foot.where(~bad & (F.col("row_group") >= 0)).select("object_key", "row_group", "n_rows", "n_bytes"))
+    raw = (spread(good, ["object_key", "row_group"], "n_bytes").select("object_key", "row_group", "n_rows")
+           .mapInArrow(_row_reader(), _RAW))
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in AD_INPUT.fields}
+    typed["cost"] = F.coalesce(F.col("cost"), F.col("cost_text").try_cast("double"))
+    lost = ((F.col("dt").isNotNull() & typed["dt"].isNull()).cast("int")
+            + (F.col("cost_text").isNotNull() & typed["cost"].isNull()).cast("int"))
+    # Staged once (K2): everything downstream reads this copy.
+    staged = materialize(raw.select("object_key", *[typed[f.name].alias(f.name) for f in AD_INPUT.fields],
+                                    lost.alias("cast_failures"), "error"))
+    broken = materialize(staged.where("error IS NOT NULL").groupBy("object_key").agg(F.min("error").alias("reason")))
+    rejected = foot.where(bad & (F.col("row_group") <= 0)).select("object_key", "missing", "error") \
+        .withColumn("reason", F.coalesce("error", F.concat(F.lit("missing columns: "), F.col("missing")))).drop("error") \
+        .unionByName(broken.withColumn("missing", F.lit("")))
+    kept = staged.where("error IS NULL").join(broken.select("object_key"), "object_key", "left_anti")
+    read = kept.groupBy("object_key").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("cast_failures").alias("cast_failures"))
+    return kept.drop("cast_failures", "error"), rejected, read
 
 
 def parquet_loader(spark: SparkSession, pad_missing: bool = False):

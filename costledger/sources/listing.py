@@ -6,108 +6,122 @@ from pyspark.sql import functions as F
 
 from ..functions import base_name, folder_name
 from ..session import materialize
+from .store import store_opener
 
 _SAME_FILE = ["object_key", "length", "modification_time"]
-
-# Files up to this size are hashed from the binaryFile content column (one row
-# holds the whole file); larger ones are streamed in chunks by a small Python
-# helper, so no file is ever held whole in memory.
-INLINE_HASH_MAX_BYTES = 64 << 20
 _CHUNK = 8 << 20
+# Bytes of content that one hashing task reads, about.
+_TASK_BYTES = 128 << 20
+_ENTRY = "object_key string, length long, modification_time timestamp, is_folder boolean"
+
+
+def _lister(recursive: bool):
+    """The per-partition lister for ``mapInPandas``: what is in each folder
+    (``object_key``), or everything below it."""
+    open_store = store_opener()
+
+    def entries(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
 
+        def table(found):
+            return pd.DataFrame(found, columns=["object_key", "length", "modification_time", "is_folder"])
 
-def _md5_streamer(chunk: int = _CHUNK, schemes=None):
-    """The per-partition MD5 streamer for ``mapInPandas``.  Self-contained
-    (plain captured values, imports inside), so it is shipped to the
-    executors by value."""
-    from .adfiles import _PYARROW_SCHEME
-    schemes = dict(schemes or _PYARROW_SCHEME)
+        for pdf in batches:
+            for key in pdf["object_key"]:
+                fs, path, prefix = open_store(key)
+                found = []
+                for i in fs.get_file_info(pafs.FileSelector(path, recursive=recursive)):
+                    folder = i.type == pafs.FileType.Directory
+                    if folder and recursive:
+                        continue
+                    found.append((prefix + i.path, i.size or 0, pd.Timestamp(i.mtime), folder))
+                    if len(found) == 10_000:
+                        yield table(found)
+                        found = []
+                if found:
+                    yield table(found)
+    return entries
+
+
+def _md5_streamer(chunk: int = _CHUNK):
+    """The per-partition MD5 for ``mapInPandas``: every object is read in
+    chunks, so none is ever held whole."""
+    open_store = store_opener()
 
     def stream(batches):
         import hashlib
 
         import pandas as pd
-        import pyarrow.fs as pafs
-
-        def open_input(uri):
-            if uri.startswith("file:"):
-                return open(uri[len("file:"):], "rb")
-            for hadoop, arrow in schemes.items():
-                if uri.startswith(hadoop):
-                    uri = arrow + uri[len(hadoop):]
-            fs, path = pafs.FileSystem.from_uri(uri)
-            return fs.open_input_stream(path)
 
         for pdf in batches:
             out = []
             for key in pdf["object_key"]:
+                fs, path, _ = open_store(key)
                 h = hashlib.md5()
-                with open_input(key) as f:
-                    for block in iter(lambda: f.read(chunk), b""):
+                with fs.open_input_stream(path) as f:
+                    while block := f.read(chunk):
                         h.update(block)
                 out.append(h.hexdigest())
             yield pd.DataFrame({"object_key": pdf["object_key"], "file_hash": out})
     return stream
 
 
-def _hashed(spark: SparkSession, root_or_paths, glob: str | None, inline_max: int) -> DataFrame:
-    """Listing with MD5: small files from the binaryFile content (the length
-    filter is pushed into the source, so larger files' content is not read),
-    large files streamed in chunks, one task per file spread by key."""
-    small = (_reader(spark, glob).load(root_or_paths)
-             .filter(F.col("length") <= inline_max))
-    small = _shape(small, F.md5("content"))
-    meta = _shape(_reader(spark, glob).load(root_or_paths), F.lit(None).cast("string"))
-    big = meta.filter(F.col("length") > inline_max)
-    hashes = (big.select("object_key")
-              .repartition(spark.sparkContext.defaultParallelism, "object_key")
-              .mapInPandas(_md5_streamer(), "object_key string, file_hash string"))
-    big = big.drop("file_hash").join(hashes, "object_key").select(*small.columns)
-    return small.unionByName(big)
+def spread(df: DataFrame, by: list[str], size: str, task_bytes: int = _TASK_BYTES) -> DataFrame:
+    """A written ``df`` dealt over as many tasks as its ``size`` column asks
+    for, and no fewer than can run at once (if it has the rows)."""
+    n, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    at_once = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(n, max(at_once, (total or 0) // task_bytes + 1))), *by)
+
+
+def with_md5(objects: DataFrame) -> DataFrame:
+    """(object_key, file_hash) of a written frame (object_key, length): one
+    path for every size, spread over tasks by bytes."""
+    return (spread(objects, ["object_key"], "length").select("object_key")
+            .mapInPandas(_md5_streamer(), "object_key string, file_hash string"))
 
 
-def _reader(spark: SparkSession, glob: str | None):
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return r.option("pathGlobFilter", glob) if glob else r
+def _objects(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
+    """Every object below ``root``, listed folder by folder on executors."""
+    top = materialize(spark.createDataFrame([(root,)], "object_key string")
+                      .mapInPandas(_lister(False), _ENTRY))
+    folders = top.where("is_folder").select("object_key")
+    n = folders.count()
+    below = folders.repartition(max(1, min(n, spark.sparkContext.defaultParallelism)), "object_key") \
+        .mapInPandas(_lister(True), _ENTRY)
+    found = top.where("not is_folder").unionByName(below).drop("is_folder")
+    if glob:
+        like = "".join({"*": ".*", "?": "."}.get(c, "\\" + c if not c.isalnum() else c) for c in glob)
+        found = found.where(base_name("object_key").rlike(f"^{like}$"))
+    return materialize(found)
 
 
-def _shape(df: DataFrame, hash_col) -> DataFrame:
-    return df.select(F.col("path").alias("object_key"),
-                     folder_name("path").alias("folder"),
-                     base_name("path").alias("file_name"),
-                     hash_col.alias("file_hash"),
-                     F.col("length"),
-                     F.col("modificationTime").alias("modification_time"))
+def _shape(df: DataFrame) -> DataFrame:
+    return df.select("object_key", folder_name("object_key").alias("folder"),
+                     base_name("object_key").alias("file_name"), "file_hash", "length", "modification_time")
 
 
 def list_objects(spark: SparkSession, root: str, with_hash: bool = True,
-                 glob: str | None = None, known: DataFrame | None = None,
-                 inline_max: int = INLINE_HASH_MAX_BYTES) -> DataFrame:
-    """Every file below ``root`` (recursive) as (object_key, folder,
-    file_name, file_hash, length, modification_time).  ``object_key`` is the
-    full path, so key order is list order.  Hidden files (``_`` / ``.``
-    prefix) are not listed, as in any Spark read.
-
-    The MD5 is computed on the executors: from the ``binaryFile`` content
-    for files up to ``inline_max`` bytes, by streaming in chunks above.
-    Without ``with_hash`` no content is read.  With ``known`` (the listing of
-    the previous run) only objects whose path, length or modification time
-    changed are read and hashed; the others keep their known hash."""
+                 glob: str | None = None, known: DataFrame | None = None) -> DataFrame:
+    """Every object below ``root`` (recursive, whatever its name) as
+    (object_key, folder, file_name, file_hash, length, modification_time).
+    ``object_key`` is the full path as the store spells it, so key order is
+    list order.
+
+    Listing and MD5 run on the executors.  Without ``with_hash`` no content
+    is read.  With ``known`` (the listing of the previous run) only objects
+    whose path, length or modification time changed are read; the others keep
+    their known hash."""
+    meta = _objects(spark, root, glob)
     if not with_hash:
-        return _shape(_reader(spark, glob).load(root), F.lit(None).cast("string"))
+        return _shape(meta.withColumn("file_hash", F.lit(None).cast("string")))
     if known is None:
-        return _hashed(spark, root, glob, inline_max)
-    meta = materialize(_shape(_reader(spark, glob).load(root), F.lit(None).cast("string")))
-    prev = known.select(*_SAME_FILE, F.col("file_hash").alias("_known_hash")) \
-        .filter(F.col("_known_hash").isNotNull())
-    reused = (meta.join(prev, _SAME_FILE, "inner")
-              .withColumn("file_hash", F.col("_known_hash")).drop("_known_hash"))
-    changed = [r["object_key"] for r in
-               meta.join(prev, _SAME_FILE, "left_anti").select("object_key").collect()]
-    if not changed:
-        return reused.select(*meta.columns)
-    fresh = _hashed(spark, changed, None, inline_max)
-    return reused.select(*meta.columns).unionByName(fresh)
+        return _shape(meta.join(with_md5(meta), "object_key"))
+    prev = known.select(*_SAME_FILE, "file_hash").filter(F.col("file_hash").isNotNull())
+    same = meta.join(prev, _SAME_FILE)
+    changed = materialize(meta.join(prev, _SAME_FILE, "left_anti"))
+    return _shape(same.unionByName(changed.join(with_md5(changed), "object_key")))
 
 
 def listing_from_keys(df: DataFrame, key_col: str = "object_key",

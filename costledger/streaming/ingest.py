@@ -1,66 +1,74 @@
 """A Structured Streaming front end.
 
-The file source picks up every new Parquet file once (by path) and hands each
-micro-batch to ``foreachBatch``, which dedups, converts and upserts it into
-the published state exactly like a batch run.  Late files of any age are
-simply merged by key: there is no watermark, as in the reference.  The file
-source never reports deleted or copied files, so vanished files are handled
-by the batch ``apply_run`` only."""
+The file source names every new Parquet file once (by path).  Each
+micro-batch is an ingest run over just those files: hashed, read, deduped,
+converted, upserted and recorded in the registry like by the batch job, which
+afterwards finds them unchanged.  Late files of any age are simply merged by
+key: there is no watermark, as in the reference.  The file source never
+reports deleted files and skips names that begin with ``_`` or ``.``; those
+are the batch job's."""
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import operators as ops
-from ..functions import base_name, utc_instant, version_id
-from ..schemas import AD_INPUT, KEYS, TARGET
-from ..session import ensure_checkpoint_dir, materialize
+from ..plans.run import apply_run
+from ..session import materialize, own_copies
 from ..sinks.tables import publish, publish_tables, read_state, read_tables
+from ..sources.adfiles import parquet_loader
+from ..sources.listing import listing_from_keys, with_md5
+
+_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def ad_file_stream(spark: SparkSession, source_root: str, schema=AD_INPUT) -> DataFrame:
-    """New ``*.parquet`` files below ``source_root`` as a stream of rows with
-    their object key."""
-    return (spark.readStream.schema(schema)
+def ad_file_stream(spark: SparkSession, source_root: str) -> DataFrame:
+    """New ``*.parquet`` files below ``source_root`` as a stream of
+    (object_key, length); no content is read."""
+    return (spark.readStream.format("binaryFile").schema(_FILE)
             .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-            .parquet(source_root)
-            .withColumn("object_key", F.col("_metadata.file_path")))
+            .load(source_root).select(F.col("path").alias("object_key"), "length"))
 
 
-def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_root: str | None,
+def merge_batch(spark: SparkSession, batch: DataFrame, run_id: str, state_root: str | None,
                 rates: DataFrame, run_ts: str, rate_policy: str = "latest",
                 tables: tuple[str, str] | None = None) -> None:
-    """Upsert one micro-batch.  Idempotent: in snapshot mode a batch id
-    already in the run log is not applied twice when the stream restarts; in
-    table mode redoing a batch gives the same rows (deterministic version
-    ids, equal cost keeps the row)."""
-    run_id = f"stream-{batch_id}"
-    rows = batch.withColumn("file_name", base_name("object_key"))
-    source = ops.process_ad_rows(rows, ops.rate_lookup(rates, rate_policy), "drop",
-                                 tie_breakers=("object_key",))
-    source = materialize(ops.stamp_lineage(source, version_id(run_id, "object_key"),
-                                           utc_instant(run_ts)).select(*TARGET.fieldNames()))
-    if tables:
-        target, registry = read_tables(spark, *tables)
-        touched = materialize(source.select("dt").distinct())
-        hot = target.join(ops.bounded_broadcast(touched), "dt", "left_semi")
-        publish_tables(spark, *tables, touched, ops.merge_max_cost(hot, source, KEYS), registry)
-    else:
-        target, registry = read_state(spark, state_root)
-        publish(spark, state_root, run_id, ops.merge_max_cost(target, source, KEYS), registry)
+    """Ingest the files of one micro-batch.  Redone after a crash it changes
+    nothing twice: a snapshot run id that is in the log is skipped, and in
+    table mode the version ids follow from the run id."""
+    with own_copies(spark):
+        files = materialize(batch.select("object_key", "length"))
+        listing = listing_from_keys(with_md5(files))
+        target, registry = read_tables(spark, *tables) if tables else read_state(spark, state_root)
+        res = apply_run(listing, registry, target, rates, parquet_loader(spark), run_id, run_ts,
+                        run_ts[:10], rate_policy=rate_policy, allow_empty=True, reconcile=False)
+        if tables:
+            publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry)
+        else:
+            publish(spark, state_root, run_id, res.target_touched, res.registry, untouched=res.target_untouched)
 
 
 def start_ingest_stream(spark: SparkSession, source_root: str, state_root: str | None,
                         rates: DataFrame, run_ts: str, checkpoint: str | None = None,
                         available_now: bool = True, tables: tuple[str, str] | None = None):
     """Start the stream; with ``available_now`` it processes what is there and
-    stops (a scheduled daily run).  The stream checkpoint lives in the shared
-    checkpoint folder unless given.  ``tables`` publishes into catalog tables
-    (only the dates of each micro-batch are rewritten)."""
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/ingest-stream"
-    writer = (ad_file_stream(spark, source_root).writeStream
-              .foreachBatch(lambda df, bid: merge_batch(spark, df, bid, state_root, rates, run_ts,
-                                                        tables=tables))
+    stops (a scheduled daily run).  The stream's checkpoint stays at one place
+    below ``state_root`` for each source unless given, so the next session
+    goes on where this one stopped.  Run ids carry the id that the checkpoint
+    gives the query: a new checkpoint or a second source never repeats one.
+    ``tables`` publishes into catalog tables (only the dates of each
+    micro-batch are rewritten)."""
+    if checkpoint is None:
+        if state_root is None:
+            raise ValueError("a stream needs a checkpoint or a state_root")
+        checkpoint = f"{state_root}/_stream/{hashlib.sha256(source_root.encode()).hexdigest()[:16]}"
+
+    def each(df, batch_id):
+        query = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        merge_batch(spark, df, f"stream-{query}-{batch_id}", state_root, rates, run_ts, tables=tables)
+
+    writer = (ad_file_stream(spark, source_root).writeStream.foreachBatch(each)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="1 minute")

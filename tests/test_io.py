@@ -56,16 +56,17 @@ def test_listing_and_reader_groups_schemas(spark, scratch):
     assert set(got) == {"a.parquet", "b.parquet", "c.parquet", "notes.csv"}
     assert got["a.parquet"]["folder"] == "2024-01-29" and len(got["a.parquet"]["file_hash"]) == 32
     files = listing.filter(F.col("file_name").endswith(".parquet"))
-    rows, rejected = read_ad_files(spark, files)
+    rows, rejected, read = read_ad_files(spark, files)
+    assert sorted((r["n_rows"], r["cast_failures"]) for r in read.collect()) == [(1, 0), (1, 0)]
     out = sorted((r["object_key"].split("/")[-1], r["dt"], r["cost"]) for r in rows.collect())
     assert out == [("a.parquet", D1, 1.5), ("b.parquet", D2, 2.25)]
     assert [r["missing"] for r in rejected.collect()] == ["platform"]
-    padded, none = read_ad_files(spark, files, pad_missing=True)
+    padded, none, _ = read_ad_files(spark, files, pad_missing=True)
     assert padded.count() == 3 and none.count() == 0
     put(scratch, "2024-01-30", "d.parquet", pd.DataFrame({"dt": [D2], "network": ["n"],
                                                          "currency": ["EUR"], "platform": ["ios"]}))
     files = list_objects(spark, scratch).filter(F.col("file_name").endswith(".parquet"))
-    padded, rej = read_ad_files(spark, files, pad_missing=True)
+    padded, rej, _ = read_ad_files(spark, files, pad_missing=True)
     assert padded.count() == 3 and [r["missing"] for r in rej.collect()] == ["cost"]
 
 
@@ -204,7 +205,8 @@ def test_truncate_table(spark):
 def test_run_clock():
     from costledger.plans.run import run_clock
     run_id, ts, day = run_clock(dt.datetime(2024, 1, 30, 12, 0, 5, tzinfo=dt.timezone.utc))
-    assert (run_id, ts, day) == ("run-20240130T120005", "2024-01-30 12:00:05", "2024-01-30")
+    assert (run_id[:19], ts, day) == ("run-20240130T120005", "2024-01-30 12:00:05", "2024-01-30")
+    assert run_clock()[0] != run_clock()[0]          # also within one second
 
 
 def test_jobs_ingest_twice_reuses_listing_and_reset(spark, scratch):
@@ -226,21 +228,11 @@ def test_jobs_ingest_twice_reuses_listing_and_reset(spark, scratch):
     assert target.count() == 0 and registry.count() == 0
 
 
-def test_footer_fallback_through_spark(spark, scratch):
-    from costledger.sources.adfiles import _spark_signature
-    path = put(scratch, "2024-01-30", "a.parquet",
-               pd.DataFrame({"dt": [D2], "network": ["n"], "currency": ["EUR"], "cost": [1.0]}))
-    sig, missing = _spark_signature(spark, path)
-    assert missing == "platform" and sig.startswith("dt:date,network:string")
-
-
 def test_publish_tables_rewrites_only_touched_dates(spark, scratch):
     from costledger.sinks import publish_tables, read_tables
     rates = rates_df(spark, [(D1, "EUR", 2.0)])
     D0 = dt.date(2024, 1, 28)
     tt, rt = "t_target_probe", "t_registry_probe"
-    for t in (tt, rt):
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
 
     def run(root, run_id, day):
         target, registry = read_tables(spark, tt, rt)
@@ -269,8 +261,6 @@ def test_publish_tables_rewrites_only_touched_dates(spark, scratch):
     assert files_a == files_a2                    # the untouched date was not rewritten
     live = {r["file_name"] for r in spark.table(rt).collect() if r["status"] == "processed"}
     assert live == {"A.parquet", "C.parquet"}
-    for t in (tt, rt):
-        spark.sql(f"DROP TABLE {t}")
 
 
 def test_jobs_ingest_into_tables(spark, scratch):
@@ -278,8 +268,6 @@ def test_jobs_ingest_into_tables(spark, scratch):
     from costledger.sinks import read_tables
     src, state, rt = f"{scratch}/src", f"{scratch}/state", f"{scratch}/rates"
     tables = ("t_job_target", "t_job_registry")
-    for t in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
     append_rates(rates_df(spark, [(D1, "EUR", 2.0)]), rt)
     put(src, "2024-01-30", "a.parquet", ad([(D1, "n", "EUR", "ios", 3.0)]))
     run_ingest(spark, src, state, rt, now=dt.datetime(2024, 1, 30, 6, tzinfo=dt.timezone.utc), tables=tables)
@@ -289,16 +277,12 @@ def test_jobs_ingest_into_tables(spark, scratch):
     target, registry = read_tables(spark, *tables)
     assert [(r["cost"], r["cost_usd"]) for r in target.collect()] == [(3.0, 6.0)]
     assert registry.count() == 1
-    for t in tables:
-        spark.sql(f"DROP TABLE {t}")
 
 
 def test_stream_into_tables(spark, scratch):
     from costledger.sinks import read_tables
     src = f"{scratch}/src"
     tables = ("t_stream_target", "t_stream_registry")
-    for t in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
     put(src, "2024-01-29", "a.parquet", ad([(D1, "n", "EUR", "ios", 4.0), (D2, "m", "EUR", "ios", 1.0)]))
     rates = rates_df(spark, [(D1, "EUR", 2.0)])
     q = start_ingest_stream(spark, src, None, rates, "2024-01-30 00:00:00",
@@ -311,17 +295,219 @@ def test_stream_into_tables(spark, scratch):
     target, _ = read_tables(spark, *tables)
     assert sorted((r["dt"], r["cost"], r["file_name"]) for r in target.collect()) == \
         [(D1, 6.0, "b.parquet"), (D2, 1.0, "a.parquet")]
-    for t in tables:
-        spark.sql(f"DROP TABLE {t}")
 
 
-def test_streamed_md5_equals_inline_md5(spark, scratch):
+def test_md5_of_small_and_large_objects(spark, scratch):
     import hashlib
     put(scratch, "2024-01-29", "a.parquet", ad([(D1, "n", "EUR", "ios", 1.0)] * 50))
     with open(f"{scratch}/in/2024-01-29/big.bin", "wb") as f:
         f.write(os.urandom(20 << 20))                     # 20 MB: more than two chunks
-    inline = {r["file_name"]: r["file_hash"] for r in list_objects(spark, scratch).collect()}
-    streamed = {r["file_name"]: r["file_hash"] for r in list_objects(spark, scratch, inline_max=0).collect()}
-    assert inline == streamed
-    with open(f"{scratch}/in/2024-01-29/big.bin", "rb") as f:
-        assert streamed["big.bin"] == hashlib.md5(f.read()).hexdigest()
+    for r in list_objects(spark, scratch).collect():
+        with open(r["object_key"].removeprefix("file:"), "rb") as f:
+            assert r["file_hash"] == hashlib.md5(f.read()).hexdigest()
+    assert list_objects(spark, scratch, glob="*.bin").count() == 1
+
+
+ODD_NAMES = ["a b.parquet", "a%b.parquet", "a%20b.parquet", "a+b.parquet", "é日.parquet", "a[1].parquet", "a{x}*?.parquet",
+             "_a.parquet", ".a.parquet", "a,b.parquet"]
+
+
+def test_names_keep_their_rows(spark, scratch):
+    """Any name a store allows: listed, read and recorded under one spelling,
+    also below a folder with a space."""
+    rates = rates_df(spark, [(D1, "EUR", 2.0)])
+    src = f"{scratch}/my src"
+    for k, name in enumerate(ODD_NAMES):
+        put(src, "2024-01-30", name, ad([(D1, f"n{k}", "EUR", "ios", 1.0 + k)]))
+    res = _run(spark, src, f"{scratch}/state", rates, "run1")
+    assert {r["action"] for r in res.report.collect()} == {"ingested"}
+    target, registry = read_state(spark, f"{scratch}/state")
+    assert sorted((r["network"], r["file_name"]) for r in target.collect()) == \
+        sorted((f"n{k}", name) for k, name in enumerate(ODD_NAMES))
+    assert sorted(r["file_name"] for r in registry.collect()) == sorted(ODD_NAMES)
+    again = _run(spark, src, f"{scratch}/state", rates, "run2")
+    assert {r["action"] for r in again.report.collect()} == {"unchanged"}
+
+
+def test_damaged_files_are_rejected_with_a_reason(spark, scratch):
+    rates = rates_df(spark, [(D1, "EUR", 2.0)])
+    good = put(scratch, "2024-01-30", "good.parquet", ad([(D1, "n", "EUR", "ios", 1.0)]))
+    with open(good, "rb") as f:
+        whole = f.read()
+    with open(f"{scratch}/in/2024-01-30/cut.parquet", "wb") as f:
+        f.write(whole[:len(whole) // 2])
+    with open(f"{scratch}/in/2024-01-30/text.parquet", "wb") as f:
+        f.write(b"not a file of columns")
+    with open(f"{scratch}/in/2024-01-30/page.parquet", "wb") as f:
+        f.write(whole[:4] + b"\xff" * 60 + whole[64:])              # the footer is fine, a page is not
+    put(scratch, "2024-01-30", "odd.parquet", pa.table({
+        "dt": ["2024-01-29", "no day"], "network": ["m", "k"], "currency": ["EUR", "EUR"], "platform": ["ios", "ios"],
+        "cost": ["2.5", "much"]}))
+    res = _run(spark, scratch, f"{scratch}/state", rates, "run1")
+    got = {r["file_name"]: r for r in res.report.collect()}
+    assert {n: r["action"] for n, r in got.items()} == {
+        "good.parquet": "ingested", "odd.parquet": "ingested", "cut.parquet": "rejected", "text.parquet": "rejected",
+        "page.parquet": "rejected"}
+    assert all(got[n]["reason"] for n in ("cut.parquet", "text.parquet", "page.parquet"))
+    assert got["odd.parquet"]["cast_failures"] == 2 and got["odd.parquet"]["n_rows"] == 2
+    target, _ = read_state(spark, f"{scratch}/state")
+    assert sorted((r["network"], r["cost"]) for r in target.collect()) == [("m", 2.5), ("n", 1.0)]
+
+
+def test_state_that_cannot_be_read_is_no_first_run(spark, scratch):
+    os.makedirs(f"{scratch}/state/_runs")
+    assert run_log(spark, f"{scratch}/none").count() == 0
+    with open(f"{scratch}/state/_runs/part.json.gz", "wb") as f:
+        f.write(b"damaged")
+    with pytest.raises(Exception):
+        run_log(spark, f"{scratch}/state").collect()
+
+
+def test_rates_payload_damage_and_session_zone(spark, scratch):
+    os.makedirs(f"{scratch}/p")
+    with open(f"{scratch}/p/a.json", "w") as f:
+        json.dump({"rates": {"EUR": 0.9}}, f)
+    at = dt.datetime(2024, 1, 30, 23, 30, tzinfo=dt.timezone.utc).timestamp()
+    os.utime(f"{scratch}/p/a.json", (at, at))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for z in ("Asia/Tokyo", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", z)
+        try:
+            assert [r["date"] for r in read_rates_payloads(spark, f"{scratch}/p").collect()] == [D2]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+    with open(f"{scratch}/p/b.json", "w") as f:
+        f.write('{"rates": {"EUR": 0.9, "GBP"')
+    with pytest.raises(Exception, match="damaged rates payload"):
+        read_rates_payloads(spark, f"{scratch}/p").collect()
+
+
+def _stream(spark, src, state, day, **kw):
+    q = start_ingest_stream(spark, src, state, rates_df(spark, [(D1, "EUR", 2.0)]), f"{day} 00:00:00", **kw)
+    q.awaitTermination(120)
+    assert q.exception() is None
+
+
+def test_stream_loses_nothing(spark, scratch):
+    """A later session, a new checkpoint, a second source, rows without a
+    date; a batch run afterwards finds every file unchanged."""
+    from costledger.plans.jobs import run_ingest
+    src, other, state, rt = f"{scratch}/src", f"{scratch}/other", f"{scratch}/state", f"{scratch}/rates"
+    append_rates(rates_df(spark, [(D1, "EUR", 2.0)]), rt)
+    put(src, "2024-01-29", "a.parquet", ad([(D1, "n", "EUR", "ios", 4.0), (None, "z", "EUR", "ios", 1.0)]))
+    _stream(spark, src, state, "2024-01-30")
+    put(src, "2024-01-30", "b.parquet", ad([(D1, "m", "EUR", "ios", 5.0)]))
+    _stream(spark, src, state, "2024-01-31")                                          # goes on where it stopped
+    put(src, "2024-01-30", "c.parquet", ad([(D1, "k", "EUR", "ios", 6.0)]))
+    _stream(spark, src, state, "2024-02-01", checkpoint=f"{scratch}/fresh")           # starts over: a and b again
+    put(other, "2024-01-30", "d.parquet", ad([(None, "y", "EUR", "ios", 7.0)]))
+    _stream(spark, other, state, "2024-02-02")
+    want = [("k", 6.0), ("m", 5.0), ("n", 4.0), ("y", 7.0), ("z", 1.0)]
+    target, registry = read_state(spark, state)
+    assert sorted((r["network"], r["cost"]) for r in target.collect()) == want
+    assert sorted(r["file_name"] for r in registry.where("status = 'processed'").collect()) == \
+        ["a.parquet", "b.parquet", "c.parquet", "d.parquet"]
+    os.makedirs(f"{src}/in/2024-02-03")
+    with open(f"{other}/in/2024-01-30/d.parquet", "rb") as f, open(f"{src}/in/2024-02-03/d.parquet", "wb") as g:
+        g.write(f.read())
+    res = run_ingest(spark, src, state, rt, now=dt.datetime(2024, 2, 3, 6, tzinfo=dt.timezone.utc))
+    assert {r["action"] for r in res.report.collect()} == {"unchanged"}
+    assert sorted((r["network"], r["cost"]) for r in read_state(spark, state)[0].collect()) == want
+
+
+def test_stream_into_tables_keeps_rows_without_date(spark, scratch):
+    from costledger.sinks import read_tables
+    tables = ("t_null_target", "t_null_registry")
+    src = f"{scratch}/src"
+    put(src, "2024-01-29", "a.parquet", ad([(None, "z", "EUR", "ios", 1.0), (D1, "n", "EUR", "ios", 4.0)]))
+    _stream(spark, src, None, "2024-01-30", checkpoint=f"{scratch}/c", tables=tables)
+    put(src, "2024-01-30", "b.parquet", ad([(None, "y", "EUR", "ios", 2.0)]))
+    _stream(spark, src, None, "2024-01-31", checkpoint=f"{scratch}/c", tables=tables)
+    target, _ = read_tables(spark, *tables)
+    assert sorted((r["network"], r["cost"]) for r in target.collect()) == [("n", 4.0), ("y", 2.0), ("z", 1.0)]
+
+
+STEPS = ["intent", "target", "partitions", "registry"]
+
+
+@pytest.mark.parametrize("dies_after", STEPS)
+def test_run_that_dies_is_redone(spark, scratch, monkeypatch, dies_after):
+    """Killed after each write step, redone later, then a file vanishes:
+    target and registry equal those of an undisturbed history."""
+    from costledger.plans import jobs
+    from costledger.sinks import read_tables
+    from costledger.sinks import tables as sink
+
+    class Dead(Exception):
+        pass
+
+    def history(label, kill):
+        src, state, rt = f"{scratch}/src", f"{scratch}/state_{label}", f"{scratch}/rates_{label}"
+        src = f"{scratch}/src_{label}"
+        tables = (f"t_crash_{label}_{dies_after}", f"r_crash_{label}_{dies_after}")
+        append_rates(rates_df(spark, [(D1, "EUR", 2.0)]), rt)
+        put(src, "2024-01-29", "a.parquet", ad([(D1, "n", "EUR", "ios", 3.0), (D2, "m", "EUR", "ios", 1.0)]))
+        go = lambda day: jobs.run_ingest(spark, src, state, rt, tables=tables,
+                                         now=dt.datetime(2024, 2, day, 6, tzinfo=dt.timezone.utc))
+        go(1)
+        put(src, "2024-01-30", "b.parquet", ad([(D1, "n", "EUR", "ios", 5.0), (D2, "k", "EUR", "ios", 2.0)]))
+        if kill:
+            with monkeypatch.context() as m:
+                def dying(f):
+                    def g(*a, **k):
+                        f(*a, **k)
+                        raise Dead
+                    return g
+                if dies_after == "intent":
+                    m.setattr(jobs, "list_objects", dying(lambda *a, **k: None))
+                elif dies_after == "target":
+                    m.setattr(sink, "swap_registry", dying(lambda *a, **k: None))
+                elif dies_after == "partitions":
+                    m.setattr(sink, "swap_registry", dying(lambda s, n, r: r.count()))
+                else:
+                    m.setattr(sink, "swap_registry", dying(sink.swap_registry))
+                with pytest.raises(Dead):
+                    go(2)
+        go(3 if kill else 2)
+        os.unlink(f"{src}/in/2024-01-30/b.parquet")
+        go(4)
+        target, registry = read_tables(spark, *tables)
+        out = (sorted((r["dt"], r["network"], r["cost"], r["file_name"]) for r in target.collect()),
+               sorted((r["file_name"], r["file_hash"] or "", r["status"]) for r in registry.collect()))
+        versions = {r["file_version_id"] for r in registry.where("status = 'processed'").collect()}
+        assert {r["file_version_id"] for r in target.collect()} <= versions
+        return out
+
+    assert history("killed", True) == history("calm", False)
+
+
+def test_file_that_vanishes_between_attempts(spark, scratch, monkeypatch):
+    """Rows that a dead attempt wrote don't outlive their file."""
+    from costledger.plans import jobs
+    from costledger.sinks import read_tables
+    from costledger.sinks import tables as sink
+    src, state, rt = f"{scratch}/src", f"{scratch}/state", f"{scratch}/rates"
+    tables = ("t_orphan", "r_orphan")
+    append_rates(rates_df(spark, [(D1, "EUR", 2.0)]), rt)
+    put(src, "2024-01-29", "a.parquet", ad([(D1, "n", "EUR", "ios", 3.0)]))
+    go = lambda day: jobs.run_ingest(spark, src, state, rt, tables=tables,
+                                     now=dt.datetime(2024, 2, day, 6, tzinfo=dt.timezone.utc))
+    go(1)
+    put(src, "2024-01-30", "b.parquet", ad([(D2, "k", "EUR", "ios", 2.0)]))
+    with monkeypatch.context() as m:
+        m.setattr(sink, "swap_registry", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            go(2)
+    os.unlink(f"{src}/in/2024-01-30/b.parquet")
+    go(3)
+    target, registry = read_tables(spark, *tables)
+    assert [(r["network"], r["file_name"]) for r in target.collect()] == [("n", "a.parquet")]
+    assert [r["file_name"] for r in registry.where("status = 'processed'").collect()] == ["a.parquet"]
+    jobs.reset_state(spark, state, tables=tables)
+    assert [t.count() for t in read_tables(spark, *tables)] == [0, 0]
+
+
+def test_preview_prints_rows(spark, capsys):
+    from costledger.sinks import preview
+    preview(spark.range(3), 2)
+    assert "|0" in capsys.readouterr().out
