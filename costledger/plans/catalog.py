@@ -292,6 +292,37 @@ def ingest_summary(spark, d):
     return _ingest(spark, d).summary
 
 
+def file_ingest_end_state(spark, d):
+    """The run over real files: written, listed, hashed, read and merged."""
+    import uuid
+
+    from ..schemas import REGISTRY, TARGET, empty
+    from ..session import ensure_checkpoint_dir
+    from ..sources import list_objects, parquet_loader
+    from .run import apply_run
+    root = f"{ensure_checkpoint_dir(spark)}/ad files {uuid.uuid4().hex}"
+    n = fx.write_ad_files(spark, d, root)
+    listing = list_objects(spark, root)
+    res = apply_run(listing, empty(spark, REGISTRY), empty(spark, TARGET), _latest(spark, d), parquet_loader(spark),
+                    fx.RUN_ID, fx.RUN_TS, fx.RUN_DATE)
+    ingested = res.summary.first()["n_ingested"]
+    if ingested != n:
+        raise RuntimeError(f"{ingested} of {n} files ingested")
+    return res.target.select(*KEYS, "cost", "cost_usd", "file_name")
+
+
+def ingest_copies_report(spark, d):
+    """What a run does with each object when a third are copies of one
+    content and some have no hash."""
+    from ..schemas import AD_INPUT, TARGET, empty
+    from .run import apply_run, frame_loader
+    rows = spark.createDataFrame([], "object_key string, " + ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" for f in AD_INPUT.fields))
+    res = apply_run(materialize(fx.copied_listing(spark, d)), materialize(fx.copied_registry(spark, d)),
+                    empty(spark, TARGET), _latest(spark, d), frame_loader(rows), fx.RUN_ID, fx.RUN_TS, fx.RUN_DATE)
+    return res.report.select("object_key", "file_hash", "action")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_ad_spend": flagship_ad_spend,
     "ad_rows_scan": ad_rows_scan,
@@ -333,4 +364,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_registry": ingest_registry,
     "ingest_report": ingest_report,
     "ingest_summary": ingest_summary,
+    "file_ingest_end_state": file_ingest_end_state,
+    "ingest_copies_report": ingest_copies_report,
 }

@@ -151,3 +151,68 @@ def ingest_registry0(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ad_name(no).alias("file_name"), F.md5(_ad_name(no)).alias("file_hash"),
         F.concat(F.lit("v_"), _ad_name(no)).alias("file_version_id"),
         ts.alias("upload_date"), ts.alias("processed_date"), F.lit("processed").alias("status"))
+
+
+# Fixed values of the file fixture: the least number of files, events of a
+# further file, and the names that files take in turn.
+MIN_FILES, EVENTS_PER_FILE = 8, 2500
+ODD_NAMES = ("ads_{}.parquet", "ads {}.parquet", "ads%20{}.parquet", "ads+{}.parquet", "adsé{}.parquet",
+             "ads[{}].parquet", "_ads{}.parquet", ".ads{}.parquet")
+
+
+def odd_name(no):
+    parts = [n.split("{}") for n in ODD_NAMES]
+    out = F.lit(None).cast("string")
+    for k, (before, after) in enumerate(parts):
+        out = F.when(no % len(parts) == k, F.concat(F.lit(before), no.cast("string"), F.lit(after))).otherwise(out)
+    return out
+
+
+def write_ad_files(spark: SparkSession, sf_dir: str, root: str) -> int:
+    """The events as real Parquet files below ``root``, written by tasks, one
+    group of events each; names that a reader may trip over.  Returns how
+    many."""
+    from ..sources.store import store_opener
+    ads = ad_rows(spark, sf_dir)
+    n = MIN_FILES + ads.count() // EVENTS_PER_FILE
+    open_store = store_opener()
+
+    def write(pdf):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        name = pdf["name"].iloc[0]
+        fs, path, _ = open_store(f"{root}/2024-01-30")
+        fs.create_dir(path, recursive=True)
+        with fs.open_output_stream(f"{path}/{name}") as f:
+            pq.write_table(pa.Table.from_pandas(pdf.drop(columns="name"), preserve_index=False), f)
+        return pd.DataFrame({"name": [name], "rows": [len(pdf)]})
+
+    rows = ads.select("dt", "network", "currency", "platform", "cost",
+                      odd_name(F.col("event_id") % n).alias("name"))
+    return rows.groupBy("name").applyInPandas(write, "name string, rows long").count()
+
+
+def copied_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects from ``orders``: a third of them are copies of one content
+    under a thousand names, some have no content hash, some are no Parquet."""
+    k = F.col("o_orderkey")
+    key = k.cast("string")
+    name = (F.when(k % 101 == 0, F.concat(F.lit("x_"), key, F.lit(".csv")))
+            .when(k % 3 == 0, F.concat(F.lit("c_"), (k % 1000).cast("string"), F.lit(".parquet")))
+            .otherwise(F.concat(F.lit("f_"), key, F.lit(".parquet"))))
+    content = F.when(k % 3 == 0, F.md5(F.lit("shared"))).when(k % 50 == 1, F.lit(None)).otherwise(F.md5(key))
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("in/"), key, F.lit("/"), name).alias("object_key"), key.alias("folder"),
+        name.alias("file_name"), content.alias("file_hash"))
+
+
+def copied_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the single objects and one copy were processed before."""
+    ts = F.lit(REGISTRY_TS).cast("timestamp_ntz")
+    return (copied_listing(spark, sf_dir)
+            .filter((F.col("folder").cast("long") % 4 == 1) & F.col("file_name").startswith("f_")
+                    | (F.col("file_name") == "c_3.parquet"))
+            .select("file_name", "file_hash", F.concat(F.lit("v_"), F.col("folder")).alias("file_version_id"),
+                    ts.alias("upload_date"), ts.alias("processed_date"), F.lit("processed").alias("status")))

@@ -3,7 +3,7 @@ The base tables are views named after the parquet files; the fixture views of
 ``fixtures.py`` are repeated here as CTEs."""
 from __future__ import annotations
 
-from .fixtures import REGISTRY_TS, RUN_DATE, RUN_ID, RUN_TS
+from .fixtures import EVENTS_PER_FILE, MIN_FILES, ODD_NAMES, REGISTRY_TS, RUN_DATE, RUN_ID, RUN_TS
 
 VIEWS = {
     "ad_rows": """
@@ -296,10 +296,38 @@ FROM (SELECT r.*, (r.status = 'processed' AND r.file_version_id IN ({dead_sql}))
 
 _USD_DROP = "WHERE a.cost * l.rate IS NOT NULL AND NOT isnan(a.cost * l.rate)"
 
+_ODD_NAME = "CASE no % {} {} END".format(len(ODD_NAMES), " ".join(
+    "WHEN {} THEN '{}' || CAST(no AS VARCHAR) || '{}'".format(k, *n.split("{}")) for k, n in enumerate(ODD_NAMES)))
+
 SQL: dict[str, str] = {
     "flagship_ad_spend": _with("dedup", "latest") + f"""
 SELECT a.dt, a.network, a.currency, a.platform, a.cost, a.cost * l.rate AS cost_usd, a.file_name, a.event_id
 FROM dedup a JOIN latest l ON a.currency = l.currency_code {_USD_DROP}""",
+    "file_ingest_end_state": _with("ad_rows", "latest") + f"""
+, named AS (SELECT a.*, event_id % n AS no FROM ad_rows a, (SELECT {MIN_FILES} + count(*) // {EVENTS_PER_FILE} AS n FROM ad_rows)),
+files AS (SELECT dt, network, currency, platform, cost, {_ODD_NAME} AS file_name FROM named),
+best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY dt, network, currency, platform
+    ORDER BY CASE WHEN isnan(cost) THEN NULL ELSE cost END DESC NULLS LAST, file_name) AS rn FROM files)
+SELECT a.dt, a.network, a.currency, a.platform, a.cost, a.cost * l.rate AS cost_usd, a.file_name
+FROM (SELECT * FROM best WHERE rn = 1) a JOIN latest l ON a.currency = l.currency_code {_USD_DROP}""",
+    "ingest_copies_report": """
+WITH l AS (SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey AS k FROM orders),
+named AS (SELECT key, k, CASE WHEN k % 101 = 0 THEN 'x_' || key || '.csv' WHEN k % 3 = 0 THEN 'c_' || CAST(k % 1000 AS VARCHAR) || '.parquet'
+                    ELSE 'f_' || key || '.parquet' END AS file_name,
+          CASE WHEN k % 3 = 0 THEN md5('shared') WHEN k % 50 = 1 THEN NULL ELSE md5(key) END AS file_hash FROM l),
+listing AS (SELECT 'in/' || key || '/' || file_name AS object_key, * FROM named),
+live AS (SELECT DISTINCT file_name, file_hash FROM listing WHERE (k % 4 = 1 AND starts_with(file_name, 'f_')) OR file_name = 'c_3.parquet'),
+v AS (SELECT a.*, live.file_name IS NOT NULL AS is_live,
+             lag(a.file_name) OVER w AS prev, ROW_NUMBER() OVER w AS rn,
+             min(a.file_name) OVER (PARTITION BY a.file_hash) < max(a.file_name) OVER (PARTITION BY a.file_hash) AS copied
+      FROM listing a LEFT JOIN live ON a.file_name = live.file_name AND a.file_hash = live.file_hash
+      WHERE a.file_name LIKE '%.parquet' WINDOW w AS (PARTITION BY a.file_hash ORDER BY a.object_key)),
+i AS (SELECT *, CASE WHEN file_hash IS NULL THEN TRUE WHEN NOT copied THEN rn = 1 AND NOT is_live
+                WHEN prev IS NULL THEN NOT is_live ELSE prev <> file_name END AS ingest FROM v),
+f AS (SELECT *, file_hash IS NULL OR object_key = max(CASE WHEN ingest THEN object_key END) OVER (PARTITION BY file_hash) AS final FROM i)
+SELECT listing.object_key, listing.file_hash,
+       CASE WHEN f.object_key IS NULL THEN 'skipped' WHEN NOT ingest THEN 'unchanged' WHEN final THEN 'ingested' ELSE 'relayed' END AS action
+FROM listing LEFT JOIN f USING (object_key)""",
     "ad_rows_scan": _with("ad_rows") + "SELECT * FROM ad_rows",
     "cast_ad_rows": """
 SELECT o_orderkey, TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS priority_num,
