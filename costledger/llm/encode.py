@@ -140,7 +140,8 @@ class PieceTable:
 
 def word_encoder(tokenizer_file: str):
     """A function from an Arrow string array to (ids, counts): the ids of all
-    texts in a row as int32, and how many each has (null: none)."""
+    texts in a row as int32, and how many each has (null: none).  Its
+    ``counted`` gives how often each id occurs instead."""
     import os
     import sys
     import types
@@ -217,21 +218,38 @@ def word_encoder(tokenizer_file: str):
             table.long.update((pieces[k], first + int(k)) for k in np.flatnonzero(~fits))
         return at
 
-    def encode(texts):
+    def entries(texts):
+        """(number of each distinct piece, which of them each piece is,
+        pieces of each text)."""
         pieces, per = cut(pc.fill_null(texts, ""))
-        if not len(pieces):
-            return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
         coded = pieces.dictionary_encode()
         if shared["n"] > CACHE_PIECES:
             reset()
-        at = numbers_of(coded.dictionary)
-        first, size = shared["ends"][at], shared["ends"][at + 1] - shared["ends"][at]
-        entry = coded.indices.to_numpy(zero_copy_only=False)
-        many = size[entry]
-        total = np.zeros(len(many) + 1, np.int32)
-        np.cumsum(many, out=total[1:])
-        place = np.repeat(first[entry] - total[:-1], many)
+        at = numbers_of(coded.dictionary) if len(pieces) else np.empty(0, np.int32)
+        return at, coded.indices.to_numpy(zero_copy_only=False), per
+
+    def gather(first, size):
+        """The ids of pieces that begin at ``first`` and have ``size`` ids;
+        where each piece's ids end."""
+        total = np.zeros(len(size) + 1, np.int32)
+        np.cumsum(size, out=total[1:])
+        place = np.repeat(first - total[:-1], size)
         place += np.arange(total[-1], dtype=np.int32)
-        return shared["flat"][place], np.diff(total[np.concatenate(([0], np.cumsum(per)))]).astype(np.int64)
+        return shared["flat"][place], total
+
+    def encode(texts):
+        at, entry, per = entries(texts)
+        first, size = shared["ends"][at], shared["ends"][at + 1] - shared["ends"][at]
+        ids, total = gather(first[entry], size[entry])
+        return ids, np.diff(total[np.concatenate(([0], np.cumsum(per)))]).astype(np.int64)
+
+    def counted(texts):
+        """How often each id occurs: every distinct piece is looked at once."""
+        at, entry, _ = entries(texts)
+        first, size = shared["ends"][at], shared["ends"][at + 1] - shared["ends"][at]
+        ids, _ = gather(first, size)
+        times = np.repeat(np.bincount(entry, minlength=len(at)), size)
+        return np.bincount(ids, times).astype(np.int64)  # sums far below 2^53: exact
 
+    encode.counted = counted
     return encode

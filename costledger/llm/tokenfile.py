@@ -44,11 +44,12 @@ def token_counts(docs: DataFrame, tokenizer_file: str, end_id: int = 1, text_col
         encode = word_encoder(tokenizer_file)
         counts = np.zeros(0, np.int64)
         for b in slices(batches, text_col, ENCODE_BYTES):
-            ids, n = encode(b.column(0))
-            got = np.bincount(ids, minlength=max(end_id + 1, len(counts)))
-            got[end_id] += len(n)
-            got[:len(counts)] += counts
-            counts = got
+            got = encode.counted(b.column(0))
+            wide = np.zeros(max(end_id + 1, len(counts), len(got)), np.int64)
+            wide[:len(counts)] += counts
+            wide[:len(got)] += got
+            wide[end_id] += b.num_rows
+            counts = wide
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], ["id", "n"])
 
