@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import REGISTRY, TARGET, empty
 from ..session import own_copies
 from ..sinks.tables import (begin_run, publish, publish_tables, read_listing, read_state, read_tables,
-                            swap_registry, truncate_table)
+                            read_version_dates, swap_registry, truncate_table, write_version_dates)
 from ..sources.adfiles import parquet_loader
 from ..sources.listing import list_objects
 from ..sources.rates import read_rates_table
@@ -45,12 +45,14 @@ def run_ingest(spark: SparkSession, source_root: str, state_root: str, rates_tab
         res = apply_run(listing, registry, target, lambda: read_rates_table(spark, rates_table),
                         parquet_loader(spark, pad_missing), run_id, run_ts, run_date,
                         rate_policy=rate_policy, policy=policy, convention=convention,
-                        allow_empty=allow_empty, redo=redo)
+                        allow_empty=allow_empty, redo=redo, version_dates=read_version_dates(spark, state_root))
         report_path = f"{state_root}/report/run={run_id}"
         res.report.write.mode("overwrite").parquet(report_path)
         summary = spark.createDataFrame(res.summary.collect(), res.summary.schema)      # one row
         s = summary.first()
         changed = (s["n_ingested"] + s["n_relayed"] + s["n_dead_versions"]) > 0
+        if changed:
+            write_version_dates(res.version_dates, state_root, run_id)
         if tables:
             if changed:
                 publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry)
@@ -63,7 +65,8 @@ def run_ingest(spark: SparkSession, source_root: str, state_root: str, rates_tab
     target, registry = read_tables(spark, *tables) if tables else read_state(spark, state_root)
     return RunResult(registry, spark.read.parquet(report_path), summary,
                      spark.read.parquet(entry["listing_path"]),
-                     lambda: (target.select("dt").distinct(), target, target.limit(0)))
+                     lambda: (target.select("dt").distinct(), target, target.limit(0),
+                             target.select("file_version_id", "dt").distinct()))
 
 
 def run_rebuild(spark: SparkSession, source_root: str, rates_table: str,

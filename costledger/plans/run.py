@@ -34,7 +34,7 @@ class RunResult:
     row; the target is worked out when it is first asked for."""
 
     def __init__(self, registry: DataFrame, report: DataFrame, summary: DataFrame,
-                 listing: DataFrame | None, merged: Callable[[], tuple[DataFrame, DataFrame, DataFrame]]):
+                 listing: DataFrame | None, merged: Callable[[], tuple[DataFrame, ...]]):
         self.registry = registry
         self.report = report      # one row per listed object with what the run did
         self.summary = summary    # one row: counts and the late-file flag
@@ -59,6 +59,11 @@ class RunResult:
     def target_untouched(self) -> DataFrame:
         return self._parts[2]
 
+    @property
+    def version_dates(self) -> DataFrame:
+        """(file_version_id, dt) of the rows this run brought in."""
+        return self._parts[3]
+
     @property
     def target(self) -> DataFrame:
         return self.target_touched.unionByName(self.target_untouched)
@@ -129,7 +134,8 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame,
               rates: DataFrame | Callable[[], DataFrame],
               load: Loader, run_id: str, run_ts: str, run_date: str,
               rate_policy: str = "latest", policy: str = "drop", convention: str = "multiply",
-              allow_empty: bool = False, reconcile: bool = True, redo: bool = False) -> RunResult:
+              allow_empty: bool = False, reconcile: bool = True, redo: bool = False,
+              version_dates: DataFrame | None = None) -> RunResult:
     """One run of the ingest job.
 
     1. Versions of names that are no longer listed die (last version per
@@ -149,6 +155,8 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame,
     reference.  ``rates`` may be a function; it is called only if a file is
     new.  ``redo``: an earlier attempt died after it began to write, so target
     rows of versions the registry does not know are removed first.
+    ``version_dates`` (file_version_id, dt) from earlier runs saves looking
+    for the dates of dead versions in the target.
     """
     ensure_checkpoint_dir(listing.sparkSession)
     # The listing (content hashes included) is used four times: compute it once.
@@ -200,8 +208,10 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame,
                            .select(*TARGET.fieldNames()))
 
     def merged():
-        touched, hot, cold = merge_touched_dates(target.select(*TARGET.fieldNames()), source(), dead)
-        return touched, hot.select(*TARGET.fieldNames()), cold.select(*TARGET.fieldNames())
+        new = source()
+        touched, hot, cold = merge_touched_dates(target.select(*TARGET.fieldNames()), new, dead, version_dates)
+        return (touched, hot.select(*TARGET.fieldNames()), cold.select(*TARGET.fieldNames()),
+                new.select("file_version_id", "dt").distinct())
 
     rejected_hashes = owners.join(rejected_keys, "object_key", "left_semi").select("file_hash")
     relay_ok = relay.join(rejected_hashes, "file_hash", "left_anti")
@@ -223,8 +233,22 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame,
     return RunResult(registry2.select(*REGISTRY.fieldNames()), report, summary, listing, merged)
 
 
-def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame
-                        ) -> tuple[DataFrame, DataFrame, DataFrame]:
+def dates_of_versions(target: DataFrame, versions: DataFrame, known: DataFrame | None) -> DataFrame:
+    """The dates that hold rows of ``versions``: from ``known``
+    (file_version_id, dt; any superset of the rows) where it has the version,
+    else from a scan of the target's version and date columns."""
+    wanted = versions.select("file_version_id").distinct()
+    if known is None:
+        return target.join(wanted, "file_version_id", "left_semi").select("dt")
+    dates = known.join(wanted, "file_version_id", "left_semi").select("dt")
+    unknown = materialize(wanted.join(known.select("file_version_id"), "file_version_id", "left_anti"))
+    if unknown.isEmpty():
+        return dates
+    return dates.unionByName(target.join(unknown, "file_version_id", "left_semi").select("dt"))
+
+
+def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame,
+                        version_dates: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Delete the dead versions and upsert the source (a written table),
     shuffling only the target rows of the dates this run touches: dates of the
     source and of the rows of dead versions.  Returns (touched dates, new rows
@@ -234,8 +258,7 @@ def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame
     the semi join with a ``dt``-partitioned target broadcasts them and prunes
     its partitions while it runs (the comparison makes the date side a filter
     for Spark).  Rows without a date are always among the touched ones."""
-    gone = dead.select("file_version_id").distinct()
-    dead_dates = target.join(gone, "file_version_id", "left_semi").select("dt")
+    dead_dates = dates_of_versions(target, dead, version_dates)
     touched = materialize(source.select("dt").unionByName(dead_dates).distinct())
     null_dt = F.col("dt").isNull()
     dates = touched.filter(F.col("dt") >= F.lit("0001-01-01").cast("date"))

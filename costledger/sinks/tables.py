@@ -114,6 +114,23 @@ def read_listing(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(last["listing_path"])
 
 
+def write_version_dates(dates: DataFrame, root: str, run_id: str) -> None:
+    """The dates of the rows of each version that a run brings in, so that a
+    later run finds them without the target.  Written before the target: a
+    date too many does no harm."""
+    dates.select("file_version_id", "dt").coalesce(1).write.mode("overwrite").parquet(f"{root}/version_dates/run={run_id}")
+
+
+def read_version_dates(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.schema("file_version_id string, dt date").option("recursiveFileLookup", "true") \
+            .parquet(f"{root}/version_dates")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def publish(spark: SparkSession, root: str, run_id: str, target: DataFrame | None,
             registry: DataFrame | None, listing: DataFrame | None = None,
             untouched: DataFrame | None = None) -> dict:

@@ -116,6 +116,25 @@ def test_new_rows_are_shuffled_once(spark, scratch):
     assert res.target.count() == 50 and set(KEYS) <= set(res.target.columns)
 
 
+def test_dates_of_dead_versions_need_no_target(spark, scratch):
+    """Known versions come from the side table, others from the target."""
+    import datetime as dt
+
+    from costledger.plans.run import dates_of_versions
+    from costledger.schemas import TARGET
+    days = [dt.date(2024, 1, 1 + k) for k in range(4)]
+    rows = [(d, "n", "EUR", "ios", 1.0, 1.0, "f", f"v{k}", dt.datetime(2024, 1, 1)) for k, d in enumerate(days)]
+    spark.createDataFrame(rows, TARGET).write.partitionBy("dt").parquet(f"{scratch}/t")
+    target = spark.read.schema(TARGET).parquet(f"{scratch}/t")
+    known = spark.createDataFrame([("v0", days[0]), ("v1", days[1]), ("v1", days[3])], "file_version_id string, dt date")
+    dead = lambda *v: spark.createDataFrame([(x,) for x in v], "file_version_id string")
+    got = dates_of_versions(target, dead("v0", "v1"), known)
+    assert f"{scratch}/t" not in plan(got) and sorted(r.dt for r in got.collect()) == [days[0], days[1], days[3]]
+    got = dates_of_versions(target, dead("v0", "v2"), known)
+    assert sorted(r.dt for r in got.collect()) == [days[0], days[2]]
+    assert [r.dt for r in dates_of_versions(target, dead("v3"), None).collect()] == [days[3]]
+
+
 def ops_plan(spark, rows, rates):
     from costledger import operators as ops
     return plan(ops.process_ad_rows(rows, rates, tie_breakers=("object_key",)))
