@@ -79,8 +79,27 @@ def own_copies(spark: SparkSession):
     try:
         yield
     finally:
-        paths = _kept.pop()
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for p in paths:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
+        _remove(spark, _kept.pop())
+
+
+def settled(spark: SparkSession, make):
+    """The frame that ``make()`` returns as a written table, without the
+    copies that were written on the way to it."""
+    _kept.append([])
+    paths: list[str] = []
+    try:
+        out = materialize(make())
+        paths.append(_kept[-1][-1])
+    finally:
+        written = _kept.pop()
+        _remove(spark, [p for p in written if p not in paths])
+    if _kept:
+        _kept[-1].extend(paths)
+    return out
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)

@@ -9,7 +9,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from costledger.plans.catalog import QUERIES  # noqa: E402
 from costledger.session import build_session  # noqa: E402
 
 MARKERS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition",
@@ -23,7 +23,7 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
     spark = build_session()
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         df = fn(spark, sf_dir)

@@ -4,6 +4,7 @@ import datetime as dt
 import decimal
 import json
 import os
+import tempfile
 
 import pandas as pd
 import pyarrow as pa
@@ -427,58 +428,61 @@ def test_stream_into_tables_keeps_rows_without_date(spark, scratch):
     assert sorted((r["network"], r["cost"]) for r in target.collect()) == [("n", 4.0), ("y", 2.0), ("z", 1.0)]
 
 
-STEPS = ["intent", "target", "partitions", "registry"]
+class Dead(Exception):
+    pass
 
 
-@pytest.mark.parametrize("dies_after", STEPS)
-def test_run_that_dies_is_redone(spark, scratch, monkeypatch, dies_after):
-    """Killed after each write step, redone later, then a file vanishes:
-    target and registry equal those of an undisturbed history."""
+def _history(spark, scratch, monkeypatch, label, dies_after=None):
+    """A file, a second one (the run over it may die after a write step and
+    is redone later), the second one vanishes: the state, comparable."""
     from costledger.plans import jobs
     from costledger.sinks import read_tables
     from costledger.sinks import tables as sink
 
-    class Dead(Exception):
-        pass
-
-    def history(label, kill):
-        src, state, rt = f"{scratch}/src", f"{scratch}/state_{label}", f"{scratch}/rates_{label}"
-        src = f"{scratch}/src_{label}"
-        tables = (f"t_crash_{label}_{dies_after}", f"r_crash_{label}_{dies_after}")
-        append_rates(rates_df(spark, [(D1, "EUR", 2.0)]), rt)
-        put(src, "2024-01-29", "a.parquet", ad([(D1, "n", "EUR", "ios", 3.0), (D2, "m", "EUR", "ios", 1.0)]))
-        go = lambda day: jobs.run_ingest(spark, src, state, rt, tables=tables,
-                                         now=dt.datetime(2024, 2, day, 6, tzinfo=dt.timezone.utc))
-        go(1)
-        put(src, "2024-01-30", "b.parquet", ad([(D1, "n", "EUR", "ios", 5.0), (D2, "k", "EUR", "ios", 2.0)]))
-        if kill:
-            with monkeypatch.context() as m:
-                def dying(f):
-                    def g(*a, **k):
-                        f(*a, **k)
-                        raise Dead
-                    return g
-                if dies_after == "intent":
-                    m.setattr(jobs, "list_objects", dying(lambda *a, **k: None))
-                elif dies_after == "target":
-                    m.setattr(sink, "swap_registry", dying(lambda *a, **k: None))
-                elif dies_after == "partitions":
-                    m.setattr(sink, "swap_registry", dying(lambda s, n, r: r.count()))
-                else:
-                    m.setattr(sink, "swap_registry", dying(sink.swap_registry))
-                with pytest.raises(Dead):
-                    go(2)
-        go(3 if kill else 2)
-        os.unlink(f"{src}/in/2024-01-30/b.parquet")
-        go(4)
-        target, registry = read_tables(spark, *tables)
-        out = (sorted((r["dt"], r["network"], r["cost"], r["file_name"]) for r in target.collect()),
-               sorted((r["file_name"], r["file_hash"] or "", r["status"]) for r in registry.collect()))
-        versions = {r["file_version_id"] for r in registry.where("status = 'processed'").collect()}
-        assert {r["file_version_id"] for r in target.collect()} <= versions
-        return out
-
-    assert history("killed", True) == history("calm", False)
+    src, state, rt = f"{scratch}/src_{label}", f"{scratch}/state_{label}", f"{scratch}/rates_{label}"
+    tables = (f"t_crash_{label}", f"r_crash_{label}")
+    append_rates(rates_df(spark, [(D1, "EUR", 2.0)]), rt)
+    put(src, "2024-01-29", "a.parquet", ad([(D1, "n", "EUR", "ios", 3.0), (D2, "m", "EUR", "ios", 1.0)]))
+    go = lambda day: jobs.run_ingest(spark, src, state, rt, tables=tables,
+                                     now=dt.datetime(2024, 2, day, 6, tzinfo=dt.timezone.utc))
+    go(1)
+    put(src, "2024-01-30", "b.parquet", ad([(D1, "n", "EUR", "ios", 5.0), (D2, "k", "EUR", "ios", 2.0)]))
+    if dies_after:
+        def dying(f):
+            def g(*a, **k):
+                f(*a, **k)
+                raise Dead
+            return g
+        with monkeypatch.context() as m:
+            if dies_after == "intent":
+                m.setattr(jobs, "list_objects", dying(lambda *a, **k: None))
+            elif dies_after == "target":
+                m.setattr(sink, "swap_registry", dying(lambda *a, **k: None))
+            else:
+                m.setattr(sink, "swap_registry", dying(sink.swap_registry))
+            with pytest.raises(Dead):
+                go(2)
+    go(3 if dies_after else 2)
+    os.unlink(f"{src}/in/2024-01-30/b.parquet")
+    go(4)
+    target, registry = read_tables(spark, *tables)
+    rows = target.collect()
+    versions = {r["file_version_id"] for r in registry.where("status = 'processed'").collect()}
+    assert {r["file_version_id"] for r in rows} <= versions
+    return (sorted((r["dt"], r["network"], r["cost"], r["file_name"]) for r in rows),
+            sorted((r["file_name"], r["file_hash"] or "", r["status"]) for r in registry.collect()))
+
+
+@pytest.fixture(scope="module")
+def calm(spark):
+    return _history(spark, tempfile.mkdtemp(prefix="costledger-test-"), None, "calm")
+
+
+@pytest.mark.parametrize("dies_after", ["intent", "target", "registry"])
+def test_run_that_dies_is_redone(spark, scratch, monkeypatch, calm, dies_after):
+    """Killed after each write step, redone later, then a file vanishes:
+    target and registry equal those of an undisturbed history."""
+    assert _history(spark, scratch, monkeypatch, dies_after, dies_after) == calm
 
 
 def test_file_that_vanishes_between_attempts(spark, scratch, monkeypatch):
