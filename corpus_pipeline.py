@@ -17,12 +17,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costledger.llm.common import free_name, identified, table, without, written
+from costledger.llm.common import free_name, identified, table, without
 from costledger.llm.decontam import decontaminated
 from costledger.llm.exactdup import exact_duplicates
 from costledger.llm.langid import accepted
 from costledger.llm.packing import packed_digests
 from costledger.llm.simhash import near_duplicates
+from costledger.session import settled
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,5 +62,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        docs = settled(spark, lambda: stage(spark, docs, sf_dir))  # noqa: B023
     return STAGES[-1][1](spark, docs, sf_dir)

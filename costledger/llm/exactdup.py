@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
 from .common import HEAVY_KEYS, lookup, map_arrow, rows_of, slices, written
 
 #: Fixed parameters of the fingerprint: primes and bases.
@@ -155,15 +156,13 @@ def _compared(rows: DataFrame, groups: DataFrame, rows_total: int, n_groups: int
     return verdicts.groupBy("rid").agg(F.min("rep").alias("rep"), F.bool_and("same").alias("same"))
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     primes=PRIMES, chunk: int = CHUNK) -> DataFrame:
-    """(rid, id, keep_rid, keep_id, group_size, kept, sha256), a row per row
-    of ``docs``: of equal texts, the row with the most code points, then the
-    smallest id, is kept."""
+def _classed(docs: DataFrame, id_col: str, text_col: str, primes, chunk: int) -> DataFrame:
+    """(rid, id, n_chars, sha256, rep): rows of equal texts share ``rep``, the
+    first of them by rid."""
     rows = rows_of(docs, id_col, text_col)
     facts = written(digests(rows, primes))
     total = facts.count()
-    settled, todo, todo_rows = [], facts.select("rid", "size", "fp"), rows
+    parts, todo, todo_rows = [], facts.select("rid", "size", "fp"), rows
     while True:
         groups = written(todo.groupBy("size", "fp").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("n"))
                          .where("n > 1"))
@@ -171,19 +170,29 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if not n_groups:
             break
         verdicts = written(_compared(todo_rows, groups, total, n_groups, primes, chunk))
-        settled.append(verdicts.where("same").select("rid", "rep"))
+        parts.append(verdicts.where("same").select("rid", "rep"))
         # Equal fingerprints of different texts: those rows are grouped again.
         todo = written(verdicts.where(~F.col("same")).select("rid").join(facts.select("rid", "size", "fp"), "rid"))
         if not todo.count():
             break
         todo_rows = rows.join(todo.select("rid"), "rid", "left_semi")
     classed = facts.withColumn("rep", F.col("rid"))
-    if settled:
-        equal = settled[0]
-        for more in settled[1:]:
+    if parts:
+        equal = parts[0]
+        for more in parts[1:]:
             equal = equal.unionByName(more)
         classed = (facts.join(equal, "rid", "left").withColumn("rep", F.coalesce("rep", "rid")))
-    classed = written(classed.drop("size", "fp"))
+    return classed.drop("size", "fp")
+
+
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     primes=PRIMES, chunk: int = CHUNK) -> DataFrame:
+    """(rid, id, keep_rid, keep_id, group_size, kept, sha256), a row per row
+    of ``docs``: of equal texts, the row with the most code points, then the
+    smallest id, is kept."""
+    # What was written on the way is removed: only the classes are needed on.
+    classed = settled(docs.sparkSession, lambda: _classed(docs, id_col, text_col, primes, chunk))
+    total = classed.count()
     best = F.min_by(F.struct(F.col("rid").alias("keep_rid"), F.col("id").alias("keep_id")),
                     F.struct(-F.col("n_chars"), F.col("id").isNull(), "id", "rid"))
     kept = classed.groupBy("rep").agg(best.alias("k"), F.count(F.lit(1)).alias("n")) \

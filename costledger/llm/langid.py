@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import own_copies
 from .common import map_arrow, rows_of, slices, without, written
 from .decontam import flat_texts
 
@@ -103,11 +104,17 @@ def cluster(unit, k: int = CENTROIDS, rounds: int = 12):
     return centres
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample: int = SAMPLE) -> dict | None:
+def fit(docs: DataFrame, **names) -> dict | None:
     """The classifier, from rows with a language outside the held-out fold:
     languages, centroids, inverse document frequencies and, per length class,
-    the least similarity.  None without such rows."""
+    the least similarity.  None without such rows.  What it writes on the way
+    is removed."""
+    with own_copies(docs.sparkSession):
+        return _fitted(docs, **names)
+
+
+def _fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+        sample: int = SAMPLE) -> dict | None:
     import numpy as np
 
     rows = (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),

@@ -17,6 +17,7 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
 from .common import components, lookup, map_arrow, narrowed, slices, written
 
 #: Rows of a tile, and entries of one exclusive-or block.
@@ -196,8 +197,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4,
     reachable over links of at most ``radius`` differing bits."""
     fps = written(fingerprints(docs, shingle, id_col, text_col))
     total = fps.count()
+    spark = docs.sparkSession
     distinct = written(fps.groupBy("fp").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")))
-    comp = written(components(links(distinct.select("fp"), radius)))
+    comp = settled(spark, lambda: components(links(distinct.select("fp"), radius)))
     rooted = distinct.join(comp, distinct["fp"] == comp["node"], "left").select(
         "fp", "n", "low", F.coalesce("root", "fp").alias("root"))
     roots = rooted.groupBy("root").agg(F.min("low").alias("component"), F.count(F.lit(1)).alias("n_root"))
