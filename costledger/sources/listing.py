@@ -82,8 +82,17 @@ def with_md5(objects: DataFrame) -> DataFrame:
             .mapInPandas(_md5_streamer(), "object_key string, file_hash string"))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path without a scheme as the session's default file system means it;
+    executors have another working folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def _objects(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
     """Every object below ``root``, listed folder by folder on executors."""
+    if ":" not in root.partition("/")[0]:
+        root = qualified(spark, root)
     top = materialize(spark.createDataFrame([(root,)], "object_key string")
                       .mapInPandas(_lister(False), _ENTRY))
     folders = top.where("is_folder").select("object_key")

@@ -330,6 +330,16 @@ def test_names_keep_their_rows(spark, scratch):
     assert {r["action"] for r in again.report.collect()} == {"unchanged"}
 
 
+def test_relative_roots_are_qualified(spark, scratch, monkeypatch):
+    from costledger.sources.listing import qualified
+    assert qualified(spark, "/a b/c%20d") == "file:/a b/c%20d"
+    assert qualified(spark, "land/ads").startswith("file:/") and qualified(spark, "land/ads").endswith("/land/ads")
+    put(scratch, "2024-01-30", "a.parquet", ad([(D1, "n", "EUR", "ios", 1.0)]))
+    for root in (scratch, f"file:{scratch}", f"file://{scratch}"):
+        assert [r["object_key"] for r in list_objects(spark, root, with_hash=False).collect()] == \
+            [f"file:{scratch}/in/2024-01-30/a.parquet"]
+
+
 def test_damaged_files_are_rejected_with_a_reason(spark, scratch):
     rates = rates_df(spark, [(D1, "EUR", 2.0)])
     good = put(scratch, "2024-01-30", "good.parquet", ad([(D1, "n", "EUR", "ios", 1.0)]))
