@@ -15,6 +15,8 @@ from ..session import materialize
 #: At most so many keys can each hold more than one part in HEAVY_KEYS of all
 #: rows, so the table of those keys is small at any scale and may be broadcast.
 HEAVY_KEYS = 1000
+#: Names under which workers remember pieces and words between tasks.
+TOKEN_PIECES, UNIGRAM_WORDS = "_token_pieces", "_unigram_words"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,8 +95,28 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
             start = stop
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def map_arrow(df: DataFrame, fn, schema: str, keeps: str | None = None) -> DataFrame:
+    """``mapInArrow``.  Workers outlive a task: what another operator
+    remembers in them is dropped first (all but ``keeps``), and at the end
+    free memory goes back to the system."""
+    drop = tuple(n for n in (TOKEN_PIECES, UNIGRAM_WORDS) if n != keeps)
+
+    def run(batches):
+        import ctypes
+        import sys
+
+        import pyarrow as pa
+
+        for name in drop:
+            sys.modules.pop(name, None)
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return df.mapInArrow(run, schema)
 
 
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], n_col: str,

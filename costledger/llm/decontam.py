@@ -24,6 +24,8 @@ from .common import map_arrow, rows_of, slices, without
 
 #: Bytes of benchmark text compared at once.
 BLOCK_BYTES = 16 << 20
+#: Bytes of training text in a shard, about: its arrays are some forty times that.
+SHARD_BYTES = 1 << 20
 
 
 def word_spans(data, offsets):
@@ -226,7 +228,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, id_col: s
             import pyarrow as pa
 
             tests = block.value
-            for b in slices(batches):
+            for b in slices(batches, limit=SHARD_BYTES):
                 n_words, text, first, length, item, longest = search(tests, b.column(2), window)
                 spans, names, most = [[] for _ in n_words], [[] for _ in n_words], np.zeros(len(n_words), np.int64)
                 np.maximum.at(most, text, longest)

@@ -10,6 +10,8 @@ by the tokenizers library once per worker (a bounded cache) and the ids of a
 batch are gathered with numpy."""
 from __future__ import annotations
 
+from .common import TOKEN_PIECES
+
 #: Pieces that a worker remembers; a full cache starts anew.
 CACHE_PIECES = 1_000_000
 #: Bytes of text encoded at once: distinct pieces are looked up once in them.
@@ -151,7 +153,7 @@ def word_encoder(tokenizer_file: str):
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    shared = sys.modules.setdefault("_token_pieces", types.ModuleType("_token_pieces")).__dict__
+    shared = sys.modules.setdefault(TOKEN_PIECES, types.ModuleType(TOKEN_PIECES)).__dict__
 
     def reset():
         shared.update(table=PieceTable(), flat=np.empty(1 << 16, np.int32), ends=np.zeros(1 << 16, np.int32), n=0)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gapless, map_arrow, narrowed, slices, written
+from .common import TOKEN_PIECES, gapless, map_arrow, narrowed, slices, written
 from .encode import ENCODE_BYTES, word_encoder
 
 #: Rounds of multiplicative weights, batches of lengths priced in a round, and
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id: i
 
     kind = dict(docs.dtypes)[id_col]
     return map_arrow(narrowed(docs, id_col, text_col), run,
-                     f"id {kind}, piece int, start long, length long, ids binary")
+                     f"id {kind}, piece int, start long, length long, ids binary", keeps=TOKEN_PIECES)
 
 
 def best_configurations(lengths, values, capacity: int):

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, slices
+from .common import UNIGRAM_WORDS, map_arrow, slices
 
 MARK, UNKNOWN_COST = "▁", 10.0
 #: A trie of so many nodes, and a list of so many words, starts anew.
@@ -85,7 +85,7 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        shared = sys.modules.setdefault("_unigram_words", types.ModuleType("_unigram_words")).__dict__
+        shared = sys.modules.setdefault(UNIGRAM_WORDS, types.ModuleType(UNIGRAM_WORDS)).__dict__
         if shared.get("file") != model_file:
             shared.update(file=model_file, trie=Trie(vocabulary(model_file)), counts={"": 0})
         trie, counts = shared["trie"], shared["counts"]
@@ -110,7 +110,7 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(s, pa.int64()) for s in sums)],
                                              ["id", "n_words", "n_tokens"])
 
-    return map_arrow(src, run, f"id {kind}, n_words long, n_tokens long")
+    return map_arrow(src, run, f"id {kind}, n_words long, n_tokens long", keeps=UNIGRAM_WORDS)
 
 
 def op2_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..session import ensure_checkpoint_dir
-from .common import map_arrow, narrowed, slices
+from .common import TOKEN_PIECES, map_arrow, narrowed, slices
 from .encode import ENCODE_BYTES, word_encoder
 
 #: Longest code in bits; ids between checkpoints, of a block and of a file.
@@ -53,7 +53,7 @@ def token_counts(docs: DataFrame, tokenizer_file: str, end_id: int = 1, text_col
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], ["id", "n"])
 
-    return (map_arrow(narrowed(docs, text_col), run, "id int, n long")
+    return (map_arrow(narrowed(docs, text_col), run, "id int, n long", keeps=TOKEN_PIECES)
             .groupBy("id").agg(F.sum("n").alias("n")))
 
 
@@ -162,7 +162,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     ordered = (src.repartitionByRange(files, F.col(f"`{id_col}`"), F.col("_at"))
                .sortWithinPartitions(F.col(f"`{id_col}`"), F.col("_at")).drop("_at"))
     map_arrow(ordered, run, f"file int, block int, first long, docs array<{kind}>, tokens array<long>, "
-              "bits binary, checkpoints binary").write.parquet(f"{path}/blocks")
+              "bits binary, checkpoints binary", keeps=TOKEN_PIECES).write.parquet(f"{path}/blocks")
 
 
 def decoder(book):
