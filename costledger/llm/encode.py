@@ -18,6 +18,15 @@ CACHE_PIECES = 1_000_000
 ENCODE_BYTES = 4 << 20
 
 
+def _lower():
+    """Each byte, A-Z as a-z."""
+    import numpy as np
+
+    out = np.arange(256, dtype=np.uint8)
+    out[0x41:0x5B] += 32
+    return out
+
+
 def _classes():
     """Class of each byte: 0 white space, 1 letter, 2 digit, 3 sign, 4 other."""
     import numpy as np
@@ -43,12 +52,12 @@ def cut(texts):
     if not len(data):
         return pa.array([], pa.binary()), np.zeros(len(texts), np.int64)
     kind = _classes()[data]
-    lower = np.where((data >= 0x41) & (data <= 0x5A), 32, 0).astype(np.uint8)
+    text = _lower()[data]
     lead = np.flatnonzero(data[:-1] == 0xC3)
     tail = data[lead + 1]
     lead, tail = lead[(tail != 0x97) & (tail != 0xB7)], tail[(tail != 0x97) & (tail != 0xB7)]
     kind[lead] = kind[lead + 1] = 1
-    lower[lead + 1] = np.where(tail <= 0x9E, 32, 0)
+    text[lead + 1] += np.where(tail <= 0x9E, 32, 0).astype(np.uint8)
     solid = kind != 0
     first = solid.copy()  # first byte of a word
     first[1:] &= ~solid[:-1]
@@ -65,9 +74,9 @@ def cut(texts):
         keep[word[odd]] = True
         keep = keep[word]  # bytes of words that stay whole
         start &= ~keep | first
-        lower[keep] = 0
+        text[keep] = data[keep]
     starts = np.flatnonzero(start)
-    body = (data + lower)[solid]
+    body = text[solid]
     places = np.cumsum(solid, dtype=np.int32)
     ends = np.append(places[starts] - 1, len(body)).astype(np.int32)
     pieces = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(body)])
