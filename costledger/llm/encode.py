@@ -13,7 +13,7 @@ from __future__ import annotations
 from .common import TOKEN_PIECES
 
 #: Pieces that a worker remembers; a full cache starts anew.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 1_500_000
 #: Bytes of text encoded at once: distinct pieces are looked up once in them.
 ENCODE_BYTES = 4 << 20
 
@@ -131,12 +131,12 @@ class PieceTable:
         """Short pieces that are not in the table, all different."""
         import numpy as np
         self.n += len(sizes)
-        if 2 * self.n > len(self.numbers):
+        if 4 * self.n > 3 * len(self.numbers):
             old = np.flatnonzero(self.numbers >= 0)
             words = np.concatenate((self.words[:, old], words), axis=1)
             sizes = np.concatenate((self.sizes[old], sizes))
             numbers = np.concatenate((self.numbers[old], numbers))
-            slots = 1 << int(4 * self.n - 1).bit_length()
+            slots = 1 << int(2 * self.n - 1).bit_length()
             self.words, self.sizes = np.zeros((2, slots), np.uint64), np.zeros(slots, np.uint8)
             self.numbers = np.full(slots, -1, np.int32)
         live, at = np.arange(len(sizes)), self._home(words, sizes)
