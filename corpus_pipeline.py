@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costledger.llm.common import free_name, identified, table, without
+from costledger.llm.common import free_name, identified, placed, table, without
 from costledger.llm.decontam import decontaminated
 from costledger.llm.exactdup import exact_duplicates
 from costledger.llm.langid import accepted
@@ -31,10 +31,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = placed(docs)
     return without(docs, exact_duplicates(docs).where("not kept"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = placed(docs)
     # The key orders rows by id (null last), then by their place in the files.
     place, key = free_name(docs, "_place"), free_name(docs, "_key")
     keyed = identified(docs, place).withColumn(key, F.concat_ws(

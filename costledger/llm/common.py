@@ -46,17 +46,26 @@ def identified(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with a column ``name`` that tells rows apart and is the same in
     every pass, whatever the ids are and however the files are split: hash of
     the file and row number in it.  ``docs`` is a table read from files, with
-    columns selected at most; anything else is written first."""
-    def marked(df):
-        meta = df.metadataColumn("_metadata")
-        out = df.withColumn(name, F.concat_ws("-", F.hex(F.xxhash64(meta["file_path"])), F.hex(meta["row_index"])))
-        out.schema  # analysed here
-        return out
+    columns selected at most; anything else is written first, anew by each
+    call, so a step that marks its rows twice passes them through ``placed``."""
+    return _marked(placed(docs), name)
 
+
+def _marked(docs: DataFrame, name: str) -> DataFrame:
+    meta = docs.metadataColumn("_metadata")
+    out = docs.withColumn(name, F.concat_ws("-", F.hex(F.xxhash64(meta["file_path"])), F.hex(meta["row_index"])))
+    out.schema  # analysed here
+    return out
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows have a place in files, otherwise ``docs`` written
+    once: the marks of all ``identified`` copies of the result agree."""
     try:
-        return marked(docs)
+        _marked(docs, free_name(docs, "_rid"))
+        return docs
     except AnalysisException:  # no files
-        return marked(written(docs))
+        return written(docs)
 
 
 def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -67,11 +76,14 @@ def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def without(docs: DataFrame, rids: DataFrame) -> DataFrame:
-    """``docs`` less the rows in ``rids`` (rid).  The rids are written first:
-    Spark then knows their size and broadcasts them only if they are small."""
+    """``docs`` less the rows in ``rids`` (rid).  ``docs`` is the ``placed``
+    frame that the rids come from; one without files has no such marks and is
+    refused.  The rids are written first: Spark then knows their size and
+    broadcasts them only if they are small."""
     mark = free_name(docs, "_rid")
+    marked = _marked(docs, mark)
     gone = written(rids.select(F.col("rid").alias(mark)))
-    return identified(docs, mark).join(gone, mark, "left_anti").drop(mark)
+    return marked.join(gone, mark, "left_anti").drop(mark)
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text",

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, rows_of, slices, without
+from .common import map_arrow, placed, rows_of, slices, without
 
 #: Bytes of benchmark text compared at once.
 BLOCK_BYTES = 16 << 20
@@ -269,6 +269,7 @@ def is_contaminated():
 
 def decontaminated(docs: DataFrame, items: DataFrame, window: int = 13, **names) -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
+    docs = placed(docs)
     return without(docs, contamination(docs, items, window, **names).where(is_contaminated()))
 
 

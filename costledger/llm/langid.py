@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import own_copies
-from .common import map_arrow, rows_of, slices, without, written
+from .common import map_arrow, placed, rows_of, slices, without, written
 from .decontam import flat_texts
 
 #: Labelled rows of each language that the classifier is fitted on, about.
@@ -238,6 +238,7 @@ def identify(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_c
 
 def accepted(docs: DataFrame, **names) -> DataFrame:
     """The rows of ``docs`` whose language is recognised."""
+    docs = placed(docs)
     return without(docs, identify(docs, fit(docs, **names)).where("rejected"))
 
 

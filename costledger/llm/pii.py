@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import free_name, identified, rows_of, written
+from .common import free_name, identified, placed, rows_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed patterns: generator -> (kind, pattern).  The first four are the base
@@ -296,6 +296,7 @@ def summary(found: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets;
     overlapping spans become one, named after the first."""
+    docs = placed(docs)
     mark, list_of = free_name(docs, "_rid"), free_name(docs, "_spans")
     found = find(docs, id_col, text_col).where(F.col("kind").isNotNull()).groupBy(F.col("rid").alias(mark)).agg(
         F.array_sort(F.collect_list(F.struct("span_start", "span_end", "kind"))).alias(list_of))
