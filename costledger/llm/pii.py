@@ -11,7 +11,7 @@ There are no labels of personal data, so the trees learn from proposals whose
 own check (check digit, octets, numbering plan, domain) says what they are; the
 features leave that check out.  Features are few-valued, so all proposals of
 the corpus reduce to a histogram of feature values, from which the trees are
-fitted exactly.
+fitted exactly.  Copies of a proposal count once in it.
 
 Everything that touches rows is DataFrame functions.  Defined results: a null
 text is an empty text; every row comes out once, repeated rows too; a null id
@@ -50,6 +50,8 @@ CONTEXT = 24
 #: Trees, their depth and step, least weight of a leaf, and the precision that
 #: a threshold must reach on the held-out fold.
 TREES, DEPTH, STEP, LEAST, PRECISION, FOLDS = 30, 3, 0.3, 1.0, 0.95, 5
+#: Held-out proposals that a threshold rests on at least, in kinds that have so many.
+ENOUGH = 20
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,20 +218,24 @@ def score_column(trees: list) -> Column:
 
 
 def thresholds(trees: list, held: list[tuple[tuple[int, ...], int, int]]) -> dict[int, float]:
-    """Per kind, the least score down to which the held-out proposals of every
-    score reach PRECISION; a kind whose best ones don't adds nothing."""
+    """Per kind, the least score down to which the held-out proposals that can
+    be added together reach PRECISION; those of that score reach it, too.  Few
+    bad ones at a high score don't end the search; a kind without such a score
+    adds nothing."""
     out = {}
     for kind in range(len(KINDS)):
         by: dict[float, list[int]] = {}
         for f, p, n in held:
-            if f[0] == kind:
+            if f[0] == kind and f[1] >= len(KINDS):  # the base generators add nothing
                 s = by.setdefault(sum(value_of(t, f) for t in trees), [0, 0])
                 s[0] += p
                 s[1] += n
+        enough = ENOUGH if sum(map(sum, by.values())) >= ENOUGH else 1
+        good = total = 0
         for s in sorted(by, reverse=True):
-            if by[s][0] < PRECISION * sum(by[s]):
-                break
-            out[kind] = s
+            good, total = good + by[s][0], total + sum(by[s])
+            if total >= enough and good >= PRECISION * total and by[s][0] >= PRECISION * sum(by[s]):
+                out[kind] = s
     return out
 
 
@@ -241,9 +247,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = written(found.select("rid", "id", "kind", "span_start", "span_end",
                                 F.col("generator").isin(list(KINDS)).alias("plain"),
                                 (base_check() & F.col("generator").isin(list(KINDS))).alias("base"),
-                                own_check().alias("own"), fold.alias("held"), *features()))
+                                F.xxhash64("match").alias("what"), own_check().alias("own"), fold.alias("held"), *features()))
     # A row per combination of few-valued features, however many proposals there are.
-    table = (rows.where(F.col("kind").isNotNull()).groupBy("held", *F_NAMES)
+    table = (rows.where(F.col("kind").isNotNull()).select("held", *F_NAMES, "what", "own").distinct().groupBy("held", *F_NAMES)
              .agg(F.sum(F.col("own").cast("long")).alias("p"), F.sum((~F.col("own")).cast("long")).alias("n")).collect())
     split = {held: sorted((tuple(r[f] for f in F_NAMES), r["p"], r["n"]) for r in table if r["held"] == held)
              for held in (True, False)}

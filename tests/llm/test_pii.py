@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from costledger.llm.pii import KINDS, boost, find, redacted, summary, value_of
+from costledger.llm.pii import KINDS, boost, find, redacted, summary, thresholds, value_of
 from costledger.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -108,3 +108,34 @@ def test_boost_separates():
     for f, p, n in rows:
         assert (sum(value_of(t, f) for t in trees) > 0) == (p > n)
     assert boost([]) == []
+
+
+def test_few_bad_ones_do_not_switch_a_kind_off():
+    """Trees that score by the sixth feature: 9 is the top score."""
+    trees = [(5, v, 0.0, 1.0) for v in range(9)]
+
+    def at(score, maker=8):
+        return (3, maker, 0, 0, 0, score, 0, 0, 0, 0)
+
+    assert thresholds(trees, [(at(9), 0, 1), (at(8), 99, 1), (at(2), 1, 50)]) == {3: 8.0}
+    # Base proposals are never added and carry no others.
+    assert thresholds(trees, [(at(9, 3), 9999, 0), (at(5), 10, 20)]) == {}
+    # No score is trusted on few of many; a bad one ends no threshold.
+    assert thresholds(trees, [(at(9), 3, 0), (at(8), 10, 30)]) == {}
+    assert thresholds(trees, [(at(9), 999, 0), (at(3), 0, 9)]) == {3: 9.0}
+
+
+def test_one_copied_bad_number_adds_no_silence(spark):
+    """A page with a number outside the plan, copied more often than all
+    others, leaves the added phones as they are."""
+    rnd = random.Random(5)
+
+    def phone():
+        return f"+1 ({rnd.randint(200, 999)}) {rnd.randint(200, 999)}-{rnd.randint(1000, 9999)}"
+
+    rows = [(k, f"the {phone()} or so") for k in range(300)]
+    rows += [(1000 + k, f"word {phone()} 4111111111111111 word") for k in range(30)]
+    rows += [(2000 + k, "the +1 (100) 123-4567 or so") for k in range(600)]
+    got = {r.id: r.spans for r in summary(find(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    for k in range(1000, 1030):
+        assert "phone:5:22" in got[k].split(","), got[k]
