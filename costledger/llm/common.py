@@ -16,7 +16,7 @@ from ..session import materialize
 #: rows, so the table of those keys is small at any scale and may be broadcast.
 HEAVY_KEYS = 1000
 #: Names under which workers remember pieces and words between tasks.
-TOKEN_PIECES, UNIGRAM_WORDS = "_token_pieces", "_unigram_words"
+TOKEN_PIECES, UNIGRAM_WORDS, PIECE_WORDS = "_token_pieces", "_unigram_words", "_piece_words"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,7 +111,7 @@ def map_arrow(df: DataFrame, fn, schema: str, keeps: str | None = None) -> DataF
     """``mapInArrow``.  Workers outlive a task: what another operator
     remembers in them is dropped first (all but ``keeps``), and at the end
     free memory goes back to the system."""
-    drop = tuple(n for n in (TOKEN_PIECES, UNIGRAM_WORDS) if n != keeps)
+    drop = tuple(n for n in (TOKEN_PIECES, UNIGRAM_WORDS, PIECE_WORDS) if n != keeps)
 
     def run(batches):
         import ctypes
