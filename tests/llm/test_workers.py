@@ -23,4 +23,4 @@ def test_queries_run_from_another_folder():
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", CODE, REPO], cwd=tempfile.mkdtemp(prefix="elsewhere-"), env=env,
                          capture_output=True, text=True, timeout=600)
-    assert "DONE 10" in out.stdout, out.stderr[-2000:]
+    assert "DONE 13" in out.stdout, out.stderr[-2000:]
