@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -62,39 +63,48 @@ def materialize(df):
     import uuid
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/materialized/{uuid.uuid4().hex}"
-    if _kept:
-        _kept[-1].append(path)
+    if _kept.stack:
+        _kept.stack[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_kept: list[list[str]] = []
+class _Copies(threading.local):
+    """Per thread, what each job that is under way has written: a job only
+    ever removes copies of its own, whatever runs beside it (a stream's
+    ``foreachBatch`` is a thread of its own)."""
+
+    def __init__(self):
+        self.stack: list[list[str]] = []
+
+
+_kept = _Copies()
 
 
 @contextmanager
 def own_copies(spark: SparkSession):
     """Remove what ``materialize`` writes inside, when it ends: for a job
     that has committed its results elsewhere."""
-    _kept.append([])
+    _kept.stack.append([])
     try:
         yield
     finally:
-        _remove(spark, _kept.pop())
+        _remove(spark, _kept.stack.pop())
 
 
 def settled(spark: SparkSession, make):
     """The frame that ``make()`` returns as a written table, without the
     copies that were written on the way to it."""
-    _kept.append([])
+    _kept.stack.append([])
     paths: list[str] = []
     try:
         out = materialize(make())
-        paths.append(_kept[-1][-1])
+        paths.append(_kept.stack[-1][-1])
     finally:
-        written = _kept.pop()
+        written = _kept.stack.pop()
         _remove(spark, [p for p in written if p not in paths])
-    if _kept:
-        _kept[-1].extend(paths)
+    if _kept.stack:
+        _kept.stack[-1].extend(paths)
     return out
 
 
