@@ -50,6 +50,25 @@ def lag_in_order(df: DataFrame, group: str, order: str, value: str, out: str,
     return df.join(fixed, [group, order], "left")
 
 
+def _in_order(df: DataFrame, order: list, partitions: int | None) -> DataFrame:
+    """``df`` written in range partitions of the order (sort Columns), with
+    ``_pid`` and the row's ``_place`` in its partition.  Written once: the ids
+    are the same for whatever is worked out from them."""
+    from ..session import materialize
+    n = _partitions(df, partitions)
+    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn("_id", F.monotonically_increasing_id()))
+    pid, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.withColumns({"_pid": pid, "_place": place}).drop("_id")
+
+
+def _before(sums: DataFrame, value: str) -> DataFrame:
+    """Per partition, the sum of ``value`` over all earlier ones: a table with
+    one row per partition."""
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(sums.select("_pid", F.coalesce(F.sum(value).over(earlier), F.lit(0)).alias("_offset")))
+
+
 def rank_in_order(df: DataFrame, order: list, out: str, partitions: int | None = None) -> DataFrame:
     """``df`` plus ``out`` = 1-based position of each row in the global
     ``order`` (sort Columns; end with a unique tie-breaker).
@@ -59,16 +78,20 @@ def rank_in_order(df: DataFrame, order: list, out: str, partitions: int | None =
     shuffle; ``monotonically_increasing_id`` then holds the partition and the
     place in it, and each partition is shifted by the rows of all earlier ones
     (a table with one row per partition)."""
-    from ..session import materialize
-    n = _partitions(df, partitions)
-    # Written once: the ids are the same for the numbering and the counts.
-    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                         .withColumn("_id", F.monotonically_increasing_id()))
-    pid, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    ranged = ranged.withColumns({"_pid": pid, "_place": place}).drop("_id")
-    counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = F.broadcast(counts.select("_pid", F.coalesce(before, F.lit(0)).alias("_offset")))
+    ranged = _in_order(df, order, partitions)
+    offsets = _before(ranged.groupBy("_pid").agg(F.count("*").alias("_n")), "_n")
     return (ranged.join(offsets, "_pid")
             .withColumn(out, F.col("_offset") + F.col("_place") + 1)
             .drop("_pid", "_place", "_offset"))
+
+
+def sum_in_order(df: DataFrame, order: list, value: str, out: str, partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``out`` = sum of ``value`` over all rows before this one in
+    the global ``order`` (sort Columns).  The running sum is a window per range
+    partition, shifted by the sums of the earlier partitions."""
+    ranged = _in_order(df, order, partitions)
+    local = Window.partitionBy("_pid").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _before(ranged.groupBy("_pid").agg(F.sum(value).alias("_n")), "_n")
+    return (ranged.withColumn("_run", F.coalesce(F.sum(value).over(local), F.lit(0))).join(offsets, "_pid")
+            .withColumn(out, F.col("_offset") + F.col("_run"))
+            .drop("_pid", "_place", "_run", "_offset"))

@@ -1,10 +1,13 @@
 """List the objects under a root with their content MD5."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import base_name, folder_name
+from ..operators.sequence import sum_in_order
 from ..session import materialize
 from .store import store_opener
 
@@ -12,12 +15,17 @@ _SAME_FILE = ["object_key", "length", "modification_time"]
 _CHUNK = 8 << 20
 # Bytes of content that one hashing task reads, about.
 _TASK_BYTES = 128 << 20
+# What opening an object costs, in bytes of content.
+_OPEN_BYTES = 64 << 10
+# Folders that one listing task reads, about.
+_TASK_FOLDERS = 100
 _ENTRY = "object_key string, length long, modification_time timestamp, is_folder boolean"
 
 
-def _lister(recursive: bool):
+def _lister(root: bool):
     """The per-partition lister for ``mapInPandas``: what is in each folder
-    (``object_key``), or everything below it."""
+    (``object_key``), not below it.  A folder below the root that has vanished
+    since it was listed is empty."""
     open_store = store_opener()
 
     def entries(batches):
@@ -31,11 +39,9 @@ def _lister(recursive: bool):
             for key in pdf["object_key"]:
                 fs, path, prefix = open_store(key)
                 found = []
-                for i in fs.get_file_info(pafs.FileSelector(path, recursive=recursive)):
-                    folder = i.type == pafs.FileType.Directory
-                    if folder and recursive:
-                        continue
-                    found.append((prefix + i.path, i.size or 0, pd.Timestamp(i.mtime), folder))
+                for i in fs.get_file_info(pafs.FileSelector(path, allow_not_found=not root)):
+                    found.append((prefix + i.path, i.size or 0, pd.Timestamp(i.mtime),
+                                  i.type == pafs.FileType.Directory))
                     if len(found) == 10_000:
                         yield table(found)
                         found = []
@@ -68,11 +74,22 @@ def _md5_streamer(chunk: int = _CHUNK):
 
 
 def spread(df: DataFrame, by: list[str], size: str, task_bytes: int = _TASK_BYTES) -> DataFrame:
-    """A written ``df`` dealt over as many tasks as its ``size`` column asks
-    for, and no fewer than can run at once (if it has the rows)."""
-    n, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    """A written ``df`` dealt over tasks by bytes: rows in the order ``by``,
+    each to the task in whose share of the running sum of ``size`` it begins.
+    So no task gets more than its share and one row, however the sizes
+    differ.  There are as many tasks as the bytes ask for, and no fewer than
+    can run at once (if there are the rows); opening an object counts as
+    ``_OPEN_BYTES``."""
+    cost = F.coalesce(F.col(size), F.lit(0)) + _OPEN_BYTES
+    n, total = df.agg(F.count(F.lit(1)), F.sum(cost)).first()
     at_once = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(1, min(n, max(at_once, (total or 0) // task_bytes + 1))), *by)
+    tasks = max(1, min(n, max(at_once, (total or 0) // task_bytes + 1)))
+    if tasks == 1:
+        return df.coalesce(1)
+    share = -(-total // tasks)
+    dealt = sum_in_order(df.withColumn("_cost", cost), [F.col(c) for c in by], "_cost", "_begins")
+    return (dealt.repartitionById(tasks, F.floor(F.col("_begins") / share).cast("int"))
+            .drop("_cost", "_begins"))
 
 
 def with_md5(objects: DataFrame) -> DataFrame:
@@ -90,16 +107,22 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def _objects(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
-    """Every object below ``root``, listed folder by folder on executors."""
+    """Every object below ``root``.  The folders of a level are dealt over
+    tasks, which list them without going deeper; the folders they find are the
+    next level, until there is none.  So one top folder with many below it is
+    listed by many tasks, and a task holds the entries of one folder at a
+    time.  Each level is a written table."""
     if ":" not in root.partition("/")[0]:
         root = qualified(spark, root)
-    top = materialize(spark.createDataFrame([(root,)], "object_key string")
-                      .mapInPandas(_lister(False), _ENTRY))
-    folders = top.where("is_folder").select("object_key")
-    n = folders.count()
-    below = folders.repartition(max(1, min(n, spark.sparkContext.defaultParallelism)), "object_key") \
-        .mapInPandas(_lister(True), _ENTRY)
-    found = top.where("not is_folder").unionByName(below).drop("is_folder")
+    folders, n, levels = spark.createDataFrame([(root,)], "object_key string"), 1, []
+    at_once = spark.sparkContext.defaultParallelism
+    while n:
+        tasks = min(n, max(at_once, n // _TASK_FOLDERS + 1))
+        level = materialize(folders.repartition(tasks).mapInPandas(_lister(not levels), _ENTRY))
+        levels.append(level.where("not is_folder").drop("is_folder"))
+        folders = level.where("is_folder").select("object_key")
+        n = folders.count()
+    found = reduce(DataFrame.unionByName, levels)
     if glob:
         like = "".join({"*": ".*", "?": "."}.get(c, "\\" + c if not c.isalnum() else c) for c in glob)
         found = found.where(base_name("object_key").rlike(f"^{like}$"))
