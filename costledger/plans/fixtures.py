@@ -168,13 +168,20 @@ def odd_name(no):
     return out
 
 
-def write_ad_files(spark: SparkSession, sf_dir: str, root: str) -> int:
+def n_ad_files(spark: SparkSession, sf_dir: str) -> int:
+    """How many files the events are dealt to (by ``event_id``)."""
+    return MIN_FILES + table(spark, sf_dir, "events").join(
+        table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("user_id") % 10).count() // EVENTS_PER_FILE
+
+
+def write_ad_files(spark: SparkSession, sf_dir: str, root: str, name=odd_name, folder: str = "2024-01-30",
+                   which=None) -> int:
     """The events as real Parquet files below ``root``, written by tasks, one
-    group of events each; names that a reader may trip over.  Returns how
-    many."""
+    group of events each; by default with names that a reader may trip over.
+    ``which`` tells from a file's number whether it is written.  Returns how
+    many are."""
     from ..sources.store import store_opener
-    ads = ad_rows(spark, sf_dir)
-    n = MIN_FILES + ads.count() // EVENTS_PER_FILE
+    n = n_ad_files(spark, sf_dir)
     open_store = store_opener()
 
     def write(pdf):
@@ -183,17 +190,82 @@ def write_ad_files(spark: SparkSession, sf_dir: str, root: str) -> int:
         import pyarrow.parquet as pq
 
         name = pdf["name"].iloc[0]
-        fs, path, _ = open_store(f"{root}/2024-01-30")
+        fs, path, _ = open_store(f"{root}/{folder}")
         fs.create_dir(path, recursive=True)
         with fs.open_output_stream(f"{path}/{name}") as f:
             pq.write_table(pa.Table.from_pandas(pdf.drop(columns="name"), preserve_index=False), f)
         return pd.DataFrame({"name": [name], "rows": [len(pdf)]})
 
-    rows = ads.select("dt", "network", "currency", "platform", "cost",
-                      odd_name(F.col("event_id") % n).alias("name"))
+    ads = ad_rows(spark, sf_dir).withColumn("no", F.col("event_id") % n)
+    rows = (ads if which is None else ads.where(which(F.col("no")))).select(
+        "dt", "network", "currency", "platform", "cost", name(F.col("no")).alias("name"))
     return rows.groupBy("name").applyInPandas(write, "name string, rows long").count()
 
 
+def plain_name(no):
+    return F.concat(F.lit("ads_"), no.cast("string"), F.lit(".parquet"))
+
+
+def copy_files(listing: DataFrame, folder: str) -> int:
+    """Copies of the listed objects, byte by byte, in another folder beside
+    theirs.  Returns how many."""
+    from ..sources.store import store_opener
+    open_store = store_opener()
+
+    def copy(batches):
+        for pdf in batches:
+            for key in pdf["object_key"]:
+                fs, path, _ = open_store(key)
+                above, _, name = path.rpartition("/")
+                to = above.rpartition("/")[0] + "/" + folder
+                fs.create_dir(to, recursive=True)
+                fs.copy_file(path, f"{to}/{name}")
+            yield pdf
+
+    return listing.select("object_key").mapInPandas(copy, "object_key string").count()
+
+
+# Fixed values of the fixture of damaged files: what is wrong with a file, by its number.
+FILE_KINDS = ("no platform", "no cost", "text cost", "cut off", "no parquet", "text date", "good")
+
+
+def write_odd_ad_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The events as files of which each has something wrong (``FILE_KINDS``):
+    a missing column, a cost as text of which every tenth is no number, a
+    footer that is cut off, bytes that are no Parquet, a date as text."""
+    from ..sources.store import store_opener
+    n = n_ad_files(spark, sf_dir)
+    open_store = store_opener()
+    kinds = FILE_KINDS
+
+    def write(pdf):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        no = int(pdf["no"].iloc[0])
+        kind, rows = kinds[no % len(kinds)], pdf.drop(columns=["no", "event_id"])
+        if kind in ("no platform", "no cost"):
+            rows = rows.drop(columns=kind.split()[1])
+        elif kind == "text cost":
+            rows["cost"] = [repr(c) if i % 10 else "n/a" for i, c in zip(pdf["event_id"], pdf["cost"])]
+        elif kind == "text date":
+            rows["dt"] = rows["dt"].astype(str)
+        sink = pa.BufferOutputStream()
+        pq.write_table(pa.Table.from_pandas(rows, preserve_index=False), sink)
+        data = sink.getvalue().to_pybytes()
+        data = data[:-9] if kind == "cut off" else b"no parquet" if kind == "no parquet" else data
+        fs, path, _ = open_store(f"{root}/2024-01-30")
+        fs.create_dir(path, recursive=True)
+        with fs.open_output_stream(f"{path}/ads_{no}.parquet") as f:
+            f.write(data)
+        return pd.DataFrame({"no": [no]})
+
+    rows = ad_rows(spark, sf_dir).select("dt", "network", "currency", "platform", "cost", "event_id",
+                                         (F.col("event_id") % n).alias("no"))
+    rows.groupBy("no").applyInPandas(write, "no long").count()
+
+
 def copied_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects from ``orders``: a third of them are copies of one content
     under a thousand names, some have no content hash, some are no Parquet."""

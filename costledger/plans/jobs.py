@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import REGISTRY, TARGET, empty
 from ..session import own_copies
+from ..sinks.rates import read_newest
 from ..sinks.tables import (begin_run, publish, publish_tables, read_listing, read_state, read_tables,
                             read_version_dates, swap_registry, truncate_table, write_version_dates)
 from ..sources.adfiles import parquet_loader
@@ -42,7 +43,8 @@ def run_ingest(spark: SparkSession, source_root: str, state_root: str, rates_tab
         target, registry = read_state(spark, state_root)
     with own_copies(spark):
         listing = list_objects(spark, source_root, known=read_listing(spark, state_root))
-        res = apply_run(listing, registry, target, lambda: read_rates_table(spark, rates_table),
+        # Both rate policies hold on the newest rate per currency as on the whole history.
+        res = apply_run(listing, registry, target, lambda: read_newest(spark, rates_table),
                         parquet_loader(spark, pad_missing), run_id, run_ts, run_date,
                         rate_policy=rate_policy, policy=policy, convention=convention,
                         allow_empty=allow_empty, redo=redo, version_dates=read_version_dates(spark, state_root))

@@ -2,8 +2,7 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql
-from costledger.plans.catalog import QUERIES
+from __spark_entry__ import QUERIES, entry, oracle_sql
 from scripts.check_oracle import TABLES, digest
 
 from .conftest import SF_SMALL
