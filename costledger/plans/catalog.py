@@ -258,8 +258,9 @@ def union_files(spark, d):
     return full.unionByName(no_platform, allowMissingColumns=True)
 
 
-def _ingest(spark, d):
-    """One run of the ingest job over the ad files derived from ``events``."""
+def ingest_run(spark, d):
+    """One run of the ingest job over the ad files derived from ``events``,
+    with the target and the registry before it."""
     from .run import apply_run, frame_loader
     ads = fx.ad_rows(spark, d)
     latest = materialize(_latest(spark, d))
@@ -271,9 +272,14 @@ def _ingest(spark, d):
     # The listing is metadata a run reads from the store: written once too.
     full_listing = materialize(fx.ingest_listing(spark, d))
     listing = full_listing.select("object_key", "folder", "file_name", "file_hash")
-    return apply_run(listing, fx.ingest_registry0(spark, d), target0, latest,
+    registry0 = fx.ingest_registry0(spark, d)
+    return apply_run(listing, registry0, target0, latest,
                      frame_loader(fx.ingest_rows(spark, d, full_listing)),
-                     fx.RUN_ID, fx.RUN_TS, fx.RUN_DATE, rate_policy="lookup")
+                     fx.RUN_ID, fx.RUN_TS, fx.RUN_DATE, rate_policy="lookup"), target0, registry0
+
+
+def _ingest(spark, d):
+    return ingest_run(spark, d)[0]
 
 
 def ingest_end_state(spark, d):

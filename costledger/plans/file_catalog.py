@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import KEYS
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import ensure_checkpoint_dir, materialize, settled
 from ..sinks.rates import fold_newest, read_newest
-from ..sinks.tables import append_rates, read_state, write_ndjson
+from ..sinks.tables import append_rates, publish_tables, read_state, read_tables, write_ndjson
 from ..sources import list_objects, read_ad_files, read_rates_ndjson, read_rates_table
+from . import catalog, feed
 from . import fixtures as fx
+from .jobs import reset_state
 from .rates_job import NoRates, load_rates
 
 
@@ -112,10 +114,83 @@ def rates_ndjson(spark, d):
     return read_rates_ndjson(spark, path)
 
 
+def listing_changes(spark, d):
+    """The difference between two listings, here what was registered
+    and what is listed."""
+    before = fx.registry(spark, d).where("status = 'processed'").select(
+        F.col("file_name").alias("object_key"), "file_name", "file_hash")
+    return feed.listing_changes(before, fx.listing(spark, d)).select("file_name", "file_hash", "change")
+
+
+def _in_tables(spark, make) -> DataFrame:
+    """What ``make`` reads from the two tables of the names it gets, written;
+    the tables are dropped."""
+    names = tuple(f"{n}_{uuid.uuid4().hex[:10]}" for n in ("target", "registry"))
+    try:
+        return settled(spark, lambda: make(names))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {names[0]}")
+        spark.sql(f"DROP VIEW IF EXISTS {names[1]}")
+        for t in spark.catalog.listTables(None, f"{names[1]}_v*"):
+            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+
+
+def _publish_ingest(spark, d, names):
+    """The ingest run of ``ingest_end_state`` published into tables that hold
+    the state before it."""
+    res, target0, registry0 = catalog.ingest_run(spark, d)
+    days = target0.select("dt").distinct()
+    publish_tables(spark, *names, days, target0, registry0, buckets=4)
+    before = materialize(_counts(spark, names, "before"))
+    publish_tables(spark, *names, res.touched_dates, res.target_touched, res.registry, res.registry_changes,
+                   _root(spark, "undo"), fx.RUN_ID)
+    return before
+
+
+def _counts(spark, names, step) -> DataFrame:
+    target, registry = read_tables(spark, *names)
+    return target.agg(F.count("*").alias("n_rows")).select(
+        F.lit(step).alias("step"), "n_rows",
+        registry.select(F.count_if(F.col("status") == "processed")).scalar().alias("n_processed"),
+        registry.select(F.count_if(F.col("status") == "deleted")).scalar().alias("n_deleted"))
+
+
+def table_ingest_end_state(spark, d):
+    """The ingest run published into a bucketed target table and
+    a registry in hash buckets; the target read back."""
+    def make(names):
+        _publish_ingest(spark, d, names)
+        return read_tables(spark, *names)[0]
+    return _in_tables(spark, make)
+
+
+def table_ingest_registry(spark, d):
+    """The registry of that run; only touched buckets were written."""
+    def make(names):
+        _publish_ingest(spark, d, names)
+        return read_tables(spark, *names)[1]
+    return _in_tables(spark, make)
+
+
+def table_states(spark, d):
+    """What the tables hold before the run, after it and after a
+    reset."""
+    def make(names):
+        before = _publish_ingest(spark, d, names)
+        after = materialize(_counts(spark, names, "after"))
+        reset_state(spark, _root(spark, "reset"), tables=names)
+        return before.unionByName(after).unionByName(_counts(spark, names, "reset"))
+    return _in_tables(spark, make)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_end_state": stream_end_state,
     "odd_files_report": odd_files_report,
     "rates_load": rates_load,
     "latest_rate_kept": latest_rate_kept,
     "rates_ndjson": rates_ndjson,
+    "listing_changes": listing_changes,
+    "table_ingest_end_state": table_ingest_end_state,
+    "table_ingest_registry": table_ingest_registry,
+    "table_states": table_states,
 }

@@ -33,5 +33,22 @@ FROM judged""",
              FROM fx_rates GROUP BY ALL)
 SELECT *, date = max(date) OVER (PARTITION BY currency_code) AS is_newest FROM yearly""",
     "latest_rate_kept": _with("latest") + "SELECT * FROM latest",
+    "listing_changes": _with("registry", "listing") + """
+, b AS (SELECT file_name, file_hash FROM registry WHERE status = 'processed'),
+j AS (SELECT b.file_name AS b_name, b.file_hash AS b_hash, n.file_name AS n_name, n.file_hash AS n_hash
+      FROM b FULL OUTER JOIN listing n ON b.file_name = n.file_name
+      WHERE b.file_name IS NULL OR n.file_name IS NULL OR b.file_hash <> n.file_hash)
+SELECT b_name AS file_name, b_hash AS file_hash, CASE WHEN n_name IS NULL THEN 'gone' ELSE 'before' END AS change
+FROM j WHERE b_name IS NOT NULL
+UNION ALL
+SELECT n_name, n_hash, CASE WHEN b_name IS NULL THEN 'added' ELSE 'after' END FROM j WHERE n_name IS NOT NULL""",
+    "table_ingest_end_state": _with("tgt2") + "SELECT * FROM tgt2",
+    "table_ingest_registry": _with("reg2") + "SELECT * FROM reg2",
+    "table_states": _with("tgt0", "tgt2", "reg0", "reg2") + """
+SELECT 'before' AS step, (SELECT count(*) FROM tgt0) AS n_rows,
+       count(*) FILTER (status = 'processed') AS n_processed, count(*) FILTER (status = 'deleted') AS n_deleted FROM reg0
+UNION ALL
+SELECT 'after', (SELECT count(*) FROM tgt2), count(*) FILTER (status = 'processed'), count(*) FILTER (status = 'deleted') FROM reg2
+UNION ALL SELECT 'reset', 0, 0, 0""",
     "rates_ndjson": _with("fx_rates") + "SELECT * FROM fx_rates",
 }

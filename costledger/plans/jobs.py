@@ -7,13 +7,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import REGISTRY, TARGET, empty
-from ..session import own_copies
+from ..session import materialize, own_copies
 from ..sinks.rates import read_newest
-from ..sinks.tables import (begin_run, publish, publish_tables, read_listing, read_state, read_tables,
-                            read_version_dates, swap_registry, truncate_table, write_version_dates)
+from ..sinks.tables import (begin_run, drop_undo, publish, publish_tables, read_carry, read_listing, read_state, read_tables,
+                            read_version_dates, registry_layout, restore_undo, swap_registry, truncate_table,
+                            write_version_dates)
 from ..sources.adfiles import parquet_loader
 from ..sources.listing import list_objects
 from ..sources.rates import read_rates_table
+from .feed import change_feed
 from .rates_job import load_rates  # noqa: F401  (the rate job, I5)
 from .run import RunResult, apply_run, rebuild, run_clock
 
@@ -29,25 +31,35 @@ def run_ingest(spark: SparkSession, source_root: str, state_root: str, rates_tab
     untouched dates are copied, not shuffled).  With ``tables=(target,
     registry)`` the state lives in the catalog and only the touched ``dt``
     partitions are rewritten (the mode for a large target); ``state_root``
-    then keeps the listing with its hashes, the report and which run is under
-    way, so a run that died is redone under its own id.
+    then keeps the listing with its hashes, the report, which run is under way
+    and, until it is committed, the old rows of the partitions it replaces: a
+    run that died is undone and done again under its own id.
 
     The frames of the result are those committed; the copies a run makes on
     its way are removed at its end."""
     run_id, run_ts, run_date = run_clock(now)
-    redo = False
     if tables:
-        run_id, run_ts, run_date, redo = begin_run(spark, state_root, run_id, run_ts, run_date)
+        begun, dead_ts, dead_date, redo = begin_run(spark, state_root, run_id, run_ts, run_date)
+        if redo and (registry_layout(spark, tables[1]) or {}).get("run") == begun:
+            # The registry is the last of the tables: that run only missed its log line.
+            publish(spark, state_root, begun, None, None)
+            drop_undo(spark, state_root, begun)
+            begin_run(spark, state_root, run_id, run_ts, run_date)
+        elif redo:
+            run_id, run_ts, run_date = begun, dead_ts, dead_date
+            restore_undo(spark, tables[0], state_root, run_id)
         target, registry = read_tables(spark, *tables)
     else:
         target, registry = read_state(spark, state_root)
     with own_copies(spark):
-        listing = list_objects(spark, source_root, known=read_listing(spark, state_root))
+        before, carry = read_listing(spark, state_root), read_carry(spark, state_root)
+        listing = materialize(list_objects(spark, source_root, known=before))
+        feed = change_feed(before, listing, carry) if before is not None and carry is not None else None
         # Both rate policies hold on the newest rate per currency as on the whole history.
         res = apply_run(listing, registry, target, lambda: read_newest(spark, rates_table),
                         parquet_loader(spark, pad_missing), run_id, run_ts, run_date,
                         rate_policy=rate_policy, policy=policy, convention=convention,
-                        allow_empty=allow_empty, redo=redo, version_dates=read_version_dates(spark, state_root))
+                        allow_empty=allow_empty, feed=feed, version_dates=read_version_dates(spark, state_root))
         report_path = f"{state_root}/report/run={run_id}"
         res.report.write.mode("overwrite").parquet(report_path)
         summary = spark.createDataFrame(res.summary.collect(), res.summary.schema)      # one row
@@ -57,13 +69,15 @@ def run_ingest(spark: SparkSession, source_root: str, state_root: str, rates_tab
             write_version_dates(res.version_dates, state_root, run_id)
         if tables:
             if changed:
-                publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry)
-            entry = publish(spark, state_root, run_id, None, None, res.listing)   # the listing only
+                publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry,
+                               res.registry_changes, state_root, run_id)
+            entry = publish(spark, state_root, run_id, None, None, res.listing, carry=res.carry)
+            drop_undo(spark, state_root, run_id)
         elif changed:
             entry = publish(spark, state_root, run_id, res.target_touched, res.registry, res.listing,
-                            untouched=res.target_untouched)
+                            untouched=res.target_untouched, carry=res.carry)
         else:                 # nothing changed: log the run and its listing only
-            entry = publish(spark, state_root, run_id, None, None, res.listing)
+            entry = publish(spark, state_root, run_id, None, None, res.listing, carry=res.carry)
     target, registry = read_tables(spark, *tables) if tables else read_state(spark, state_root)
     return RunResult(registry, spark.read.parquet(report_path), summary,
                      spark.read.parquet(entry["listing_path"]),

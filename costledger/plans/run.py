@@ -22,6 +22,7 @@ from ..operators.sequence import lag_in_order
 from ..operators.skew import lookup_per_key
 from ..schemas import AD_INPUT, KEYS, REGISTRY, STATUS_DELETED, STATUS_PROCESSED, TARGET, empty
 from ..session import ensure_checkpoint_dir, materialize
+from .feed import Feed, in_scope, left_open
 
 # A loader gets the files to read (object_key, file_name, file_hash) and returns
 # (rows with object_key + the ad columns, rejected files by object_key and,
@@ -34,11 +35,16 @@ class RunResult:
     row; the target is worked out when it is first asked for."""
 
     def __init__(self, registry: DataFrame, report: DataFrame, summary: DataFrame,
-                 listing: DataFrame | None, merged: Callable[[], tuple[DataFrame, ...]]):
+                 listing: DataFrame | None, merged: Callable[[], tuple[DataFrame, ...]],
+                 registry_changes: tuple[DataFrame, Callable[[DataFrame], DataFrame]] | None = None,
+                 carry: DataFrame | None = None):
         self.registry = registry
         self.report = report      # one row per listed object with what the run did
         self.summary = summary    # one row: counts and the late-file flag
         self.listing = listing    # the listing as read (hashes included), written once
+        # The versions a run records or tombstones, and what it makes of old registry rows.
+        self.registry_changes = registry_changes
+        self.carry = carry        # what the next run must look at again
         self._merged = merged
 
     @cached_property
@@ -135,7 +141,7 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame,
               load: Loader, run_id: str, run_ts: str, run_date: str,
               rate_policy: str = "latest", policy: str = "drop", convention: str = "multiply",
               allow_empty: bool = False, reconcile: bool = True, redo: bool = False,
-              version_dates: DataFrame | None = None) -> RunResult:
+              version_dates: DataFrame | None = None, feed: Feed | None = None) -> RunResult:
     """One run of the ingest job.
 
     1. Versions of names that are no longer listed die (last version per
@@ -156,7 +162,9 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame,
     new.  ``redo``: an earlier attempt died after it began to write, so target
     rows of versions the registry does not know are removed first.
     ``version_dates`` (file_version_id, dt) from earlier runs saves looking
-    for the dates of dead versions in the target.
+    for the dates of dead versions in the target.  With ``feed`` (what changed
+    since the last run, ``change_feed``) only what it names is looked at; if
+    that is nothing, the registry is not read.
     """
     ensure_checkpoint_dir(listing.sparkSession)
     # The listing (content hashes included) is used four times: compute it once.
@@ -164,22 +172,31 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame,
     if not allow_empty and listing.isEmpty():
         raise EmptyListing("the listing is empty; refusing to delete every processed file")
 
-    files = materialize(classify(listing, registry))
+    spark = listing.sparkSession
+    bare = listing.filter(F.col("file_hash").isNull() & is_parquet("file_name"))
+    if feed is None:
+        scope, known = listing, registry
+    elif feed.quiet() and bare.isEmpty():
+        scope, known = listing.limit(0), empty(spark, REGISTRY)
+    else:
+        scope, known = in_scope(listing, registry, feed)
+        scope, known = materialize(scope), materialize(known)
+
+    files = materialize(classify(scope, known))
     owners = files.filter(F.col("ingest") & F.col("final"))
     relay = files.filter(F.col("ingest") & ~F.col("final"))
 
-    dead = (ops.live_versions(registry)
+    dead = (ops.live_versions(known)
             .join(owners.select("file_hash"), "file_hash", "left_semi")
             .select("file_version_id"))
     if reconcile:
-        dead = dead.unionByName(ops.files_missing(registry, listing).select("file_version_id"))
+        dead = dead.unionByName(ops.files_missing(known, scope).select("file_version_id"))
     if redo:
-        known = ops.live_versions(registry).select("file_version_id")
+        live = ops.live_versions(registry).select("file_version_id")
         dead = dead.unionByName(target.select("file_version_id").distinct()
-                                .join(known, "file_version_id", "left_anti"))
+                                .join(live, "file_version_id", "left_anti"))
     dead = materialize(dead.distinct())
 
-    spark = listing.sparkSession
     nothing_new = owners.isEmpty()
     if nothing_new:           # nothing to read: no loader job, no rate lookup
         rows = spark.createDataFrame([], T.StructType(
@@ -202,8 +219,12 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame,
         zero = not lookup.filter(F.col("rate") == 0).isEmpty()
         best = ops.process_ad_rows(rows, lookup, policy, tie_breakers=("object_key",), convention=convention,
                                    materialize_rates=False, per_file="object_key" if zero else None)
-        # The file's name and version join the surviving rows only.
-        best = best.join(accepted.select("object_key", "file_name", "file_version_id"), "object_key")
+        # The file's name and version join the surviving rows only, written once.
+        best = materialize(best)
+        # A key's best rows of one very large file don't meet in one task.
+        per_file = materialize(best.groupBy("object_key").agg(F.count(F.lit(1)).alias("_n")))
+        owned = accepted.select("object_key", "file_name", "file_version_id").join(per_file, "object_key")
+        best = lookup_per_key(best, owned, "object_key", "_n", per_file.agg(F.sum("_n")).first()[0] or 0, "inner")
         return materialize(ops.stamp_lineage(best, F.col("file_version_id"), utc_instant(run_ts))
                            .select(*TARGET.fieldNames()))
 
@@ -220,17 +241,21 @@ def apply_run(listing: DataFrame, registry: DataFrame, target: DataFrame,
         relay_ok.select("file_name", F.lit(None).cast("string").alias("file_hash"),
                         version_id(run_id, "object_key", "file_hash").alias("file_version_id"),
                         F.lit(STATUS_DELETED).alias("status")))
-    registry1 = ops.tombstone(registry, dead, run_ts, materialize=False)
-    registry2 = ops.upsert_registry(registry1, records, run_ts)
+    def renewed(old: DataFrame) -> DataFrame:
+        old = ops.tombstone(old, dead, run_ts, materialize=False)
+        return ops.upsert_registry(old, records, run_ts).select(*REGISTRY.fieldNames())
+
+    touched_versions = dead.unionByName(records.select("file_version_id"))
 
-    report = _report(listing, files, rejected, read[0] if read else None)
+    report = _report(listing, files, rejected, read[0] if read else None, feed is not None)
     summary = report.agg(
         F.bool_or((F.col("folder") == F.lit(run_date)) & is_parquet("file_name"))
          .alias("found_today_file"),
         *[F.count_if(F.col("action") == a).alias(f"n_{a}") for a in ACTIONS],
         dead.select(F.count("*")).scalar().alias("n_dead_versions"),
     )
-    return RunResult(registry2.select(*REGISTRY.fieldNames()), report, summary, listing, merged)
+    carry = left_open(scope, known, files, rejected_keys) if reconcile else None
+    return RunResult(renewed(registry), report, summary, listing, merged, (touched_versions, renewed), carry)
 
 
 def dates_of_versions(target: DataFrame, versions: DataFrame, known: DataFrame | None) -> DataFrame:
@@ -262,23 +287,27 @@ def merge_touched_dates(target: DataFrame, source: DataFrame, dead: DataFrame,
     touched = materialize(source.select("dt").unionByName(dead_dates).distinct())
     null_dt = F.col("dt").isNull()
     dates = touched.filter(F.col("dt") >= F.lit("0001-01-01").cast("date"))
-    hot = target.join(dates, "dt", "left_semi").select(*target.columns).unionByName(target.filter(null_dt))
+    hot = target.join(dates, "dt", "left_semi").select(*target.columns)
     cold = target.join(dates, "dt", "left_anti").select(*target.columns).filter(~null_dt)
+    # Rows without a date match nothing; beside the merge they leave the dated side as its files lie.
+    loose = ops.delete_versions(target.filter(null_dt), dead, materialize=False)
     merged = ops.merge_max_cost(ops.delete_versions(hot, dead, materialize=False), source, KEYS, "cost")
-    return touched, merged, cold
+    return touched, merged.unionByName(loose), cold
 
 
 ACTIONS = ("skipped", "unchanged", "ingested", "relayed", "rejected")
 
 
-def _report(listing, files, rejected, read) -> DataFrame:
+def _report(listing, files, rejected, read, fed: bool) -> DataFrame:
     """What happened to each listed object; why it was rejected and how many
-    values did not fit their column, if the loader tells."""
+    values did not fit their column, if the loader tells.  With a feed
+    (``fed``) objects that the run did not look at are unchanged."""
     reason = F.col("reason") if "reason" in rejected.columns else F.lit(None).cast("string")
     rej = rejected.groupBy("object_key").agg(F.min(reason).alias("reason")).withColumn("_rej", F.lit(True))
     out = (listing.join(files.select("object_key", "ingest", "final"), "object_key", "left")
            .join(rej, "object_key", "left"))
-    action = (F.when(~is_parquet("file_name"), "skipped").when(~F.col("ingest"), "unchanged")
+    ingest = F.coalesce("ingest", F.lit(False)) if fed else F.col("ingest")
+    action = (F.when(~is_parquet("file_name"), "skipped").when(~ingest, "unchanged")
               .when(F.col("_rej"), "rejected").when(F.col("final"), "ingested").when(F.col("ingest"), "relayed")
               .otherwise(F.raise_error(F.concat(F.lit("no verdict on "), F.col("object_key")))))
     if read is None:

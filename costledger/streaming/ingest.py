@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import base_name
 from ..plans.run import apply_run
 from ..session import materialize, own_copies
-from ..sinks.tables import publish, publish_tables, read_state, read_tables
+from ..sinks.tables import publish, publish_tables, read_state, read_tables, write_version_dates
 from ..sources.adfiles import parquet_loader
 from ..sources.listing import _md5_streamer, listing_from_keys
 
@@ -67,8 +67,11 @@ def merge_batch(spark: SparkSession, batch: DataFrame, run_id: str, state_root:
         target, registry = read_tables(spark, *tables) if tables else read_state(spark, state_root)
         res = apply_run(listing, registry, target, rates, parquet_loader(spark), run_id, run_ts,
                         run_ts[:10], rate_policy=rate_policy, allow_empty=True, reconcile=False)
+        if state_root:
+            write_version_dates(res.version_dates, state_root, run_id)
         if tables:
-            publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry)
+            publish_tables(spark, *tables, res.touched_dates, res.target_touched, res.registry,
+                           res.registry_changes, run_id=run_id)
         else:
             publish(spark, state_root, run_id, res.target_touched, res.registry, untouched=res.target_untouched)
 
