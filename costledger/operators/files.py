@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import STATUS_PROCESSED
+from .skew import lookup_per_key
 
 
 def live_versions(registry: DataFrame) -> DataFrame:
@@ -66,25 +67,29 @@ def files_missing(registry: DataFrame, listing: DataFrame) -> DataFrame:
 def _first_two_names_per_hash(live: DataFrame) -> DataFrame:
     """Per hash, the smallest (name, version) and the smallest one with another
     name.  Two partial aggregations: a hash shared by millions of names still
-    leaves every map task as one row, and no pair of names is ever formed."""
+    leaves every map task as one row, and no pair of names is ever formed; the
+    first names reach the versions of a hot hash by broadcast."""
     first = (live.groupBy("file_hash")
-             .agg(F.min(F.struct("file_name", "file_version_id")).alias("_first")))
-    second = (live.join(first, "file_hash")
+             .agg(F.min(F.struct("file_name", "file_version_id")).alias("_first"), F.count(F.lit(1)).alias("_n")))
+    second = (lookup_per_key(live.where(F.col("file_hash").isNotNull()), first, "file_hash", "_n", live.count(), "inner")
               .filter(F.col("file_name") != F.col("_first.file_name"))
               .groupBy("file_hash")
               .agg(F.min(F.struct("file_name", "file_version_id")).alias("_second")))
-    return first.join(second, "file_hash", "left")
+    return first.drop("_n").join(second, "file_hash", "left")
 
 
 def previous_version_other_name(listing: DataFrame, registry: DataFrame) -> DataFrame:
     """For each listed file, the first live version (by name,
     then version id) that has the same hash under another name.  Files
-    without one are left out."""
+    without one are left out.  A hash that many files share meets in no task:
+    its candidates are broadcast (``lookup_per_key``)."""
     cands = _first_two_names_per_hash(
         live_versions(registry).select("file_name", "file_hash", "file_version_id"))
     pick = F.when(F.col("_first.file_name") != F.col("file_name"), F.col("_first")) \
             .otherwise(F.col("_second"))
-    return (listing.join(cands, "file_hash")
+    listed = listing.where(F.col("file_hash").isNotNull())
+    counted = cands.join(listed.groupBy("file_hash").agg(F.count(F.lit(1)).alias("_n")), "file_hash")
+    return (lookup_per_key(listed, counted, "file_hash", "_n", listing.count(), "inner")
             .withColumn("_prev", pick)
             .filter(F.col("_prev").isNotNull())
             .select(*listing.columns,

@@ -62,3 +62,31 @@ def test_hot_copy_group_matches_model(spark):
     got_r = sorted((r["file_name"], r["file_hash"] or "", r["status"]) for r in res.registry.collect())
     want_r = sorted((r["file_name"], r["file_hash"] or "", r["status"]) for r in reg)
     assert got_r == want_r
+
+
+def test_hot_hash_meets_in_no_task(spark):
+    """A third of the versions and of the listed files share one content, with
+    AQE off: every other-name lookup equals brute force, and no shuffled row
+    of the join belongs to the hot hash."""
+    versions = [(f"f{i:05d}.parquet", "hot" if i % 3 == 0 else f"h{i % 400}", f"v{i}", None, None, "processed")
+                for i in range(6000)]
+    listed = [(f"f{i:05d}.parquet", "hot" if i % 3 == 0 else f"h{(i + 1) % 400}" if i % 5 else None) for i in range(0, 9000, 2)]
+    registry, listing = spark.createDataFrame(versions, REGISTRY), spark.createDataFrame(listed, "file_name string, file_hash string")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = ops.previous_version_other_name(listing, registry)
+        got = sorted(tuple(r) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    by_hash = {}
+    for name, h, v, *_ in versions:
+        by_hash.setdefault(h, []).append((name, v))
+    want = []
+    for name, h in listed:
+        others = [x for x in by_hash.get(h, []) if x[0] != name]
+        if others:
+            want.append((name, h, *min(others)))
+    assert got == sorted(want) and len(got) > 2000
+    assert plan.count("BroadcastHashJoin") >= 4          # marks and candidates of hot hashes, on both sides
