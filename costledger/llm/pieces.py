@@ -9,18 +9,20 @@ Spaces count as U+2581, and one stands before a text.  Two characters that are
 neighbours in no piece are never merged across, so a text is cut between such
 pairs and each part has an agenda of its own.  In a model whose pieces hold no
 U+2581 after another character (looked up when the model is loaded) words are
-such parts: each distinct word of a batch is encoded once, a worker remembers
-up to ``CACHE_WORDS`` words, and ids are gathered with numpy.
+such parts, and each distinct word of a batch is encoded once.  The agendas of
+short words are rows of a numpy table, with the level of the pair that begins
+at each symbol: in every round each word merges its best pair, the leftmost
+of the best, until no word has one.  Longer words have a heap.
 
 Every Arrow batch is checked against the sentencepiece library, ids and decoded
 text; a difference stops the job.  The library gets the texts in stretches of
 ``STRETCH`` bytes, cut before a space after another character: it puts a space
 before each stretch itself, so the ids of the stretches are those of the text.
 
-Memory: a batch holds about 4 MB of text, or one longer text (a text is one
+Memory: a batch holds about 1 MB of text, or one longer text (a text is one
 row) as bytes and ids; what is encoded at once is a stretch, or one word if
 that is longer, and of it a part.  A part costs about 60 bytes a character in
-its agenda, which only counts for millions of characters without a neighbour
+its heap, which only counts for millions of characters without a neighbour
 pair that no piece has.
 
 Models that normalise otherwise, or have user-defined pieces, are refused.
@@ -38,7 +40,8 @@ from pyspark.sql import functions as F
 from .common import PIECE_WORDS, map_arrow, slices, table
 
 SPACE = "▁"
-CACHE_WORDS, LONGEST_KEPT = 300_000, 64
+#: Characters of words whose agendas are rows of a table, by the table's width.
+WIDTHS = (8, 16, 32, 64)
 #: Bytes of text that the library encodes at once in the check, about.
 STRETCH = 1 << 16
 
@@ -110,6 +113,117 @@ class MergeModel:
         self.neighbours = {p[k:k + 2] for p in self.level for k in range(len(p) - 1)}
         self.by_word = not any(p[1] == SPACE != p[0] for p in self.neighbours)
         self.fallback = len(self.bytes) == 256
+        self._tables()
+
+    def symbol(self, s: str) -> int | None:
+        """Number of a symbol in the tables: a piece's id; characters that are
+        no piece come after all pieces."""
+        if (k := self.ids.get(s)) is not None:
+            return k
+        return len(self.surface) + ord(s) if len(s) == 1 else None
+
+    def _tables(self) -> None:
+        """Pairs of symbols (as sorted numbers) with the piece they make and
+        its level; the symbol of each character."""
+        import numpy as np
+
+        made = [(left << 32 | right, self.ids[p], at) for p, at in self.level.items() for k in range(1, len(p))
+                if (left := self.symbol(p[:k])) is not None and (right := self.symbol(p[k:])) is not None]
+        made.append((-1, 0, self.NONE))  # found for none
+        made.sort()
+        self.pairs, self.makes, self.levels = (np.array(c, np.int64) for c in zip(*made))
+        self.characters = np.arange(0x110000, dtype=np.int64) + len(self.surface)
+        for c, k in self.ids.items():
+            if len(c) == 1:
+                self.characters[ord(c)] = k
+
+    #: Level of a pair that makes no piece.
+    NONE = 1 << 30
+
+    def pair(self, left, right):
+        """(piece, level) that pairs of symbols make."""
+        import numpy as np
+
+        key = left << 32 | right
+        at = np.searchsorted(self.pairs, key)
+        at[at == len(self.pairs)] = 0
+        at[self.pairs[at] != key] = 0
+        return self.makes[at], self.levels[at]
+
+    def merged_rows(self, symbols, size):
+        """The symbols that merges leave of many words, one per row of
+        ``symbols`` (``size`` of each row count): (all in a row, how many each
+        has).  A row is a word's agenda: each round takes the best of it."""
+        import numpy as np
+
+        n, width = symbols.shape
+        here = np.arange(width)
+        live = here < size[:, None]
+        piece, level = np.zeros((n, width), np.int64), np.full((n, width), self.NONE, np.int64)
+        joint = live[:, 1:]
+        piece[:, :-1][joint], level[:, :-1][joint] = self.pair(symbols[:, :-1][joint], symbols[:, 1:][joint])
+        after, before = np.tile(here + 1, (n, 1)), np.tile(here - 1, (n, 1))
+        todo = np.arange(n)
+        while len(todo):
+            best = level[todo].argmin(axis=1)  # the leftmost of the best
+            some = level[todo, best] < self.NONE
+            todo, at = todo[some], best[some]
+            gone = after[todo, at]
+            symbols[todo, at] = piece[todo, at]
+            live[todo, gone], level[todo, gone] = False, self.NONE
+            after[todo, at] = nxt = after[todo, gone]
+            more = nxt < size[todo]
+            row, mid, nxt = todo[more], at[more], nxt[more]
+            before[row, nxt] = mid
+            level[todo[~more], at[~more]] = self.NONE
+            piece[row, mid], level[row, mid] = self.pair(symbols[row, mid], symbols[row, nxt])
+            prior = before[todo, at]
+            row, mid, prior = todo[prior >= 0], at[prior >= 0], prior[prior >= 0]
+            piece[row, prior], level[row, prior] = self.pair(symbols[row, prior], symbols[row, mid])
+        return symbols[live], live.sum(axis=1)
+
+    def encode_words(self, words):
+        """(ids of all words in a row, how many each has) of a large binary
+        array of non-empty words, spaces as such."""
+        import numpy as np
+
+        offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        begun = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+        ends = begun[offsets - offsets[0]]
+        size = np.diff(ends)
+        points = np.frombuffer(data.tobytes().decode().replace(" ", SPACE).encode("utf-32-le"), np.uint32)
+        widths = WIDTHS if self.fallback else ()  # runs of unknown characters become one id: left to the heap
+        parts = []
+        for low, width in zip((0, *widths), widths):
+            mine = np.flatnonzero((size > low) & (size <= width))
+            symbols, column = np.zeros((len(mine), width), np.int64), np.arange(width)
+            inside = column < size[mine, None]
+            symbols[inside] = self.characters[points[(ends[mine, None] + column)[inside]]]
+            parts.append((mine, *self.spelled(*self.merged_rows(symbols, size[mine]))))
+        mine = np.flatnonzero(size > (widths[-1] if widths else 0))
+        found = [self.encode(words[int(k)].as_py().decode().replace(" ", SPACE)) for k in mine]
+        parts.append((mine, np.fromiter((i for f in found for i in f), np.int64), np.fromiter(map(len, found), np.int64, len(found))))
+        rows, ids, per = (np.concatenate(p) for p in zip(*parts))
+        back = np.empty(len(words), np.int64)
+        back[rows] = np.arange(len(rows))
+        return gather(ids, per, back)
+
+    def spelled(self, symbols, per):
+        """Symbols (``per`` of each word) as ids: those that are no piece
+        become the pieces of their bytes."""
+        import numpy as np
+
+        first = len(self.surface)
+        odd = np.unique(symbols[symbols >= first])
+        spelt = [[self.bytes[b] for b in chr(int(s) - first).encode()] for s in odd]
+        known = np.minimum(symbols, first)
+        known[symbols >= first] = first + np.searchsorted(odd, symbols[symbols >= first])
+        ids = np.concatenate([np.arange(first), *spelt]).astype(np.int64)
+        size = np.concatenate((np.ones(first, np.int64), np.array([len(x) for x in spelt], np.int64)))
+        out, each = gather(ids, size, known)
+        ends = np.concatenate(([0], np.cumsum(each)))
+        return out, np.diff(ends[np.concatenate(([0], np.cumsum(per)))])
 
     def parts(self, text: str):
         """``text`` cut between characters that no piece has side by side."""
@@ -169,6 +283,17 @@ class MergeModel:
         return out
 
 
+def gather(values, size, chosen):
+    """(values of the chosen groups in a row, how many each has): group k is
+    the ``size[k]`` values after those of the groups before it."""
+    import numpy as np
+
+    first = np.cumsum(size) - size
+    per = size[chosen]
+    ends = np.concatenate(([0], np.cumsum(per)))
+    return values[np.repeat(first[chosen] - ends[:-1], per) + np.arange(ends[-1])], per
+
+
 def words_of(texts):
     """(words as a large binary array, words of each text) of non-null texts:
     each begins with its spaces, of which the first text's first is put there.
@@ -203,38 +328,20 @@ class Codec:
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file)
         self.lengths = np.array([len(s) for s in self.model.surface])
         self.data = np.frombuffer(b"".join(self.model.surface), np.uint8)
-        self.first = np.cumsum(self.lengths) - self.lengths
-        self.words: dict[bytes, object] = {}
-
-    def ids_of(self, word: bytes):
-        import numpy as np
-
-        if (known := self.words.get(word)) is not None:
-            return known
-        ids = np.array(self.model.encode(word.decode().replace(" ", SPACE)), np.int32)
-        if len(word) <= LONGEST_KEPT:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
 
     def encode(self, texts):
         """(ids of all texts in a row, number of ids of each)."""
         import numpy as np
-        import pyarrow as pa
 
         if not self.model.by_word:
-            found = [self.ids_of(b" " + t.encode() if t else b"") for t in texts.to_pylist()]
-            return np.concatenate([np.empty(0, np.int32), *found]), np.array([len(f) for f in found], np.int64)
+            found = [self.model.encode(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts.to_pylist()]
+            return (np.fromiter((i for f in found for i in f), np.int64), np.fromiter(map(len, found), np.int64, len(found)))
         words, per = words_of(texts)
         coded = words.dictionary_encode()
-        found = [self.ids_of(w) for w in coded.dictionary.to_pylist()]
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat, first = np.concatenate([np.empty(0, np.int32), *found]), np.cumsum(size) - size
-        ends = np.concatenate(([0], np.cumsum(size[at])))
-        place = np.repeat(first[at] - ends[:-1], size[at]) + np.arange(ends[-1])
-        return flat[place], np.diff(ends[np.concatenate(([0], np.cumsum(per)))])
+        ids, size = self.model.encode_words(coded.dictionary)
+        ids, each = gather(ids, size, coded.indices.to_numpy(zero_copy_only=False))
+        ends = np.concatenate(([0], np.cumsum(each)))
+        return ids, np.diff(ends[np.concatenate(([0], np.cumsum(per)))])
 
     def decode(self, ids, per):
         """Texts of the ids: ``per`` of them each, without the space before a
@@ -242,9 +349,8 @@ class Codec:
         import numpy as np
         import pyarrow as pa
 
-        size = self.lengths[ids]
+        data, size = gather(self.data, self.lengths, ids)
         ends = np.concatenate(([0], np.cumsum(size)))
-        data = self.data[np.repeat(self.first[ids] - ends[:-1], size) + np.arange(ends[-1])]
         cuts = ends[np.concatenate(([0], np.cumsum(per)))]
         out = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -308,7 +414,7 @@ def encode_pieces(docs: DataFrame, model_file: str, id_col: str = "doc_id", text
                 codec.check(texts, ids, per, decoded)
             ends = np.concatenate(([0], np.cumsum(per)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())), decoded],
+                [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids).cast(pa.int32())), decoded],
                 ["id", "ids", "decoded"])
 
     return map_arrow(src, run, f"id {kind}, ids array<int>, decoded string", keeps=PIECE_WORDS)

@@ -119,8 +119,18 @@ def test_other_models_are_refused(tmp_path):
         MergeModel(str(other))
 
 
-def test_cache_stays_bounded(monkeypatch):
-    monkeypatch.setattr(pieces, "CACHE_WORDS", 50)
+def test_rows_and_heap_agree():
+    r = random.Random(2)
+    words = ["▁" + "".join(r.choice("aabcdeno中é😀xq") for _ in range(r.randrange(1, 70))) for _ in range(400)]
+    ids, per = CODEC.model.encode_words(pa.array([w.replace("▁", " ").encode() for w in words], pa.large_binary()))
+    ends = np.concatenate(([0], np.cumsum(per)))
+    for k, w in enumerate(words):
+        assert ids[ends[k]:ends[k + 1]].tolist() == CODEC.model.encode(w)
+
+
+def test_a_model_whose_words_are_no_parts(monkeypatch):
     codec = Codec(FILE)
-    codec.encode(pa.array([" ".join(f"w{k}" for k in range(500)) + " " + "y" * 100]))
-    assert len(codec.words) <= 50 and not any(len(w) > pieces.LONGEST_KEPT for w in codec.words)
+    codec.model.by_word = False
+    array = pa.array(["", "some words", "中 é"])
+    ids, per = codec.encode(array)
+    codec.check(array, ids, per, codec.decode(ids, per))
