@@ -10,8 +10,10 @@ equal texts is cut only if it is larger than both the largest row and the share
 WHOLE of a shard.
 
 Defined results: a null text is an empty text; repeated rows are rows; an
-empty table gives no rows; a column of the input that is named like one the
-operator adds is renamed with a trailing underscore."""
+empty table gives no rows; a very long text is a row like any other, and a
+shard may be larger than its share by one row at most; a column of the input
+that is named like one the operator adds is renamed with underscores at its
+end, as many as make the name a new one."""
 from __future__ import annotations
 
 import uuid
@@ -119,10 +121,23 @@ def splitters(keys: DataFrame, shards: int, total: int, largest: int) -> list[tu
     return [(HIGHEST, HIGHEST) if h > HIGHEST else (h, min(t, HIGHEST)) for h, t in out]
 
 
+def _renamed(columns: list[str], taken: tuple[str, ...]) -> dict[str, str]:
+    """New names for those of ``columns`` that are ``taken``."""
+    used, out = {c.lower() for c in columns}, {}
+    for c in columns:
+        if c.lower() in taken:
+            new = f"{c}_"
+            while new.lower() in used:
+                new += "_"
+            used.add(new.lower())
+            out[c] = new
+    return out
+
+
 def sharded(docs: DataFrame, shards: int = 24, text_col: str = "text") -> DataFrame:
     """``docs`` with (shard, slot): slots count from 0 in each shard.  The
     rows move once."""
-    spare = {c: f"{c}_" for c in docs.columns if c.lower() in ("shard", "slot", "_rid", "_h", "_t")}
+    spare = _renamed(docs.columns, ("shard", "slot", "_rid", "_h", "_t"))
     docs = docs.withColumnsRenamed(spare)
     text_col = spare.get(text_col, text_col)
     keyed = (identified(docs, "_rid")

@@ -63,3 +63,11 @@ def test_fewer_rows_than_shards(spark, scratch):
     got = sharded(spark.read.parquet(f"{scratch}/d"), 24).collect()
     assert len(got) == 3 and all(0 <= r.shard < 24 for r in got)
     check_slots(got)
+
+
+def test_columns_with_the_new_names(spark, scratch):
+    rows = [(k, f"t{k}", k, -k, 2 * k, 0) for k in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string, shard int, shard_ int, Slot int, _rid int").write.parquet(f"{scratch}/d")
+    out = sharded(spark.read.parquet(f"{scratch}/d"), 3)
+    assert out.columns == ["doc_id", "text", "shard__", "shard_", "Slot_", "_rid_", "shard", "slot"]
+    assert all((r.shard__, r.shard_, r.Slot_) == (r.doc_id, -r.doc_id, 2 * r.doc_id) for r in out.collect())
