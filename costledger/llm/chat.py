@@ -23,10 +23,9 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..session import ensure_checkpoint_dir
-from .common import map_arrow, slices
+from .common import identified, map_arrow, slices
 
 OPEN, CLOSE, MIDDLE = "<|", "<|end|>\n", "|>\n"
 #: Every marker has one of these, not followed by a backslash.
@@ -49,12 +48,12 @@ def unescaped(text: Column) -> Column:
 
 def event_log(turns: DataFrame) -> DataFrame:
     """The log that streaming ``turns`` (conv_id, turn, role, text) could
-    have left: (conv_id, turn, copy, seq, kind, role, text).  By the text's
-    hash, a message comes as two deltas, as a draft that is regenerated, or
-    as a draft that is edited."""
-    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
-                        F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("copy", F.row_number().over(W.partitionBy("conv_id", "turn").orderBy("role", "text")))
+    have left: (conv_id, turn, copy, seq, kind, role, text).  ``copy`` is the
+    row's place in the files, so rows of one turn are told apart without
+    meeting in one task.  By the text's hash, a message comes as two deltas,
+    as a draft that is regenerated, or as a draft that is edited."""
+    rows = identified(turns.select("conv_id", "turn", "role", "text"), "copy").select(
+        *KEYS, F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     cut = F.floor(F.length("text") / 2).cast("int")
     nothing = F.lit(None).cast("string")
 
@@ -115,8 +114,9 @@ def fold(events: DataFrame) -> DataFrame:
 
 def rendered(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, copy, segment, loss_first, loss_end): a row per
-    message; a conversation's text is its segments in order.  The loss mask,
-    in code points of the segment, covers an assistant's text."""
+    message; a conversation's text is its segments by turn, those of one turn
+    by role and text.  The loss mask, in code points of the segment, covers an
+    assistant's text."""
     head = F.concat(F.lit(OPEN), escaped(F.col("role")), F.lit(MIDDLE))
     body = escaped(F.col("text"))
     graded = F.col("role") == ASSISTANT
@@ -176,7 +176,7 @@ def conversation_digests(messages: DataFrame) -> DataFrame:
         if started:
             yield batch([*out, row()])
 
-    dealt = (messages.repartition("conv_id").sortWithinPartitions(*KEYS)
+    dealt = (messages.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text", "copy")
              .select("conv_id", "role", "text", "loss", F.col("chars").cast("long")))
     return map_arrow(dealt, run, f"conv_id {types['conv_id']}, n_turns long, turns_sha256 string, loss_chars long, "
                      "loss_sha256 string, formatted_chars long")
@@ -196,7 +196,7 @@ def op8_chat(spark, sf_dir: str) -> DataFrame:
     ok = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", ok), (-7, 1, ASSISTANT, ok)], told.schema)
     path = f"{ensure_checkpoint_dir(spark)}/chats-{uuid.uuid4().hex}"
-    format_chats(event_log(told.unionByName(added)), path)
+    format_chats(event_log(told).unionByName(event_log(added)), path)
     return conversation_digests(read_chats(spark, path))
 
 

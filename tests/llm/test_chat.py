@@ -58,3 +58,24 @@ def test_round_trip_edges(spark, scratch):
     assert sums[1].turns_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert sums[2].loss_chars == 0 and sums[None].n_turns == 1
     assert rendered(fold(event_log(turns.limit(0)))).count() == 0
+
+
+def test_a_turn_repeated_without_end_is_spread(spark, scratch):
+    """No step before the digest brings the rows of one turn together."""
+    same = [(None, None, "user", "same")] * 400 + [(1, 0, "assistant", f"m{k}") for k in range(400)]
+    df = spark.createDataFrame(same, "conv_id long, turn long, role string, text string").repartition(4)
+    df.write.parquet(f"{scratch}/t")
+    log = event_log(spark.read.parquet(f"{scratch}/t"))
+    assert "Window" not in log._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        from pyspark.sql import functions as F
+        spread = [r["count"] for r in fold(log).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(spread) == 800 and len(spread) == 4 and max(spread) < 300
+    format_chats(log, f"{scratch}/c")
+    sums = {r.conv_id: r for r in conversation_digests(read_chats(spark, f"{scratch}/c")).collect()}
+    assert sums[None].n_turns == 400
+    text = "".join(f"assistant\n{t}\n" for t in sorted(f"m{k}" for k in range(400)))
+    assert sums[1].turns_sha256 == hashlib.sha256(text.encode()).hexdigest()
