@@ -12,13 +12,14 @@ configurations, each with how often it is used.
 
 Defined results: a null text is an empty text (only the end id); an empty
 table gives no rows; repeated rows are packed each for itself; a null id is
-carried; columns other than the id and the text are ignored."""
+carried; a very long text is cut into pieces of ``capacity`` ids, the last may
+be shorter; columns other than the id and the text are ignored."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TOKEN_PIECES, gapless, map_arrow, narrowed, slices, written
+from .common import TOKEN_PIECES, free_name, gapless, identified, map_arrow, narrowed, slices, written
 from .encode import ENCODE_BYTES, word_encoder
 
 #: Rounds of multiplicative weights, batches of lengths priced in a round, and
@@ -207,10 +208,11 @@ def pack(parts: DataFrame, rows: int, capacity: int = 2048) -> DataFrame:
     histogram = {r["length"]: r["n"] for r in
                  parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = _runs(plan(histogram, capacity))
-    ranked = gapless(parts, "length", [F.col("id"), F.col("piece")], "_rank", rows,
-                     salt=[F.col("id"), F.col("piece")])
-    names = [c for c in ranked.columns if c != "_rank"]
-    at = ranked.columns.index("length"), ranked.columns.index("_rank")
+    # Rows of one length are dealt by their place in the table: ids may be null or repeat.
+    place, rank_col = free_name(parts, "_place"), free_name(parts, "_rank")
+    ranked = gapless(identified(parts, place), "length", [F.col(place)], rank_col, rows, salt=[F.col(place)]).drop(place)
+    names = [c for c in ranked.columns if c != rank_col]
+    at = ranked.columns.index("length"), ranked.columns.index(rank_col)
 
     def run(batches):
         import numpy as np
@@ -231,7 +233,7 @@ def pack(parts: DataFrame, rows: int, capacity: int = 2048) -> DataFrame:
                 [*(b.column(b.schema.get_field_index(c)) for c in names), pa.array(seq + place // per, pa.int64()),
                  pa.array(offset + place % per * n, pa.int64())], [*names, "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in ranked.dtypes if c != "_rank")
+    schema = ", ".join(f"`{c}` {t}" for c, t in ranked.dtypes if c != rank_col)
     return map_arrow(ranked, run, f"{schema}, sequence_id long, offset long")
 
 

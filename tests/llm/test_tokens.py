@@ -145,3 +145,22 @@ def test_plan_is_exact_and_close_to_the_bound(seed):
     assert again == h
     assert sum(t for _, t in made) <= 1.05 * max(sum(n * c for n, c in h.items()) / 256, 1) + 2
     assert sum(t for _, t in best_fit({n: c * 10 ** 6 for n, c in h.items()}, 256)) > 0
+
+
+def test_pieces_without_ids_are_spread(spark, scratch):
+    """Pieces of one length and null ids are numbered in several tasks, AQE or not."""
+    from pyspark.sql import functions as F
+
+    from costledger.llm.packing import pack
+    spark.range(0, 40_000, 1, 4).selectExpr(
+        "cast(null as long) id", "0 piece", "0L start", "if(id < 39000, 700L, 3L) length", "id _rank").write.parquet(f"{scratch}/p")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = pack(spark.read.parquet(f"{scratch}/p"), 40_000).withColumn("task", F.spark_partition_id()).toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(got) == 40_000 and got["_rank"].nunique() == 40_000
+    assert got["task"].nunique() > 1 and got.groupby("task").size().max() < 36_000
+    for _, s in got.sort_values("offset").groupby("sequence_id"):
+        assert (s["offset"].to_numpy() == np.cumsum(s["length"]) - s["length"]).all() and s["length"].sum() <= 2048
+    assert got["sequence_id"].nunique() == 19_500
