@@ -87,10 +87,10 @@ def without(docs: DataFrame, rids: DataFrame) -> DataFrame:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
-           limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+           limit: int = 4 << 20, rows: int | None = None) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``limit`` bytes in
-    each (at least one row), which bounds a worker's memory whatever the row
-    lengths are."""
+    each (at least one row) and there are at most ``rows`` rows, which bounds
+    a worker's memory whatever the row lengths are."""
     import numpy as np
     import pyarrow.compute as pc
 
@@ -103,6 +103,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
         while start < b.num_rows:
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+            stop = min(stop, start + (rows or stop))
             yield b.slice(start, stop - start)
             start = stop
 

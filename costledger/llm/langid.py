@@ -7,29 +7,75 @@ by cosine; a text gets the language of the nearest one.  It is rejected when it
 is farther from every centroid than texts of its length in the training sample
 ever are.
 
-The classifier is fitted on a bounded sample of labelled rows (SAMPLE for each
-language, by a hash of the id); every text is predicted whole.
+The classifier is fitted on a bounded sample of labelled rows: about SAMPLE for
+each of the LANGUAGES languages with most rows (ties: the lesser name), picked
+by a hash of the id and the row's place in its file, so that an id on many rows
+is no more likely than others.  Every text is predicted whole; one of more than
+a slice is counted in steps.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0
 and rejected; without any labelled row every text is ``und`` with score 0 and
-only letterless ones are rejected; a null id is neither held out nor learned
-from; repeated rows get equal results; other columns are ignored."""
+only letterless ones are rejected; of centroids equally near, the one whose
+language's name is the least wins; a text with fewer n-grams than any in the
+sample's shortest length class is not judged by distance; a null id is neither
+held out nor learned from; a language beyond LANGUAGES is not learned, its rows
+are predicted like others; repeated rows get equal results; other columns are
+ignored."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import own_copies
-from .common import map_arrow, placed, rows_of, slices, without, written
+from .common import identified, map_arrow, placed, rows_of, slices, without, written
 from .decontam import flat_texts
 
 #: Labelled rows of each language that the classifier is fitted on, about.
 SAMPLE = 1500
+#: Languages that the classifier learns at most.
+LANGUAGES = 400
+#: Bytes and rows of texts that are turned into vectors at once.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 512
 #: Hashed n-grams, centroids of a language, and folds of which 0 is held out.
 BUCKETS, CENTROIDS, FOLDS = 4096, 4, 5
 #: Share of the sample that lies below the similarity of its length class, and
 #: the part of that similarity below which a text is rejected.
-TAIL, MARGIN = 0.002, 0.6
+TAIL, MARGIN = 0.002, 0.9
+
+
+#: Lengths of n-grams and what spreads them over the buckets.
+GRAMS = ((2, 0x9E3779B1), (3, 0x85EBCA6B))
+
+
+def _letters(data):
+    return ((data >= 0x61) & (data <= 0x7A)) | (data >= 0x80)
+
+
+def long_counts(data, step: int = SLICE_BYTES):
+    """The counts of one text's lower-cased bytes, ``step`` bytes at a time:
+    what ``vectors`` gives for it."""
+    import numpy as np
+
+    counts = np.zeros(BUCKETS, np.int64)
+    tail = np.array([0x20], np.int64)  # the last signs so far; a text begins with a space
+    for at in range(0, len(data) + 1, step):
+        part = data[at:at + step]
+        if at + step > len(data):  # and ends with one
+            part = np.append(part, np.uint8(0x20))
+        letter = _letters(part)
+        keep = letter.copy()
+        keep[0] |= tail[-1] != 0x20
+        keep[1:] |= letter[:-1]
+        signs = np.concatenate((tail, np.where(letter, part, 0x20)[keep]))
+        for n, salt in GRAMS:
+            first, m = max(0, len(tail) - n + 1), len(signs) - n + 1
+            if m > first:
+                gram = signs[first:m].copy()
+                for k in range(1, n):
+                    gram = gram << 8 | signs[first + k:m + k]
+                counts += np.bincount((gram * salt >> 13) & (BUCKETS - 1), minlength=BUCKETS)
+        tail = signs[-2:]
+    return counts
 
 
 def vectors(column):
@@ -37,13 +83,17 @@ def vectors(column):
     string array without nulls."""
     import numpy as np
 
+    if len(column) == 1 and column.nbytes > 2 * SLICE_BYTES:
+        data, _ = flat_texts(column)
+        found = bool(((data >= 0x61) & (data <= 0x7A)).any()) or any(c.isalpha() for c in column[0].as_py())
+        return long_counts(data)[None].astype(np.float32), np.array([found])
     data, offsets = flat_texts(column)
     # A space at the start and the end and between texts; then every run of
     # other signs is one space, which belongs to the texts on both sides.
     at = offsets
     data = np.insert(data, at, 0x20)
     offsets_in = at + np.arange(len(at))
-    letter = ((data >= 0x61) & (data <= 0x7A)) | (data >= 0x80)
+    letter = _letters(data)
     keep = letter.copy()
     keep[0] = True
     keep[1:] |= letter[:-1]
@@ -51,7 +101,7 @@ def vectors(column):
     signs = np.where(letter[at], data[at], 0x20).astype(np.int64)
     owner = np.where(letter[at], np.searchsorted(offsets_in, at, "right") - 1, -1)
     counts = np.zeros((len(column), BUCKETS), np.float32)
-    for n, salt in ((2, 0x9E3779B1), (3, 0x85EBCA6B)):
+    for n, salt in GRAMS:
         m = len(signs) - n + 1
         if m < 1:
             continue
@@ -114,29 +164,28 @@ def fit(docs: DataFrame, **names) -> dict | None:
 
 
 def _fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample: int = SAMPLE) -> dict | None:
+            sample: int = SAMPLE, languages: int = LANGUAGES) -> dict | None:
     import numpy as np
 
-    rows = (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
-                        F.col(f"`{lang_col}`").alias("lang"))
+    rows = (identified(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
+                                   F.col(f"`{lang_col}`").alias("lang")), "place")
             .where("id is not null and lang is not null and text is not null").where(~held_out("id")))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return None
-    share = F.lit(None)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
-    picked = written(rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30)).select("lang", "text"))
+    most = (rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n"), "lang").limit(languages)
+            .select("lang", F.least(F.lit(1.0), sample / F.col("n")).alias("share")))
+    shares = written(most)  # at most ``languages`` rows
+    chance = F.pmod(F.xxhash64("id", F.substring_index("place", "-", -1)), F.lit(1 << 30))
+    picked = written(rows.join(F.broadcast(shares), "lang").where(chance < F.col("share") * (1 << 30)).select("lang", "text"))
 
     def tables(batches):
         import pyarrow as pa
 
-        for b in slices(batches, limit=1 << 20):
+        for b in slices(batches, limit=SLICE_BYTES, rows=SLICE_ROWS):
             got, ok = vectors(b.column(1))
             got = got[ok]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).filter(pa.array(ok)), pa.array([np.minimum(r, 65535).astype("<u2").tobytes() for r in got],
-                                                            pa.binary())], ["lang", "counts"])
+                [b.column(0).filter(pa.array(ok)), pa.array([r.astype("<f4").tobytes() for r in got], pa.binary())],
+                ["lang", "counts"])
 
     features = written(map_arrow(picked, tables, "lang string, counts binary"))
 
@@ -146,7 +195,7 @@ def _fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         df, n = np.zeros(BUCKETS, np.int64), 0
         for b in batches:
             for c in b.column(0).to_pylist():
-                df += np.frombuffer(c, "<u2") > 0
+                df += np.frombuffer(c, "<f4") > 0
                 n += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS + 1), pa.int32()),
                                           pa.array(np.append(df, n), pa.int64())], ["bucket", "n"])
@@ -161,7 +210,7 @@ def _fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     def centres(pdf):
         import pandas as pd
 
-        got = np.stack([np.frombuffer(c, "<u2") for c in pdf["counts"]]).astype(np.float32)
+        got = np.stack([np.frombuffer(c, "<f4") for c in pdf["counts"]])
         return pd.DataFrame({"lang": pdf["lang"].iloc[0],
                              "centre": [c.astype("<f4").tobytes() for c in cluster(weighted(got, idf)[0])]})
 
@@ -175,7 +224,7 @@ def _fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         """Similarity of the sampled texts, and of ever shorter parts of them."""
         import pyarrow as pa
 
-        for b in slices(batches, limit=1 << 20):
+        for b in slices(batches, limit=SLICE_BYTES, rows=SLICE_ROWS):
             texts = b.column(1).to_pylist()
             for step in range(4, 16):
                 part = [t[len(t) // 3:len(t) // 3 + (1 << step)] for t in texts if len(t) >= 1 << step] if step < 15 else texts
@@ -216,7 +265,7 @@ def identify(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_c
             bounds = np.array([m["least"].get(k, np.nan) for k in range(lowest, highest + 1)])
             for k in range(len(bounds)):  # a class without texts takes the next shorter one's
                 bounds[k] = bounds[k - 1] if np.isnan(bounds[k]) else bounds[k]
-        for b in slices(batches, limit=1 << 20):
+        for b in slices(batches, limit=SLICE_BYTES, rows=SLICE_ROWS):
             counts, ok = vectors(b.column(2))
             score, pred, reject = np.zeros(len(ok)), np.full(len(ok), "und", object), ~ok
             if m:

@@ -1,8 +1,12 @@
 """Language identification: held-out accuracy, rejection and edges."""
+import math
 import zlib
 
 import pyarrow as pa
+import pytest
 
+from costledger.llm import langid
+from costledger.llm.decontam import flat_texts
 from costledger.llm.langid import accepted, fit, identify, vectors
 from costledger.llm.queries import QUERIES
 
@@ -50,3 +54,84 @@ def test_edges_and_rejection(spark, scratch):
     kept = accepted(docs)
     assert kept.columns == docs.columns
     assert kept.count() == base.count() + 3
+
+
+def plain_counts(text):
+    """Hashed n-grams of one text, sign by sign."""
+    signs = [0x20]
+    for b in "".join(c.lower() if "A" <= c <= "Z" else c for c in text).encode():
+        s = b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
+        if s != 0x20 or signs[-1] != 0x20:
+            signs.append(s)
+    if signs[-1] != 0x20:
+        signs.append(0x20)
+    out = {}
+    for n, salt in langid.GRAMS:
+        for k in range(len(signs) - n + 1):
+            gram = 0
+            for s in signs[k:k + n]:
+                gram = gram << 8 | s
+            bucket = gram * salt >> 13 & (langid.BUCKETS - 1)
+            out[bucket] = out.get(bucket, 0) + 1
+    return out
+
+
+def test_against_a_plain_nearest_centroid(spark):
+    base = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 4000")
+    model = fit(base)
+    got = {r.id: r for r in identify(base, model).collect()}
+    for r in base.limit(150).collect():
+        counts = plain_counts(r.text)
+        v = {k: (1 + math.log(n)) * float(model["idf"][k]) for k, n in counts.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        near = [sum(x * float(c[k]) for k, x in v.items()) / norm for c in model["centres"]]
+        best = max(near)
+        assert abs(got[r.doc_id].score - best) < 1e-4
+        close = {lang for lang, x in zip(model["langs"], near, strict=True) if x > best - 1e-5}
+        assert got[r.doc_id].lang_pred in close
+
+
+@pytest.mark.parametrize("text", ["", "a", "...", "Ab c", "x " * 500, "é--é, Zoë  12 naïve", "日本語" * 300, " lead and trail. "])
+@pytest.mark.parametrize("step", [1, 2, 7, 1 << 20])
+def test_steps_of_a_long_text_count_like_the_whole(text, step):
+    data, _ = flat_texts(pa.array([text]))
+    want = plain_counts(text) if any(c.isalpha() for c in text) else {}
+    got = langid.long_counts(data, step)
+    assert {k: int(n) for k, n in enumerate(got) if n} == want
+    one, _ = vectors(pa.array([text]))
+    assert (one[0] == got).all()
+
+
+def test_a_text_of_many_slices(monkeypatch):
+    text = "Zoë said: the cat, the DOG and 12 birds... " * 50
+    whole, ok = vectors(pa.array([text]))
+    monkeypatch.setattr(langid, "SLICE_BYTES", 100)
+    steps, found = vectors(pa.array([text]))
+    assert (whole == steps).all() and ok.tolist() == found.tolist() == [True]
+    assert vectors(pa.array(["1 2 " * 200]))[1].tolist() == [False]
+
+
+@pytest.mark.parametrize("gone", ["de", "en", "es", "fr"])
+def test_a_language_that_was_not_learned_is_rejected(spark, gone):
+    base = spark.read.parquet(f"{SF}/documents.parquet")
+    model = fit(base.where(f"lang != '{gone}'"))
+    got = identify(base, model).join(base.selectExpr("doc_id id", "lang"), "id").collect()
+    mine = [r.rejected for r in got if r.lang == gone]
+    rest = [r.rejected for r in got if r.lang != gone]
+    assert sum(mine) >= 0.9 * len(mine), f"{sum(mine)} of {len(mine)}"
+    assert sum(rest) <= 0.01 * len(rest)
+
+
+def test_many_languages_and_a_hot_id(spark, scratch):
+    """Ten thousand labels are no chain of conditions; an id on many rows is sampled like others."""
+    (spark.range(10_000).selectExpr("id doc_id", "concat('text of ', id) text", "concat('l', id) lang")
+     .unionByName(spark.range(6000).selectExpr("7L doc_id", "concat('the same id ', id) text", "'hot' lang"))
+     .repartition(3).write.parquet(f"{scratch}/d"))
+    docs = spark.read.parquet(f"{scratch}/d")
+    model = fit(docs, sample=200, languages=30)
+    assert len(set(model["langs"])) == 30 and "hot" in model["langs"]
+    assert identify(docs, model).count() == 16_000
+    assert len(set(fit(docs)["langs"])) == langid.LANGUAGES
+    n = (langid.identified(docs, "place").where("lang = 'hot'")
+         .where("pmod(xxhash64(doc_id, substring_index(place, '-', -1)), 1 << 30) < 200 / 6000 * (1 << 30)").count())
+    assert 100 < n < 320
