@@ -12,8 +12,10 @@ one with the longest last piece wins.  A character without a piece of its own
 costs the least score less 10 and counts as its UTF-8 bytes.
 
 Defined results: white space is [\\x20\\x09-\\x0D]; a null text has no tokens;
-repeated rows are counted each for itself; a null id is carried; an empty table
-gives no rows; other columns are ignored."""
+repeated rows are counted each for itself; a null id is carried; a word of more
+than LONG_WORD characters (a page without a space) is scored character by
+character without nodes and is not remembered; an empty table gives no rows;
+other columns are ignored."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
@@ -24,6 +26,8 @@ from .common import UNIGRAM_WORDS, map_arrow, slices
 MARK, UNKNOWN_COST = "▁", 10.0
 #: A trie of so many nodes, and a list of so many words, starts anew.
 MOST_NODES, MOST_WORDS = 400_000, 800_000
+#: Characters of a word up to which it has nodes in the trie.
+LONG_WORD = 1000
 
 
 class Trie:
@@ -34,6 +38,7 @@ class Trie:
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_COST
         # Ends of pieces: a run of characters that is none ends the search for longer pieces.
         self.tails = {p[k:] for p in scores for k in range(len(p))}
+        self.reach = max(map(len, scores), default=1)
         self.clear()
 
     def clear(self) -> None:
@@ -63,6 +68,25 @@ class Trie:
         return tokens[path[-1]]
 
 
+    def count_long(self, word: str) -> int:
+        """What ``count`` gives, with the scores of the last ``reach``
+        characters only: no piece begins farther back."""
+        scores, tails, ring = self.scores, self.tails, self.reach + 1
+        best, tokens = [0.0] * ring, [0] * ring
+        for end, char in enumerate(word, 1):
+            top, n, before = None, 0, (end - 1) % ring
+            if char not in scores:
+                top, n = best[before] + self.unknown, tokens[before] + len(char.encode())
+            start = end - 1
+            while start >= 0 and (piece := word[start:end]) in tails:
+                score, at = scores.get(piece), start % ring
+                if score is not None and (top is None or best[at] + score >= top):
+                    top, n = best[at] + score, tokens[at] + 1
+                start -= 1
+            best[end % ring], tokens[end % ring] = top, n
+        return tokens[len(word) % ring]
+
+
 def vocabulary(model_file: str) -> dict[str, float]:
     """Pieces of text and their scores."""
     import sentencepiece
@@ -80,6 +104,7 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
     def run(batches):
         import sys
         import types
+        from collections import ChainMap
 
         import numpy as np
         import pyarrow as pa
@@ -97,12 +122,14 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
             if len(counts) > MOST_WORDS:
                 counts.clear()
                 counts[""] = 0
+            longs = {w: trie.count_long(MARK + w) for w in words if len(w) > LONG_WORD}
             for w in words:
-                if w not in counts:
+                if w not in counts and w not in longs:
                     if len(trie.best) > MOST_NODES:
                         trie.clear()
                     counts[w] = trie.count(MARK + w)
-            size = np.fromiter((counts[w] for w in words), np.int64, len(words))
+            known = ChainMap(longs, counts) if longs else counts
+            size = np.fromiter((known[w] for w in words), np.int64, len(words))
             real = np.fromiter((w != "" for w in words), np.int64, len(words))
             at = coded.indices.to_numpy(zero_copy_only=False)
             ends = np.concatenate(([0], np.cumsum(per)))

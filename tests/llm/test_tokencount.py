@@ -6,7 +6,7 @@ import sentencepiece
 from tokenizers import models
 
 from costledger.llm.queries import QUERIES
-from costledger.llm.tokencount import MARK, Trie, token_counts
+from costledger.llm.tokencount import MARK, Trie, token_counts, vocabulary
 
 FILE = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -51,7 +51,7 @@ def test_trie_matches_lattice():
         if k == 1500:
             trie.clear()
         word = "".join(rnd.choice("abcé") for _ in range(rnd.randint(1, 12)))
-        assert trie.count(word) == lattice(word, scores, trie.unknown)
+        assert trie.count(word) == trie.count_long(word) == lattice(word, scores, trie.unknown)
     assert len(trie.best) == len(trie.children) + 1
 
 
@@ -66,3 +66,17 @@ def test_edges(spark):
     assert by[5] == (1, 1 + 3 * 4) and by[6][0] == 50001
     assert token_counts(df.limit(0), FILE).count() == 0
     assert MARK == "▁"
+
+
+def test_a_page_without_a_space(spark):
+    """It makes no nodes, and counts like any other word."""
+    trie = Trie(vocabulary(FILE))
+    page = "".join(chr(0x4E00 + k * k % 20_000) for k in range(60_000))
+    nodes, lib = len(trie.best), library()
+    assert trie.count_long(MARK + page[:3000]) == len(lib.tokenize(MARK + page[:3000])) == trie.count(MARK + page[:3000])
+    trie.clear()
+    n = trie.count_long(MARK + page)
+    assert len(trie.best) == nodes
+    got = token_counts(spark.createDataFrame([(1, page + " ab " + page), (2, "ab")], "doc_id long, text string"), FILE).collect()
+    by = {r.id: (r.n_words, r.n_tokens) for r in got}
+    assert by[1] == (3, 2 * n + by[2][1])
