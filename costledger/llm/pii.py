@@ -3,8 +3,8 @@
 Generators with high recall propose spans, which may overlap.  The base
 generators are the plain patterns of the four kinds; those of their spans that
 pass the kind's check always stay.  The others propose what the plain patterns
-miss: numbers that a neighbour runs into, national phone formats, written-out
-addresses.  Boosted trees score each proposal by its format and context, and a
+miss: numbers that a neighbour runs into, national phone formats, card numbers
+grouped by other signs, addresses written out, encoded or defanged, IPv6.  Boosted trees score each proposal by its format and context, and a
 threshold per kind, calibrated on a held-out fold, selects what is added.
 
 There are no labels of personal data, so the trees learn from proposals whose
@@ -16,7 +16,8 @@ fitted exactly.  Copies of a proposal count once in it.
 Everything that touches rows is DataFrame functions.  Defined results: a null
 text is an empty text; every row comes out once, repeated rows too; a null id
 is carried and belongs to the training fold; an empty table gives no rows;
-other columns are ignored."""
+other columns are ignored; of a long text a row holds its matches and what is
+next to them, never copies of the text."""
 from __future__ import annotations
 
 import math
@@ -41,9 +42,19 @@ GENERATORS = {
     "card_groups": ("card", r"(?<![0-9])(?:[0-9]{4}[\x20.-]){3}[0-9]{1,7}(?![0-9])"),
     "phone_plus": ("phone", r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])"),
     "phone_local": ("phone", r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])"),
+    "phone_pairs": ("phone", r"(?<![0-9+.,/-])0[1-9](?:[\x20.-][0-9]{2}){4}(?![0-9]|[.,/-][0-9])"),
+    "phone_area": ("phone", r"(?<![0-9+.,/-])\(?0[1-9][0-9]{0,3}\)?[\x20/-][0-9]{3,4}[\x20-]?[0-9]{3,5}(?![0-9]|[.,/-][0-9])"),
+    "email_said": ("email", r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20at\x20[A-Za-z0-9-]{1,63}(?:\x20dot\x20[A-Za-z0-9-]{2,63}){1,4}"),
+    "email_signs": ("email", r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._+-]{1,64}(?:\x20@\x20|&#64;|&commat;|%40)[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"),
+    "ip_defanged": ("ip", r"(?i)(?<![0-9])[0-9]{1,3}(?:[\[(](?:\.|dot)[\])][0-9]{1,3}){3}(?![0-9])"),
+    "ip_short": ("ip", r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}(?![0-9A-Za-z:])"),
+    "card_signs": ("card", r"(?<![0-9])(?:[0-9]{4}[._/\xA0]){3}[0-9]{4}(?![0-9])"),
+    "card_short": ("card", r"(?<![0-9])3[47][0-9]{2}[\x20._/-][0-9]{6}[\x20._/-][0-9]{5}(?![0-9])"),
 }
-#: What a text must contain for a generator to be tried at all.
-NEEDS = {"email": "@", "phone": "+", "phone_plus": "+", "ip": ".", "ip_hex": ":"}
+#: What a text must contain for a generator to be tried at all: a string or a pattern.
+NEEDS = {"email": "@", "phone": "+", "phone_plus": "+", "ip": ".", "ip_hex": ":", "ip_short": "::"}
+NEEDS_LIKE = {"email_words": r"(?i)[\[(]at[\])]", "email_said": r"(?i)\x20dot\x20", "email_signs": r"(?i)\x20@\x20|&#64;|&commat;|%40",
+              "ip_defanged": r"(?i)[0-9][\[(](?:\.|dot)[\])][0-9]"}
 #: Words that announce a kind.
 ANNOUNCE = {"email": "mail", "ip": r"\bip\b|addr|host", "card": "card|visa|credit|pay", "phone": "phone|tel|call|mobile|fax"}
 CONTEXT = 24
@@ -60,13 +71,14 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ``before`` and ``after`` reach to the neighbouring match."""
     digits = rows_of(docs, id_col, text_col).withColumn("_digit", F.col("text").rlike("[0-9]"))
     found = []
-    for name, (_, pattern) in GENERATORS.items():
+    for name, (kind, pattern) in GENERATORS.items():
         ready = F.col("text").contains(NEEDS[name]) if name in NEEDS else F.lit(True)
-        ready = ready & (F.col("_digit") if name not in ("email", "email_words", "ip_hex") else F.lit(True))
-        if name == "email_words":
-            ready = F.col("text").rlike(r"(?i)[\[(]at[\])]")
+        ready = F.col("text").rlike(NEEDS_LIKE[name]) if name in NEEDS_LIKE else ready
+        ready = ready & (F.col("_digit") if kind != "email" and name != "ip_hex" else F.lit(True))
         found.append(F.when(ready, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias(f"m_{name}"))
-        found.append(F.when(ready, F.split("text", pattern, -1)).alias(f"s_{name}"))
+        # Of what lies between matches, its length and ends; the text itself is not kept in the row.
+        found.append(F.when(ready, F.transform(F.split("text", pattern, -1), lambda p: F.struct(
+            F.length(p).alias("n"), F.left(p, F.lit(CONTEXT)).alias("head"), F.right(p, F.lit(CONTEXT)).alias("tail")))).alias(f"s_{name}"))
     parts = digits.select("rid", "id", *found)
 
     def spans(name):
@@ -74,8 +86,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
         def one(m, i):
             left, right = F.get(pieces, i), F.get(pieces, i + 1)
-            return F.struct(F.lit(name).alias("generator"), i.alias("i"), m.alias("match"), F.length(left).alias("gap"),
-                            F.right(left, F.lit(CONTEXT)).alias("before"), F.left(right, F.lit(CONTEXT)).alias("after"))
+            return F.struct(F.lit(name).alias("generator"), i.alias("i"), m.alias("match"), left["n"].alias("gap"),
+                            left["tail"].alias("before"), right["head"].alias("after"))
 
         return F.coalesce(F.transform(F.col(f"m_{name}"), one), F.array().cast(
             "array<struct<generator:string,i:int,match:string,gap:int,before:string,after:string>>"))
@@ -112,16 +124,23 @@ def base_check() -> Column:
 
 
 def own_check() -> Column:
-    """What a proposal's own content says of it, for training only."""
-    d = _digits()
+    """What a proposal's own content says of it, for training only: the form
+    of a domain, octets, the check digit, and for phones the plan of +1, else
+    a country code or a trunk 0 before a number of a possible length."""
+    d, g, k = _digits(), F.col("generator"), F.col("kind")
     domain = F.lower(F.regexp_extract("match", r"([A-Za-z0-9-]+)$", 1))
-    plan = F.right(d, F.lit(10)).rlike("^[2-9][0-9]{2}[2-9][0-9]{6}$")
+    plan = (F.when(g.isin("phone_pairs", "phone_area"), d.rlike("^0[1-9][0-9]{7,9}$"))
+            .when((g == "phone_local") | d.startswith("1"), d.rlike("^1?[2-9][0-9]{2}[2-9][0-9]{6}$"))
+            .otherwise(d.rlike("^[2-9][0-9]{8,14}$")))
     octets = F.forall(F.split("match", "[.:]"), lambda o: F.length(o) <= 4)
-    k = F.col("kind")
+    numbers = F.forall(F.split("match", "[^0-9]+"), lambda o: (o == "") | (o.try_cast("int") <= 255))
+    groups = F.size(F.filter(F.split("match", ":"), lambda o: o != ""))
     return F.coalesce(
-        F.when(k == "email", domain.rlike("^[a-z]{2,12}$")).when(k == "ip", octets & (base_check() | (F.col("generator") == "ip_hex")))
+        F.when(k == "email", domain.rlike("^[a-z]{2,12}$"))
+        .when(g == "ip_defanged", numbers).when(g == "ip_short", groups.between(3, 7) & (F.length(d) > 0))
+        .when(k == "ip", octets & (base_check() | (g == "ip_hex")))
         .when(k == "card", F.length(d).between(13, 19) & F.call_function("luhn_check", d))
-        .when(k == "phone", F.length(d).between(9, 13) & plan), F.lit(False))
+        .when(k == "phone", plan), F.lit(False))
 
 
 def _side(text: Column) -> Column:
